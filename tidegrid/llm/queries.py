@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import format_preferences, preference_pairs
 from .decontamination import decontaminate
+from .warc import read_warc, write_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,5 +39,50 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-QUERIES = {"op1_decontamination": op1_decontamination}
-ORACLES = {"op1_decontamination": OP1_SQL}
+
+def op3_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = format_preferences(preference_pairs(_table(spark, sf_dir, "conversations")))
+    runs = lambda c: F.array_join(F.transform(c, lambda r: F.concat(r["chars"].cast("string"), F.when(r["loss"], "+").otherwise("-"))), "")
+    return out.select("conv_id", "prompt_turns", "prompt", "chosen", "rejected", runs("chosen_runs").alias("chosen_mask"), runs("rejected_runs").alias("rejected_mask"))
+
+
+_RENDER = "list_transform({0}, lambda t: '<|' || coalesce(t.role, '') || '|>' || chr(10) || coalesce(t.text, '') || '<|end|>' || chr(10))"
+_RUNS = "list_transform({0}, lambda t: CAST(length('<|' || coalesce(t.role, '') || '|>' || chr(10)) AS VARCHAR) || '-' || CAST(length(coalesce(t.text, '') || '<|end|>' || chr(10)) AS VARCHAR) || CASE WHEN t.role = 'assistant' THEN '+' ELSE '-' END)"
+_JOIN = "coalesce(array_to_string({0}, ''), '')"
+
+OP3_SQL = f"""
+WITH c AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS own FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+said AS (SELECT conv_id, own, list_filter(own, lambda x: x.role = 'assistant') AS answers,
+         list_max(list_transform(range(1, len(own) + 1), lambda i: CASE WHEN own[i].role = 'assistant' THEN i END)) AS last FROM c),
+cut AS (SELECT conv_id, answers, last, CASE WHEN last IS NULL THEN own ELSE own[1:last] END AS chosen FROM said),
+pair AS (SELECT a.conv_id, a.chosen, CASE WHEN a.last IS NULL THEN a.chosen
+         WHEN b.answers IS NULL OR len(b.answers) = 0 THEN a.chosen[1:a.last - 1]
+         ELSE list_append(a.chosen[1:a.last - 1], {{'role': 'assistant', 'text': b.answers[len(b.answers)].text}}) END AS rejected
+         FROM cut a LEFT JOIN cut b ON b.conv_id = xor(a.conv_id, 1)),
+pre AS (SELECT *, coalesce(list_min(list_transform(range(1, greatest(len(chosen), len(rejected)) + 1), lambda i: CASE WHEN i > len(chosen) OR i > len(rejected) OR chosen[i].role IS DISTINCT FROM rejected[i].role OR chosen[i].text IS DISTINCT FROM rejected[i].text THEN i - 1 END)), len(chosen)) AS n FROM pair)
+SELECT conv_id, CAST(n AS INTEGER) AS prompt_turns, {_JOIN.format(_RENDER.format("chosen[1:n]"))} AS prompt,
+       {_JOIN.format(_RENDER.format("chosen[n + 1:]"))} AS chosen, {_JOIN.format(_RENDER.format("rejected[n + 1:]"))} AS rejected,
+       {_JOIN.format(_RUNS.format("chosen[n + 1:]"))} AS chosen_mask, {_JOIN.format(_RUNS.format("rejected[n + 1:]"))} AS rejected_mask
+FROM pre
+"""
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = read_warc(*write_warc(_table(spark, sf_dir, "pages")))
+    return records.select(F.col("page_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS NOT NULL AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op3_chat_preferences": op3_chat_preferences,
+    "op5_warc": op5_warc,
+}
+ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL}
