@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .chat import format_preferences, preference_pairs
 from .decontamination import decontaminate
+from .langid import fit, identify
 from .warc import read_warc, write_warc
 
 
@@ -67,6 +68,11 @@ FROM pre
 """
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_warc(*write_warc(_table(spark, sf_dir, "pages")))
     return records.select(F.col("page_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
@@ -83,6 +89,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_chat_preferences": op3_chat_preferences,
+    "op4_language_id": op4_language_id,
     "op5_warc": op5_warc,
 }
 ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL}
