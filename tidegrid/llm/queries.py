@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .chat import format_preferences, preference_pairs
 from .decontamination import decontaminate
 from .langid import fit, identify
+from .quality import judge, train
 from .warc import read_warc, write_warc
 
 
@@ -86,10 +87,17 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS NOT NULL AND f
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return judge(docs, train(docs)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("log_perplexity", 6).alias("log_perplexity"), "model")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_chat_preferences": op3_chat_preferences,
     "op4_language_id": op4_language_id,
     "op5_warc": op5_warc,
+    "op7_quality_rules": op7_quality_rules,
 }
 ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL}
