@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from .chat import format_preferences, preference_pairs
 from .decontamination import decontaminate
 from .langid import fit, identify
+from .lmscore import score
 from .quality import judge, train
+from .sentencepiece import decode, encode, load_vocabulary
 from .warc import read_warc, write_warc
 
 
@@ -42,6 +44,13 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = load_vocabulary()
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = decode(encode(docs, vocabulary), vocabulary)
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 def op3_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = format_preferences(preference_pairs(_table(spark, sf_dir, "conversations")))
     runs = lambda c: F.array_join(F.transform(c, lambda r: F.concat(r["chars"].cast("string"), F.when(r["loss"], "+").otherwise("-"))), "")
@@ -93,11 +102,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, train(docs)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("log_perplexity", 6).alias("log_perplexity"), "model")
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(_table(spark, sf_dir, "documents"), load_vocabulary()).drop("uid")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_chat_preferences": op3_chat_preferences,
     "op4_language_id": op4_language_id,
     "op5_warc": op5_warc,
     "op7_quality_rules": op7_quality_rules,
+    "op9_lm_score": op9_lm_score,
 }
 ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL}
