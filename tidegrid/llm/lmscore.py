@@ -138,7 +138,7 @@ def held_out(doc_id: Column) -> Column:
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     inside = X.table("spaced")
     for batch in batches:
-        for _, raw, off in X.blocks(batch, "text", 8 << 20):
+        for _, raw, off in X.blocks(batch, "text", 4 << 20):
             data = X.lowered(raw)
             w = X.words(data, off, inside)
             h, at, n = np.unique(X.span_hash(X.prefix_codes(data), w.start, w.end), return_index=True, return_counts=True)
@@ -192,7 +192,7 @@ def _score(pieces, common):
             _lattices[key] = Lattice(p)
         lattice, inside = _lattices[key], X.table("spaced")
         for batch in batches:
-            for part, raw, off in X.blocks(batch, "text", 8 << 20):
+            for part, raw, off in X.blocks(batch, "text", 4 << 20):
                 data = X.lowered(raw)
                 w = X.words(data, off, inside)
                 h, at, which = np.unique(X.span_hash(X.prefix_codes(data), w.start, w.end), return_index=True, return_inverse=True)
