@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .chat import format_preferences, preference_pairs
 from .decontamination import decontaminate
+from .jaccard import near_duplicates
 from .langid import fit, identify
 from .lmscore import score
 from .quality import judge, train
@@ -97,6 +98,24 @@ FROM p LEFT JOIN f USING (payload_digest)
 """
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+_SPACED = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+OP6_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACED.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r(doc_id, there) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.there)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(there) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
+"""
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return judge(docs, train(docs)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("log_perplexity", 6).alias("log_perplexity"), "model")
@@ -112,7 +131,8 @@ QUERIES = {
     "op3_chat_preferences": op3_chat_preferences,
     "op4_language_id": op4_language_id,
     "op5_warc": op5_warc,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_quality_rules": op7_quality_rules,
     "op9_lm_score": op9_lm_score,
 }
-ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL}
+ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL, "op6_ngram_jaccard": OP6_SQL}
