@@ -9,9 +9,11 @@ from .chat import format_preferences, preference_pairs
 from .decontamination import decontaminate
 from .jaccard import near_duplicates
 from .langid import fit, identify
+from .linededup import remove_repeats
 from .lmscore import score
 from .quality import judge, train
 from .sentencepiece import decode, encode, load_vocabulary
+from .suffixdedup import remove_shared
 from .warc import read_warc, write_warc
 
 
@@ -121,10 +123,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, train(docs)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("log_perplexity", 6).alias("log_perplexity"), "model")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("uid")
+
+
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(_table(spark, sf_dir, "documents"), load_vocabulary()).drop("uid")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_shared(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sentencepiece": op2_sentencepiece,
@@ -133,6 +144,8 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_quality_rules": op7_quality_rules,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_lm_score": op9_lm_score,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL, "op6_ngram_jaccard": OP6_SQL}
