@@ -184,24 +184,50 @@ def _whole_sets(parts: int):
     return run
 
 
-def _with_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    back, owner, size, value = _gathered(batches)
-    slot = np.repeat(np.arange(len(owner)), size)
-    straight = (back == 1)[slot]
-    order = np.argsort(value, kind="stable")
-    order = order[~straight[order]]
-    v = value[order]
-    run_ = np.cumsum(np.diff(v, prepend=v[:1]) != 0)
-    mark = owner[slot[order]] == -1
-    df = np.full(len(value), _FREQUENT_DF, np.int64)
-    if len(run_):
-        flagged = np.bincount(run_, weights=mark) > 0
-        df[order] = np.where(flagged, _FREQUENT_DF, np.bincount(run_))[run_]
-    keep = (df >= 2) & (owner[slot] >= 0)
-    per = np.bincount(slot[keep], minlength=len(owner))
-    some = per > 0
-    off = np.concatenate([[0], np.cumsum(per[some])])
-    yield pa.RecordBatch.from_arrays([pa.array(owner[some]), X.list_array(df[keep].astype(np.int32), off), X.list_array(X.as_long(value[keep]), off)], names=["cid", "df", "token"])
+def _with_frequency(buckets: int):
+    """The shingles that several sets have, with their frequency, dealt to buckets of sets: a row for each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        back, owner, size, value = _gathered(batches)
+        slot = np.repeat(np.arange(len(owner)), size)
+        straight = (back == 1)[slot]
+        order = np.argsort(value, kind="stable")
+        order = order[~straight[order]]
+        v = value[order]
+        run_ = np.cumsum(np.diff(v, prepend=v[:1]) != 0)
+        mark = owner[slot[order]] == -1
+        df = np.full(len(value), _FREQUENT_DF, np.int64)
+        if len(run_):
+            flagged = np.bincount(run_, weights=mark) > 0
+            df[order] = np.where(flagged, _FREQUENT_DF, np.bincount(run_))[run_]
+        keep = np.flatnonzero((df >= 2) & (owner[slot] >= 0))
+        who = owner[slot[keep]]
+        bucket = (X.mix(who.view(U64)) % U64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket, who, keep = bucket[order], who[order], keep[order]
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        rows = [(int(bucket[a]), who[a:b].tobytes(), df[keep[a:b]].astype(np.int32).tobytes(), value[keep[a:b]].tobytes()) for a, b in zip(first, np.append(first, len(bucket))[1:], strict=True)]
+        cols = list(zip(*rows, strict=True)) or [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "cids", "dfs", "tokens"])
+
+    return run
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each set's shared shingles by (frequency, hash), and the sum of their frequencies."""
+    parts: list[list] = [[], [], []]
+    for batch in batches:
+        for column, out, kind in zip(("cids", "dfs", "tokens"), parts, (np.int64, np.int32, np.int64), strict=True):
+            out += [np.frombuffer(v.as_py(), kind) for v in batch.column(column)]
+    if not parts[0]:
+        return
+    cid, df, token = (np.concatenate(p) for p in parts)
+    order = np.lexsort((token, df, cid))
+    cid, df, token = cid[order], df[order], token[order]
+    first = np.flatnonzero(np.diff(cid, prepend=cid[:1] - 1))
+    pairs = pa.StructArray.from_arrays([pa.array(df), pa.array(token)], names=["df", "token"])
+    weight = np.add.reduceat(df.astype(float), first)
+    yield pa.RecordBatch.from_arrays([pa.array(cid[first]), pa.array(weight), X.list_array(pairs, np.append(first, len(cid)))], names=["cid", "weight", "tokens"])
 
 
 def _fits(n: Column, m: Column, p: Column, q: Column) -> Column:
@@ -243,13 +269,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # 2. their sets in order of frequency
     texts = rows.select("uid", "text").join(hopeful.select(F.col("cid").alias("uid")), "uid", "left_semi")
-    tokens = texts.mapInArrow(_whole_sets(parts), _SENT_SQL).repartition(parts, "part").mapInArrow(_with_frequency, "cid bigint, df array<int>, token array<bigint>")
-    ordered = tokens.groupBy("cid").agg(F.array_sort(F.flatten(F.collect_list(F.arrays_zip("df", "token")))).alias("tokens"))
+    tokens = texts.mapInArrow(_whole_sets(parts), _SENT_SQL).repartition(parts, "part").mapInArrow(_with_frequency(parts), "bucket int, cids binary, dfs binary, tokens binary")
+    ordered = tokens.repartition(parts, "bucket").mapInArrow(_in_order, "cid bigint, weight double, tokens array<struct<df:int,token:bigint>>")
     ordered = stored(ordered.join(hopeful, "cid"), "ordered")
     length = F.col("n") - F.ceil(F.lit(NUM) * F.col("n") / DEN) + 1 - (F.col("n") - F.size("tokens"))
-    common = F.aggregate("tokens", F.lit(0.0), lambda a, t: a + t["df"]) / F.col("n")
     prefix = ordered.withColumn("length", length.cast("int")).where("length > 0")
-    prefix = prefix.select("cid", "n", common.alias("common"), (F.col("n") - F.size("tokens")).alias("before"), F.posexplode(F.transform(F.slice("tokens", 1, F.col("length")), lambda t: t["token"])).alias("at", "token"))
+    prefix = prefix.select("cid", "n", (F.col("weight") / F.col("n")).alias("common"), (F.col("n") - F.size("tokens")).alias("before"), F.posexplode(F.transform(F.slice("tokens", 1, F.col("length")), lambda t: t["token"])).alias("at", "token"))
     prefix = stored(prefix.select("token", "cid", "n", "common", (F.col("before") + F.col("at")).alias("p")), "prefix")
 
     # 3. and 4. stars, then what is left in each bucket

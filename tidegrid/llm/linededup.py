@@ -109,7 +109,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new[1:] = (flagged[1:] != flagged[:-1]) | (doc[1:] != doc[:-1])
             at = np.flatnonzero(new)
             many = np.add.reduceat(size, at) if len(at) else size
-            ends = np.append(at[1:], len(begin))
+            ends = np.append(at, len(begin))[1:]
             runs = [(int(a), int(b)) for a, b, n in zip(at, ends, many, strict=True) if flagged[a] and n >= MIN_RUN]
             chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
             spans: list[list] = [[] for _ in range(len(off) - 1)]

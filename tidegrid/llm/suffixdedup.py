@@ -278,7 +278,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = np.lexsort((start[run_] + inner, block[run_]))
     at, own = (start[run_] + inner)[order], block[run_][order]
     cut = np.flatnonzero(np.diff(own, prepend=own[:1] - 1)) if len(own) else np.zeros(0, np.int64)
-    rows = [(int(own[a]), _window_spans(at[a:b]).tobytes()) for a, b in zip(cut, np.append(cut[1:], len(own)), strict=True)]
+    rows = [(int(own[a]), _window_spans(at[a:b]).tobytes()) for a, b in zip(cut, np.append(cut, len(own))[1:], strict=True)]
     yield _rows(rows, ["block", "spans"], [pa.int64(), pa.binary()])
 
 
