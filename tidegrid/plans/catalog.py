@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import queries_core, queries_io, queries_model, queries_stream  # noqa: F401  they register themselves
+from .base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
