@@ -58,14 +58,31 @@ def equal_windows(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.n
     return order[~single], new[~single]
 
 
-def covered_windows(data: np.ndarray, start: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Whether each window also begins in a document with a smaller id."""
+#: Windows that are sorted at a time; equal ones fall into the same share.
+_SORTED = 1 << 18
+
+
+def covered_windows(data: np.ndarray, start: np.ndarray, doc: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Whether each window also begins in a document with a smaller id; window i belongs to document ``doc[of[i]]``.
+
+    Windows are dealt by a hash of their first eight bytes into shares of bounded size, which are sorted one by one.
+    """
     out = np.zeros(len(start), bool)
-    order, new = equal_windows(data, start)
-    if len(order):
-        first = np.flatnonzero(new)
-        least = np.minimum.reduceat(doc[order], first)[np.cumsum(new) - 1]
-        out[order] = doc[order] > least
+    shares = -(-len(start) // _SORTED)
+    if shares > 1:
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        words = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+        share = np.empty(len(start), np.int16)
+        for i in range(0, len(start), _SORTED):
+            share[i : i + _SORTED] = X.mix(words[start[i : i + _SORTED]].astype(U64)) % U64(shares)
+    for k in range(shares):
+        own = np.flatnonzero(share == k) if shares > 1 else np.arange(len(start))
+        order, new = equal_windows(data, start[own])
+        if len(order):
+            order = own[order]
+            d = doc[of[order]]
+            least = np.minimum.reduceat(d, np.flatnonzero(new))[np.cumsum(new) - 1]
+            out[order] = d > least
     return out
 
 
@@ -214,6 +231,12 @@ def _window_spans(start: np.ndarray) -> np.ndarray:
     return np.stack([start[new], start[np.append(new[1:], len(start)) - 1] + WIDTH], axis=1).astype(np.int32)
 
 
+def _windows_of(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Run and place of each window of runs."""
+    run_ = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    return run_, np.arange(len(run_), dtype=np.int32) + np.repeat((begin - (np.cumsum(size) - size)).astype(np.int32), size)
+
+
 _CONTEXT = ["part", "block", "spans", "docs", "starts", "sizes", "data"]
 _CONTEXT_TYPES = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 
@@ -232,9 +255,8 @@ def _send_contexts(parts: int):
                     bits[cut[a["part"]] : cut[a["part"] + 1]] = np.unpackbits(np.frombuffer(a["bits"], np.uint8))[: a["n"]].astype(bool)
                 own = np.flatnonzero(k.matched(bits))
                 # what a smaller document of this block covers is settled here
-                run_ = np.repeat(np.arange(len(own)), size[own])
-                at = np.arange(len(run_)) - np.repeat(np.cumsum(size[own]) - size[own], size[own]) + begin[own][run_]
-                settled = covered_windows(raw, at, ids[text[own]][run_]) if len(at) else np.zeros(0, bool)
+                run_, at = _windows_of(begin[own], size[own])
+                settled = covered_windows(raw, at, ids[text[own]], run_)
                 rows = [(block % parts, block, _window_spans(at[settled]).tobytes(), b"", b"", b"", b"")]
                 own = own[np.bincount(run_, weights=~settled, minlength=len(own)) > 0]
                 own = own[np.argsort(k.part[own], kind="stable")]
@@ -271,12 +293,12 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     del data
     length = size + WIDTH - 1
     place = np.cumsum(length) - length
-    run_ = np.repeat(np.arange(len(size)), size)
-    inner = np.arange(len(run_)) - np.repeat(np.cumsum(size) - size, size)
-    hit = np.flatnonzero(covered_windows(text, place[run_] + inner, doc[run_]))
-    run_, inner = run_[hit], inner[hit]
-    order = np.lexsort((start[run_] + inner, block[run_]))
-    at, own = (start[run_] + inner)[order], block[run_][order]
+    run_, at = _windows_of(place, size)
+    hit = np.flatnonzero(covered_windows(text, at, doc, run_))
+    run_, at = run_[hit], at[hit]
+    at = start[run_] + at - place[run_]
+    order = np.lexsort((at, block[run_]))
+    at, own = at[order], block[run_][order]
     cut = np.flatnonzero(np.diff(own, prepend=own[:1] - 1)) if len(own) else np.zeros(0, np.int64)
     rows = [(int(own[a]), _window_spans(at[a:b]).tobytes()) for a, b in zip(cut, np.append(cut, len(own))[1:], strict=True)]
     yield _rows(rows, ["block", "spans"], [pa.int64(), pa.binary()])

@@ -28,7 +28,7 @@ def _power(n: int, inverse: bool) -> np.ndarray:
     have = _powers.get(key)
     if have is None or len(have) < n:
         base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
-        steps = np.full(max(n, BLOCK * 2), U64(base))
+        steps = np.full(max(n, BLOCK + BLOCK // 8), U64(base))
         steps[0] = 1
         have = _powers[key] = np.cumprod(steps, dtype=U64)
     return have
