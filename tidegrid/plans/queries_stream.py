@@ -1 +1,62 @@
-"""Registered queries."""
+"""Registered queries: streaming jobs, run over all there is now and compared with the batch form in SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.scratch import shared_path
+from ..streaming import jobs as J
+from .base import DEADBAND, OBS, PRED, STEP, canonical_sql, ms, observations, predictions, query, r4, realised
+
+
+def _stream(df, name, files=4):
+    """A file stream over rows that Spark derives from the tables, in order of their time."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.coalesce(1).write.option("maxRecordsPerFile", 100_000).parquet(path) if files == 1 else df.write.parquet(path)
+    return spark.readStream.schema(df.schema).parquet(path)
+
+
+def _run(stream, name):
+    spark = stream.sparkSession
+    return J.drain(stream, shared_path(spark, f"{name}-checkpoint"), shared_path(spark, f"{name}-out"))
+
+
+@query("st1_st6_dedup", f"WITH {OBS} SELECT event_id FROM obs")
+def _(spark, sf):
+    o = observations(spark, sf).select("event_id", "ingested_at", "series")
+    twice = o.unionByName(o)
+    return _run(J.deduplicated(_stream(twice, "polls")), "dedup").select("event_id")
+
+
+@query("st3_stateful_hysteresis", f"""{canonical_sql()}, s AS (SELECT series, t, v, last_value(CASE WHEN v > 10 THEN 1 WHEN v < -10 THEN -1 END IGNORE NULLS) OVER (PARTITION BY series ORDER BY t) AS sign FROM can) SELECT series, epoch_ms(t) AS t_ms, round(v, 4) + 0.0 AS v, CAST(sign AS INTEGER) AS sign FROM s""")
+def _(spark, sf):
+    from ..operators.pit import canonical_latest
+
+    c = canonical_latest(observations(spark, sf)).select("series", "timestamp", "system_imbalance_mw")
+    out = _run(J.stateful_states(_stream(c, "canonical"), DEADBAND), "states")
+    return out.select("series", ms("timestamp", "t_ms"), r4("system_imbalance_mw", "v"), F.col("state_sign").alias("sign"))
+
+
+@query(
+    "st4_outcome_stream",
+    f"WITH {PRED}, real AS (SELECT series, t, arg_max({{'e': event_id, 'a': ingested_at}}, {{'a': rv, 'b': ingested_at, 'c': event_id}}) AS r FROM obs GROUP BY 1, 2) SELECT p.event_id, r.e AS realized_event_id FROM predc p JOIN real ON real.series = p.series AND real.t = p.target_time AND p.generated_at <= r.a",
+)
+def _(spark, sf):
+    from ..operators.pit import canonical_predictions
+
+    p = _stream(canonical_predictions(predictions(spark, sf)).select("event_id", "series", "target_time", "generated_at"), "predictions")
+    r = _stream(realised(spark, sf).select(F.col("series").alias("realised_series"), "timestamp", "realized_event_id", "available_at"), "realised")
+    return _run(J.outcome_stream(p, r).where("series = realised_series"), "outcomes").select("event_id", "realized_event_id")
+
+
+@query("st7_live_bins", f"""{canonical_sql()}, b AS (SELECT series, ((epoch_ms(t) // 1000 - {STEP}) // {12 * STEP}) * {12 * STEP}000 + {12 * STEP}000 AS bin_end_ms, round(avg(v), 4) + 0.0 AS mean, count(*) AS observed, max(t) AS last FROM can GROUP BY 1, 2), e AS (SELECT max(t) AS hi FROM can)
+SELECT series, bin_end_ms, mean, observed FROM b, e WHERE bin_end_ms + {STEP}000 <= epoch_ms(hi) - 3600000""")
+def _(spark, sf):
+    from ..operators.pit import canonical_latest
+
+    c = canonical_latest(observations(spark, sf)).select("series", "timestamp", "system_imbalance_mw")
+    out = _run(J.live_bins(_stream(c, "steps"), 12, STEP), "bins")
+    return out.select("series", ms("bin_end", "bin_end_ms"), r4("mean", "mean"), "observed")
+
+
