@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions import identity as I
 from tidegrid.functions import scalars as S
+from tidegrid.functions.contract import names
 from tidegrid.functions.schemas import TABLES, Registry
 from tidegrid.operators import evaluate as E
 from tidegrid.operators import forecast as M
@@ -346,6 +347,13 @@ def test_retention_and_typed_tables(spark, tmp_path):
     assert set(TABLES) >= {"raw_events", "predictions", "model_versions"}
 
 
+def test_contract_fingerprint():
+    reg = Registry()
+    assert reg.fingerprint() == "e266c181b83162ec6988f91f8c951c54f0049e4b1cfe69850bde57b434f1f82b"
+    assert reg.local == names("local") and len(reg.static) == 13
+    assert Registry(deadband=11.0).fingerprint() != reg.fingerprint() != Registry(step_seconds=900).fingerprint()
+
+
 def test_snapshot_rules(spark):
     r = spark.createDataFrame([(40, "positive", 5.0), (40, None, 1.0), (29, "positive", 0.0), (40, "negative", 6.0), (40, "negative", None)], "n int, s string, a double").select(T.eligible_snapshot(F.col("n"), F.col("s"), F.col("a")).alias("e")).collect()
     assert [x["e"] for x in r] == [True, False, False, False, False]

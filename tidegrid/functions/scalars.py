@@ -60,7 +60,7 @@ def calendar(cutoff: Column, zone: str = "Europe/Brussels") -> dict[str, Column]
     local = F.from_utc_timestamp(cutoff, zone)
     hour = F.hour(local) + F.minute(local) / 60.0
     phases = {"quarter_hour": (F.minute(local) % 15) / 15.0, "minute": F.minute(local) / 60.0, "hour": hour / 24.0, "weekday": F.weekday(local) / 7.0, "day_of_year": (F.dayofyear(local) - 1) / 366.0}
-    out = {f"{name}_{part}": fn(p * TAU) for name, p in phases.items() for part, fn in (("sin", F.sin), ("cos", F.cos))}
+    out = {f"{name}_phase_{part}": fn(p * TAU) for name, p in phases.items() for part, fn in (("sin", F.sin), ("cos", F.cos))}
     offset = lambda at: F.unix_seconds(F.from_utc_timestamp(at, zone)) - F.unix_seconds(at)
     out["is_weekend"] = (F.weekday(local) >= 5).cast("double")
     out["is_dst_transition"] = (offset(shift(cutoff, -3600)) != offset(shift(cutoff, 3600))).cast("double")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql.types import ArrayType, BooleanType, ByteType, DoubleType, FloatType, LongType, StringType, StructField, StructType, TimestampType
 
+from . import contract
+
 _S, _T, _D, _L = StringType(), TimestampType(), DoubleType(), LongType()
 
 
@@ -72,12 +73,7 @@ class Registry:
     slope: tuple[int, ...] = (5, 15)
     scale: tuple[int, ...] = (15, 60)
     zone: str = "Europe/Brussels"
-    static: tuple[str, ...] = field(
-        default=(
-            "quarter_hour_sin", "quarter_hour_cos", "minute_sin", "minute_cos", "hour_sin", "hour_cos", "weekday_sin", "weekday_cos",
-            "day_of_year_sin", "day_of_year_cos", "is_weekend", "is_holiday", "is_dst_transition",
-        )
-    )
+    static: tuple[str, ...] = contract.names("static")
 
     @property
     def local(self) -> tuple[str, ...]:
@@ -95,6 +91,6 @@ class Registry:
         return self.bins * self.bin_steps - 1
 
     def fingerprint(self) -> str:
-        """SHA-256 of the layout as canonical JSON: snapshots of different layouts don't mix."""
-        layout = {k: getattr(self, k) for k in ("step_seconds", "deadband", "local_steps", "bin_steps", "bins", "zone", "local", "static")}
-        return hashlib.sha256(json.dumps(layout, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+        """The contract's hash for minute steps; other step sizes add theirs, so that snapshots of different layouts don't mix."""
+        base = contract.fingerprint(self.deadband, self.local_steps, self.bins, self.bin_steps, self.ewm, self.median, self.scale, self.slope)
+        return base if self.step_seconds == 60 else hashlib.sha256(f"{base}:{self.step_seconds}".encode()).hexdigest()

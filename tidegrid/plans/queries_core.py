@@ -278,7 +278,7 @@ _LOCAL = "(ts AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Brussels')"
 def _(spark, sf):
     e = S.with_holiday(events(spark, sf).select("event_id", F.col("ts").alias("cutoff")), S.holidays(spark, 2023, 2025))
     c = S.calendar(F.col("cutoff"))
-    short = {"qs": "quarter_hour_sin", "qc": "quarter_hour_cos", "ms": "minute_sin", "mc": "minute_cos", "hs": "hour_sin", "hc": "hour_cos", "ws": "weekday_sin", "wc": "weekday_cos", "ds": "day_of_year_sin", "dc": "day_of_year_cos"}
+    short = {"qs": "quarter_hour_phase_sin", "qc": "quarter_hour_phase_cos", "ms": "minute_phase_sin", "mc": "minute_phase_cos", "hs": "hour_phase_sin", "hc": "hour_phase_cos", "ws": "weekday_phase_sin", "wc": "weekday_phase_cos", "ds": "day_of_year_phase_sin", "dc": "day_of_year_phase_cos"}
     return e.select("event_id", *[r4(c[n], k) for k, n in short.items()], c["is_weekend"].alias("weekend"), F.col("is_holiday").alias("holiday"), c["is_dst_transition"].alias("dst"))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import contract
 from ..functions.schemas import Registry
 from ..functions.scalars import calendar, floor_steps, history_start, holidays, minute_range, shift, state_name, steps_between, with_holiday
 from ..operators.grid import dense_grid
@@ -28,9 +29,8 @@ def _vector(names: Sequence[str], present: dict[str, Column]) -> tuple[Column, C
     return F.array(*[F.coalesce(c, F.lit(0.0)).cast("float") for c in cols]), F.array(*[c.isNotNull().cast("tinyint") for c in cols])
 
 
-CONTEXT = ("imbalance_mean_mw", "imbalance_min_mw", "imbalance_max_mw", "imbalance_std_mw", "imbalance_age_minutes")
-#: Declared columns of load, wind and solar that are never filled: value 0, mask 0.
-UNFILLED = 14
+#: The context columns that are filled; those of load, wind and solar are declared only: value 0, mask 0.
+CONTEXT = contract.names("context")[:5]
 
 
 def _assemble(history: DataFrame, requests: DataFrame, reg: Registry, by: Sequence[str]) -> DataFrame:
@@ -54,14 +54,13 @@ def _assemble(history: DataFrame, requests: DataFrame, reg: Registry, by: Sequen
         F.avg("system_imbalance_mw").alias("imbalance_mean_mw"), F.min("system_imbalance_mw").alias("imbalance_min_mw"), F.max("system_imbalance_mw").alias("imbalance_max_mw"),
         F.stddev_pop("system_imbalance_mw").alias("imbalance_std_mw"), F.max_by("age", "timestamp").alias("imbalance_age_minutes"),
     )
-    names = [*CONTEXT, *(f"__unfilled_{i}" for i in range(UNFILLED))]
-    cv, cm = _vector(names, {n: F.col(n) for n in CONTEXT})
+    cv, cm = _vector(contract.names("context"), {n: F.col(n) for n in CONTEXT})
     context = binned.select("request_id", F.struct((-F.col("__bin")).alias("at"), cv.alias("v"), cm.alias("m")).alias("x")).groupBy("request_id").agg(F.array_sort(F.collect_list("x")).alias("x"))
     context = context.select("request_id", flat("x", "v").alias("context_values"), flat("x", "m").alias("context_masks"))
     spark = requests.sparkSession
     years = requests.agg(F.min(F.year("cutoff")), F.max(F.year("cutoff"))).first()
     timed = with_holiday(requests.select("request_id", *by, "cutoff", "knowledge"), holidays(spark, (years[0] or 2024) - 1, (years[1] or 2024) + 1), zone=reg.zone)
-    phases = {**calendar(F.col("cutoff"), reg.zone), "is_holiday": F.col("is_holiday")}
+    phases = {**calendar(F.col("cutoff"), reg.zone), "is_belgian_holiday": F.col("is_holiday")}
     sv, sm = _vector(reg.static, phases)
     out = timed.withColumn("static_values", sv).withColumn("static_masks", sm).join(local, "request_id").join(context, "request_id")
     eligible = (F.col("observed") >= reg.min_observed) & F.col("current_state").isNotNull() & F.coalesce(F.col("age") <= reg.max_age, F.lit(False))
