@@ -161,8 +161,33 @@ def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     shared = (flag | (low != high))[run_] & (own != 0) if len(first) else np.zeros(0, bool)
     counts = np.bincount(who[shared], minlength=len(owner))
     counts[known] = -size[known] - 1
-    keep = counts > 0
-    yield pa.RecordBatch.from_arrays([pa.array(owner[keep]), pa.array(batch[keep]), pa.array(counts[keep].astype(np.int64))], names=["name", "batch", "shared"])
+    keep = np.flatnonzero(counts > 0)
+    keep = keep[np.argsort(batch[keep], kind="stable")]
+    first = np.flatnonzero(np.diff(batch[keep], prepend=batch[keep][:1] - 1))
+    rows = [(int(batch[keep[x]]), owner[keep[x:y]].tobytes(), counts[keep[x:y]].astype(np.int32).tobytes()) for x, y in zip(first, np.append(first, len(keep))[1:], strict=True)]
+    cols = list(zip(*rows, strict=True)) or [[]] * 3
+    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["batch", "names", "counts"])
+
+
+def _sum_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of all parts summed for each set of a block; rows come block by block."""
+
+    def summed(names: list, counts: list) -> pa.RecordBatch:
+        name, at = np.unique(np.concatenate(names), return_inverse=True)
+        total = np.bincount(at, weights=np.concatenate(counts), minlength=len(name)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(name), pa.array(total)], names=["name", "shared"])
+
+    at, names, counts = None, [], []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            if (now := batch.column("batch")[i].as_py()) != at:
+                if names:
+                    yield summed(names, counts)
+                at, names, counts = now, [], []
+            names.append(np.frombuffer(batch.column("names")[i].as_py(), np.int64))
+            counts.append(np.frombuffer(batch.column("counts")[i].as_py(), np.int32))
+    if names:
+        yield summed(names, counts)
 
 
 def _whole_sets(parts: int):
@@ -258,19 +283,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = with_row_id(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    described = stored(rows.mapInArrow(_describe, f"uid bigint, doc_id {kind}, n bigint, name bigint, name2 bigint"), "sets")
+    described = stored(rows.mapInArrow(X.tidy(_describe), f"uid bigint, doc_id {kind}, n bigint, name bigint, name2 bigint"), "sets")
     names = ["n", "name", "name2"]
     classes = stored(described.where("n > 0").groupBy(*names).agg(F.min("uid").alias("cid"), F.min("doc_id").alias("least")), "classes")
 
     # 1. classes that share enough of their hash-ordered prefix
-    sent = rows.select("uid", "text").mapInArrow(_prefixes(parts), _SENT_SQL).repartition(parts, "part")
-    shared = sent.mapInArrow(_count_shared, "name bigint, batch bigint, shared bigint").groupBy("name", "batch").agg(F.sum("shared").alias("shared")).groupBy("name").agg(F.max("shared").alias("shared"))
+    sent = rows.select("uid", "text").mapInArrow(X.tidy(_prefixes(parts)), _SENT_SQL).repartition(parts, "part")
+    counted = sent.mapInArrow(X.tidy(_count_shared), "batch bigint, names binary, counts binary").repartition(parts, "batch").sortWithinPartitions("batch")
+    shared = counted.mapInArrow(X.tidy(_sum_shared), "name bigint, shared bigint").groupBy("name").agg(F.max("shared").alias("shared"))
     hopeful = stored(classes.join(shared, "name").where(F.col("shared") >= _least_shared(F.col("n"))).select("cid", "n"), "hopeful")
 
     # 2. their sets in order of frequency
     texts = rows.select("uid", "text").join(hopeful.select(F.col("cid").alias("uid")), "uid", "left_semi")
-    tokens = texts.mapInArrow(_whole_sets(parts), _SENT_SQL).repartition(parts, "part").mapInArrow(_with_frequency(parts), "bucket int, cids binary, dfs binary, tokens binary")
-    ordered = tokens.repartition(parts, "bucket").mapInArrow(_in_order, "cid bigint, weight double, tokens array<struct<df:int,token:bigint>>")
+    tokens = texts.mapInArrow(X.tidy(_whole_sets(parts)), _SENT_SQL).repartition(parts, "part").mapInArrow(X.tidy(_with_frequency(parts)), "bucket int, cids binary, dfs binary, tokens binary")
+    ordered = tokens.repartition(parts, "bucket").mapInArrow(X.tidy(_in_order), "cid bigint, weight double, tokens array<struct<df:int,token:bigint>>")
     ordered = stored(ordered.join(hopeful, "cid"), "ordered")
     length = F.col("n") - F.ceil(F.lit(NUM) * F.col("n") / DEN) + 1 - (F.col("n") - F.size("tokens"))
     prefix = ordered.withColumn("length", length.cast("int")).where("length > 0")
