@@ -64,7 +64,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each text, with whether they decode to it."""
     vocabulary = sentencepiece.load_vocabulary()
-    both = sentencepiece.decode(sentencepiece.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary), vocabulary)
+    both = sentencepiece.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary, decoded="decoded")
     return both.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_ids"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 

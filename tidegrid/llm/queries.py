@@ -12,7 +12,7 @@ from .langid import fit, identify
 from .linededup import remove_repeats
 from .lmscore import score
 from .quality import judge, train
-from .sentencepiece import decode, encode, load_vocabulary
+from .sentencepiece import encode, load_vocabulary
 from .suffixdedup import remove_shared
 from .warc import read_warc, write_warc
 
@@ -50,7 +50,7 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = load_vocabulary()
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, vocabulary), vocabulary)
+    both = encode(docs, vocabulary, decoded="decoded")
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 

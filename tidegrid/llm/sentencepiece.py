@@ -140,64 +140,83 @@ def _segmenter(vocabulary: Vocabulary) -> Segmenter:
 
 
 def encode_texts(texts: list[str | None], segmenter: Segmenter) -> list[bytes]:
-    """Ids of each text as int32 bytes; a null or empty text has none."""
-    units = [_UNIT.findall(" " + t) if t else [] for t in texts]
-    known = segmenter.encode_sorted(sorted(set().union(*units)))
-    get = known.__getitem__
-    return [b"".join(map(get, u)) for u in units]
+    """Ids of each text as int32 bytes; a null or empty text has none.
+
+    Texts are cut into words twice, so that only the distinct ones are held.
+    """
+    distinct: set[str] = set()
+    for t in texts:
+        if t:
+            distinct.update(_UNIT.findall(" " + t))
+    get = segmenter.encode_sorted(sorted(distinct)).__getitem__
+    return [b"".join(map(get, _UNIT.findall(" " + t))) if t else b"" for t in texts]
+
+
+def _spelling(v: Vocabulary) -> list[bytes]:
+    out = [b""] * v.size
+    for text, i, _ in v.pieces:
+        out[i] = text.encode()
+    for b, i in enumerate(v.bytes_):
+        out[i] = bytes([b])
+    return out
 
 
-def _encoder(vocabulary, column: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decoded(ids: np.ndarray, spelling: list[bytes]) -> str:
+    t = b"".join(map(spelling.__getitem__, ids.tolist()))
+    return (t[1:] if t[:1] == b" " else t).decode("utf-8", "replace")
+
+
+def _encoder(vocabulary, column: str, back: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     segmenter = _segmenter(vocabulary.value)
+    spelling = _spelling(vocabulary.value) if back else []
     for batch in batches:
-        for part, _, _ in X.blocks(batch, column, 8 << 20):
+        for part, _, _ in X.blocks(batch, column, 4 << 20):
             ids = encode_texts(part.column(column).to_pylist(), segmenter)
             off = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
-            flat = X.list_array(np.frombuffer(b"".join(ids), np.int32), off)
-            yield pa.RecordBatch.from_arrays([*part.columns, flat], names=[*part.schema.names, "__ids"])
+            made = [X.list_array(np.frombuffer(b"".join(ids), np.int32), off)]
+            if back:
+                made.append(pa.array([_decoded(np.frombuffer(x, np.int32), spelling) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, "__ids", "__text"][: len(part.columns) + len(made)])
 
 
 def _decoder(vocabulary, column: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    v = vocabulary.value
-    spelling = [b""] * v.size
-    for text, i, _ in v.pieces:
-        spelling[i] = text.encode()
-    for b, i in enumerate(v.bytes_):
-        spelling[i] = bytes([b])
-    get = spelling.__getitem__
+    spelling = _spelling(vocabulary.value)
     for batch in batches:
-        lists = batch.column(column)
-        off = lists.offsets.to_numpy()
-        flat = lists.values.to_numpy(zero_copy_only=False)
-        texts = []
-        for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
-            t = b"".join(map(get, flat[a:b].tolist()))
-            texts.append((t[1:] if t[:1] == b" " else t).decode("utf-8", "replace"))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "__text"])
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            lists = part.column(column)
+            off = lists.offsets.to_numpy()
+            flat = lists.values.to_numpy(zero_copy_only=False)
+            texts = [_decoded(flat[a:b], spelling) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "__text"])
 
 
-def _with(df: DataFrame, run, made: str, name: str, kind: DataType) -> DataFrame:
+def _with(df: DataFrame, run, made: dict[str, tuple[str, DataType]]) -> DataFrame:
     """Apply a kernel to all columns under plain names, since those of the input may clash or repeat."""
     workers_find_package(df.sparkSession)
     plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
-    schema = StructType([*plain.schema, StructField(made, kind)])
-    return plain.mapInArrow(run, schema).toDF(*df.columns, name)
+    schema = StructType([*plain.schema, *(StructField(own, kind) for own, (_, kind) in made.items())])
+    return plain.mapInArrow(X.tidy(run), schema).toDF(*df.columns, *(name for name, _ in made.values()))
+
+
+_IDS = ArrayType(IntegerType())
 
 
-def encode(df: DataFrame, vocabulary: Vocabulary, *, text_col: str = "text", name: str = "ids") -> DataFrame:
-    """Add ``name``, the piece ids of ``text_col``, to all columns of ``df``.
+def encode(df: DataFrame, vocabulary: Vocabulary, *, text_col: str = "text", name: str = "ids", decoded: str | None = None) -> DataFrame:
+    """Add ``name``, the piece ids of ``text_col``, to all columns of ``df``; and ``decoded``, what they decode to, if named.
 
     A blank is put before a text that isn't empty, blanks are marks, all other characters stand for themselves; characters
     without a piece, the mark itself among them, are spelled in byte pieces.  Null and empty texts have no ids.  Texts are
-    encoded in blocks of eight megabytes or one text; a word of any length takes memory in proportion to its length.
+    encoded in blocks of four megabytes or one text; a word of any length takes memory in proportion to its length.
     """
     at = df.columns.index(text_col)
     b = df.sparkSession.sparkContext.broadcast(vocabulary)
-    return _with(df, partial(_encoder, b, f"c{at}"), "__ids", name, ArrayType(IntegerType()))
+    made = {"__ids": (name, _IDS)} | ({"__text": (decoded, StringType())} if decoded else {})
+    return _with(df, partial(_encoder, b, f"c{at}", bool(decoded)), made)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
     """Add ``name``, the text that ``ids_col`` stands for.  No ids and null ids give an empty text; control ids give nothing."""
-    filled = df.withColumn(ids_col, F.coalesce(F.col(ids_col), F.array().cast("array<int>")))
+    filled = df.withColumn(ids_col, F.coalesce(F.col(ids_col), F.array().cast(_IDS)))
     b = df.sparkSession.sparkContext.broadcast(vocabulary)
-    return _with(filled, partial(_decoder, b, f"c{df.columns.index(ids_col)}"), "__text", name, StringType())
+    return _with(filled, partial(_decoder, b, f"c{df.columns.index(ids_col)}"), {"__text": (name, StringType())})
