@@ -51,7 +51,7 @@ def benchmark_windows(bench: DataFrame) -> DataFrame:
     """
     workers_find_package(bench.sparkSession)
     rows = bench.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_windows, "item_id string, window string, n int, k int, shingles array<bigint>")
+    return rows.mapInArrow(X.tidy(_windows), "item_id string, window string, n int, k int, shingles array<bigint>")
 
 
 def _hits(bits, sizes):
@@ -118,7 +118,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, *, num: int = 1, den: int =
     rows = with_row_id(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     found = rows.mapInArrow(
-        _hits(spark.sparkContext.broadcast(bits.tobytes()), sizes),
+        X.tidy(_hits(spark.sparkContext.broadcast(bits.tobytes()), sizes)),
         f"uid bigint, doc_id {id_type}, n_words bigint, shingle array<bigint>, pos array<bigint>, before array<int>, around array<string>",
     )
     found = stored(found, "hits")

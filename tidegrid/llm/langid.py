@@ -19,7 +19,7 @@ from . import textops as X
 from .common import workers_find_package, with_row_id
 
 #: Bounds of the labelled sample: so many rows of a language, with so many bytes of each, and so many languages.
-ROWS, ROW_BYTES, LANGUAGES = 240, 200, 200
+ROWS, ROW_BYTES, LANGUAGES = 160, 160, 200
 #: Texts are parsed in pieces of so many bytes, so that short and long texts fill the same array; a phrase ends where a piece does.
 PIECE = 256
 UNKNOWN = "und"
@@ -104,7 +104,12 @@ class Parser:
             t[list(rows), list(cols)] = np.array(to, np.int64) * 4
             t[0, unknown] = 1
             t[:, -1] = np.arange(len(go)) * 4
-            tables.append(((t >> 2) + base) * self.width * 4 + (t & 3))
+            ended = (t & 3).astype(np.int8)
+            t >>= 2
+            t += base
+            t *= self.width * 4
+            t += ended
+            tables.append(t.astype(np.int32) if (base + len(go)) * self.width * 4 < 2**31 else t)
             self.roots.append(base * self.width)
             base += len(go)
         self.table = np.concatenate(tables).astype(np.int32 if base * self.width * 4 < 2**31 else np.int64).ravel()
@@ -151,7 +156,7 @@ def _scorer(references):
             parser = _parsers[key] = Parser(refs)
         langs = np.array([r.lang for r in refs] or [UNKNOWN], object)
         for batch in batches:
-            for part, raw, off in X.blocks(batch, "text", 4 << 20):
+            for part, raw, off in X.blocks(batch, "text"):
                 n = len(off) - 1
                 lang, score, rate = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros(n)
                 if parser is not None:
@@ -212,7 +217,7 @@ def identify(docs: DataFrame, references: list[Reference]) -> DataFrame:
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = rows.select("uid", "doc_id", letters.alias("letters"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(_scorer(spark.sparkContext.broadcast(references)), f"uid bigint, doc_id {kind}, letters boolean, lang_pred string, score double, bits double")
+    scored = rows.mapInArrow(X.tidy(_scorer(spark.sparkContext.broadcast(references))), f"uid bigint, doc_id {kind}, letters boolean, lang_pred string, score double, bits double")
     return scored.select(
         "uid", "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.when(F.col("letters"), F.col("lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(F.col("letters"), F.col("score")).otherwise(0.0).alias("score"), F.when(F.col("letters"), F.col("bits")).otherwise(0.0).alias("bits"),

@@ -145,7 +145,7 @@ _REMOVED = "kept_text string, n_units bigint, n_removed_units bigint, n_words bi
 
 def _repeats(rows: DataFrame) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.select("uid", "doc_id", "text").mapInArrow(_rows, f"a bigint, b bigint, doc_id {kind}, uid bigint, pos int, repeat boolean")
+    found = rows.select("uid", "doc_id", "text").mapInArrow(X.tidy(_rows), f"a bigint, b bigint, doc_id {kind}, uid bigint, pos int, repeat boolean")
     # a digest has a row for each block that holds it at most
     earliest = Window.partitionBy("a", "b").orderBy(F.asc_nulls_last("doc_id"), "uid", "pos")
     again = found.withColumn("nth", F.row_number().over(earliest)).where((F.col("nth") > 1) | F.col("repeat"))
@@ -165,4 +165,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = with_row_id(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")))
     joined = rows.select("uid", "doc_id", "text").join(_repeats(rows), "uid", "left")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(_remove, f"uid bigint, doc_id {kind}, {_REMOVED}")
+    return joined.mapInArrow(X.tidy(_remove), f"uid bigint, doc_id {kind}, {_REMOVED}")

@@ -151,7 +151,7 @@ def count_words(docs: DataFrame) -> DataFrame:
     """(hash, word, n): how often the training documents hold each word, summed in blocks before the shuffle."""
     rows = docs.where(~held_out(F.col("doc_id"))).select(F.col("text").cast("string").alias("text")).where("text is not null")
     workers_find_package(docs.sparkSession)
-    return rows.mapInArrow(_count_words, "hash bigint, word string, n bigint").groupBy("hash", "word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(X.tidy(_count_words), "hash bigint, word string, n bigint").groupBy("hash", "word").agg(F.sum("n").alias("n"))
 
 
 def _expect(pieces):
@@ -171,7 +171,7 @@ def fit_pieces(words: DataFrame, prior: Pieces, documents: int) -> Pieces:
     """One step of expectation maximisation over all counted words; the driver gets a row for each piece of the vocabulary."""
     spark = words.sparkSession
     b = spark.sparkContext.broadcast(prior)
-    got = words.select("word", "n").mapInArrow(_expect(b), "piece int, expected double").groupBy("piece").agg(F.sum("expected").alias("expected")).collect()
+    got = words.select("word", "n").mapInArrow(X.tidy(_expect(b)), "piece int, expected double").groupBy("piece").agg(F.sum("expected").alias("expected")).collect()
     n = PRIOR * np.exp(prior.logp)
     for r in got:
         n[r["piece"]] += r["expected"]
@@ -243,7 +243,7 @@ def score(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     pieces = fit_pieces(words, prior_pieces(vocabulary), documents)
     kind = rows.schema["doc_id"].dataType.simpleString()
     scored = with_row_id(rows).mapInArrow(
-        _score(spark.sparkContext.broadcast(pieces), common), f"uid bigint, doc_id {kind}, n_tokens bigint, n_common bigint, base_common double, score double, others array<bigint>"
+        X.tidy(_score(spark.sparkContext.broadcast(pieces), common)), f"uid bigint, doc_id {kind}, n_tokens bigint, n_common bigint, base_common double, score double, others array<bigint>"
     )
     scored = stored(scored, "scored")
     others = scored.select("uid", F.explode("others").alias("hash")).groupBy("uid", "hash").agg(F.count(F.lit(1)).alias("times"))

@@ -146,7 +146,7 @@ class _Keys:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    squeeze, n, task = zstandard.ZstdCompressor(level=1), 0, TaskContext.get().partitionId()
+    squeeze, n, task = zstandard.ZstdCompressor(level=3), 0, TaskContext.get().partitionId()
     for batch in batches:
         for part, raw, off in X.blocks(batch, "text"):
             ids = part.column("doc_id").fill_null(_LAST).to_numpy()
@@ -243,7 +243,7 @@ _CONTEXT_TYPES = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(),
 
 def _send_contexts(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for i in range(batch.num_rows):
                 block, ids, _, off, raw = _unpacked(batch, i)
@@ -271,28 +271,40 @@ def _send_contexts(parts: int):
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of each block that smaller documents of other blocks cover; those settled before are passed on."""
-    blocks, docs, starts, sizes, data = [], [], [], [], []
+    """Spans of each block that smaller documents of other blocks cover, part by part; those settled before are passed on."""
+    held: list[tuple] = []
+    at = None
     for batch in batches:
         passed = []
         for i in range(batch.num_rows):
             get = lambda name, i=i, batch=batch: batch.column(name)[i].as_py()
+            if get("part") != at:
+                yield from _settled(held)
+                held, at = [], get("part")
             if spans := get("spans"):
                 passed.append((get("block"), spans))
-            if get("docs"):
-                docs.append(np.frombuffer(get("docs"), np.int64))
-                starts.append(np.frombuffer(get("starts"), np.int32).astype(np.int64))
-                sizes.append(np.frombuffer(get("sizes"), np.int32).astype(np.int64))
-                blocks.append(np.full(len(docs[-1]), get("block")))
-                data.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(get("data"), max_output_size=int((sizes[-1] + WIDTH - 1).sum())), np.uint8))
+            if docs := get("docs"):
+                held.append((get("block"), docs, get("starts"), get("sizes"), get("data")))
         yield _rows(passed, ["block", "spans"], [pa.int64(), pa.binary()])
-    if not docs:
+    yield from _settled(held)
+
+
+def _settled(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """One part's contexts, (block, docs, starts, sizes, data) from each block that has some."""
+    if not held:
         return
-    block, doc, start, size = (np.concatenate(x) for x in (blocks, docs, starts, sizes))
-    text = np.concatenate(data)
-    del data
+    docs = [np.frombuffer(h[1], np.int64) for h in held]
+    block = np.repeat(np.array([h[0] for h in held]), [len(d) for d in docs])
+    doc = np.concatenate(docs)
+    start, size = (np.concatenate([np.frombuffer(h[i], np.int32) for h in held]).astype(np.int64) for i in (2, 3))
     length = size + WIDTH - 1
     place = np.cumsum(length) - length
+    text = np.empty(int(length.sum()), np.uint8)
+    filled = 0
+    for h in held:
+        piece = zstandard.ZstdDecompressor().decompress(h[4], max_output_size=len(text) - filled)
+        text[filled : filled + len(piece)] = np.frombuffer(piece, np.uint8)
+        filled += len(piece)
     run_, at = _windows_of(place, size)
     hit = np.flatnonzero(covered_windows(text, at, doc, run_))
     run_, at = run_[hit], at[hit]
@@ -349,9 +361,9 @@ def remove_shared(docs: DataFrame) -> DataFrame:
     workers_find_package(spark)
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    packed = stored(rows.mapInArrow(_pack, "block bigint, ids binary, nulls binary, offsets binary, data binary"), "packed")
-    sent = packed.mapInArrow(_send_keys(parts), "part int, block bigint, sent binary, marks binary").repartition(parts, "part")
-    answers = sent.mapInArrow(_answer_keys, "block bigint, part int, bits binary, n int").groupBy("block").agg(F.collect_list(F.struct("part", "bits", "n")).alias("answers"))
-    contexts = packed.join(answers, "block", "left").mapInArrow(_send_contexts(parts), "part int, block bigint, spans binary, docs binary, starts binary, sizes binary, data binary").repartition(parts, "part")
-    found = contexts.mapInArrow(_settle, "block bigint, spans binary").groupBy("block").agg(F.collect_list("spans").alias("found"))
-    return packed.join(found, "block", "left").mapInArrow(_apply, "doc_id bigint, n_bytes bigint, n_removed bigint, removed array<struct<start:bigint,stop:bigint>>, kept binary")
+    packed = stored(rows.mapInArrow(X.tidy(_pack), "block bigint, ids binary, nulls binary, offsets binary, data binary"), "packed")
+    sent = packed.mapInArrow(X.tidy(_send_keys(parts)), "part int, block bigint, sent binary, marks binary").repartition(parts, "part")
+    answers = sent.mapInArrow(X.tidy(_answer_keys), "block bigint, part int, bits binary, n int").groupBy("block").agg(F.collect_list(F.struct("part", "bits", "n")).alias("answers"))
+    contexts = packed.join(answers, "block", "left").mapInArrow(X.tidy(_send_contexts(parts)), "part int, block bigint, spans binary, docs binary, starts binary, sizes binary, data binary").repartition(parts, "part").sortWithinPartitions("part")
+    found = contexts.mapInArrow(X.tidy(_settle), "block bigint, spans binary").groupBy("block").agg(F.collect_list("spans").alias("found"))
+    return packed.join(found, "block", "left").mapInArrow(X.tidy(_apply), "doc_id bigint, n_bytes bigint, n_removed bigint, removed array<struct<start:bigint,stop:bigint>>, kept binary")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from functools import cache
 from typing import NamedTuple
 
@@ -41,6 +43,27 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker goes on to other tasks, beside the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(kernel: Callable) -> Callable:
+    """The kernel, followed by ``release``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from kernel(batches)
+        from tidegrid.llm import textops
+
+        textops.release()
+
+    return run
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and n + 1 offsets of a string column; null counts as empty."""
     if column.null_count:
