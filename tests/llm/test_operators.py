@@ -320,6 +320,25 @@ def test_quality_bands_reject_outliers(spark):
     assert not kept[900] and all(kept[i] for i in range(80))
 
 
+def test_quality_bands_reject_junk_of_each_kind(spark):
+    r = random.Random(7)
+    clean = [prose(1000 + i, 300) for i in range(300)]
+    junk = {k: [] for k in ("symbols", "table", "capitals", "words")}
+    for i in range(5):
+        w = prose(2000 + i, 300).split()
+        junk["symbols"].append(" ".join(x + r.choice(["###", "$$$", "%%%"]) for x in w))
+        junk["table"].append(" | ".join(w))
+        junk["capitals"].append(" ".join(x.upper() + "!!" for x in w))
+        junk["words"].append(" ".join(r.choice(("the the", "the", "the the the the")) for _ in range(200)))
+    rows = [("clean", t, "en") for t in clean] + [(k, t, "en") for k, texts in junk.items() for t in texts]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    got = [(r["doc_id"], r["kept"], r["low"] <= r["log_perplexity"] <= r["high"]) for r in quality.judge(df, quality.train(df)).collect()]
+    assert sum(not k for d, k, _ in got if d == "clean") <= 6
+    for kind in junk:
+        assert not any(k for d, k, _ in got if d == kind), kind
+        assert not any(inside for d, _, inside in got if d == kind), kind
+
+
 # 8
 def brute_repeats(rows):
     """Rows are (rank, text), in rank order."""
