@@ -1,8 +1,8 @@
 """Corpus pipeline: five stages over ``documents``, each one of the text operators.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet in the shared folder and reads it
-again as the next one's docs.  All stages but the last return the columns of docs.  A stage numbers the rows of the files it
-reads; verdicts come back under these numbers, so rows that repeat a doc_id, or have none, have verdicts of their own.
+again as the next one's docs.  All stages but the last return the columns of docs.  A stage stores the rows it reads
+with numbers; verdicts come back under these numbers, so rows that repeat a doc_id, or have none, have verdicts of their own.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.llm import jaccard, langid, linededup, sentencepiece
-from tidegrid.llm.common import stored, with_row_id
+from tidegrid.llm.common import ROW, stored, with_row_id
 from tidegrid.llm.decontamination import decontaminate
 
 #: Bits of cross-parsing entropy a byte from which a text is no language that was learned: nearly each byte a phrase.
@@ -19,37 +19,40 @@ MOST_BITS = 12.0
 
 
 def _mine(docs: DataFrame) -> DataFrame:
-    """Rows under a number that both reads of the same files give them."""
-    return with_row_id(docs, "__row")
+    """Rows stored with a number, which the stage's operator and its join both read."""
+    return stored(with_row_id(docs, ROW), "numbered")
 
 
-def _keep(docs: DataFrame, verdicts: DataFrame, keep: Column) -> DataFrame:
-    """Rows of ``docs`` whose verdict, numbered alike, is to keep them."""
-    dropped = verdicts.where(~keep).select(F.col("uid").alias("__row"))
-    return _mine(docs).join(dropped, "__row", "left_anti").drop("__row")
+def _keep(mine: DataFrame, verdicts: DataFrame, keep: Column) -> DataFrame:
+    """Rows of ``mine`` whose verdict, by their number, is to keep them."""
+    dropped = verdicts.where(~keep).select(F.col("uid").alias(ROW))
+    return mine.join(dropped, ROW, "left_anti").select(*[c for c in mine.columns if c != ROW])
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters, and those that no learned language parses better than byte by byte."""
-    found = stored(langid.identify(docs, langid.fit(docs)).select("uid", "lang_pred", "bits"), "lang")
-    return _keep(docs, found, (F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits") <= MOST_BITS))
+    mine = _mine(docs)
+    found = stored(langid.identify(mine, langid.fit(mine)).select("uid", "lang_pred", "bits"), "lang")
+    return _keep(mine, found, (F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits") <= MOST_BITS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, and of equal sets, the one with the least doc_id stays; of its repeated rows, the first."""
-    found = stored(jaccard.near_duplicates(docs), "groups")
+    mine = _mine(docs)
+    found = stored(jaccard.near_duplicates(mine), "groups")
     firsts = found.where("class_id is not null and doc_id <=> component_id").groupBy("component_id").agg(F.min("uid").alias("first"))
     grouped = found.where("class_id is not null").select("uid", "component_id").join(firsts, "component_id", "left")
     # a component of null doc_ids only has no least id: its classes keep their first rows
     nameless = found.where("class_id is not null and component_id is null").select("uid", (F.col("uid") == F.col("class_id")).alias("keep"))
     verdicts = grouped.where("component_id is not null").select("uid", (F.col("uid") == F.col("first")).alias("keep")).unionByName(nameless)
-    return _keep(docs, verdicts, F.col("keep"))
+    return _keep(mine, verdicts, F.col("keep"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that earlier documents have; n_chars, where there is one, follows."""
-    cut = linededup.remove_repeats(docs).where("n_removed_units > 0").select(F.col("uid").alias("__row"), "kept_text")
-    both = _mine(docs).join(cut, "__row", "left")
+    mine = _mine(docs)
+    cut = linededup.remove_repeats(mine).where("n_removed_units > 0").select(F.col("uid").alias(ROW), "kept_text")
+    both = mine.join(cut, ROW, "left")
     text = F.coalesce("kept_text", "text")
     out = {"text": text} | ({"n_chars": F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
     return both.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
@@ -57,8 +60,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which a twentieth or more lies in windows of benchmark items."""
-    found = stored(decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("uid", "contaminated"), "contaminated")
-    return _keep(docs, found, ~F.col("contaminated"))
+    mine = _mine(docs)
+    found = stored(decontaminate(mine, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("uid", "contaminated"), "contaminated")
+    return _keep(mine, found, ~F.col("contaminated"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

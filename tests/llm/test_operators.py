@@ -251,6 +251,34 @@ def test_jaccard_finds_every_link_in_a_large_noisy_group(spark, tmp_path):
     same(got, brute_components(rows))
 
 
+def test_row_numbers_hold_when_files_are_split_otherwise(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    path = "file:" + str(tmp_path / "documents.parquet")
+    texts = [prose(i, 60) for i in range(40)]
+    spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts + [t + " more" for t in texts])], "doc_id bigint, text string, lang string, source string, n_chars bigint").coalesce(1).write.parquet(path)
+    size, real = spark.conf.get("spark.sql.files.maxPartitionBytes"), jaccard.stored
+
+    def splits_change(df, name):
+        out = real(df, name)
+        if name in ("sets", "groups"):  # as when executors come or go between two scans
+            spark.conf.set("spark.sql.files.maxPartitionBytes", 2000 if name == "sets" else 5000)
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", splits_change)
+    monkeypatch.setattr(corpus_pipeline, "stored", splits_change)
+    docs = spark.read.parquet(path)
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+        assert got == {i: i % 40 for i in range(80)}
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+        assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
+        assert "monotonically_increasing_id" not in linededup.remove_repeats(docs)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_connected_components(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, x) for x in range(101, 130)] + [(r.randint(200, 260), r.randint(200, 260)) for _ in range(40)] + [(7, 7)]

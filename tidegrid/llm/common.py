@@ -51,6 +51,22 @@ def with_row_id(df: DataFrame, name: str = "uid") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+#: The column of a number that the caller has stored with the rows.
+ROW = "__row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """uid, doc_id and text of a stored table, so that every read gives a row the same number.
+
+    Splits follow the number of cores there are at the time, so two scans of the same files may number rows otherwise.
+    Rows that were stored with a number in ROW keep it.
+    """
+    text = F.col("text").cast("string").alias("text")
+    if ROW in docs.columns:
+        return docs.select(F.col(ROW).alias("uid"), "doc_id", text)
+    return stored(with_row_id(docs.select("doc_id", text)), "rows").select("uid", "doc_id", "text")
+
+
 def stored_bytes(df: DataFrame) -> int:
     """Bytes of the files behind a stored DataFrame, from the file listing alone."""
     jvm = df.sparkSession.sparkContext._jvm

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops as X
-from .common import stored, with_row_id, workers_find_package
+from .common import ROW, stored, workers_find_package
 
 WINDOW = 13
 SHINGLE = 5
@@ -115,7 +115,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, *, num: int = 1, den: int =
     for row in words.toLocalIterator():
         bits[row["at"]] = row["bits"] & 0xFFFFFFFFFFFFFFFF
     sizes = sorted(r["k"] for r in items.select("k").distinct().collect())  # 1 to 5
-    rows = with_row_id(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")))
+    rows = docs.select(F.col(ROW).alias("uid") if ROW in docs.columns else F.monotonically_increasing_id().alias("uid"), "doc_id", F.col("text").cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     found = rows.mapInArrow(
         X.tidy(_hits(spark.sparkContext.broadcast(bits.tobytes()), sizes)),

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as X
-from .common import stored, with_row_id, workers_find_package
+from .common import numbered, stored, workers_find_package
 from .graph import components
 
 U64 = np.uint64
@@ -275,13 +275,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Words are runs of all but 0x20 and 0x09-0x0D with A-Z in lower case; the set is that of distinct five-word shingles, or
     the whole sequence of fewer words.  Null and wordless texts have empty sets and are linked with nothing: their
-    component is their own doc_id.  Rows that repeat get a row each; null doc_ids are never the least.  ``docs`` is read
-    twice and must give its rows in the same order, as files do; only doc_id and text are read.
+    component is their own doc_id.  Rows that repeat get a row each; null doc_ids are never the least.  Only doc_id and text
+    are read, and stored with their numbers.
     """
     spark = docs.sparkSession
     workers_find_package(spark)
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = with_row_id(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")))
+    rows = numbered(docs)
     kind = rows.schema["doc_id"].dataType.simpleString()
     described = stored(rows.mapInArrow(X.tidy(_describe), f"uid bigint, doc_id {kind}, n bigint, name bigint, name2 bigint"), "sets")
     names = ["n", "name", "name2"]

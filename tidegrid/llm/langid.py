@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as X
-from .common import workers_find_package, with_row_id
+from .common import ROW, workers_find_package
 
 #: Bounds of the labelled sample: so many rows of a language, with so many bytes of each, and so many languages.
 ROWS, ROW_BYTES, LANGUAGES = 160, 160, 200
@@ -213,7 +213,7 @@ def identify(docs: DataFrame, references: list[Reference]) -> DataFrame:
     """
     spark = docs.sparkSession
     workers_find_package(spark)
-    rows = with_row_id(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")))
+    rows = docs.select(F.col(ROW).alias("uid") if ROW in docs.columns else F.monotonically_increasing_id().alias("uid"), "doc_id", F.col("text").cast("string").alias("text"))
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = rows.select("uid", "doc_id", letters.alias("letters"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops as X
-from .common import with_row_id, workers_find_package
+from .common import numbered, workers_find_package
 
 U64 = np.uint64
 MIN_UNIT, MIN_RUN = 4, 20
@@ -157,12 +157,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Spans are character offsets into the text as it came, and end where the next kept word begins.  A null text stays null
     and has no units; an empty one stays empty.  Null doc_ids rank last; rows that repeat a doc_id rank by their place, so
-    the second of two equal rows loses what it repeats.  The integer doc_id and text are read, twice and in the same order,
-    as files give them.
+    the second of two equal rows loses what it repeats.  The integer doc_id and text are read, and stored with their
+    numbers.
     """
     spark = docs.sparkSession
     workers_find_package(spark)
-    rows = with_row_id(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")))
+    rows = numbered(docs)
     joined = rows.select("uid", "doc_id", "text").join(_repeats(rows), "uid", "left")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(X.tidy(_remove), f"uid bigint, doc_id {kind}, {_REMOVED}")
