@@ -411,6 +411,13 @@ def test_line_dedup(docs, none):
     assert linededup.remove_repeats(none).count() == 0
 
 
+def test_repeated_short_lines_go_whatever_stands_beside_them(spark):
+    lines = ["four words are enough", "this line of nine words is in both documents"]
+    df = spark.createDataFrame([(i, "\n".join([prose(300 + 2 * i, 15).replace("\n", ""), lines[0], prose(301 + 2 * i, 15).replace("\n", ""), lines[1]])) for i in range(3)], "doc_id bigint, text string")
+    kept = {r["doc_id"]: r["kept_text"] for r in linededup.remove_repeats(df).collect()}
+    assert [[line in kept[i].split("\n") for line in lines] for i in range(3)] == [[True, True], [False, False], [False, False]]
+
+
 # 9
 def test_lm_scores(docs, none, vocabulary, monkeypatch):
     monkeypatch.setattr(lmscore, "BROADCAST_WORDS", 30)  # the others are joined

@@ -3,7 +3,7 @@
 A unit is a line, or a part of one that ends after ``.``, ``!`` or ``?`` or begins with a capital after a lower-case word, so
 that a passage set into another's line is found; within a line a unit has four words at least.  Units are normalised (A-Z in
 lower case, white space as one blank), their digests grouped over all documents, and all but the earliest by (doc_id,
-row, place) are repeats.  Consecutive repeats of MIN_RUN words or more are taken out; spans keep the original offsets.
+row, place) are repeats.  All repeats are taken out but runs of fewer than MIN_RUN words, which no full unit can be; spans keep the original offsets.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from . import textops as X
 from .common import numbered, workers_find_package
 
 U64 = np.uint64
-MIN_UNIT, MIN_RUN = 4, 20
+MIN_UNIT, MIN_RUN = 4, 4
 
 
 def units(data: np.ndarray, off: np.ndarray) -> tuple[X.Words, np.ndarray, np.ndarray]:
