@@ -51,7 +51,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that earlier documents have; n_chars, where there is one, follows."""
     mine = _mine(docs)
-    cut = linededup.remove_repeats(mine).where("n_removed_units > 0").select(F.col("uid").alias(ROW), "kept_text")
+    cut = linededup.remove_repeats(mine, from_words=True).where("n_removed_units > 0").select(F.col("uid").alias(ROW), "kept_text")
     both = mine.join(cut, ROW, "left")
     text = F.coalesce("kept_text", "text")
     out = {"text": text} | ({"n_chars": F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})

@@ -418,6 +418,22 @@ def test_repeated_short_lines_go_whatever_stands_beside_them(spark):
     assert [[line in kept[i].split("\n") for line in lines] for i in range(3)] == [[True, True], [False, False], [False, False]]
 
 
+@pytest.mark.parametrize("syllables", [("the", "on", "er", "in"), ("αν", "το", "κα", "ρι"), ("ста", "но", "ва", "ли")])
+def test_passages_without_marks_are_found_in_any_host(spark, syllables):
+    def plain(seed, n):
+        r = random.Random(seed)
+        return " ".join("".join(r.choice(syllables) for _ in range(r.randint(3, 6))) for _ in range(n))
+
+    sizes = {100 + i: 50 + i for i in range(51)}
+    rows = [(d - 100, plain(d, 30 + d % 7) + " " + plain(5000 + d, n) + " " + plain(1000 + d, 40)) for d, n in sizes.items()]
+    rows += [(d, plain(2000 + d, 20 + d % 11) + " " + plain(5000 + d, n) + " " + plain(3000 + d, 25)) for d, n in sizes.items()]
+    rows += [(900 + i, plain(4000 + i, 80)) for i in range(20)]
+    got = {r["doc_id"]: r["n_removed_words"] for r in linededup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), from_words=True).collect()}
+    share = [got[d] / n for d, n in sizes.items()]
+    assert min(share) > 0.5 and sum(share) / len(share) > 0.8 and max(share) <= 1
+    assert not any(n for d, n in got.items() if d not in sizes)
+
+
 # 9
 def test_lm_scores(docs, none, vocabulary, monkeypatch):
     monkeypatch.setattr(lmscore, "BROADCAST_WORDS", 30)  # the others are joined

@@ -1,7 +1,8 @@
 """Removal of repeated lines and sentences by hashed units.
 
 A unit is a line, or a part of one that ends after ``.``, ``!`` or ``?`` or begins with a capital after a lower-case word, so
-that a passage set into another's line is found; within a line a unit has four words at least.  Units are normalised (A-Z in
+that a passage set into another's line is found; within a line a unit has four words at least.  With ``from_words`` the
+cuts follow from the words beside them alone, so that equal passages have equal units in any host and script.  Units are normalised (A-Z in
 lower case, white space as one blank), their digests grouped over all documents, and all but the earliest by (doc_id,
 row, place) are repeats.  All repeats are taken out but runs of fewer than MIN_RUN words, which no full unit can be; spans keep the original offsets.
 """
@@ -9,6 +10,7 @@ row, place) are repeats.  All repeats are taken out but runs of fewer than MIN_R
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +22,31 @@ from .common import numbered, workers_find_package
 
 U64 = np.uint64
 MIN_UNIT, MIN_RUN = 4, 4
+#: Words on either side below whose hashes one must lie to begin a unit ``from_words``.
+BESIDE = 3
 
 
-def units(data: np.ndarray, off: np.ndarray) -> tuple[X.Words, np.ndarray, np.ndarray]:
+def _least_cuts(data: np.ndarray, w: X.Words, line: np.ndarray, soft: np.ndarray) -> np.ndarray:
+    """Lines, sentences that begin MIN_UNIT words or more after any other, and in them each word of least hash among its neighbours."""
+    n = len(line)
+    at = np.append(np.flatnonzero(line | soft), n)
+    far = np.diff(at, prepend=-n)[:-1] >= MIN_UNIT
+    cut = line.copy()
+    cut[at[:-1][far]] = True
+    begin = np.flatnonzero(cut)
+    part = np.cumsum(cut) - 1
+    place = np.arange(n)
+    inside = (place - begin[part] >= MIN_UNIT) & (np.append(begin[1:], n)[part] - place >= MIN_UNIT)
+    h = X.span_hash(X.prefix_codes(X.lowered(data)), w.start, w.end)
+    h[:-1] = X.mix(h[:-1] * U64(3) + h[1:])
+    least = inside.copy()
+    for k in range(1, BESIDE + 1):
+        least[k:] &= (h[k:] < h[:-k]) | ~inside[:-k] | (part[k:] != part[:-k])
+        least[:-k] &= (h[:-k] <= h[k:]) | ~inside[k:] | (part[:-k] != part[k:])
+    return cut | least
+
+
+def units(data: np.ndarray, off: np.ndarray, from_words: bool = False) -> tuple[X.Words, np.ndarray, np.ndarray]:
     """Words, the first word of each unit, and n + 1 unit indexes at which the texts begin."""
     w = X.words(data, off, X.table("spaced"))
     n = len(w.start)
@@ -39,6 +63,9 @@ def units(data: np.ndarray, off: np.ndarray) -> tuple[X.Words, np.ndarray, np.nd
     ends = np.isin(tail, np.frombuffer(b".!?", np.uint8))
     soft = np.zeros(n, bool)
     soft[1:] = ends[:-1] | (capital[1:] & ~capital[:-1])
+    if from_words:
+        begin = np.flatnonzero(_least_cuts(data, w, line, soft))
+        return w, begin, np.searchsorted(begin, w.first)
     # within a line, a cut counts only MIN_UNIT words or more after the one before
     cut = line.copy()
     last = -1
@@ -62,11 +89,11 @@ def _digests(data: np.ndarray, w: X.Words, begin: np.ndarray) -> tuple[np.ndarra
     return out[0], out[1]
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rows(from_words: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each unit; of equal ones in a block, only the earliest carries its digest, the others are known repeats."""
     for batch in batches:
         for part, raw, off in X.blocks(batch, "text"):
-            w, begin, cut = units(raw, off)
+            w, begin, cut = units(raw, off, from_words)
             if not len(begin):
                 continue
             a, b = _digests(raw, w, begin)
@@ -91,10 +118,10 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _CUT = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
 
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _remove(from_words: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, raw, off in X.blocks(batch, "text"):
-            w, begin, cut = units(raw, off)
+            w, begin, cut = units(raw, off, from_words)
             stop = np.append(begin[1:], len(w.start))
             size = stop - begin
             repeats = part.column("repeats")
@@ -143,16 +170,16 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _REMOVED = "kept_text string, n_units bigint, n_removed_units bigint, n_words bigint, n_removed_words bigint, removed array<struct<start:bigint,stop:bigint>>"
 
 
-def _repeats(rows: DataFrame) -> DataFrame:
+def _repeats(rows: DataFrame, from_words: bool) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.select("uid", "doc_id", "text").mapInArrow(X.tidy(_rows), f"a bigint, b bigint, doc_id {kind}, uid bigint, pos int, repeat boolean")
+    found = rows.select("uid", "doc_id", "text").mapInArrow(X.tidy(partial(_rows, from_words)), f"a bigint, b bigint, doc_id {kind}, uid bigint, pos int, repeat boolean")
     # a digest has a row for each block that holds it at most
     earliest = Window.partitionBy("a", "b").orderBy(F.asc_nulls_last("doc_id"), "uid", "pos")
     again = found.withColumn("nth", F.row_number().over(earliest)).where((F.col("nth") > 1) | F.col("repeat"))
     return again.groupBy("uid").agg(F.collect_list("pos").alias("repeats"))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, from_words: bool = False) -> DataFrame:
     """Per document: uid, doc_id, kept_text, n_units, n_removed_units, n_words, n_removed_words and removed, the spans taken out.
 
     Spans are character offsets into the text as it came, and end where the next kept word begins.  A null text stays null
@@ -163,6 +190,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     workers_find_package(spark)
     rows = numbered(docs)
-    joined = rows.select("uid", "doc_id", "text").join(_repeats(rows), "uid", "left")
+    joined = rows.select("uid", "doc_id", "text").join(_repeats(rows, from_words), "uid", "left")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(X.tidy(_remove), f"uid bigint, doc_id {kind}, {_REMOVED}")
+    return joined.mapInArrow(X.tidy(partial(_remove, from_words)), f"uid bigint, doc_id {kind}, {_REMOVED}")
