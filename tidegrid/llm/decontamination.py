@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops as X
-from .common import ROW, stored, workers_find_package
+from .common import ROW, intermediate, returned, stored, workers_find_package
 
 WINDOW = 13
 SHINGLE = 5
-#: Documents drop shingles that no benchmark item has by a bit table of this many bits (1 MB), whatever the benchmark's size;
-#: shingles that pass it by chance are dropped by the join.
-BITS = 23
+#: Documents drop shingles that no benchmark item has by a bit table of 2 ** bits bits, SPARE for each shingle of the benchmark
+#: between these bounds (128 kB and 32 MB); shingles that pass it by chance are dropped by the join.
+LEAST_BITS, MOST_BITS, SPARE = 20, 28, 64
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,7 +55,7 @@ def benchmark_windows(bench: DataFrame) -> DataFrame:
 
 
 def _hits(bits, sizes):
-    margin = WINDOW
+    margin, width = WINDOW, int(np.log2(len(bits.value) * 8))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, seen, ks = X.table("alnum"), np.frombuffer(bits.value, np.uint64), sizes
@@ -68,7 +68,7 @@ def _hits(bits, sizes):
                 pos, sh, size = [], [], []
                 for k in ks:
                     s = X.ngrams(h, k)
-                    slot = s >> np.uint64(64 - BITS)
+                    slot = s >> np.uint64(64 - width)
                     there = (seen[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
                     at = np.flatnonzero(there)
                     at = at[doc[at] == doc[at + k - 1]]
@@ -104,14 +104,22 @@ def decontaminate(docs: DataFrame, bench: DataFrame, *, num: int = 1, den: int =
     one, each get a row.  A null item_id marks words but is in no list; items that repeat count once.  An empty
     benchmark contaminates nothing.  Texts of any length are worked on in blocks of two megabytes or one text.
     """
+    workers_find_package(docs.sparkSession)
+    with intermediate(docs.sparkSession):
+        return returned(_decontaminate(docs, bench, num, den), "contamination")
+
+
+def _decontaminate(docs: DataFrame, bench: DataFrame, num: int, den: int) -> DataFrame:
     spark = docs.sparkSession
-    workers_find_package(spark)
     items = stored(benchmark_windows(bench), "windows")
     wins = items.groupBy("window").agg(F.first("n").alias("n"), F.first("k").alias("k"), F.first("shingles").alias("shingles"))
-    # at most 2 ** (BITS - 6) rows of 64 bits come to the driver
-    slot = F.shiftrightunsigned("s", 64 - BITS)
-    words = items.select(F.explode("shingles").alias("s")).select(F.shiftright(slot, 6).alias("at"), slot.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    bits = np.zeros(1 << (BITS - 6), np.uint64)
+    # at most 2 ** (MOST_BITS - 6) rows of 64 bits come to the driver
+    shingles = items.select(F.explode("shingles").alias("s"))
+    there = shingles.agg(F.approx_count_distinct("s")).first()[0]
+    width = min(MOST_BITS, max(LEAST_BITS, int(np.ceil(np.log2(SPARE * there + 1)))))
+    slot = F.shiftrightunsigned("s", 64 - width)
+    words = shingles.select(F.shiftright(slot, 6).alias("at"), slot.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    bits = np.zeros(1 << (width - 6), np.uint64)
     for row in words.toLocalIterator():
         bits[row["at"]] = row["bits"] & 0xFFFFFFFFFFFFFFFF
     sizes = sorted(r["k"] for r in items.select("k").distinct().collect())  # 1 to 5

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as X
-from .common import numbered, stored, workers_find_package
+from .common import by_number, intermediate, numbered, partitions_for, returned, stored, workers_find_package
 from .graph import components
 
 U64 = np.uint64
@@ -271,16 +271,22 @@ def _links(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per document: uid, doc_id, n_shingles, class_id and component_id, the least doc_id that links reach.
+    """Per document: uid, doc_id, n_shingles, class_id, group_id and component_id, the least doc_id that links reach.
+
+    ``class_id`` names equal sets and ``group_id`` linked ones, by the number of one of their rows; null for empty sets.
 
     Words are runs of all but 0x20 and 0x09-0x0D with A-Z in lower case; the set is that of distinct five-word shingles, or
     the whole sequence of fewer words.  Null and wordless texts have empty sets and are linked with nothing: their
     component is their own doc_id.  Rows that repeat get a row each; null doc_ids are never the least.  Only doc_id and text
-    are read, and stored with their numbers.
+    are read.  The result is a stored table; what led to it is removed.
     """
-    spark = docs.sparkSession
-    workers_find_package(spark)
-    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    workers_find_package(docs.sparkSession)
+    with intermediate(docs.sparkSession):
+        return returned(_near_duplicates(docs), "near-duplicates")
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
+    parts = partitions_for(docs)
     rows = numbered(docs)
     kind = rows.schema["doc_id"].dataType.simpleString()
     described = stored(rows.mapInArrow(X.tidy(_describe), f"uid bigint, doc_id {kind}, n bigint, name bigint, name2 bigint"), "sets")
@@ -294,7 +300,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     hopeful = stored(classes.join(shared, "name").where(F.col("shared") >= _least_shared(F.col("n"))).select("cid", "n"), "hopeful")
 
     # 2. their sets in order of frequency
-    texts = rows.select("uid", "text").join(hopeful.select(F.col("cid").alias("uid")), "uid", "left_semi")
+    texts = by_number(rows.select("uid", "text"), hopeful.select(F.col("cid").alias("uid")), "uid", "left_semi")
     tokens = texts.mapInArrow(X.tidy(_whole_sets(parts)), _SENT_SQL).repartition(parts, "part").mapInArrow(X.tidy(_with_frequency(parts)), "bucket int, cids binary, dfs binary, tokens binary")
     ordered = tokens.repartition(parts, "bucket").mapInArrow(X.tidy(_in_order), "cid bigint, weight double, tokens array<struct<df:int,token:bigint>>")
     ordered = stored(ordered.join(hopeful, "cid"), "ordered")
@@ -343,6 +349,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     found = classes.join(final.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     least = found.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = found.join(least, "component").select(*names, F.col("cid").alias("class_id"), "component_id")
+    named = found.join(least, "component").select(*names, F.col("cid").alias("class_id"), F.col("component").alias("group_id"), "component_id")
     out = described.join(named, names, "left")
-    return out.select("uid", "doc_id", F.col("n").alias("n_shingles"), "class_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("uid", "doc_id", F.col("n").alias("n_shingles"), "class_id", "group_id", F.coalesce("component_id", "doc_id").alias("component_id"))

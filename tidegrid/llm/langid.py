@@ -14,20 +14,26 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType
 
 from . import textops as X
-from .common import ROW, workers_find_package
+from .common import with_kernel, with_row_id, workers_find_package
 
-#: Bounds of the labelled sample: so many rows of a language, with so many bytes of each, and so many languages.
-ROWS, ROW_BYTES, LANGUAGES = 160, 160, 200
-#: Texts are parsed in pieces of so many bytes, so that short and long texts fill the same array; a phrase ends where a piece does.
+#: Bounds of the labelled sample: so many rows of a language and so many characters of each.  All languages together have
+#: SAMPLE characters at most: with many of them, each has an equal share, and none is left out.
+ROWS, ROW_CHARS, SAMPLE = 160, 160, 1 << 18
+#: Texts are laid out in pieces of so many bytes, so that short and long texts fill the same array; a parse runs on through them.
 PIECE = 256
 UNKNOWN = "und"
+#: A text is foreign to the language that parses it best if it takes so many times that language's own bits a byte, and
+#: SLACK bits more, which short texts need.  By measure: see the README.
+FOREIGN, SLACK = 2.0, 200.0
 
 
 class Reference(NamedTuple):
     lang: str
     text: bytes  #: labelled text in lower case, letters and single blanks
+    rate: float = float("inf")  #: bits a byte of other labelled text of the language, its third quartile; no bound if there is too little
 
 
 def folded(data: np.ndarray) -> np.ndarray:
@@ -114,32 +120,77 @@ class Parser:
             base += len(go)
         self.table = np.concatenate(tables).astype(np.int32 if base * self.width * 4 < 2**31 else np.int64).ravel()
 
+    def _steps(self, state: np.ndarray, grid: np.ndarray, left: np.ndarray, states: np.ndarray, ended: np.ndarray, meet: bool) -> np.ndarray:
+        """Parse columns of ``grid`` from ``state``, keep states and ended phrases of each step; columns are sorted by falling ``left``.
+
+        With ``meet``, a column stops where it reaches the state that it had there before: from there on all is as it was.
+        Returns whether a column ran to its end.
+        """
+        own, ran = np.arange(len(left)), np.zeros(len(left), bool)
+        for t in range(int(left.max(initial=0))):
+            live = own[left[own] > t] if meet else own[: np.searchsorted(-left, -t, side="left")]
+            ran[own[left[own] == t]] = True
+            own = live
+            if not len(own):
+                break
+            v = self.table[state[own] + grid[t, own]]
+            now = v >> 2
+            ended[t, own] = v & 3
+            state[own] = now
+            if meet:
+                same = states[t, own] == now
+                states[t, own] = now
+                own = own[~same]
+            else:
+                states[t, own] = now
+        ran[own] = True
+        return ran
+
     def phrases(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """Phrases of each text in each language's parse, an array of (languages, texts)."""
+        """Phrases of each text in each language's parse, an array of (languages, texts).
+
+        All pieces are parsed at once as if a text began there.  Then each goes on from where the one before really ended, until
+        both parses meet, again and again until no end changes: the result is the parse of the whole text.
+        """
         cls = self.classes[data].astype(np.int32)
         sizes = np.diff(off)
         pieces = -(-sizes // PIECE)
         owner = np.repeat(np.arange(len(sizes)), pieces)
-        begin = off[:-1][owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * PIECE
+        number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = off[:-1][owner] + number * PIECE
         left = np.minimum(off[1:][owner] - begin, PIECE)
-        grid = np.full((PIECE, len(owner)), self.width - 1, np.int32)
         order = np.argsort(-left, kind="stable")
+        column = np.empty(len(order), np.int64)  # of each piece
+        column[order] = np.arange(len(order))
+        left = left[order]
+        grid = np.full((PIECE, len(owner)), self.width - 1, np.int32)
         for t in range(int(left.max(initial=0))):
-            n = np.searchsorted(-left[order], -t, side="left")
+            n = np.searchsorted(-left, -t, side="left")
             grid[t, :n] = cls[begin[order[:n]] + t]
-        counts = np.empty((len(self.roots), len(sizes)), np.int64)
-        live = np.searchsorted(-left[order], -np.arange(PIECE), side="left")
+        last = np.cumsum(pieces)[pieces > 0] - 1  # the piece that ends each text
+        counts = np.zeros((len(self.roots), len(sizes)), np.int64)
+        if not len(owner):
+            return counts
+        states = np.empty((PIECE, len(owner)), self.table.dtype)
+        ended = np.zeros((PIECE, len(owner)), np.int8)
         for i, root in enumerate(self.roots):
-            state = np.full(len(owner), root, self.table.dtype)
-            ended = np.zeros(len(owner), np.int32)
-            for t in range(int(left.max(initial=0))):
-                n = live[t]
-                v = self.table[state[:n] + grid[t, :n]]
-                ended[:n] += v & 3
-                state[:n] = v >> 2
-            # the phrase that a piece ends in; state 0 means that none has begun
-            by_piece = np.empty(len(owner), np.int64)
-            by_piece[order] = ended + (state != root)
+            ended[:] = 0
+            self._steps(np.full(len(owner), root, self.table.dtype), grid, left, states, ended, False)
+            todo = np.flatnonzero(number > 0)
+            while len(todo):
+                todo = todo[np.argsort(-left[column[todo]], kind="stable")]
+                own, before = column[todo], column[todo - 1]
+                state = states[left[before] - 1, before].copy()
+                part, done = states[:, own], ended[:, own]
+                ran = self._steps(state, grid[:, own], left[own], part, done, True)
+                changed = ran & (part[left[own] - 1, np.arange(len(own))] != states[left[own] - 1, own])
+                states[:, own], ended[:, own] = part, done
+                todo = todo[changed] + 1
+                todo = todo[todo < len(number)]
+                todo = todo[number[todo] > 0]
+            by_piece = ended.sum(axis=0, dtype=np.int64)[column]
+            # the phrase that a text ends in; the root means that none has begun
+            by_piece[last] += states[left[column[last]] - 1, column[last]] != root
             counts[i] = X.sums(by_piece, np.concatenate([[0], np.cumsum(pieces)]))
         return counts
 
@@ -147,29 +198,35 @@ class Parser:
 _parsers: dict[int, Parser] = {}
 
 
-def _scorer(references):
+def _parser(references: list[Reference]) -> Parser | None:
+    key = hash(tuple(references))
+    if references and key not in _parsers:
+        _parsers.clear()
+        _parsers[key] = Parser(references)
+    return _parsers.get(key)
+
+
+def _scorer(references, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         refs = references.value
-        parser = _parsers.get(key := hash(tuple(refs)))
-        if parser is None and refs:
-            _parsers.clear()
-            parser = _parsers[key] = Parser(refs)
-        langs = np.array([r.lang for r in refs] or [UNKNOWN], object)
+        parser = _parser(refs)
+        langs, own = np.array([r.lang for r in refs] or [UNKNOWN], object), np.array([r.rate for r in refs] or [np.inf])
         for batch in batches:
-            for part, raw, off in X.blocks(batch, "text"):
+            for part, raw, off in X.blocks(batch, column):
                 n = len(off) - 1
-                lang, score, rate = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros(n)
+                lang, score, rate, foreign = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros(n), np.zeros(n, bool)
                 if parser is not None:
                     data, cut = _squeezed(raw, off)
-                    bits = parser.phrases(data, cut) * parser.bits[:, None] / np.maximum(1, np.diff(cut))
+                    size = np.diff(cut)
+                    bits = parser.phrases(data, cut) * parser.bits[:, None] / np.maximum(1, size)
                     best = bits.argmin(axis=0)
                     inverse = 1 / np.maximum(bits, 1e-9) ** 8
-                    known = np.diff(cut) > 0
+                    known = size > 0
                     lang[known] = langs[best[known]]
                     score[known] = (inverse.max(axis=0) / inverse.sum(axis=0))[known]
                     rate = bits.min(axis=0)
-                cols = [part.column(i) for i, f in enumerate(part.schema) if f.name != "text"]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(lang, pa.string()), pa.array(score), pa.array(rate)], names=[*(f.name for f in part.schema if f.name != "text"), "lang_pred", "score", "bits"])
+                    foreign = known & (rate * size > FOREIGN * np.minimum(own[best], 1e9) * size + SLACK)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(rate), pa.array(foreign)], names=[*part.schema.names, "__lang", "__score", "__bits", "__foreign"])
 
     return run
 
@@ -182,43 +239,70 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame) -> list[Reference]:
     """Labelled text of each language from rows with text and lang that are not held out.
 
-    At most ROWS rows of each of the LANGUAGES commonest languages come to the driver, ROW_BYTES of each: those with the
-    smallest hash of doc_id and text.  Their number does not grow with the documents, and neither does the automaton.
+    Of each language, two times ROWS rows at most come to the driver, ROW_CHARS characters of each: those with the smallest
+    hash of doc_id, text and the row's number in this scan, so that rows without doc_id and repeated ones are drawn as any
+    others.  The first half is learned from, with the second the language's own bits a byte are measured.  SAMPLE bounds
+    the characters of all languages; their number doesn't grow with the documents, and neither do the automata.
     """
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id"), text.alias("text"), F.col("lang").cast("string").alias("lang")).where("lang is not null and text is not null").where(~held_out(F.col("doc_id")))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return []
+    share = max(1, SAMPLE // len(counts))
+    chars = min(ROW_CHARS, share)
+    wanted = max(1, min(ROWS, share // chars))
     # a fraction that leaves about four times as many rows as are wanted, then the smallest hashes of those
-    order = F.xxhash64("doc_id", F.substring("text", 1, 64))
-    share = F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 4.0 * ROWS / r["count"] + 1e-9))]), F.col("lang"))
-    picked = rows.withColumn("order", order).withColumn("share", share).where((F.col("share") >= 1) | ((F.shiftrightunsigned("order", 11) / F.lit(float(1 << 53))) < F.col("share")))
-    picked = picked.select("lang", F.struct("order", F.expr(f"substring(text, cast(floor(length(text) * pmod(order, 1000) / 1250) as int) + 1, {ROW_BYTES})").alias("part")).alias("x"))
-    out = []
-    chosen = picked.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list("x")), 1, ROWS).alias("xs")).orderBy("lang").collect()
+    order = F.xxhash64("doc_id", F.substring("text", 1, 64), "number")
+    part = F.element_at(F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, 8.0 * wanted / n + 1e-9))]), F.col("lang"))
+    picked = with_row_id(rows, "number").withColumn("order", order).withColumn("share", part).where((F.col("share") >= 1) | ((F.shiftrightunsigned("order", 11) / F.lit(float(1 << 53))) < F.col("share")))
+    picked = picked.select("lang", F.struct("order", F.expr(f"substring(text, cast(floor(length(text) * pmod(order, 1000) / 1250) as int) + 1, {chars})").alias("part")).alias("x"))
+    chosen = picked.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list("x")), 1, 2 * wanted).alias("xs")).orderBy("lang").collect()
+    learned, others = {}, {}
     for r in chosen:
-        raw = np.frombuffer(" ".join(x["part"] for x in r["xs"]).encode(), np.uint8)
-        data, _ = _squeezed(raw, np.array([0, len(raw)]))
-        if len(data):
-            out.append(Reference(r["lang"], data.tobytes()))
+        parts = [x["part"] for x in r["xs"]]
+        half = -(-len(parts) // 2)
+        for kind, texts in ((learned, parts[:half]), (others, parts[half:])):
+            raw = np.frombuffer(" ".join(texts).encode(), np.uint8)
+            data, _ = _squeezed(raw, np.array([0, len(raw)]))
+            if len(data):
+                kind[r["lang"]] = data
+    out = []
+    for lang, data in learned.items():
+        ref = Reference(lang, data.tobytes())
+        other = others.get(lang, data[:0])
+        cut = np.append(np.arange(0, len(other), 2 * chars), len(other))
+        if len(cut) > 4:
+            own = Parser([ref])
+            ref = ref._replace(rate=float(np.quantile(own.phrases(other, cut)[0] * own.bits[0] / np.maximum(1, np.diff(cut)), 0.75)))
+        out.append(ref)
     return out
 
 
+def tagged(docs: DataFrame, references: list[Reference], lang: str = "lang_pred", score: str = "score", bits: str = "bits", foreign: str = "foreign", text_col: str = "text") -> DataFrame:
+    """All columns and lang_pred, score, bits and foreign, in one pass over the rows.
+
+    ``und``, 0, 0 and false if the text is null or has no letter, or if no language was learned; ties go to the language
+    that sorts first.  ``bits`` is the least cross-parsing entropy for a byte; ``foreign`` says that it is far above the
+    language's own (FOREIGN, SLACK), so that the text is in none that was learned.
+    """
+    b = docs.sparkSession.sparkContext.broadcast(references)
+    text = F.col(text_col).cast("string")
+    has = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    given = isinstance(docs.schema[text_col].dataType, StringType)
+    at = docs.columns.index(text_col) if given else len(docs.columns)
+    both = docs.select("*", *([] if given else [text.alias("__text")]), has.alias("__letters"))
+    made = {"__lang": ("__lang", StringType()), "__score": ("__score", DoubleType()), "__bits": ("__bits", DoubleType()), "__foreign": ("__foreign", BooleanType())}
+    out = with_kernel(both, _scorer(b, f"c{at}"), made)
+    when = lambda c, other: F.when(F.col("__letters"), F.col(c)).otherwise(other)
+    return out.select(*docs.columns, when("__lang", UNKNOWN).alias(lang), when("__score", 0.0).alias(score), when("__bits", 0.0).alias(bits), when("__foreign", False).alias(foreign))
+
+
 def identify(docs: DataFrame, references: list[Reference]) -> DataFrame:
-    """Per document: uid, doc_id, held_out, lang_pred, score (0 to 1) and bits, the least cross-parsing entropy for a byte.
+    """Per document: doc_id, held_out, lang_pred, score (0 to 1), bits and foreign, as ``tagged`` has them.
 
-    ``und`` with score 0 if text is null or has no letter, or if no language was learned; ties go to the language that
-    sorts first.  Rows that repeat get a row each; only doc_id and text are read, whatever other columns there are.
+    Rows that repeat get a row each; only doc_id and text are read, whatever other columns there are.
     """
-    spark = docs.sparkSession
-    workers_find_package(spark)
-    rows = docs.select(F.col(ROW).alias("uid") if ROW in docs.columns else F.monotonically_increasing_id().alias("uid"), "doc_id", F.col("text").cast("string").alias("text"))
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = rows.select("uid", "doc_id", letters.alias("letters"), "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(X.tidy(_scorer(spark.sparkContext.broadcast(references))), f"uid bigint, doc_id {kind}, letters boolean, lang_pred string, score double, bits double")
-    return scored.select(
-        "uid", "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.when(F.col("letters"), F.col("lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
-        F.when(F.col("letters"), F.col("score")).otherwise(0.0).alias("score"), F.when(F.col("letters"), F.col("bits")).otherwise(0.0).alias("bits"),
-    )
+    workers_find_package(docs.sparkSession)
+    found = tagged(docs.select("doc_id", "text"), references)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits", "foreign")

@@ -14,11 +14,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from . import textops as X
-from .common import numbered, workers_find_package
+from .common import ROW, intermediate, numbered, require_integer, returned, stored, with_kernel, with_numbers, workers_find_package
 
 U64 = np.uint64
 MIN_UNIT, MIN_RUN = 4, 4
@@ -118,13 +119,13 @@ def _rows(from_words: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
 _CUT = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
 
 
-def _remove(from_words: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _remove(from_words: bool, column: str, repeats_column: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, raw, off in X.blocks(batch, "text"):
+        for part, raw, off in X.blocks(batch, column):
             w, begin, cut = units(raw, off, from_words)
             stop = np.append(begin[1:], len(w.start))
             size = stop - begin
-            repeats = part.column("repeats")
+            repeats = part.column(repeats_column)
             flagged = np.zeros(len(begin) + 1, bool)
             for i, r in enumerate(repeats):
                 if r.is_valid:
@@ -158,38 +159,55 @@ def _remove(from_words: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
                     at = y
                 kept.append(flat[at : int(off[d + 1])])
                 texts.append(b"".join(kept).decode(errors="replace"))
-            text = pa.array(texts, pa.string())
-            if part.column("text").null_count:
-                text = pa.array([None if v is None else t for v, t in zip(part.column("text").to_pylist(), texts, strict=True)], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("uid"), part.column("doc_id"), text, pa.array(np.diff(cut)), pa.array(gone), pa.array(w.counts), pa.array(words), pa.array(spans, pa.list_(_CUT))],
-                names=["uid", "doc_id", "kept_text", "n_units", "n_removed_units", "n_words", "n_removed_words", "removed"],
-            )
+            text = pa.array(texts, pa.string(), mask=part.column(column).is_null().to_numpy(zero_copy_only=False))
+            made = [text, pa.array(np.diff(cut)), pa.array(gone), pa.array(w.counts), pa.array(words), pa.array(spans, pa.list_(_CUT))]
+            yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *(f"__{i}" for i in range(len(made)))])
 
 
-_REMOVED = "kept_text string, n_units bigint, n_removed_units bigint, n_words bigint, n_removed_words bigint, removed array<struct<start:bigint,stop:bigint>>"
+_MADE = ["kept_text", "n_units", "n_removed_units", "n_words", "n_removed_words", "removed"]
+_SPANS = ArrayType(StructType([StructField("start", LongType()), StructField("stop", LongType())]))
+_KINDS = [StringType(), LongType(), LongType(), LongType(), LongType(), _SPANS]
 
 
 def _repeats(rows: DataFrame, from_words: bool) -> DataFrame:
+    """(uid, repeats): the places of each text's units that an earlier one equals.
+
+    The earliest unit of a digest is found by a combining minimum, so that a common line has a row for each task in one place
+    at most; the rows of one digest then meet it in a join, which Spark may split.
+    """
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.select("uid", "doc_id", "text").mapInArrow(X.tidy(partial(_rows, from_words)), f"a bigint, b bigint, doc_id {kind}, uid bigint, pos int, repeat boolean")
-    # a digest has a row for each block that holds it at most
-    earliest = Window.partitionBy("a", "b").orderBy(F.asc_nulls_last("doc_id"), "uid", "pos")
-    again = found.withColumn("nth", F.row_number().over(earliest)).where((F.col("nth") > 1) | F.col("repeat"))
-    return again.groupBy("uid").agg(F.collect_list("pos").alias("repeats"))
+    found = stored(rows.mapInArrow(X.tidy(partial(_rows, from_words)), f"a bigint, b bigint, doc_id {kind}, uid bigint, pos int, repeat boolean"), "units")
+    # of equal units in a block, all but one have a digest of their own and are known repeats
+    known = found.where("repeat").select("uid", "pos")
+    one = found.where("not repeat").select("a", "b", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid", "pos").alias("at"))
+    earliest = one.groupBy("a", "b").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b", "first")
+    again = one.join(earliest, ["a", "b"]).where(F.col("at") != F.col("first")).select("at.uid", "at.pos")
+    return known.unionByName(again).groupBy("uid").agg(F.collect_list("pos").alias("repeats"))
+
+
+def with_kept_text(docs: DataFrame, from_words: bool = False, prefix: str = "") -> DataFrame:
+    """All columns of ``docs`` and, under ``prefix``, kept_text, n_units, n_removed_units, n_words, n_removed_words and removed.
+
+    One shuffle brings the texts to their repeats; see ``remove_repeats`` for what is removed.
+    """
+    require_integer(docs)
+    workers_find_package(docs.sparkSession)
+    mine = with_numbers(docs)
+    with intermediate(docs.sparkSession):
+        repeats = returned(_repeats(numbered(mine), from_words), "repeats")
+    joined = mine.withColumn("__text", F.col("text").cast("string")).join(repeats.select(F.col("uid").alias(ROW), F.col("repeats").alias("__repeats")), ROW, "left")
+    at = {c: f"c{i}" for i, c in enumerate(joined.columns)}
+    made = {f"__{i}": (f"__made{i}", kind) for i, kind in enumerate(_KINDS)}
+    out = with_kernel(joined, partial(_remove, from_words, at["__text"], at["__repeats"]), made)
+    return out.select(*docs.columns, *[F.col(f"__made{i}").alias(prefix + name) for i, name in enumerate(_MADE)])
 
 
 def remove_repeats(docs: DataFrame, from_words: bool = False) -> DataFrame:
-    """Per document: uid, doc_id, kept_text, n_units, n_removed_units, n_words, n_removed_words and removed, the spans taken out.
+    """Per document: doc_id, kept_text, n_units, n_removed_units, n_words, n_removed_words and removed, the spans taken out.
 
     Spans are character offsets into the text as it came, and end where the next kept word begins.  A null text stays null
     and has no units; an empty one stays empty.  Null doc_ids rank last; rows that repeat a doc_id rank by their place, so
-    the second of two equal rows loses what it repeats.  The integer doc_id and text are read, and stored with their
-    numbers.
+    the second of two equal rows loses what it repeats.  Only the integer doc_id and text are read; a doc_id of another
+    type is an error.
     """
-    spark = docs.sparkSession
-    workers_find_package(spark)
-    rows = numbered(docs)
-    joined = rows.select("uid", "doc_id", "text").join(_repeats(rows, from_words), "uid", "left")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(X.tidy(partial(_remove, from_words)), f"uid bigint, doc_id {kind}, {_REMOVED}")
+    return with_kept_text(docs.select("doc_id", "text"), from_words).drop("text")

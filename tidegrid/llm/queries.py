@@ -124,7 +124,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(_table(spark, sf_dir, "documents"), from_words=True).drop("uid")
+    return remove_repeats(_table(spark, sf_dir, "documents"), from_words=True)
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,10 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from . import textops as X
-from .common import workers_find_package
+from .common import with_kernel
 
 MARK = "▁"
 _UNIT = re.compile(r" *[^ ]+| +")
@@ -191,14 +191,6 @@ def _decoder(vocabulary, column: str, batches: Iterator[pa.RecordBatch]) -> Iter
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "__text"])
 
 
-def _with(df: DataFrame, run, made: dict[str, tuple[str, DataType]]) -> DataFrame:
-    """Apply a kernel to all columns under plain names, since those of the input may clash or repeat."""
-    workers_find_package(df.sparkSession)
-    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
-    schema = StructType([*plain.schema, *(StructField(own, kind) for own, (_, kind) in made.items())])
-    return plain.mapInArrow(X.tidy(run), schema).toDF(*df.columns, *(name for name, _ in made.values()))
-
-
 _IDS = ArrayType(IntegerType())
 
 
@@ -212,11 +204,11 @@ def encode(df: DataFrame, vocabulary: Vocabulary, *, text_col: str = "text", nam
     at = df.columns.index(text_col)
     b = df.sparkSession.sparkContext.broadcast(vocabulary)
     made = {"__ids": (name, _IDS)} | ({"__text": (decoded, StringType())} if decoded else {})
-    return _with(df, partial(_encoder, b, f"c{at}", bool(decoded)), made)
+    return with_kernel(df, partial(_encoder, b, f"c{at}", bool(decoded)), made)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
     """Add ``name``, the text that ``ids_col`` stands for.  No ids and null ids give an empty text; control ids give nothing."""
     filled = df.withColumn(ids_col, F.coalesce(F.col(ids_col), F.array().cast(_IDS)))
     b = df.sparkSession.sparkContext.broadcast(vocabulary)
-    return _with(filled, partial(_decoder, b, f"c{df.columns.index(ids_col)}"), {"__text": (name, StringType())})
+    return with_kernel(filled, partial(_decoder, b, f"c{df.columns.index(ids_col)}"), {"__text": (name, StringType())})
