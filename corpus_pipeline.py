@@ -1,72 +1,73 @@
 """Corpus pipeline: five stages over ``documents``, each one of the text operators.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet in the shared folder and reads it
-again as the next one's docs.  All stages but the last return the columns of docs.  A stage stores the rows it reads
-with numbers; verdicts come back under these numbers, so rows that repeat a doc_id, or have none, have verdicts of their own.
+again as the next one's docs.  All stages but the last return the columns of docs.  Verdicts come back under the rows'
+numbers (see ``common.with_numbers``), so rows that repeat a doc_id, or have none, have verdicts of their own; a list of up
+to half a million numbers goes to the texts, a longer one meets them in a shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.llm import jaccard, langid, linededup, sentencepiece
-from tidegrid.llm.common import ROW, stored, with_row_id
+from tidegrid.llm.common import ROW, by_number, intermediate, returned, stored, with_numbers
 from tidegrid.llm.decontamination import decontaminate
 
-#: Bits of cross-parsing entropy a byte from which a text is no language that was learned: nearly each byte a phrase.
-MOST_BITS = 12.0
 
-
-def _mine(docs: DataFrame) -> DataFrame:
-    """Rows stored with a number, which the stage's operator and its join both read."""
-    return stored(with_row_id(docs, ROW), "numbered")
-
-
-def _keep(mine: DataFrame, verdicts: DataFrame, keep: Column) -> DataFrame:
-    """Rows of ``mine`` whose verdict, by their number, is to keep them."""
-    dropped = verdicts.where(~keep).select(F.col("uid").alias(ROW))
-    return mine.join(dropped, ROW, "left_anti").select(*[c for c in mine.columns if c != ROW])
+def _without(mine: DataFrame, dropped: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of ``mine`` but those whose number is in ``dropped`` (uid)."""
+    return by_number(mine, stored(dropped.select(F.col("uid").alias(ROW)), "dropped"), ROW, "left_anti").select(*columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without letters, and those that no learned language parses better than byte by byte."""
-    mine = _mine(docs)
-    found = stored(langid.identify(mine, langid.fit(mine)).select("uid", "lang_pred", "bits"), "lang")
-    return _keep(mine, found, (F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits") <= MOST_BITS))
+    """Drop documents without letters (null and empty ones among them), and those in no language that was learned.
+
+    The verdict is each row's own, so it is taken where the row is scored: rows are read once more than for learning, and
+    not shuffled.  Equal rows have equal verdicts; texts of any length are parsed whole; without labelled rows all go.
+    """
+    mark = ["__lang", "__score", "__bits", "__foreign"]
+    found = langid.tagged(docs, langid.fit(docs), *mark)
+    return found.where((F.col("__lang") != langid.UNKNOWN) & ~F.col("__foreign")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, and of equal sets, the one with the least doc_id stays; of its repeated rows, the first."""
-    mine = _mine(docs)
-    found = stored(jaccard.near_duplicates(mine), "groups")
-    firsts = found.where("class_id is not null and doc_id <=> component_id").groupBy("component_id").agg(F.min("uid").alias("first"))
-    grouped = found.where("class_id is not null").select("uid", "component_id").join(firsts, "component_id", "left")
-    # a component of null doc_ids only has no least id: its classes keep their first rows
-    nameless = found.where("class_id is not null and component_id is null").select("uid", (F.col("uid") == F.col("class_id")).alias("keep"))
-    verdicts = grouped.where("component_id is not null").select("uid", (F.col("uid") == F.col("first")).alias("keep")).unionByName(nameless)
-    return _keep(mine, verdicts, F.col("keep"))
+    """Of each group of linked documents, and of equal sets, the one with the least doc_id stays; of its repeated rows, the first.
+
+    A group whose doc_ids are all null keeps its first row.  Null, empty and wordless texts are linked with nothing and stay.
+    """
+    mine = with_numbers(docs)
+    found = jaccard.near_duplicates(mine).where("class_id is not null")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
+    firsts = found.groupBy("group_id").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    dropped = found.join(firsts, "group_id").where(F.col("uid") != F.col("first.uid"))
+    return _without(mine, dropped, docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that earlier documents have; n_chars, where there is one, follows."""
-    mine = _mine(docs)
-    cut = linededup.remove_repeats(mine, from_words=True).where("n_removed_units > 0").select(F.col("uid").alias(ROW), "kept_text")
-    both = mine.join(cut, ROW, "left")
-    text = F.coalesce("kept_text", "text")
-    out = {"text": text} | ({"n_chars": F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
-    return both.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
+    """Texts without the passages that earlier documents have; n_chars, where there is one, follows.
+
+    Null and empty texts stay as they are; null doc_ids rank last, repeated ones by their row; a text of which all goes stays
+    as an empty one.
+    """
+    cut = linededup.with_kept_text(docs, from_words=True, prefix="__")
+    changed = F.col("__n_removed_units") > 0
+    out = {"text": F.when(changed, F.col("__kept_text")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.when(changed, F.length("__kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return cut.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of which a twentieth or more lies in windows of benchmark items."""
-    mine = _mine(docs)
-    found = stored(decontaminate(mine, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("uid", "contaminated"), "contaminated")
-    return _keep(mine, found, ~F.col("contaminated"))
+    """Drop documents of which a twentieth or more lies in windows of benchmark items; null and wordless ones stay."""
+    mine = with_numbers(docs)
+    found = decontaminate(mine, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(mine, found.where("contaminated"), docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of each text, with whether they decode to it."""
+    """Piece ids of each text, with whether they decode to it; null and empty texts have none."""
     vocabulary = sentencepiece.load_vocabulary()
     both = sentencepiece.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary, decoded="decoded")
     return both.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_ids"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
@@ -80,12 +81,14 @@ STAGES = [
     ("SentencePiece encoding", encoding),
 ]
 
-#: Language ID and the piece trie have no SQL form; the stages are tested against plain Python.
+#: Language ID and the piece trie have no SQL form; the chain is tested against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the last stage.  Each stage's output is written; what it needed besides is removed then."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.split()[0].lower())
+        with intermediate(spark):
+            docs = returned(stage(spark, docs, sf_dir), name.split()[0].lower())
     return docs
