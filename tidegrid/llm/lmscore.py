@@ -1,13 +1,14 @@
 """Language-model scores from subword lattices.
 
 A word's probability is the sum over all its segmentations into pieces of an existing vocabulary; a text's is the product
-over its words and the end.  The vocabulary's scores rank its pieces, and Zipf's law makes probabilities of ranks; one step of
-expectation maximisation over the counted words of the training documents fits them to the corpus.  Forward and backward
-recursions run in log space over all distinct words of one length at once.
+over its words and the end.  The vocabulary's scores are where the model begins; rounds of expectation maximisation over the
+counted words of the training documents fit them to the corpus until it gains no more.  Words are scored by the forward recursion in
+log space, over all distinct words of one length at once.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as X
-from .common import stored, with_row_id, workers_find_package
+from .common import intermediate, returned, stored, with_row_id, workers_find_package
 from .sentencepiece import Vocabulary
 
 U64 = np.uint64
@@ -27,6 +28,10 @@ _SPREAD = U64(0x9E3779B97F4A7C15)
 BROADCAST_WORDS = 1 << 20
 #: Weight of the vocabulary's own probabilities against the corpus's, in pieces.
 PRIOR = 1000.0
+#: Rounds of expectation maximisation at most, and the gain in log10 for each token below which they end.
+ROUNDS, GAIN = 4, 0.003
+#: Words of more bytes are scored one by one, position by position; those of up to SHORT bytes can't underflow outside log space.
+LONG, SHORT = 256, 40
 _CELLS = 1 << 20
 
 
@@ -38,12 +43,14 @@ class Pieces(NamedTuple):
 
 
 def prior_pieces(vocabulary: Vocabulary) -> Pieces:
-    """Pieces by falling score, 1 / (rank + 2) each, and the byte pieces after them.  A byte that is also a piece is there once."""
-    ranked = [t.encode() for t, _, _ in sorted(vocabulary.pieces, key=lambda p: (-p[2], p[1]))]
-    have = set(ranked)
-    texts = tuple(ranked + [b for b in (bytes([i]) for i in range(256)) if b not in have])
-    p = 1.0 / (np.arange(len(texts) + 1) + 2)
-    return Pieces(texts, np.log(p / p.sum()))
+    """Pieces by falling score, and bytes that are no piece and the end with the least piece's.  Probabilities sum to 1."""
+    ranked = sorted(vocabulary.pieces, key=lambda p: (-p[2], p[1]))
+    texts = [t.encode() for t, _, _ in ranked]
+    have = set(texts)
+    rest = [b for b in (bytes([i]) for i in range(256)) if b not in have]
+    low = ranked[-1][2] if ranked else 0.0
+    logp = np.array([score for _, _, score in ranked] + [low] * (len(rest) + 1))
+    return Pieces((*texts, *rest), logp - np.log(np.exp(logp).sum()))
 
 
 class Lattice:
@@ -98,6 +105,18 @@ class Lattice:
         """Log probability of each word (rows of ``chars``); adds to ``expected`` the pieces' expected numbers, ``counts`` times each word."""
         n, size = chars.shape
         edges = self._edges(chars)
+        if expected is not None and size <= SHORT:
+            p = np.exp(self.logp)
+            alpha, beta = np.zeros((size + 1, n)), np.zeros((size + 1, n))
+            alpha[0] = beta[size] = 1
+            for s, e, at, ids in edges:
+                alpha[e, at] += alpha[s, at] * p[ids]
+            beta[size] = counts / alpha[size]
+            for s, e, at, ids in reversed(edges):
+                through = p[ids] * beta[e, at]
+                beta[s, at] += through
+                np.add.at(expected, ids, alpha[s, at] * through)
+            return np.log(alpha[size])
         alpha = np.full((size + 1, n), -np.inf)
         alpha[0] = 0
         for s, e, at, ids in edges:
@@ -113,6 +132,37 @@ class Lattice:
                 expected += np.bincount(ids, weights=w, minlength=len(expected))
         return alpha[size]
 
+    def long_word(self, word: np.ndarray, count: float = 0.0, expected: np.ndarray | None = None) -> float:
+        """``forward`` for one word of any length, in time and memory proportional to it."""
+        size = len(word)
+        codes, found = X.prefix_codes(word), []
+        inverse = X._power(size + 1, True)
+        for length in self.lengths:
+            for a in range(0, size - length + 1, _CELLS):
+                s = np.arange(a, min(a + _CELLS, size - length + 1))
+                ids = self.find(self._key((codes[s + length] - codes[s]) * inverse[s], np.full(1, length, U64)))
+                at = np.flatnonzero(ids >= 0)
+                found.append(np.stack([s[at], s[at] + length, ids[at]]))
+        start, end, piece = np.concatenate(found, axis=1)
+        order = np.lexsort((start, end))
+        start, end, piece = start[order], end[order], piece[order]
+        logp = self.logp[piece]
+        edges = list(zip(start.tolist(), end.tolist(), logp.tolist(), strict=True))
+        alpha = [-np.inf] * (size + 1)
+        alpha[0] = 0.0
+        for s, e, p in edges:
+            x, y = alpha[e], alpha[s] + p
+            alpha[e] = y if x == -np.inf else max(x, y) + math.log1p(math.exp(-abs(x - y)))
+        if expected is not None:
+            beta = [-np.inf] * (size + 1)
+            beta[size] = 0.0
+            for s, e, p in reversed(edges):
+                x, y = beta[s], beta[e] + p
+                beta[s] = y if x == -np.inf else max(x, y) + math.log1p(math.exp(-abs(x - y)))
+            a, b = np.array(alpha), np.array(beta)
+            np.add.at(expected, piece, np.exp(a[start] + logp + b[end] - alpha[size]) * count)
+        return alpha[size]
+
     def words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, counts: np.ndarray | None = None, expected: np.ndarray | None = None) -> np.ndarray:
         """Log probabilities of words given as spans, a blank before each."""
         size = end - start
@@ -121,6 +171,11 @@ class Lattice:
         bounds = np.flatnonzero(np.diff(size[order], prepend=-1, append=-1))
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             length = int(size[order[a]])
+            if length > LONG:
+                for i in order[a:b].tolist():
+                    word = np.concatenate([np.full(1, 32, np.uint8), data[start[i] : end[i]]])
+                    out[i] = self.long_word(word, 0.0 if counts is None else float(counts[i]), expected)
+                continue
             step = max(1, _CELLS // (length + 1) // 4)
             for i in range(a, b, step):
                 own = order[i : min(b, i + step)]
@@ -156,11 +211,12 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 def _expect(pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(pieces.value)
-        expected = np.zeros(len(pieces.value.texts))
+        lattice = _lattice(pieces.value)
+        expected = np.zeros(len(pieces.value.texts) + 1)
         for batch in batches:
             data, off = X.text_bytes(batch.column("word"))
-            lattice.words(data, off[:-1], off[1:], batch.column("n").to_numpy().astype(float), expected)
+            n = batch.column("n").to_numpy().astype(float)
+            expected[-1] += (lattice.words(data, off[:-1], off[1:], n, expected[:-1]) * n).sum()
         at = np.flatnonzero(expected)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(expected[at])], names=["piece", "expected"])
 
@@ -168,29 +224,45 @@ def _expect(pieces):
 
 
 def fit_pieces(words: DataFrame, prior: Pieces, documents: int) -> Pieces:
-    """One step of expectation maximisation over all counted words; the driver gets a row for each piece of the vocabulary."""
+    """Expectation maximisation over all counted words; in each round the driver gets a row for each piece and the log probability."""
     spark = words.sparkSession
-    b = spark.sparkContext.broadcast(prior)
-    got = words.select("word", "n").mapInArrow(X.tidy(_expect(b)), "piece int, expected double").groupBy("piece").agg(F.sum("expected").alias("expected")).collect()
-    n = PRIOR * np.exp(prior.logp)
-    for r in got:
-        n[r["piece"]] += r["expected"]
-    n[-1] += documents
-    return Pieces(prior.texts, np.log(n / n.sum()))
+    tokens = (words.agg(F.sum("n")).first()[0] or 0) + documents
+    now, before = prior, -np.inf
+    for _ in range(ROUNDS if tokens else 0):
+        b = spark.sparkContext.broadcast(now)
+        got = words.select("word", "n").mapInArrow(X.tidy(_expect(b)), "piece int, expected double").groupBy("piece").agg(F.sum("expected").alias("expected")).collect()
+        n = PRIOR * np.exp(prior.logp)
+        reached = documents * now.logp[-1]
+        for r in got:
+            if r["piece"] < len(prior.texts):
+                n[r["piece"]] += r["expected"]
+            else:
+                reached += r["expected"]
+        n[-1] += documents
+        now = Pieces(prior.texts, np.log(n / n.sum()))
+        b.unpersist()
+        if reached - before < GAIN * tokens * np.log(10):
+            break
+        before = reached
+    return now
 
 
 _lattices: dict[int, Lattice] = {}
 
 
+def _lattice(pieces: Pieces) -> Lattice:
+    key = hash(pieces.logp.tobytes())
+    if key not in _lattices:
+        _lattices.clear()
+        _lattices[key] = Lattice(pieces)
+    return _lattices[key]
+
+
 def _score(pieces, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, (hashes, counts) = pieces.value, common.value
         hashes, counts = np.frombuffer(hashes, U64), np.frombuffer(counts, np.int64)
-        key = hash(p.logp.tobytes())
-        if key not in _lattices:
-            _lattices.clear()
-            _lattices[key] = Lattice(p)
-        lattice, inside = _lattices[key], X.table("spaced")
+        lattice, inside = _lattice(p), X.table("spaced")
         for batch in batches:
             for part, raw, off in X.blocks(batch, "text", 4 << 20):
                 data = X.lowered(raw)
@@ -219,10 +291,15 @@ def score(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     Words are runs of all but 0x20 and 0x09-0x0D, A-Z in lower case; the end is a token too, so an empty or null text has one.
     ``base_score`` is the add-half unigram of the contract, from all training documents; ``score`` the lattice model's.
     Rows that repeat are learned from and scored each; a null doc_id is not held out.  Without training documents all counts
-    are 0 and the pieces keep the vocabulary's probabilities.  Only doc_id and text are read.
+    are 0 and the pieces keep the vocabulary's probabilities.  Only doc_id and text are read.  The result is a stored table.
     """
+    workers_find_package(docs.sparkSession)
+    with intermediate(docs.sparkSession):
+        return returned(_scored(docs, vocabulary), "lm-scores")
+
+
+def _scored(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     spark = docs.sparkSession
-    workers_find_package(spark)
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
     words = stored(count_words(rows), "words")
     total = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()

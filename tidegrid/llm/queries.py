@@ -11,7 +11,7 @@ from .jaccard import near_duplicates
 from .langid import fit, identify
 from .linededup import remove_repeats
 from .lmscore import score
-from .quality import judge, train
+from .quality import judge
 from .sentencepiece import encode, load_vocabulary
 from .suffixdedup import remove_shared
 from .warc import read_warc, write_warc
@@ -119,8 +119,7 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(there) AS component_i
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    return judge(docs, train(docs)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("log_perplexity", 6).alias("log_perplexity"), "model")
+    return judge(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("log_perplexity", 6).alias("log_perplexity"), "model")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

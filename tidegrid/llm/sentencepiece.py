@@ -8,6 +8,7 @@ are kept on a stack, and a word starts from the depth it shares with the one bef
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import partial
@@ -43,7 +44,11 @@ def default_model() -> str:
 
 
 def load_vocabulary(model_file: str | None = None) -> Vocabulary:
-    """Read a model file on the driver; its size is that of the vocabulary, whatever the documents."""
+    """Read a model file on the driver; its size is that of the vocabulary, whatever the documents.
+
+    Scores of a unigram model are log probabilities and stay.  Those of a merge model are ranks, 0, -1, -2 and so on, whose
+    sum means nothing: by Zipf's law a piece's probability is taken as proportional to 1 / (rank + 2).
+    """
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model_file or default_model())
@@ -56,6 +61,10 @@ def load_vocabulary(model_file: str | None = None) -> Vocabulary:
             # pieces with a mark after another character would cross words
             if text and MARK not in text.lstrip(MARK) and " " not in text:
                 pieces.append((text.replace(MARK, " "), i, sp.get_score(i)))
+    if all(float(score).is_integer() for _, _, score in pieces):
+        weight = {i: 1.0 / (rank + 2) for rank, (_, i, _) in enumerate(sorted(pieces, key=lambda p: (-p[2], p[1])))}
+        total = sum(weight.values())
+        pieces = [(text, i, math.log(weight[i] / total)) for text, i, _ in pieces]
     if len(byte_ids) != 256:
         raise ValueError("the model has no byte pieces, so that it can't spell every text")
     return Vocabulary(tuple(pieces), tuple(byte_ids[b] for b in range(256)), n)
