@@ -387,7 +387,7 @@ def test_perplexity_bands_and_kept_are_the_plain_ones(spark, docs, monkeypatch,
             if own:
                 q1, q3 = (own[math.ceil(q * len(own)) - 1] * 0.002 for q in (0.25, 0.75))
                 reach = (q3 + 0.002 - q1) * max(1.0, math.sqrt(1000 / max(1, n)))
-                keep = q1 - 2 * reach <= x <= q3 + 0.002 + 2 * reach
+                keep = q1 - quality.BELOW * reach <= x <= q3 + 0.002 + quality.ABOVE * reach
             counted = collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
             covered = {j for i in range(len(words) - 4) if counted[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
             failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
@@ -573,6 +573,33 @@ def test_equal_windows_are_found_whatever_the_depth():
     assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
 
 
+def test_blind_tries_branch_where_the_plain_trie_does():
+    """Nodes of the array trie against sets of windows: a node's members agree up to its depth and part there."""
+    r = random.Random(11)
+    words = [bytes(r.choice(b"ab") for _ in range(6)) * 9 for _ in range(12)]
+    texts = [w[:50] for w in words for _ in range(r.randint(1, 3))] + [words[0][:40] + bytes(r.choice(b"xyz") for _ in range(10)) for _ in range(9)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    start = np.arange(len(texts)) * 50
+    order, new = suffixdedup.multikey_quicksort(data, start, 16)
+    assert [texts[i][:16] for i in order] == sorted(t[:16] for t in texts)
+    assert new.tolist() == [k == 0 or texts[order[k]][:16] != texts[order[k - 1]][:16] for k in range(len(order))]
+    trie = suffixdedup.blind_tries(data, start, order, new)
+    assert [texts[i] for i in trie.order] == sorted(texts)
+    ends = trie.first + trie.size
+    for node in range(len(trie.first)):
+        members = [texts[i] for i in trie.order[trie.first[node] : ends[node]]]
+        depth = trie.depth[node]
+        if depth < 0:
+            assert len(set(members)) == 1
+            continue
+        assert len({m[:depth] for m in members}) == 1 and len({m[depth] for m in members}) > 1
+        children = np.flatnonzero(trie.parent == node)
+        assert sorted(trie.edge[children].tolist()) == sorted({m[depth] for m in members})
+        assert sum(trie.size[children]) == len(members)
+    leaves = trie.depth < 0
+    assert sorted(collections.Counter(texts).values()) == sorted(trie.size[leaves].tolist())
+
+
 def test_word_spans_and_hashes():
     texts = ["", "a b", " Ab  cd", "é x", "a b"]
     import pyarrow as pa

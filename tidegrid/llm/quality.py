@@ -25,7 +25,7 @@ ORDER = 4
 NONE = ""
 #: Bands reach so many times the middle half's width beyond the quartiles: so few that texts with signs after their words,
 #: tables and capitals fall outside, and so many that clean texts stay (measured by kind, see the README).
-BELOW, ABOVE = 2.0, 2.0
+BELOW, ABOVE = 1.5, 1.5
 #: Shorter texts vary more: their bands widen with the root of this many characters over their own.
 FULL_CHARS = 1000.0
 _STEP = 0.002

@@ -4,13 +4,14 @@ Every 50-byte window has a key, the least hash of the 24-byte strings inside it.
 stays the same over a run of windows, so keys are few.  Keys that only one document has are found first; only runs with a key
 that documents share are sent, with their bytes, to the key's part.  There the suffixes that begin at their windows are
 sorted deep-shallow: multikey quicksort on eight-byte words down to a shallow depth, then blind tries for groups that
-still share a prefix: a group whose members agree in a word is passed over, and one that doesn't branches on it.  Leaves are
-equal windows, of which all but those of the least doc_id are covered.
+still share a prefix, whose nodes know only the byte at which their windows part.  Leaves are equal windows, of which all but
+those of the least doc_id are covered.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as X
-from .common import stored, workers_find_package
+from .common import partitions_for, require_integer, stored, workers_find_package
 
 U64 = np.uint64
 WIDTH, GRAM = 50, 24
@@ -30,32 +31,143 @@ _KEY_BYTES = 6
 _LAST = np.iinfo(np.int64).max
 
 
+#: Runs of so few windows are sorted directly, as multikey quicksort does with its smallest parts.
+_SMALL = 1 << 15
+
+
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at each place, as numbers that sort as the bytes do."""
+    return np.ndarray((len(data) + 1,), ">u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+
+
+def multikey_quicksort(data: np.ndarray, start: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows sorted by their first ``depth`` bytes: indexes into ``start``, and whether each differs there from the one before.
+
+    A part is split by a pivot's eight bytes into those below, equal and above; only the equal ones go eight bytes deeper.
+    """
+    words = _words(data)
+    order, news = [], []
+    at_depth = lambda own, at: words[start[own] + at].astype(U64)
+    parts = [(np.arange(len(start)), 0, at_depth(np.arange(len(start)), 0))] if len(start) else []
+    while parts:
+        own, at, w = parts.pop()
+        if len(own) > _SMALL and at < depth:
+            pivot = np.sort(w[:: len(w) // 15])[7]
+            below, above = np.flatnonzero(w < pivot), np.flatnonzero(w > pivot)
+            equal = np.flatnonzero(w == pivot)
+            if len(above):
+                parts.append((own[above], at, w[above]))
+            parts.append((own[equal], at + 8, at_depth(own[equal], at + 8) if at + 8 < depth else w[:0]))
+            if len(below):
+                parts.append((own[below], at, w[below]))
+            continue
+        new = np.zeros(len(own), bool)
+        new[0] = True
+        if at < depth:
+            by = np.argsort(w)
+            own, w = own[by], w[by]
+            new[1:] = w[1:] != w[:-1]
+            for k in range(at + 8, depth, 8):  # only those that still agree
+                tied = np.flatnonzero(~(new & np.append(new[1:], True)))
+                w, group = at_depth(own[tied], k), np.cumsum(new)[tied]
+                by = np.lexsort((w, group))
+                own[tied], w = own[tied[by]], w[by]
+                new[tied[1:]] |= w[1:] != w[:-1]
+        order.append(own)
+        news.append(new)
+    if not order:
+        return np.zeros(0, np.int64), np.zeros(0, bool)
+    return np.concatenate(order), np.concatenate(news)
+
+
+class Tries(NamedTuple):
+    """Blind tries of several groups in arrays.  Node i holds ``order[first[i] : first[i] + size[i]]``, whose windows agree up to
+    byte ``depth[i]`` and part there; -1 marks a leaf of equal windows.  ``edge`` is the byte that leads to it from ``parent``;
+    the bytes between are skipped, and not kept."""
+
+    order: np.ndarray
+    first: np.ndarray
+    size: np.ndarray
+    depth: np.ndarray
+    parent: np.ndarray
+    edge: np.ndarray
+
+
+def _parting(words: np.ndarray, start: np.ndarray, group: np.ndarray, first: np.ndarray, below: int) -> np.ndarray:
+    """The byte from ``below`` on at which each group's windows first differ from one of them, or -1."""
+    depth = np.full(len(first), WIDTH, np.int64)
+    alive = np.arange(len(start))
+    for at in range(below, WIDTH, 8):
+        place = min(at, WIDTH - 8)
+        w = words[start[alive] + place].astype(U64)
+        differs = w ^ words[start[first[group[alive]]] + place].astype(U64)
+        one = np.flatnonzero(differs)
+        if len(one):
+            # the highest bit that differs: its byte
+            byte = 7 - (np.frexp(differs[one].astype(np.float64))[1] - 1) // 8
+            # rounding up to the next power of two can name the byte before
+            byte = np.where((differs[one] >> ((7 - np.maximum(byte, 0)) * 8).astype(U64)) == 0, byte + 1, byte)
+            np.minimum.at(depth, group[alive[one]], place + byte)
+        alive = alive[depth[group[alive]] == WIDTH]
+        if not len(alive):
+            break
+    depth[depth == WIDTH] = -1
+    return depth
+
+
+def blind_tries(data: np.ndarray, start: np.ndarray, order: np.ndarray, new: np.ndarray) -> Tries:
+    """A blind trie for each group of windows that agree in their first SHALLOW bytes, all grown level by level.
+
+    A node's depth is the first byte at which its windows part; only that byte is looked at to deal them to its children.
+    """
+    words, order = _words(data), order.copy()
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(order)))
+    level = (first, size, np.full(len(first), -1), np.full(len(first), -1))
+    nodes: list[tuple] = []
+    count = 0
+    while len(level[0]):
+        first, size, parent, edge = level
+        member = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+        group = np.repeat(np.arange(len(first)), size)
+        depth = np.full(len(first), -1, np.int64)
+        several = size > 1
+        if several.any():
+            own = several[group]
+            number = np.cumsum(several) - 1
+            lead = np.cumsum(size[several]) - size[several]
+            depth[several] = _parting(words, start[order[member[own]]], number[group[own]], lead, SHALLOW)
+        nodes.append((first, size, depth, parent, edge))
+        parts = (depth >= 0)[group]
+        member, group = member[parts], group[parts]
+        byte = data[start[order[member]] + depth[group]] if len(member) else np.zeros(0, np.uint8)
+        by = np.lexsort((byte, group))
+        order[member] = order[member[by]]
+        byte = byte[by]
+        begins = np.ones(len(member), bool)
+        begins[1:] = (group[1:] != group[:-1]) | (byte[1:] != byte[:-1])
+        at = np.flatnonzero(begins)
+        level = (member[at], np.diff(np.append(at, len(member))), group[at] + count, byte[at].astype(np.int64))
+        count += len(first)
+    return Tries(order, *(np.concatenate(x) if nodes else np.zeros(0, np.int64) for x in zip(*nodes, strict=True))) if nodes else Tries(order, *[np.zeros(0, np.int64)] * 5)
+
+
 def equal_windows(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Those of the WIDTH-byte windows that have equals, sorted, as (index into ``start``, whether a new group begins)."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    words = np.ndarray((len(data) + 1,), ">u8", padded, strides=(1,))
-    order = np.argsort(w := words[start].astype(U64))
-    new = np.diff(w[order], prepend=~w[order][:1]) != 0
-    depth = 8
-    while len(order) and depth < WIDTH:
-        single = new & np.append(new[1:], True)
-        order, new = order[~single], new[~single]
-        at = min(depth, WIDTH - 8)  # the last word overlaps the one before
-        w = words[start[order] + at].astype(U64)
-        group = np.cumsum(new) - 1
-        if depth < SHALLOW:
-            chosen = np.ones(len(order), bool)
-        else:  # blind: only groups whose members differ here
-            differs = w != w[np.flatnonzero(new)][group]
-            chosen = (np.bincount(group, weights=differs, minlength=len(w)) > 0)[group] if len(group) else differs
-        if chosen.any():
-            own = np.flatnonzero(chosen)
-            by = own[np.lexsort((w[own], group[own]))]
-            order[own], w[own] = order[by], w[by]
-            new[1:] |= chosen[1:] & (w[1:] != w[:-1])
-        depth += 8
+    """Those of the WIDTH-byte windows that have equals, sorted, as (index into ``start``, whether a new group begins).
+
+    Deep-shallow: multikey quicksort to SHALLOW bytes, then blind tries for the groups that still agree.
+    """
+    order, new = multikey_quicksort(data, start, SHALLOW)
     single = new & np.append(new[1:], True) if len(new) else new
-    return order[~single], new[~single]
+    order, new = order[~single], new[~single]
+    trie = blind_tries(data, start, order, new)
+    leaf = (trie.depth < 0) & (trie.size > 1)
+    first, size = trie.first[leaf], trie.size[leaf]
+    by = np.argsort(first)
+    first, size = first[by], size[by]
+    begins = np.zeros(int(size.sum()), bool)
+    begins[np.cumsum(size) - size] = True
+    return trie.order[np.arange(len(begins)) + np.repeat(first - (np.cumsum(size) - size), size)], begins
 
 
 #: Windows that are sorted at a time; equal ones fall into the same share.
@@ -354,12 +466,12 @@ def remove_shared(docs: DataFrame) -> DataFrame:
 
     A byte goes if a 50-byte string over it also begins in a document with a smaller doc_id; matches never cross documents
     and are judged on the texts as they come.  A null text is empty.  Rows of one doc_id are one document in this: they don't
-    remove from each other, and each gets a row; null doc_ids are larger than all others.  ``doc_id`` is an integer; only it
-    and text are read.  A block is two megabytes of text or one longer text.
+    remove from each other, and each gets a row; null doc_ids are larger than all others.  ``doc_id`` is an integer, else an
+    error; only it and text are read.  A block is two megabytes of text or one longer text.
     """
-    spark = docs.sparkSession
-    workers_find_package(spark)
-    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    require_integer(docs)
+    workers_find_package(docs.sparkSession)
+    parts = partitions_for(docs)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     packed = stored(rows.mapInArrow(X.tidy(_pack), "block bigint, ids binary, nulls binary, offsets binary, data binary"), "packed")
     sent = packed.mapInArrow(X.tidy(_send_keys(parts)), "part int, block bigint, sent binary, marks binary").repartition(parts, "part")
