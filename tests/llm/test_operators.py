@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -199,6 +200,11 @@ def test_warc(spark):
     other, again = warc.write_warc(df.repartition(7), shard_bytes=4000, roll_bytes=600)
     files = lambda m: sorted((r["file"], r["sha256"], r["records"]) for r in m.collect())
     assert other != folder and files(again) == files(manifest)  # byte for byte, however the rows are dealt
+    # a stray file of another run isn't in the manifest, and a task that is tried again replaces its own files
+    again, n = warc.write_warc(df, folder, shard_bytes=4000, roll_bytes=600), len(got)
+    (pathlib.Path(folder.removeprefix("file:")) / "stray.warc.gz").write_bytes(b"no gzip")
+    assert files(again[1]) == files(manifest) and warc.read_warc(*again).count() == n
+    assert not any(p.name.startswith("_") for p in pathlib.Path(folder.removeprefix("file:")).iterdir())
     empty = warc.write_warc(df.limit(0))
     assert warc.read_warc(*empty).count() == 0
 

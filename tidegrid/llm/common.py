@@ -142,7 +142,7 @@ BROADCAST_ROWS = 1 << 19
 
 
 def by_number(rows: DataFrame, numbers: DataFrame, on: str, how: str) -> DataFrame:
-    """Semi or anti join of ``rows`` with the stored table ``numbers`` of one column, counted before it is broadcast."""
+    """Semi or anti join of ``rows`` with the stored table ``numbers`` of one narrow column, counted before it is broadcast."""
     return rows.join(F.broadcast(numbers) if numbers.count() <= BROADCAST_ROWS else numbers.hint("merge"), on, how)
 
 

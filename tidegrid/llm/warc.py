@@ -2,8 +2,8 @@
 
 Records are dealt to shards by ranges of page_id, sorted in each shard, and written to files that roll over at a
 compressed size.  Which range goes where follows from an exact histogram of payload bytes, not from a sample, so the
-same pages give the same files, byte for byte, whatever the cluster.  A task writes under a temporary name and renames;
-a file counts only once the manifest, written last, names it.
+same pages give the same files, byte for byte, whatever the cluster.  A task writes under a temporary name and renames; what a
+lost task has left is replaced by the same bytes.  A file counts only once the manifest, written last, names it.
 """
 
 from __future__ import annotations
@@ -19,12 +19,14 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, stored, workers_find_package
+from .common import by_number, remove, scratch, stored, workers_find_package
 
 #: Ranges of page_id in the histogram that the driver cuts into shards: its size doesn't grow with the pages.
 BUCKETS = 4096
 MIN_REVISIT = 100
 _DATE = "2000-01-01T00:00:00Z"
+#: Where files are until they are whole; it goes once the manifest is written.
+_TEMPORARY = "_temporary"
 
 
 def _filesystem(uri: str) -> tuple[fs.FileSystem, str]:
@@ -67,7 +69,7 @@ _MANIFEST = "file string, shard bigint, part int, records bigint, bytes bigint,
 def _writer(folder: str, roll: int, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         disk, top = _filesystem(folder)
-        disk.create_dir(top, recursive=True)
+        disk.create_dir(f"{top}/{_TEMPORARY}", recursive=True)
         shard, part, body, n, size, first, last = None, 0, [], 0, 0, None, None
         revisits: tuple = (None, None)
         rows = []
@@ -77,9 +79,12 @@ def _writer(folder: str, roll: int, level: int):
             if not n:
                 return
             name, data = f"pages-{shard:06d}-{part:04d}.warc.gz", b"".join(body)
-            temporary = f"{top}/.{name}.{uuid.uuid4().hex}"
+            temporary = f"{top}/{_TEMPORARY}/{name}.{uuid.uuid4().hex}"
             with disk.open_output_stream(temporary, compression=None) as f:
                 f.write(data)
+            # a task that was tried before may have left the file: not all file systems rename onto it
+            if disk.get_file_info(f"{top}/{name}").type != fs.FileType.NotFound:
+                disk.delete_file(f"{top}/{name}")
             disk.move(temporary, f"{top}/{name}")
             rows.append((name, shard, part, n, len(data), hashlib.sha256(data).hexdigest(), first, last))
             body, n, size, part = [], 0, 0, part + 1
@@ -112,7 +117,7 @@ def write_warc(pages: DataFrame, folder: str | None = None, *, shard_bytes: int
     """Write a record per row of ``pages`` (page_id, url, html) and return the folder and its manifest.
 
     Of rows with equal payloads of at least ``min_revisit`` bytes, those with the smallest page_id are responses and the
-    others revisit it.  A null html is an empty payload, a null url gives no target URI, a null page_id sorts last and
+    others revisit it.  Each shard is a task of its own.  A null html is an empty payload, a null url gives no target URI, a null page_id sorts last and
     gives no page id; repeated rows are written as often as they come; other columns are not read.  No pages give no
     files.  ``shard_bytes`` is the payload dealt to a task, ``roll_bytes`` the compressed size at which a file ends.
     """
@@ -140,7 +145,7 @@ def write_warc(pages: DataFrame, folder: str | None = None, *, shard_bytes: int
     if len(set(start)) == 1 and max(parts) == 1:
         shard = F.lit(0).cast("bigint")
     else:
-        shard = (of(start) + F.pmod(F.xxhash64("digest"), of(parts))).cast("bigint")
+        shard = (of(start) + F.pmod(F.xxhash64("page_id", "digest"), of(parts))).cast("bigint")
     first = lengths.where(F.col("n") >= min_revisit).groupBy("digest").agg(F.min("page_id").alias("to"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("digest", "to")
     again = lengths.where(F.col("n") >= min_revisit).join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("to"))).select("page_id", "digest", "to").distinct()
     null = lambda kind: F.lit(None).cast(kind)
@@ -148,9 +153,10 @@ def write_warc(pages: DataFrame, folder: str | None = None, *, shard_bytes: int
     both = cols(again, null("string").alias("url"), F.col("digest"), F.lit(0).alias("kind"), F.col("to").cast("string").alias("refers"), null("string").alias("html")).unionByName(
         cols(rows, F.col("url"), F.col("digest"), F.lit(1).alias("kind"), null("string").alias("refers"), F.col("html"))
     )
-    dealt = both.repartition(max(1, at + 1), "shard").sortWithinPartitions("shard", F.asc_nulls_last("page_id"), "digest", "kind", "url")
+    dealt = both.repartitionById(max(1, at + 1), F.col("shard").cast("int")).sortWithinPartitions("shard", F.asc_nulls_last("page_id"), "digest", "kind", "url")
     sent = dealt.select("shard", F.col("page_id").cast("string").alias("page_id"), "url", "digest", "kind", "refers", "html")
     manifest = stored(sent.mapInArrow(_writer(folder, roll_bytes, level), _MANIFEST), "warc-manifest")
+    remove(spark, f"{folder}/{_TEMPORARY}")
     return folder, manifest
 
 
@@ -204,7 +210,7 @@ def read_warc(folder: str, manifest: DataFrame) -> DataFrame:
     """
     spark = manifest.sparkSession
     workers_find_package(spark)
-    files = [f"{folder}/{r['file']}" for r in manifest.select("file").toLocalIterator()]
-    if not files:
+    if manifest.isEmpty():
         return spark.createDataFrame([], _RECORD)
-    return spark.read.format("binaryFile").load(files).select("path", "content").mapInArrow(_reader, _RECORD)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("file"), "path", "content")
+    return by_number(files, manifest.select("file").distinct(), "file", "left_semi").select("path", "content").mapInArrow(_reader, _RECORD)
