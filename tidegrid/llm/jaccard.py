@@ -34,7 +34,7 @@ EXTRA = 15
 FRAGMENTS = 4
 #: A shingle that so many sets of one block hold counts as frequent without being sent for each.
 FREQUENT, _FREQUENT_DF = 64, 1 << 30
-_HELD = 8 << 20
+_HELD = 4 << 20
 
 
 def _sets(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -195,15 +195,8 @@ class Parser:
         return counts
 
 
-_parsers: dict[int, Parser] = {}
-
-
 def _parser(references: list[Reference]) -> Parser | None:
-    key = hash(tuple(references))
-    if references and key not in _parsers:
-        _parsers.clear()
-        _parsers[key] = Parser(references)
-    return _parsers.get(key)
+    return X.held(("languages", hash(tuple(references))), lambda: Parser(references)) if references else None
 
 
 def _scorer(references, column: str):

@@ -25,6 +25,8 @@ U64 = np.uint64
 MIN_UNIT, MIN_RUN = 4, 4
 #: Words on either side below whose hashes one must lie to begin a unit ``from_words``.
 BESIDE = 3
+#: Bytes of text whose units are looked through for repeats before they are sent.
+_BLOCK = 2 << 20
 
 
 def _least_cuts(data: np.ndarray, w: X.Words, line: np.ndarray, soft: np.ndarray) -> np.ndarray:
@@ -93,7 +95,7 @@ def _digests(data: np.ndarray, w: X.Words, begin: np.ndarray) -> tuple[np.ndarra
 def _rows(from_words: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each unit; of equal ones in a block, only the earliest carries its digest, the others are known repeats."""
     for batch in batches:
-        for part, raw, off in X.blocks(batch, "text"):
+        for part, raw, off in X.blocks(batch, "text", _BLOCK):
             w, begin, cut = units(raw, off, from_words)
             if not len(begin):
                 continue
@@ -173,16 +175,19 @@ def _repeats(rows: DataFrame, from_words: bool) -> DataFrame:
     """(uid, repeats): the places of each text's units that an earlier one equals.
 
     The earliest unit of a digest is found by a combining minimum, so that a common line has a row for each task in one place
-    at most; the rows of one digest then meet it in a join, which Spark may split.
+    at most; the rows of one digest then meet it in a join, which Spark may split.  Texts are cut into units for each of the
+    two: that costs less than to keep the units.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = stored(rows.mapInArrow(X.tidy(partial(_rows, from_words)), f"a bigint, b bigint, doc_id {kind}, uid bigint, pos int, repeat boolean"), "units")
+    found = rows.mapInArrow(X.tidy(partial(_rows, from_words)), f"a bigint, b bigint, doc_id {kind}, uid bigint, pos int, repeat boolean")
+    # null doc_ids rank last, with the largest there could be
+    rank = F.struct(F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("doc_id"), "uid", "pos")
     # of equal units in a block, all but one have a digest of their own and are known repeats
-    known = found.where("repeat").select("uid", "pos")
-    one = found.where("not repeat").select("a", "b", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid", "pos").alias("at"))
-    earliest = one.groupBy("a", "b").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b", "first")
-    again = one.join(earliest, ["a", "b"]).where(F.col("at") != F.col("first")).select("at.uid", "at.pos")
-    return known.unionByName(again).groupBy("uid").agg(F.collect_list("pos").alias("repeats"))
+    earliest = found.where("not repeat").select("a", "b", rank.alias("at")).groupBy("a", "b").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    earliest = stored(earliest.where("n > 1").select("a", "b", F.col("first.uid").alias("first_uid"), F.col("first.pos").alias("first_pos")), "earliest")
+    met = found.select("a", "b", "uid", "pos", "repeat").join(earliest.hint("merge"), ["a", "b"], "left")
+    again = met.where(F.col("repeat") | (F.col("first_uid") != F.col("uid")) | (F.col("first_pos") != F.col("pos")))
+    return again.groupBy("uid").agg(F.collect_list("pos").alias("repeats"))
 
 
 def with_kept_text(docs: DataFrame, from_words: bool = False, prefix: str = "") -> DataFrame:

@@ -247,15 +247,8 @@ def fit_pieces(words: DataFrame, prior: Pieces, documents: int) -> Pieces:
     return now
 
 
-_lattices: dict[int, Lattice] = {}
-
-
 def _lattice(pieces: Pieces) -> Lattice:
-    key = hash(pieces.logp.tobytes())
-    if key not in _lattices:
-        _lattices.clear()
-        _lattices[key] = Lattice(pieces)
-    return _lattices[key]
+    return X.held(("lattice", hash(pieces.logp.tobytes())), lambda: Lattice(pieces))
 
 
 def _score(pieces, common):

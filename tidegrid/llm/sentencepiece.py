@@ -137,15 +137,8 @@ class Segmenter:
         return out
 
 
-_segmenters: dict[int, Segmenter] = {}
-
-
 def _segmenter(vocabulary: Vocabulary) -> Segmenter:
-    key = hash(vocabulary)
-    if key not in _segmenters:
-        _segmenters.clear()
-        _segmenters[key] = Segmenter(vocabulary)
-    return _segmenters[key]
+    return X.held(("pieces", hash(vocabulary)), lambda: Segmenter(vocabulary))
 
 
 def encode_texts(texts: list[str | None], segmenter: Segmenter) -> list[bytes]:

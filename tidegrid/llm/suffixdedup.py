@@ -28,6 +28,8 @@ WIDTH, GRAM = 50, 24
 SHALLOW = 16
 #: Bytes of a key that are sent; its part, which follows from other bits, adds to them.
 _KEY_BYTES = 6
+#: Bytes of text in a block.
+_BLOCK = 2 << 20
 _LAST = np.iinfo(np.int64).max
 
 
@@ -260,7 +262,7 @@ class _Keys:
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     squeeze, n, task = zstandard.ZstdCompressor(level=3), 0, TaskContext.get().partitionId()
     for batch in batches:
-        for part, raw, off in X.blocks(batch, "text"):
+        for part, raw, off in X.blocks(batch, "text", _BLOCK):
             ids = part.column("doc_id").fill_null(_LAST).to_numpy()
             null = part.column("doc_id").is_null().to_numpy(zero_copy_only=False)
             row = ((task << 32) + n, ids.tobytes(), np.packbits(null).tobytes(), off.tobytes(), squeeze.compress(raw.tobytes()))

@@ -13,7 +13,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Texts are worked on in blocks of about this many bytes, so that memory stays bounded whatever the batch.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -43,6 +43,17 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+_held: list[tuple] = []
+
+
+def held(key: tuple, make: Callable):
+    """What ``make`` gives for ``key``, kept for a worker's next tasks until one asks for another key: one thing at a time."""
+    if not _held or _held[0][0] != key:
+        _held.clear()
+        _held.append((key, make()))
+    return _held[0][1]
+
+
 def release() -> None:
     """Give freed memory back to the system: a worker goes on to other tasks, beside the executor's heap."""
     gc.collect()
