@@ -50,14 +50,30 @@ def require_valid(report: DataFrame) -> None:
         raise ValueError("an evaluation needs finite rows, ordered intervals and at least one known label")
 
 
-def with_cohorts(df: DataFrame, ties: Sequence[str]) -> DataFrame:
+def source_quality(values: Column, masks: Column, width: int, channel: int = 5) -> Column:
+    """1 or 0 as the last row's quality channel says, -1 if it is masked or there is no such channel."""
+    if width <= channel:
+        return F.lit(-1)
+    at = F.size(values) - width + channel
+    return F.when(F.coalesce(F.get(masks, at) == 1, F.lit(False)), (F.get(values, at) > 0.5).cast("int")).otherwise(-1)
+
+
+def volatility(values: Column, masks: Column, width: int) -> Column:
+    """Population deviation of the observed values of the first channel, 0 without any."""
+    own = F.transform(F.filter(F.arrays_zip(values.alias("v"), masks.alias("m")), lambda x, i: (i % width == 0) & (x["m"] == 1)), lambda x: x["v"].cast("double"))
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+    once = F.transform(F.array(own), lambda a: F.struct(a.alias("a"), (total(a) / F.size(a)).alias("m")))
+    return F.get(F.transform(once, lambda s: F.when(F.size(s["a"]) > 0, F.sqrt(total(F.transform(s["a"], lambda x: (x - s["m"]) * (x - s["m"]))) / F.size(s["a"]))).otherwise(0.0)), F.lit(0))
+
+
+def with_cohorts(df: DataFrame, ties: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Add ``cohorts``: state, phase of the quarter hour, source quality and volatility tercile.
 
-    Columns current_state, cutoff, quality_code (1, 0, -1), volatility.
+    Columns current_state, cutoff, quality_code (see ``source_quality``), volatility; terciles are those of each group.
     """
     from ..functions.scalars import phase_cohort
 
-    ranked = terciles(df, "volatility", ties)
+    ranked = terciles(df, "volatility", ties, by)
     state = F.concat(F.lit("current_"), F.coalesce("current_state", F.lit("unknown")))
     quality = F.when(F.col("quality_code") == 1, "source_quality_validated").when(F.col("quality_code") == 0, "source_quality_unvalidated").otherwise("source_quality_unknown")
     volatility = F.when(F.col("tercile") == 1, "low_volatility").when(F.col("tercile") == 2, "medium_volatility").otherwise("high_volatility")

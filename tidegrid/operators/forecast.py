@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import advance_sign, flip, isotonic, predicted_state, state_name, state_sign
 from ..functions.scratch import workers_find_package
+from .pit import canonical_latest, realised_join
 from .ranks import f1_threshold
 
 DRIFT = 15
@@ -194,6 +197,13 @@ def forecasts(snapshots: DataFrame, scores: DataFrame, deadband: float, keys: tu
     )
 
 
+def reconcile(predictions: DataFrame, obs: DataFrame, now, deadband: float, by: Sequence[str] = ("series",)) -> DataFrame:
+    """Outcomes of predictions that came late, against the latest revision known ``now``; their ids are those of the direct path."""
+    latest = canonical_latest(obs, [*by, "timestamp"], now)
+    realised = latest.select(*by, "timestamp", F.col("event_id").alias("realized_event_id"), F.col("system_imbalance_mw").alias("realized_value"), F.col("ingested_at").alias("available_at"))
+    return evaluate_outcomes(realised_join(predictions, realised, by), deadband)
+
+
 def evaluate_outcomes(joined: DataFrame, deadband: float) -> DataFrame:
     """Outcomes of predictions joined with realisations (see ``realised_join``): state from the forecast's, flip, time known."""
     state = state_name(advance_sign(state_sign(F.col("current_state")), F.col("realized_value"), deadband))

@@ -65,3 +65,11 @@ def right_closed_bins(df: DataFrame, bin_steps: int = 15, by: Sequence[str] = ("
     w = F.window("timestamp", f"{size} seconds", f"{size} seconds", f"{step_seconds} seconds")
     out = df.where(F.col(value).isNotNull()).groupBy(*by, w.alias("w")).agg(F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"), F.stddev_pop(value).alias("std"), F.count(value).alias("observed"))
     return out.select(*by, shift(F.col("w.start"), size - step_seconds).alias("bin_end"), "mean", "min", "max", "std", "observed")
+
+
+def last_as_of(obs: DataFrame, ends: DataFrame, by: Sequence[str] = ("series",), end: str = "bin_end") -> DataFrame:
+    """Add ``last``, the time of the last observation at or before each end; null before the first."""
+    seen = obs.select(*by, F.col("timestamp").alias(end), F.col("timestamp").alias("__seen"), F.lit(False).alias("__asks")).distinct()
+    asks = ends.select(*by, end, F.lit(None).cast("timestamp").alias("__seen"), F.lit(True).alias("__asks"))
+    upto = Window.partitionBy(*by).orderBy(end).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return seen.unionByName(asks).withColumn("last", F.last("__seen", True).over(upto)).where("__asks").drop("__seen", "__asks")

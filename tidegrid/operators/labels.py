@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import advance_sign, flip, scaled, shift, state_name, state_sign
+from .ranks import running
 
 HORIZONS = (2, 5, 10)
 
@@ -40,14 +41,49 @@ def channels(df: DataFrame, values: str, masks: str, width: int, keep: Sequence[
 
 
 def fit_scaler(long: DataFrame, group: Sequence[str] = ("channel",)) -> DataFrame:
-    """Median and interquartile range (1e-6 at least) of each channel's observed values; 0 and 1 without any.  Exact, over all rows."""
-    q = F.percentile(F.when(F.col("mask") == 1, F.col("value")), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return long.groupBy(*group).agg(q.alias("q")).select(*group, F.coalesce(F.get("q", F.lit(1)), F.lit(0.0)).alias("location"), F.coalesce(F.greatest(F.lit(1e-6), F.get("q", F.lit(2)) - F.get("q", F.lit(0))), F.lit(1.0)).alias("scale"))
+    """Median and interquartile range (1e-6 at least) of each channel's observed values; 0 and 1 without any.
+
+    Exact, over all rows: values are ranked by ranges, and the two beside each quantile picked, so no task holds a channel.
+    """
+    seen = running(long.where("mask = 1 and value is not null").select(*group, "value"), F.col("value"), [], {}, group)
+    made = []
+    for name, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75)):
+        at = (F.col("total") - 1) * q
+        pick = lambda i: F.max(F.when(F.col("rank") == i + 1, F.col("value")))
+        part = F.max(at - F.floor(at))
+        made.append((pick(F.floor(at)) * (1 - part) + pick(F.ceil(at)) * part).alias(name))
+    stats = seen.groupBy(*group).agg(*made)
+    both = long.select(*group).distinct().join(stats, list(group), "left")
+    return both.select(*group, F.coalesce("q2", F.lit(0.0)).alias("location"), F.coalesce(F.greatest(F.lit(1e-6), F.col("q3") - F.col("q1")), F.lit(1.0)).alias("scale"))
+
+
+def fit_preprocessing(examples: DataFrame, values: str, masks: str, width: int) -> tuple[str, DataFrame]:
+    """The feature schema's hash and the statistics of each channel, from training rows only (``split`` is train, if there is a split)."""
+    rows = examples.where("split = 'train'") if "split" in examples.columns else examples
+    hashes = [r[0] for r in rows.select("feature_schema_hash").distinct().limit(2).collect()]
+    if len(hashes) != 1:
+        raise ValueError("preprocessing needs training examples, all of one feature schema")
+    return hashes[0], fit_scaler(channels(rows, values, masks, width))
+
+
+def apply_preprocessing(examples: DataFrame, fitted: tuple[str, DataFrame], values: str, masks: str, width: int, keep: Sequence[str]) -> DataFrame:
+    """Scaled values in long form; rows of another feature schema are an error."""
+    if examples.where(~F.col("feature_schema_hash").eqNullSafe(F.lit(fitted[0]))).limit(1).count():
+        raise ValueError("the feature schema differs from the fitted one")
+    return apply_scaler(channels(examples, values, masks, width, keep), fitted[1])
+
+
+def summary_features(examples: DataFrame, values: str, masks: str, width: int, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """One row of channel summaries for each example, and the names of their columns."""
+    s = channel_summary(channels(examples, values, masks, width, keys), keys)
+    parts = ("last", "mean", "std", "change", "coverage")
+    wide = s.groupBy(*keys).agg(*[F.max(F.when(F.col("channel") == c, F.col(p))).alias(f"x{c}_{p}") for c in range(width) for p in parts])
+    return wide, [f"x{c}_{p}" for c in range(width) for p in parts]
 
 
 def apply_scaler(long: DataFrame, stats: DataFrame, group: Sequence[str] = ("channel",)) -> DataFrame:
-    """Scaled values; the statistics are a row for each channel of the registry, and broadcast."""
-    return long.join(F.broadcast(stats), list(group), "left").withColumn("scaled", scaled(F.col("value"), F.col("mask"), F.col("location"), F.col("scale")))
+    """Scaled values; the statistics are a row for each channel."""
+    return long.join(stats, list(group), "left").withColumn("scaled", scaled(F.col("value"), F.col("mask"), F.col("location"), F.col("scale")))
 
 
 def channel_summary(long: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scratch import written
+
 RANK = ("row_version", "ingested_at", "event_id")
 
 
@@ -61,21 +63,60 @@ def canonical_outcomes(df: DataFrame) -> DataFrame:
     return latest_revision(df, ("prediction_event_id", "target_time"), ("row_version", "evaluated_at", "realized_event_id"))
 
 
+def settled_prefixes(obs: DataFrame, deadband: float, by: Sequence[str] = ("series",)) -> DataFrame:
+    """For each series and day: sign, since when, last observation at the day's end by the latest revisions, and ``settled``, when
+    the last revision of any step up to then came.  Whoever knows that much sees no other history."""
+    steps = obs.groupBy(*by, "timestamp").agg(F.max_by("system_imbalance_mw", F.struct(*RANK)).alias("v"), F.max("ingested_at").alias("seen")).withColumn("day", F.date_trunc("DAY", "timestamp"))
+    sign = F.when(F.col("v") > deadband, 1).when(F.col("v") < -deadband, -1)
+    inside = Window.partitionBy(*by, "day").orderBy("timestamp")
+    s = steps.withColumn("sign", sign).withColumn("was", F.last("sign", True).over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    at = F.when(F.col("sign").isNotNull(), F.col("timestamp"))
+    days = s.groupBy(*by, "day").agg(
+        F.min_by("sign", at).alias("first"), F.min(at).alias("first_at"), F.max_by("sign", at).alias("end"), F.max(F.when(F.col("was").isNotNull() & (F.col("sign") != F.col("was")), F.col("timestamp"))).alias("turned"),
+        F.max("timestamp").alias("last"), F.max("seen").alias("seen"),
+    )
+    w = Window.partitionBy(*by).orderBy("day")  # a row for each day
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    days = days.withColumn("before", F.last("end", True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    began = F.coalesce("turned", F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("before")), F.col("first_at")))
+    return days.select(*by, "day", F.last("end", True).over(upto).alias("p_sign"), F.last(began, True).over(upto).alias("p_since"), F.max("last").over(upto).alias("p_last"), F.max("seen").over(upto).alias("settled"))
+
+
 def state_seed(requests: DataFrame, obs: DataFrame, deadband: float, by: Sequence[str] = ("series",)) -> DataFrame:
     """For each request (request_id, series, before, knowledge): sign, since when, and last observation, as known then.
 
-    Rows are matched on the series and compared in time; each request keeps the canonical revision of each step, so what
-    leaves the join is aggregated before it is sorted.
+    Days that no later revision has touched are taken from ``settled_prefixes``; only those after them are read step by step,
+    joined on series and day.  No request meets the whole history of its series, unless all of it was revised after its time.
     """
-    near = requests.select("request_id", *by, "before", "knowledge")
-    seen = near.join(obs.select(*by, "timestamp", *RANK, F.col("system_imbalance_mw").alias("v")), list(by)).where((F.col("timestamp") <= F.col("before")) & (F.col("ingested_at") <= F.col("knowledge")))
-    latest = seen.groupBy("request_id", "timestamp").agg(F.max_by("v", F.struct(*RANK)).alias("v"))
+    days = written(settled_prefixes(obs, deadband, by), "prefixes")
+    near = written(requests.select("request_id", *by, "before", "knowledge").withColumn("d", F.date_trunc("DAY", "before")), "requests")
+
+    def latest(at_day: Column, at_request: str, name: str) -> DataFrame:
+        """The last day whose ``at_day`` is not after the request's column."""
+        nobody = F.lit(None).cast(near.schema["request_id"].dataType)
+        marks = days.select(*by, at_day.alias("at"), F.lit(0).alias("kind"), F.col("day").alias("c"), nobody.alias("request_id"))
+        asks = near.select(*by, F.col(at_request).alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("timestamp").alias("c"), "request_id")
+        w = Window.partitionBy(*by).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return marks.unionByName(asks).withColumn(name, F.max("c").over(w)).where("kind = 1").select("request_id", name)
+
+    near = near.join(latest(F.col("settled"), "knowledge", "c1"), "request_id").join(latest(F.date_add("day", 1).cast("timestamp"), "d", "c2"), "request_id")
+    first = days.groupBy(*by).agg(F.min("day").alias("first_day"))
+    near = near.withColumn("c", F.when(F.col("c1").isNotNull() & F.col("c2").isNotNull(), F.least("c1", "c2")))
+    near = near.join(days.select(*by, F.col("day").alias("c"), "p_sign", "p_since", "p_last"), [*by, "c"], "left").join(first, list(by), "left")
+    near = written(near, "seeds")
+    begin = F.coalesce(F.date_add("c", 1).cast("timestamp"), F.col("first_day"))
+    open_days = near.where(begin <= F.col("d")).withColumn("day", F.explode(F.sequence(begin, F.col("d"), F.expr("interval 1 day"))))
+    rows = obs.select(*by, "timestamp", *RANK, F.col("system_imbalance_mw").alias("v")).withColumn("day", F.date_trunc("DAY", "timestamp"))
+    seen = open_days.join(rows, [*by, "day"]).where((F.col("timestamp") <= F.col("before")) & (F.col("ingested_at") <= F.col("knowledge")))
+    steps = seen.groupBy("request_id", "timestamp").agg(F.max_by("v", F.struct(*RANK)).alias("v"), F.first("p_sign").alias("p_sign"))
     sign = F.when(F.col("v") > deadband, 1).when(F.col("v") < -deadband, -1)
     w = Window.partitionBy("request_id").orderBy("timestamp")
-    signs = latest.where(sign.isNotNull()).withColumn("sign", sign).withColumn("was", F.lag("sign", 1, 0).over(w))
-    states = signs.groupBy("request_id").agg(F.max_by("sign", "timestamp").alias("sign"), F.max(F.when(F.col("sign") != F.col("was"), F.col("timestamp"))).alias("state_since"))
-    last = latest.groupBy("request_id").agg(F.max("timestamp").alias("last_observed_at"))
-    return requests.join(last, "request_id", "left").join(states, "request_id", "left")
+    signs = steps.where(sign.isNotNull()).withColumn("sign", sign).withColumn("was", F.coalesce(F.lag("sign").over(w), F.col("p_sign"), F.lit(0)))
+    states = signs.groupBy("request_id").agg(F.max_by("sign", "timestamp").alias("sign"), F.max(F.when(F.col("sign") != F.col("was"), F.col("timestamp"))).alias("since"))
+    last = steps.groupBy("request_id").agg(F.max("timestamp").alias("last"))
+    found = near.select("request_id", "p_sign", "p_since", "p_last").join(states, "request_id", "left").join(last, "request_id", "left")
+    found = found.select("request_id", F.coalesce("sign", "p_sign").alias("sign"), F.coalesce("since", "p_since").alias("state_since"), F.coalesce("last", "p_last").alias("last_observed_at"))
+    return requests.join(found, "request_id", "left")
 
 
 def validity_intervals(df: DataFrame, keys: Sequence[str] = ("series", "timestamp"), columns: Sequence[str] = ("system_imbalance_mw",), rank: Sequence[str] = RANK) -> DataFrame:
@@ -107,7 +148,3 @@ def with_outcomes(predictions: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Canonical predictions with their outcome, nulls while it is pending."""
     o = canonical_outcomes(outcomes).withColumnRenamed("prediction_event_id", "event_id").drop("row_version")
     return canonical_predictions(predictions).join(o, ["event_id", "target_time"], "left")
-
-
-def holds(col: Column) -> Column:
-    return F.coalesce(col, F.lit(False))

@@ -11,18 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
-
-
-def _ranges(df: DataFrame, key: Column, by: Sequence[str]) -> DataFrame:
-    cuts = df.agg(F.percentile_approx(key, [i / RANGES for i in range(1, RANGES)], 10_000)).first()[0] or []
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
-    return df.withColumn("__range", F.size(F.filter(bounds, lambda b: b < key)))
-
+from ..functions.scratch import written
 
 def running(df: DataFrame, key: Column, ties: Sequence[str], sums: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
-    """Add ``rank`` (1, 2, ...) by ``key`` and ``ties``, ``total`` rows, and for each of ``sums`` its running sum and ``<name>_total``."""
-    cut = _ranges(df.withColumns({f"__{k}": v for k, v in sums.items()}).withColumn("__key", key), F.col("__key"), by)
+    """Add ``rank`` (1, 2, ...) by ``key`` and ``ties``, ``total`` rows, and for each of ``sums`` its running sum and ``<name>_total``.
+
+    Rows are dealt by ranges of (by, key, ties) and stored, so that the ranges of a group, and of equal keys, may be many.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.withColumns({f"__{k}": v for k, v in sums.items()}).withColumn("__key", key)
+    cut = written(keyed.repartitionByRange(ranges, *by, "__key", *ties).withColumn("__range", F.spark_partition_id()), "ranges")
     totals = cut.groupBy(*by, "__range").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"__{k}").alias(f"t_{k}") for k in sums])
     before = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
@@ -49,9 +47,9 @@ def f1_threshold(df: DataFrame, target: str, probability: str) -> DataFrame:
     return r.select("threshold", f1.alias("f1")).agg(F.max_by(F.struct("threshold", "f1"), F.struct("f1", -F.col("threshold"))).alias("b")).select("b.*")
 
 
-def terciles(df: DataFrame, value: str, ties: Sequence[str]) -> DataFrame:
-    """Add ``tercile`` 1 to 3 by rank; what is left over goes to the first groups."""
-    r = running(df, F.col(value), ties, {})
+def terciles(df: DataFrame, value: str, ties: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Add ``tercile`` 1 to 3 by rank in each group; what is left over goes to the first groups."""
+    r = running(df, F.col(value), ties, {}, by)
     size, more = F.floor(F.col("total") / 3), F.col("total") % 3
     first = size + (more > 0).cast("int")
     second = first + size + (more > 1).cast("int")

@@ -105,14 +105,16 @@ def slope(value: str, n: int, part: Sequence[str]) -> Column:
 
 
 def _middle(items: Column, n: int) -> Column:
-    s = F.array_sort(items)
-    return (F.get(s, F.lit((n - 1) // 2)) + F.get(s, F.lit(n // 2))) / 2
+    """Median of n values, sorted once."""
+    at = lambda s, i: F.get(s, F.lit(i))
+    return F.get(F.transform(F.array(F.sort_array(items)), lambda s: at(s, n // 2) if n % 2 else (at(s, n // 2 - 1) + at(s, n // 2)) / 2), F.lit(0))
 
 
 def robust_scale(value: str, n: int, part: Sequence[str]) -> Column:
     """1.4826 times the median absolute deviation."""
     items = F.collect_list(value).over(_ordered(part).rowsBetween(1 - n, 0))
-    return complete(1.4826 * _middle(F.transform(items, lambda x: F.abs(x - _middle(items, n))), n), value, n, part)
+    once = F.array(F.struct(items.alias("x"), _middle(items, n).alias("m")))
+    return complete(1.4826 * F.get(F.transform(once, lambda s: _middle(F.transform(s["x"], lambda x: F.abs(x - s["m"])), n)), F.lit(0)), value, n, part)
 
 
 def local_features(df: DataFrame, part: Sequence[str], reg: Registry, seeded: bool = False) -> DataFrame:

@@ -258,12 +258,9 @@ def _(spark, sf):
     f"{canonical_sql()}, b AS (SELECT DISTINCT series, date_trunc('day', t) AS b FROM can) SELECT b.series, epoch_ms(b.b) AS b_ms, epoch_ms(max(c.t)) AS last_ms FROM b LEFT JOIN can c ON c.series = b.series AND c.t <= b.b GROUP BY 1, 2",
 )
 def _(spark, sf):
-    from pyspark.sql import Window
-
-    o = observations(spark, sf).select("series", "timestamp").distinct()
-    both = o.select("series", F.col("timestamp").alias("at"), F.col("timestamp").alias("seen")).unionByName(o.select("series", F.date_trunc("DAY", "timestamp").alias("at"), F.lit(None).cast("timestamp").alias("seen")).distinct())
-    last = F.last("seen", True).over(Window.partitionBy("series").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return both.withColumn("last", last).where("seen is null").select("series", ms("at", "b_ms"), ms("last", "last_ms"))
+    o = observations(spark, sf).select("series", "timestamp")
+    ends = o.select("series", F.date_trunc("DAY", "timestamp").alias("bin_end")).distinct()
+    return G.last_as_of(o, ends).select("series", ms("bin_end", "b_ms"), ms("last", "last_ms"))
 
 
 _LOCAL = "(ts AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Brussels')"

@@ -200,9 +200,7 @@ _COH = f"""{SCORED}, r AS (SELECT *, ntile(3) OVER (PARTITION BY model ORDER BY
 
 
 def _cohorts(spark, sf):
-    s = scored(spark, sf)
-    parts = [E.with_cohorts(s.where(F.col("model") == m), _KEY) for m in ("candidate", "classical", "persistence")]
-    return E.cohort_mae(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["model"])
+    return E.cohort_mae(E.with_cohorts(scored(spark, sf), _KEY, ["model"]), ["model"])
 
 
 @query("agg12_win16_ml16_cohorts", f"WITH {_COH} SELECT model, cohort, round(avg(e), 4) AS mae, count(*) AS n FROM c GROUP BY 1, 2")

@@ -46,8 +46,8 @@ def _(spark, sf):
     from ..operators.pit import canonical_predictions
 
     p = _stream(canonical_predictions(predictions(spark, sf)).select("event_id", "series", "target_time", "generated_at"), "predictions")
-    r = _stream(realised(spark, sf).select(F.col("series").alias("realised_series"), "timestamp", "realized_event_id", "available_at"), "realised")
-    return _run(J.outcome_stream(p, r).where("series = realised_series"), "outcomes").select("event_id", "realized_event_id")
+    r = _stream(realised(spark, sf).select("series", "timestamp", "realized_event_id", "available_at"), "realised")
+    return _run(J.outcome_stream(p, r), "outcomes").select("event_id", "realized_event_id")
 
 
 @query("st7_live_bins", f"""{canonical_sql()}, b AS (SELECT series, ((epoch_ms(t) // 1000 - {STEP}) // {12 * STEP}) * {12 * STEP}000 + {12 * STEP}000 AS bin_end_ms, round(avg(v), 4) + 0.0 AS mean, count(*) AS observed, max(t) AS last FROM can GROUP BY 1, 2), e AS (SELECT max(t) AS hi FROM can)

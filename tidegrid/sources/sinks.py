@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.identity import event_id, row_version
 from ..functions.schemas import TABLES
@@ -24,7 +25,7 @@ def write_typed(df: DataFrame, table: str, root: str, mode: str = "append") -> s
 
 def read_typed(spark: SparkSession, table: str, root: str) -> DataFrame:
     schema, _, _ = TABLES[table]
-    return spark.read.schema(schema.add("month", "string") if "month" not in schema.names else schema).parquet(f"{root}/{table}")
+    return spark.read.schema(StructType([*schema.fields, StructField("month", StringType())])).parquet(f"{root}/{table}")
 
 
 def raw_rows(envelopes: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,16 +68,17 @@ def _advance(deadband: float):
             return
         sign, since, last = state.get if state.exists else (None, None, None)
         pdf = pd.concat(list(frames)).sort_values("timestamp", kind="stable")
-        rows = []
-        for t, v in zip(pdf["timestamp"], pdf["system_imbalance_mw"], strict=True):
-            now = 1 if v > deadband else -1 if v < -deadband else sign
-            if now != sign:
-                sign, since = now, t
-            last = t
-            rows.append((key[0], t, v, sign, since, last))
-        state.update((sign, None if since is None else pd.Timestamp(since).to_pydatetime(), None if last is None else pd.Timestamp(last).to_pydatetime()))
-        out = pd.DataFrame(rows, columns=["series", "timestamp", "system_imbalance_mw", "state_sign", "state_since", "last_observed_at"])
-        yield out.astype({"state_sign": "Int32"})
+        t, v = pdf["timestamp"].reset_index(drop=True), pdf["system_imbalance_mw"].reset_index(drop=True)
+        # what each row says by itself, filled forward from what was carried over
+        own = pd.Series(np.select([v > deadband, v < -deadband], [1.0, -1.0], np.nan)).ffill()
+        signs = own if sign is None else own.fillna(float(sign))
+        before = signs.shift(1)
+        before.iloc[:1] = np.nan if sign is None else float(sign)
+        begun = t.where(signs.notna() & (signs != before)).ffill()
+        begun = begun if since is None else begun.fillna(pd.Timestamp(since))
+        at = lambda x: None if pd.isna(x) else pd.Timestamp(x).to_pydatetime()
+        state.update((None if pd.isna(signs.iloc[-1]) else int(signs.iloc[-1]), at(begun.iloc[-1]), at(t.iloc[-1])))
+        yield pd.DataFrame({"series": key[0], "timestamp": t, "system_imbalance_mw": v, "state_sign": signs.astype("Int32"), "state_since": begun, "last_observed_at": t})
 
     return run
 
@@ -91,12 +93,12 @@ def stateful_states(stream: DataFrame, deadband: float) -> DataFrame:
     return keyed.groupBy("series").applyInPandasWithState(_advance(deadband), _OUT, _STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def outcome_stream(predictions: DataFrame, realised: DataFrame, delay: str = "2 hours", span: str = "interval 2 hours") -> DataFrame:
-    """Predictions and realisations of the same time, in either order, that were made before the value was available."""
+def outcome_stream(predictions: DataFrame, realised: DataFrame, delay: str = "2 hours", span: str = "interval 2 hours", by: tuple[str, ...] = ("series",)) -> DataFrame:
+    """Predictions and realisations of the same time and series, in either order, that were made before the value was available."""
     p = predictions.withWatermark("target_time", delay).alias("p")
     r = realised.withWatermark("timestamp", delay).alias("r")
-    on = F.expr(f"p.target_time = r.timestamp AND p.generated_at <= r.available_at AND r.timestamp >= p.target_time - {span} AND r.timestamp <= p.target_time + {span}")
-    return p.join(r, on, "inner")
+    on = F.expr(f"p.target_time = r.timestamp AND p.generated_at <= r.available_at AND r.timestamp >= p.target_time - {span} AND r.timestamp <= p.target_time + {span}" + "".join(f" AND p.{c} = r.{c}" for c in by))
+    return p.join(r, on, "inner").drop(*[F.col(f"r.{c}") for c in by])
 
 
 def changed_steps(batch: DataFrame, by: tuple[str, ...] = ("series",)) -> DataFrame:
@@ -105,6 +107,19 @@ def changed_steps(batch: DataFrame, by: tuple[str, ...] = ("series",)) -> DataFr
     return batch.select(ids.alias("request_id"), *by, F.col("timestamp").alias("cutoff"), F.col("ingested_at").alias("knowledge")).distinct()
 
 
+def corrections(stream: DataFrame, path: str, checkpoint: str, by: tuple[str, ...] = ("series",)) -> DataFrame:
+    """Snapshot requests of all micro-batches, each batch in a folder of its own, so that a replay leaves no second ones.
+
+    Nothing is taken back: a revision adds a request with its own knowledge time, and the older one stays.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        changed_steps(batch, by).write.mode("overwrite").parquet(f"{path}/batch={batch_id:010d}")
+
+    stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.parquet(path).drop("batch")
+
+
 def live_bins(stream: DataFrame, bin_steps: int = 15, step_seconds: int = 60, delay: str = "1 hour", by: tuple[str, ...] = ("series",)) -> DataFrame:
     """Right-closed bins as a live view: a bin comes out once the watermark has passed it."""
     size = bin_steps * step_seconds
