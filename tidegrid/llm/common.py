@@ -18,8 +18,15 @@ from pyspark.sql.types import DataType, StructField, StructType
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
+#: Rows that go to a Python worker at a time, unless the session says otherwise: whole texts are large, and a batch is held
+#: several times over, in the executor and in the worker.
+_BATCH_CONF, _BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
 def workers_find_package(spark: SparkSession) -> None:
-    """Python workers import the kernels by name, so this checkout must be on their path."""
+    """Python workers import the kernels by name, so this checkout must be on their path; batches are kept small."""
+    if spark.conf.get(_BATCH_CONF, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_CONF, BATCH_ROWS)
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
     if _ROOT not in have:

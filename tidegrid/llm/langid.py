@@ -21,7 +21,7 @@ from .common import with_kernel, with_row_id, workers_find_package
 
 #: Bounds of the labelled sample: so many rows of a language and so many characters of each.  All languages together have
 #: SAMPLE characters at most: with many of them, each has an equal share, and none is left out.
-ROWS, ROW_CHARS, SAMPLE = 160, 160, 1 << 18
+ROWS, ROW_CHARS, SAMPLE = 128, 128, 1 << 18
 #: Texts are laid out in pieces of so many bytes, so that short and long texts fill the same array; a parse runs on through them.
 PIECE = 256
 UNKNOWN = "und"
