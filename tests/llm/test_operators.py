@@ -538,6 +538,66 @@ def test_lattice_sums_all_segmentations():
             assert math.isclose(expected[i], 2 * sum(w * s.count(t) for w, s in zip(weights, segmentations, strict=True)) / sum(weights), abs_tol=1e-12)
 
 
+def test_score_is_the_marginal_of_the_fitted_pieces(spark, docs, monkeypatch):
+    """Expectation maximisation and the forward sum over all segmentations, in plain floats."""
+    monkeypatch.setattr(lmscore, "LONG", 60)  # longer words go position by position
+    texts = [" the", "the", "on", "er", " in", "in", "at", " at", "é", "tion", " tion", "x", "xxxx", " same", "same"]
+    vocabulary = sentencepiece.Vocabulary(tuple((t, i, -1.0 - i / 7) for i, t in enumerate(texts)), (), 0)
+    prior = lmscore.prior_pieces(vocabulary)
+    logp = dict(zip(prior.texts, prior.logp.tolist(), strict=False))
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1
+    words = lambda r: [(" " + w).encode() for w in SPACED.findall((r[1] or "").translate(LOW))]
+    counts, trained = collections.Counter(), 0
+    for r in corpus():
+        if not held(r[0]):
+            counts.update(words(r))
+            trained += 1
+    end = float(prior.logp[-1])
+    longest = max(map(len, prior.texts))
+
+    def add(x, y):
+        return max(x, y) + math.log1p(math.exp(-abs(x - y))) if min(x, y) > -math.inf else max(x, y)
+
+    def edges(word):
+        return [(s, e, word[s:e]) for e in range(1, len(word) + 1) for s in range(max(0, e - longest), e) if word[s:e] in logp]
+
+    def sums(word, found):
+        alpha = [0.0] + [-math.inf] * len(word)
+        for s, e, t in found:
+            alpha[e] = add(alpha[e], alpha[s] + logp[t])
+        return alpha
+
+    before = -math.inf
+    tokens = sum(counts.values()) + trained
+    first = {t: math.exp(p) for t, p in logp.items()} | {None: math.exp(end)}
+    for _ in range(lmscore.ROUNDS):
+        n, reached = {t: lmscore.PRIOR * p for t, p in first.items()}, trained * end
+        for word, c in counts.items():
+            found = edges(word)
+            alpha = sums(word, found)
+            beta = [-math.inf] * len(word) + [0.0]
+            for s, e, t in reversed(found):
+                beta[s] = add(beta[s], beta[e] + logp[t])
+            reached += c * alpha[-1]
+            for s, e, t in found:
+                n[t] += c * math.exp(alpha[s] + logp[t] + beta[e] - alpha[-1])
+        n[None] += trained
+        total = sum(n.values())
+        end = math.log(n[None] / total)
+        logp = {t: math.log(v / total) for t, v in n.items() if t is not None}
+        if reached - before < lmscore.GAIN * tokens * math.log(10):
+            break
+        before = reached
+    memo: dict = {}
+    want = []
+    for r in corpus():
+        for w in words(r):
+            if w not in memo:
+                memo[w] = sums(w, edges(w))[-1]
+        want.append((r[0], round((sum(memo[w] for w in words(r)) + end) / math.log(10), 4)))
+    same([(r["doc_id"], round(r["score"], 4)) for r in lmscore.score(docs, vocabulary).collect()], want)
+
+
 # 10
 def brute_shared(rows):
     ids = lambda d: (d is None, d or 0)

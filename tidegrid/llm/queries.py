@@ -135,6 +135,38 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP10_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, doc_id, i, hash(substr(h, 2 * i + 1, 100)) AS k FROM (SELECT r, doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+f AS (SELECT k, min(doc_id) AS least FROM w GROUP BY k),
+c AS (SELECT r, i FROM w JOIN f USING (k) WHERE doc_id > least),
+n AS (SELECT r, i, coalesce(CAST(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 50 AS INTEGER), 1) AS new FROM c),
+g AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM n),
+s AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY r, g),
+t AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS pb FROM s),
+p AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, string_agg(substr(h, 2 * pb + 1, 2 * (a - pb)), '' ORDER BY a) AS kept, max(b) AS last FROM t JOIN d USING (r) GROUP BY r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(CASE WHEN n_spans IS NULL THEN unhex(h) ELSE unhex(kept || substr(h, 2 * last + 1)) END) AS kept_sha256
+FROM d LEFT JOIN p USING (r)
+"""
+
+
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op7 that SQL can express."""
+    return op7_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+QUALITY_BASE_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_SPACED.format("coalesce(text, '')")} AS w FROM documents),
+ln AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY 1),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM (SELECT doc_id, i, hash(array_to_string(w[i:i + 4], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5))),
+r AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM g WHERE n > 1) GROUP BY 1),
+a AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+      CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words FROM d LEFT JOIN ln USING (doc_id) LEFT JOIN r USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM a
+"""
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sentencepiece": op2_sentencepiece,
@@ -146,5 +178,6 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "quality_base": quality_base,
 }
-ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL, "op6_ngram_jaccard": OP6_SQL}
+ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL, "op6_ngram_jaccard": OP6_SQL, "op10_suffix_dedup": OP10_SQL, "quality_base": QUALITY_BASE_SQL}
