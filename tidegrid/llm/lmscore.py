@@ -33,6 +33,8 @@ ROUNDS, GAIN = 4, 0.003
 #: Words of more bytes are scored one by one, position by position; those of up to SHORT bytes can't underflow outside log space.
 LONG, SHORT = 256, 40
 _CELLS = 1 << 20
+#: Words that are worked on together, so that many have the same length.
+_WORDS = 1 << 16
 
 
 class Pieces(NamedTuple):
@@ -112,10 +114,13 @@ class Lattice:
             for s, e, at, ids in edges:
                 alpha[e, at] += alpha[s, at] * p[ids]
             beta[size] = counts / alpha[size]
+            spent = []
             for s, e, at, ids in reversed(edges):
                 through = p[ids] * beta[e, at]
                 beta[s, at] += through
-                np.add.at(expected, ids, alpha[s, at] * through)
+                spent.append((ids, alpha[s, at] * through))
+            ids, weights = (np.concatenate(x) for x in zip(*spent, strict=True))
+            expected += np.bincount(ids, weights=weights, minlength=len(expected))
             return np.log(alpha[size])
         alpha = np.full((size + 1, n), -np.inf)
         alpha[0] = 0
@@ -213,10 +218,21 @@ def _expect(pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(pieces.value)
         expected = np.zeros(len(pieces.value.texts) + 1)
-        for batch in batches:
-            data, off = X.text_bytes(batch.column("word"))
-            n = batch.column("n").to_numpy().astype(float)
+
+        def take(held: list[pa.RecordBatch]) -> None:
+            table = pa.Table.from_batches(held).combine_chunks()
+            data, off = X.text_bytes(table.column("word").chunk(0))
+            n = table.column("n").to_numpy().astype(float)
             expected[-1] += (lattice.words(data, off[:-1], off[1:], n, expected[:-1]) * n).sum()
+
+        held, rows = [], 0
+        for batch in batches:
+            held, rows = [*held, batch], rows + batch.num_rows
+            if rows >= _WORDS:
+                take(held)
+                held, rows = [], 0
+        if rows:
+            take(held)
         at = np.flatnonzero(expected)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(expected[at])], names=["piece", "expected"])
 
