@@ -357,3 +357,36 @@ def test_contract_fingerprint():
 def test_snapshot_rules(spark):
     r = spark.createDataFrame([(40, "positive", 5.0), (40, None, 1.0), (29, "positive", 0.0), (40, "negative", 6.0), (40, "negative", None)], "n int, s string, a double").select(T.eligible_snapshot(F.col("n"), F.col("s"), F.col("a")).alias("e")).collect()
     assert [x["e"] for x in r] == [True, False, False, False, False]
+
+
+def test_preprocessing_knows_its_schema_and_trains_on_train_rows(spark):
+    rows = [(1, "train", "h", [1.0, 10.0, 3.0, 0.0], [1, 1, 1, 0]), (2, "train", "h", [5.0, 20.0, 7.0, 40.0], [1, 1, 1, 1]), (3, "test", "h", [1000.0, 0.0, 0.0, 0.0], [1, 0, 0, 0])]
+    df = spark.createDataFrame(rows, "example int, split string, feature_schema_hash string, v array<double>, m array<int>")
+    fitted = L.fit_preprocessing(df, "v", "m", 2)
+    stats = {r["channel"]: r for r in fitted[1].collect()}
+    assert fitted[0] == "h" and stats[0]["location"] == 4.0 and stats[0]["scale"] == 3.0 and stats[1]["location"] == 20.0 and stats[1]["scale"] == 15.0
+    got = {(r["example"], r["channel"], r["place"]): r["scaled"] for r in L.apply_preprocessing(df, fitted, "v", "m", 2, ["example"]).collect()}
+    assert got[1, 0, 0] == -1.0 and got[2, 1, 0] == 0.0 and got[1, 1, 1] == 0.0
+    with pytest.raises(ValueError):
+        L.fit_preprocessing(df.where("split = 'test'"), "v", "m", 2)
+    with pytest.raises(ValueError):
+        L.apply_preprocessing(df.withColumn("feature_schema_hash", F.lit("other")), fitted, "v", "m", 2, ["example"])
+
+
+def test_channel_summaries_volatility_and_source_quality(spark):
+    df = spark.createDataFrame([(1, [1.0, 1.0, 4.0, 0.0], [1, 1, 1, 0]), (2, [9.0, 0.0, 9.0, 0.3], [0, 0, 0, 1])], "example int, v array<double>, m array<int>")
+    wide, names_ = L.summary_features(df, "v", "m", 2, ["example"])
+    r = {x["example"]: x for x in wide.collect()}
+    assert len(names_) == 10 and [r[1][f"x0_{p}"] for p in ("last", "mean", "std", "change", "coverage")] == [4.0, 2.5, 1.5, 3.0, 1.0] and r[2]["x0_coverage"] == 0.0 and r[2]["x0_mean"] == 0.0
+    got = {x["example"]: x for x in df.select("example", E.volatility(F.col("v"), F.col("m"), 2).alias("s"), E.source_quality(F.col("v"), F.col("m"), 2, 1).alias("q"), E.source_quality(F.col("v"), F.col("m"), 2).alias("none")).collect()}
+    assert (got[1]["s"], got[2]["s"]) == (1.5, 0.0) and (got[1]["q"], got[2]["q"]) == (-1, 0) and got[1]["none"] == -1
+
+
+def test_late_predictions_meet_the_latest_revision(spark):
+    at = lambda i: T0 + timedelta(minutes=i)
+    seen = spark.createDataFrame([("s", at(1), at(2), "a", 5.0, 1), ("s", at(1), at(9), "b", -20.0, 2)], "series string, timestamp timestamp, ingested_at timestamp, event_id string, system_imbalance_mw double, row_version long")
+    p = spark.createDataFrame([("p", "s", at(1), at(1), "positive"), ("late", "s", at(1), at(5), "positive")], "event_id string, series string, target_time timestamp, generated_at timestamp, current_state string")
+    early = {r["prediction_event_id"]: r["realized_event_id"] for r in M.reconcile(p, seen, at(4), 10.0).collect()}
+    assert early == {"p": "a"}
+    late = {r["prediction_event_id"]: (r["realized_event_id"], r["realized_state"], r["flip_actual"]) for r in M.reconcile(p, seen, at(10), 10.0).collect()}
+    assert late == {"p": ("b", "negative", True), "late": ("b", "negative", True)}

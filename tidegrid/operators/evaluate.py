@@ -62,7 +62,7 @@ def volatility(values: Column, masks: Column, width: int) -> Column:
     """Population deviation of the observed values of the first channel, 0 without any."""
     own = F.transform(F.filter(F.arrays_zip(values.alias("v"), masks.alias("m")), lambda x, i: (i % width == 0) & (x["m"] == 1)), lambda x: x["v"].cast("double"))
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    once = F.transform(F.array(own), lambda a: F.struct(a.alias("a"), (total(a) / F.size(a)).alias("m")))
+    once = F.transform(F.array(own), lambda a: F.struct(a.alias("a"), F.try_divide(total(a), F.size(a)).alias("m")))
     return F.get(F.transform(once, lambda s: F.when(F.size(s["a"]) > 0, F.sqrt(total(F.transform(s["a"], lambda x: (x - s["m"]) * (x - s["m"]))) / F.size(s["a"]))).otherwise(0.0)), F.lit(0))
 
 
