@@ -25,7 +25,7 @@ ROWS, ROW_CHARS, SAMPLE = 128, 128, 1 << 18
 #: Texts are laid out in pieces of so many bytes, so that short and long texts fill the same array; a parse runs on through them.
 PIECE = 256
 UNKNOWN = "und"
-#: A text is foreign to the language that parses it best if it takes so many times that language's own bits a byte, and
+#: A text is foreign if in each language it takes so many times that language's own bits a byte, and
 #: SLACK bits more, which short texts need.  By measure: see the README.
 FOREIGN, SLACK = 2.0, 200.0
 
@@ -218,7 +218,7 @@ def _scorer(references, column: str):
                     lang[known] = langs[best[known]]
                     score[known] = (inverse.max(axis=0) / inverse.sum(axis=0))[known]
                     rate = bits.min(axis=0)
-                    foreign = known & (rate * size > FOREIGN * np.minimum(own[best], 1e9) * size + SLACK)
+                    foreign = known & (bits * size > FOREIGN * np.minimum(own, 1e9)[:, None] * size + SLACK).all(axis=0)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(rate), pa.array(foreign)], names=[*part.schema.names, "__lang", "__score", "__bits", "__foreign"])
 
     return run
@@ -276,8 +276,8 @@ def tagged(docs: DataFrame, references: list[Reference], lang: str = "lang_pred"
     """All columns and lang_pred, score, bits and foreign, in one pass over the rows.
 
     ``und``, 0, 0 and false if the text is null or has no letter, or if no language was learned; ties go to the language
-    that sorts first.  ``bits`` is the least cross-parsing entropy for a byte; ``foreign`` says that it is far above the
-    language's own (FOREIGN, SLACK), so that the text is in none that was learned.
+    that sorts first.  ``bits`` is the least cross-parsing entropy for a byte; ``foreign`` says that in each
+    language the text is far above that language's own (FOREIGN, SLACK), so that it is in none that was learned.
     """
     b = docs.sparkSession.sparkContext.broadcast(references)
     text = F.col(text_col).cast("string")
