@@ -158,6 +158,17 @@ def _(spark, sf):
     return X.walk_forward(e, 1, gap=_GAP, evaluation=_EVAL, initial=_INIT).select("event_id", "fold", "split")
 
 
+@query(
+    "ml2_walk_forward_two_folds",
+    """WITH o AS (SELECT min(date_trunc('hour', ts)) AS lo FROM events), k AS (SELECT k, lo, lo + to_days(CAST(6 + 9 * k AS INTEGER)) AS o FROM o, range(2) AS r(k)),
+    f AS (SELECT k, 'train' AS split, lo AS a, o AS b FROM k UNION ALL SELECT k, 'validation', o + INTERVAL 1 DAY, o + INTERVAL 3 DAY FROM k UNION ALL SELECT k, 'calibration', o + INTERVAL 4 DAY, o + INTERVAL 6 DAY FROM k UNION ALL SELECT k, 'test', o + INTERVAL 7 DAY, o + INTERVAL 9 DAY FROM k)
+    SELECT event_id, CAST(k AS INTEGER) AS fold, split FROM events JOIN f ON date_trunc('hour', ts) >= a AND date_trunc('hour', ts) < b""",
+)
+def _(spark, sf):
+    e = events(spark, sf).select("event_id", F.date_trunc("HOUR", "ts").alias("cutoff"))
+    return X.walk_forward(e, 2, gap=_GAP, evaluation=timedelta(days=2), initial=timedelta(days=6)).select("event_id", "fold", "split")
+
+
 def _histories(spark, sf):
     """Values of each user in time order, a fifth of them masked."""
     e = events(spark, sf)
@@ -273,6 +284,23 @@ def _(spark, sf):
     return M.fit_trees(e, ["latest", "ace"])(e).select("series", ms("cutoff", "t_ms"), r4("tree_value", "value"), r4("tree_flip", "flip"))
 
 
+def vector_examples(spark, sf):
+    """Each vector as eight places of eight channels with masks; its label is the next value, and whether it is odd the flip."""
+    e = table(spark, sf, "embeddings")
+    return e.select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"), F.transform("embedding", lambda x: (x > -0.05).cast("int")).alias("m"),
+        F.col("label").cast("double").alias("target_next"), (F.col("label") % 2).cast("double").alias("flip_target"), F.lit(1.0).alias("flip_mask"),
+    )
+
+
+@query("ml7_agg10_boosted_trees")
+def _(spark, sf):
+    e = vector_examples(spark, sf)
+    wide, names = L.summary_features(e, "v", "m", 8, ["vec_id"])
+    x = wide.join(e.select("vec_id", "target_next", "flip_target", "flip_mask"), "vec_id")
+    return M.fit_trees(x, names)(x).select("vec_id", "target_next", r4("tree_value", "value"), r4("tree_flip", "flip"))
+
+
 def members(spark, sf):
     """Three members' outputs for each vector, from slices of it."""
     e = table(spark, sf, "embeddings").withColumn("e", F.transform("embedding", lambda x: x.cast("double")))
