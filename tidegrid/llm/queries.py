@@ -12,7 +12,10 @@ from .langid import fit, identify
 from .linededup import remove_repeats
 from .lmscore import score
 from .quality import judge
+from .repair import damaged, repair
+from .resampling import resample
 from .sentencepiece import encode, load_vocabulary
+from .sharding import shuffle_into_shards
 from .suffixdedup import remove_shared
 from .warc import read_warc, write_warc
 
@@ -151,6 +154,104 @@ FROM d LEFT JOIN p USING (r)
 """
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    found = repair(damaged(rows))
+    every = rows.select("conv_id").distinct().withColumnRenamed("conv_id", "c")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return every.join(found, F.col("c").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("c").alias("conv_id"), *map(zero, ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")), F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    )
+
+
+#: CRC-32 of the distinct strings of a table ``{0}`` (s): each byte's part in the register, for the bytes that follow it.
+_CRC = """step(k, b, v) AS (SELECT 0, b, b FROM range(256) AS r(b) UNION ALL SELECT k + 1, b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM step WHERE k < 8),
+own AS (SELECT s, encode(s) AS e, octet_length(encode(s)) AS n FROM {0}),
+far(k, b, v) AS (SELECT 0, b, v FROM step WHERE k = 8 UNION ALL SELECT f.k + 1, f.b, xor(f.v >> 8, t.v) FROM far f JOIN step t ON t.k = 8 AND t.b = f.v & 255 WHERE f.k + 1 < (SELECT max(n) FROM own)),
+bytes AS (SELECT s, n, i, xor(CAST('0x' || substr(hex(e), CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT), CASE WHEN i < 4 THEN 255 ELSE 0 END) AS b FROM (SELECT s, e, n, unnest(range(n)) AS i FROM own)),
+crc AS (SELECT s, xor(xor(bit_xor(f.v), CASE WHEN any_value(n) < 4 THEN 4294967295 >> (8 * any_value(n)) ELSE 0 END), 4294967295) AS crc FROM bytes JOIN far f ON f.k = n - 1 - i AND f.b = bytes.b GROUP BY s)"""
+
+_FAR_COST = 1_000_000_000
+_STATES = ((2, "u", "user"), (2, "u", "user"), (3, "a", "assistant"), (2, "u", "user"))
+
+
+def _step_sql() -> str:
+    """The best (cost, audit, lines) of each state after one more row, from those before it, and after inserts."""
+    item = lambda c, a, x: f"{{'c': {c}, 'a': {a}, 'x': {x}}}"
+    least = lambda *xs: f"list_min([{', '.join(xs)}])"
+    line = lambda s, text: f"list_append({s}.x, {text})"
+    insert = lambda s, k: item(f"{s}.c + 5", f"{s}.a || 'I'", line(s, f"'{_STATES[k][2]}:'"))
+    stay = "CASE WHEN r.fault = 2 THEN 1000000000 WHEN r.fault = 1 THEN 5 ELSE 0 END"
+    to: dict[int, list[str]] = {k: [item(f"s{k}.c + 2", f"s{k}.a || 'D'", f"s{k}.x")] for k in range(4)}
+    keep = lambda k, ok: item(f"s{k}.c + CASE WHEN {ok} THEN {stay} ELSE 1000000000 END", f"s{k}.a || 'K'", line(f"s{k}", "r.role || ':' || r.text"))
+    to[1].append(keep(0, "r.initial = 's'"))
+    for k, (after, initial, role) in enumerate(_STATES):
+        to[after] += [keep(k, f"r.initial = '{initial}'"), item(f"s{k}.c + 1 + {stay}", f"s{k}.a || 'R'", line(f"s{k}", f"'{role}:' || r.text"))]
+    rows = "SELECT t.conv, r.i, " + ", ".join(f"{least(*to[k])} AS q{k}" for k in range(4)) + " FROM t JOIN r ON r.conv IS NOT DISTINCT FROM t.conv AND r.i = t.i + 1"
+    two = f"SELECT conv, i, q0, q1, q3, {least('q2', insert('q0', 0), insert('q1', 1), insert('q3', 3))} AS p2 FROM ({rows})"
+    return f"SELECT conv, i, q0, q1, p2, {least('q3', insert('p2', 2))} FROM ({two})"
+
+
+_START = ", ".join(f"{{'c': {c}, 'a': '{a}', 'x': CAST([{x}] AS VARCHAR[])}}" for c, a, x in ((0, "", ""), (_FAR_COST, "", ""), (5, "I", "'user:'"), (10, "II", "'user:', 'assistant:'")))
+
+OP11_SQL = f"""
+WITH RECURSIVE raw AS (SELECT conv_id AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+keys AS (SELECT DISTINCT key AS s FROM raw), {_CRC.format("keys")},
+dam AS (SELECT conv, turn, CASE WHEN crc % 20 = 4 THEN 'user' ELSE role END AS role, CASE crc % 20 WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN crc % 20 = 3 THEN 2 ELSE 1 END)) AS copy
+        FROM raw JOIN crc ON s = key WHERE crc % 20 <> 0),
+num AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) AS i, regexp_extract_all(text, '[^\x20\x09-\x0D]') AS seen FROM dam),
+told AS (SELECT *, len(seen) = 0 AS blank, row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again, len(seen) > 0 AND seen[-1] NOT IN ('.', '!', '?') AS cut, substr(role, 1, 1) AS initial FROM num),
+r AS (SELECT conv, i, turn, role, text, initial, CASE WHEN blank OR again THEN 2 WHEN cut THEN 1 ELSE 0 END AS fault, blank, NOT blank AND again AS duplicate, NOT blank AND NOT again AND cut AS truncated,
+      lag(initial) OVER (PARTITION BY conv ORDER BY i) || initial AS pair FROM told),
+t(conv, i, s0, s1, s2, s3) AS (SELECT DISTINCT conv, 0, {_START} FROM raw UNION ALL {_step_sql()}),
+last AS (SELECT conv, list_min([s0, s3]) AS best FROM t QUALIFY row_number() OVER (PARTITION BY conv ORDER BY i DESC) = 1),
+agg AS (SELECT conv, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+        count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv)
+SELECT last.conv AS conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(best.c AS BIGINT) AS cost, best.a AS audit, sha256(coalesce(array_to_string(best.x, chr(10)), '')) AS repaired_sha256
+FROM last LEFT JOIN agg ON agg.conv IS NOT DISTINCT FROM last.conv
+"""
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+b AS (SELECT {_ALNUM.format(_LOWER.format("coalesce(text, '')"))} AS w FROM benchmark),
+df AS (SELECT r, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS s FROM d),
+bf AS (SELECT unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS s FROM b),
+every AS (SELECT DISTINCT s FROM (SELECT s FROM df UNION ALL SELECT s FROM bf)), {_CRC.format("every")},
+sn AS (SELECT crc % 10000 AS k, count(*) AS s FROM df JOIN crc USING (s) GROUP BY 1), tn AS (SELECT crc % 10000 AS k, count(*) AS t FROM bf JOIN crc USING (s) GROUP BY 1),
+tot AS (SELECT (SELECT coalesce(sum(s), 0) FROM sn) AS s, (SELECT coalesce(sum(t), 0) FROM tn) AS t),
+g AS (SELECT sn.k, CAST(floor(1000 * ln((coalesce(tn.t, 0) + 1.0::DOUBLE) * (tot.s + 10000.0::DOUBLE) / ((sn.s + 1.0::DOUBLE) * (tot.t + 10000.0::DOUBLE)))) AS BIGINT) AS g FROM sn LEFT JOIN tn USING (k), tot),
+w AS (SELECT r, CAST(floor(sum(g)::DOUBLE / count(*)) AS BIGINT) AS weight FROM df JOIN crc USING (s) JOIN g ON g.k = crc % 10000 GROUP BY r),
+a AS (SELECT doc_id, len(w) AS words, CAST(greatest(0, 2 * len(w) - 1) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+      coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM d LEFT JOIN w USING (r)),
+o AS (SELECT *, CASE WHEN words >= 20 THEN row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) END AS place, count(*) FILTER (words >= 20) OVER () AS n FROM a)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * n // 100 THEN place END AS rank FROM o
+"""
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("row.text").cast("string")
+    return shuffle_into_shards(_table(spark, sf_dir, "documents"), 24).select(
+        F.col("row.doc_id").alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("bigint").alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def sharding_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op13's shards: rows and slots of each."""
+    return op13_sharding(spark, sf_dir).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("lo"), F.max("slot").alias("hi"), F.count_distinct("slot").alias("slots"))
+
+
+SHARDING_LAWS_SQL = """
+WITH n AS (SELECT count(*) AS n FROM documents), s AS (SELECT CAST(s AS INTEGER) AS shard, (s + 1) * n // 24 - s * n // 24 AS n FROM n, range(24) AS r(s))
+SELECT shard, n, CAST(0 AS BIGINT) AS lo, n - 1 AS hi, n AS slots FROM s WHERE n > 0
+"""
+
+
 def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op7 that SQL can express."""
     return op7_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -178,6 +279,10 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_sharding": op13_sharding,
     "quality_base": quality_base,
+    "sharding_laws": sharding_laws,
 }
-ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL, "op6_ngram_jaccard": OP6_SQL, "op10_suffix_dedup": OP10_SQL, "quality_base": QUALITY_BASE_SQL}
+ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL, "op6_ngram_jaccard": OP6_SQL, "op10_suffix_dedup": OP10_SQL, "op11_conversation_repair": OP11_SQL, "op12_importance_resampling": OP12_SQL, "quality_base": QUALITY_BASE_SQL, "sharding_laws": SHARDING_LAWS_SQL}
