@@ -5,71 +5,65 @@ from __future__ import annotations
 import hashlib
 import json
 
-# Each group's features in order, with scaling kind and greatest source age in minutes (- for none).
-FEATURES = {
-    "local": """
-        system_imbalance_mw robust -
-        ace_mw robust -
-        imbalance_price_eur_mwh robust -
-        marginal_incremental_price_eur_mwh robust -
-        marginal_decremental_price_eur_mwh robust -
-        quality_validated none -
-        delta_1_mw robust -
-        delta_2_mw robust -
-        acceleration_mw robust -
-        ewm_5_mw robust -
-        ewm_15_mw robust -
-        ewm_60_mw robust -
-        rolling_median_5_mw robust -
-        rolling_median_15_mw robust -
-        robust_scale_15_mw robust -
-        robust_scale_60_mw robust -
-        slope_5_mw_per_minute robust -
-        slope_15_mw_per_minute robust -
-        rolling_min_15_mw robust -
-        rolling_max_15_mw robust -
-        boundary_distance_mw robust -
-        confirmed_state_sign none -
-        state_duration_minutes log1p -
-        imbalance_age_minutes log1p 5
-    """,
-    "context": """
-        imbalance_mean_mw robust -
-        imbalance_min_mw robust -
-        imbalance_max_mw robust -
-        imbalance_std_mw robust -
-        imbalance_age_minutes log1p 15
-        load_actual_mw robust 30
-        load_forecast_mw robust 60
-        load_error_mw robust 30
-        load_actual_age_minutes log1p 30
-        wind_actual_mw robust 30
-        wind_forecast_mw robust 60
-        wind_error_mw robust 30
-        wind_forecast_spread_mw robust 60
-        wind_actual_age_minutes log1p 30
-        solar_actual_mw robust 30
-        solar_forecast_mw robust 60
-        solar_error_mw robust 30
-        solar_forecast_spread_mw robust 60
-        solar_actual_age_minutes log1p 30
-    """,
-    "static": """
-        quarter_hour_phase_sin none -
-        quarter_hour_phase_cos none -
-        minute_phase_sin none -
-        minute_phase_cos none -
-        hour_phase_sin none -
-        hour_phase_cos none -
-        weekday_phase_sin none -
-        weekday_phase_cos none -
-        day_of_year_phase_sin none -
-        day_of_year_phase_cos none -
-        is_weekend none -
-        is_belgian_holiday none -
-        is_dst_transition none -
-    """,
-}
+# Group, name, scaling kind and greatest source age in minutes of each feature, in order.
+FEATURES = [
+    ("local", "system_imbalance_mw", "robust", None),
+    ("local", "ace_mw", "robust", None),
+    ("local", "imbalance_price_eur_mwh", "robust", None),
+    ("local", "marginal_incremental_price_eur_mwh", "robust", None),
+    ("local", "marginal_decremental_price_eur_mwh", "robust", None),
+    ("local", "quality_validated", "none", None),
+    ("local", "delta_1_mw", "robust", None),
+    ("local", "delta_2_mw", "robust", None),
+    ("local", "acceleration_mw", "robust", None),
+    ("local", "ewm_5_mw", "robust", None),
+    ("local", "ewm_15_mw", "robust", None),
+    ("local", "ewm_60_mw", "robust", None),
+    ("local", "rolling_median_5_mw", "robust", None),
+    ("local", "rolling_median_15_mw", "robust", None),
+    ("local", "robust_scale_15_mw", "robust", None),
+    ("local", "robust_scale_60_mw", "robust", None),
+    ("local", "slope_5_mw_per_minute", "robust", None),
+    ("local", "slope_15_mw_per_minute", "robust", None),
+    ("local", "rolling_min_15_mw", "robust", None),
+    ("local", "rolling_max_15_mw", "robust", None),
+    ("local", "boundary_distance_mw", "robust", None),
+    ("local", "confirmed_state_sign", "none", None),
+    ("local", "state_duration_minutes", "log1p", None),
+    ("local", "imbalance_age_minutes", "log1p", 5),
+    ("context", "imbalance_mean_mw", "robust", None),
+    ("context", "imbalance_min_mw", "robust", None),
+    ("context", "imbalance_max_mw", "robust", None),
+    ("context", "imbalance_std_mw", "robust", None),
+    ("context", "imbalance_age_minutes", "log1p", 15),
+    ("context", "load_actual_mw", "robust", 30),
+    ("context", "load_forecast_mw", "robust", 60),
+    ("context", "load_error_mw", "robust", 30),
+    ("context", "load_actual_age_minutes", "log1p", 30),
+    ("context", "wind_actual_mw", "robust", 30),
+    ("context", "wind_forecast_mw", "robust", 60),
+    ("context", "wind_error_mw", "robust", 30),
+    ("context", "wind_forecast_spread_mw", "robust", 60),
+    ("context", "wind_actual_age_minutes", "log1p", 30),
+    ("context", "solar_actual_mw", "robust", 30),
+    ("context", "solar_forecast_mw", "robust", 60),
+    ("context", "solar_error_mw", "robust", 30),
+    ("context", "solar_forecast_spread_mw", "robust", 60),
+    ("context", "solar_actual_age_minutes", "log1p", 30),
+    ("static", "quarter_hour_phase_sin", "none", None),
+    ("static", "quarter_hour_phase_cos", "none", None),
+    ("static", "minute_phase_sin", "none", None),
+    ("static", "minute_phase_cos", "none", None),
+    ("static", "hour_phase_sin", "none", None),
+    ("static", "hour_phase_cos", "none", None),
+    ("static", "weekday_phase_sin", "none", None),
+    ("static", "weekday_phase_cos", "none", None),
+    ("static", "day_of_year_phase_sin", "none", None),
+    ("static", "day_of_year_phase_cos", "none", None),
+    ("static", "is_weekend", "none", None),
+    ("static", "is_belgian_holiday", "none", None),
+    ("static", "is_dst_transition", "none", None),
+]
 # Policies that the fingerprint names.
 POLICIES = {
     "source_profile": "imbalance-only-v1",
@@ -81,14 +75,13 @@ POLICIES = {
 
 
 def names(group: str) -> tuple[str, ...]:
-    return tuple(line.split()[0] for line in FEATURES[group].strip().splitlines())
+    return tuple(name for own, name, _, _ in FEATURES if own == group)
 
 
 def fingerprint(deadband: float, local_steps: int, bins: int, bin_steps: int, ewm, median, scale, slope) -> str:
     """SHA-256 of the contract as canonical JSON."""
-    listed = [(group, *line.split()) for group, text in FEATURES.items() for line in text.strip().splitlines()]
     body = {
-        **POLICIES, "features": [{"dtype": "float32", "group": g, "name": n, "scaling_kind": k, "max_source_age_minutes": None if age == "-" else int(age)} for g, n, k, age in listed],
+        **POLICIES, "features": [{"dtype": "float32", "group": g, "name": n, "scaling_kind": k, "max_source_age_minutes": age} for g, n, k, age in FEATURES],
         "deadband_mw": deadband, "local_window_minutes": local_steps, "context_steps": bins, "context_resolution_minutes": bin_steps,
         "ewm_windows": ewm, "median_windows": median, "robust_scale_windows": scale, "slope_windows": slope,
     }

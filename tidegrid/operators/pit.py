@@ -7,6 +7,7 @@ over a struct, which combines on the map side and keeps the winner's nulls.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,58 +64,115 @@ def canonical_outcomes(df: DataFrame) -> DataFrame:
     return latest_revision(df, ("prediction_event_id", "target_time"), ("row_version", "evaluated_at", "realized_event_id"))
 
 
-def settled_prefixes(obs: DataFrame, deadband: float, by: Sequence[str] = ("series",)) -> DataFrame:
-    """For each series and day: sign, since when, last observation at the day's end by the latest revisions, and ``settled``, when
-    the last revision of any step up to then came.  Whoever knows that much sees no other history."""
-    steps = obs.groupBy(*by, "timestamp").agg(F.max_by("system_imbalance_mw", F.struct(*RANK)).alias("v"), F.max("ingested_at").alias("seen")).withColumn("day", F.date_trunc("DAY", "timestamp"))
-    sign = F.when(F.col("v") > deadband, 1).when(F.col("v") < -deadband, -1)
-    inside = Window.partitionBy(*by, "day").orderBy("timestamp")
-    s = steps.withColumn("sign", sign).withColumn("was", F.last("sign", True).over(inside.rowsBetween(Window.unboundedPreceding, -1)))
-    at = F.when(F.col("sign").isNotNull(), F.col("timestamp"))
-    days = s.groupBy(*by, "day").agg(
-        F.min_by("sign", at).alias("first"), F.min(at).alias("first_at"), F.max_by("sign", at).alias("end"), F.max(F.when(F.col("was").isNotNull() & (F.col("sign") != F.col("was")), F.col("timestamp"))).alias("turned"),
-        F.max("timestamp").alias("last"), F.max("seen").alias("seen"),
-    )
-    w = Window.partitionBy(*by).orderBy("day")  # a row for each day
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    days = days.withColumn("before", F.last("end", True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    began = F.coalesce("turned", F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("before")), F.col("first_at")))
-    return days.select(*by, "day", F.last("end", True).over(upto).alias("p_sign"), F.last(began, True).over(upto).alias("p_since"), F.max("last").over(upto).alias("p_last"), F.max("seen").over(upto).alias("settled"))
-
-
-def state_seed(requests: DataFrame, obs: DataFrame, deadband: float, by: Sequence[str] = ("series",)) -> DataFrame:
+#: Blocks of days, each of so many of the level below.
+FANOUT_BITS = 3
+_DAY = 86400
+_STRETCH = "struct<first:int,first_at:timestamp,sign:int,since:timestamp,last:timestamp>"
+
+
+def _stretch(first, first_at, sign, since, last) -> Column:
+    return F.struct(first.alias("first"), first_at.alias("first_at"), sign.alias("sign"), since.alias("since"), last.alias("last")).cast(_STRETCH)
+
+
+def _then(a: Column, b: Column) -> Column:
+    """Two stretches of a series one after the other: first sign, last one and since when, last observation.  Null is no stretch."""
+    goes_on = F.coalesce((b["since"] == b["first_at"]) & (b["first"] == a["sign"]), F.lit(False))
+    since = F.when(b["sign"].isNull() | goes_on, a["since"]).otherwise(b["since"])
+    return _stretch(F.coalesce(a["first"], b["first"]), F.coalesce(a["first_at"], b["first_at"]), F.coalesce(b["sign"], a["sign"]), since, F.coalesce(b["last"], a["last"]))
+
+
+def _in_order(stretches: Column) -> Column:
+    return F.aggregate(stretches, F.lit(None).cast(_STRETCH), _then)
+
+
+def _collapsed(at: Column, start: Column, seconds: int) -> Column:
+    """What becomes known inside a span counts from its end on: whoever asks in between reads the span step by step."""
+    end = F.timestamp_seconds(F.unix_seconds(start) + seconds)
+    return F.when((at > start) & (at < end), end).otherwise(at)
+
+
+def day_summaries(intervals: DataFrame, deadband: float, by: Sequence[str] = ("series",), value: str = "system_imbalance_mw") -> tuple[DataFrame, int, int]:
+    """The table, its highest level, and the first block of that.
+
+    (by, level, block, valid_from, valid_to, stretch): what each day, and each block of 8, 64, ... days, held, by when it was known.
+
+    A day has a version at its end and one for each later change (and for what was known before it began); a block of days has a
+    version at its end and one for each change of its days after that.  So a correction adds a row to each level, and touches no
+    day but its own.  Days and blocks are counted from 1970.
+    """
+    sign = F.when(F.col(value) > deadband, 1).when(F.col(value) < -deadband, -1)
+    day = F.floor(F.unix_seconds("timestamp") / _DAY)
+    start = lambda block, days: F.timestamp_seconds(block * (days * _DAY))
+    steps = intervals.select(*by, day.alias("block"), F.struct("timestamp", sign.alias("sign"), "valid_from", "valid_to").alias("x"))
+    days = steps.groupBy(*by, "block").agg(F.array_sort(F.collect_list("x")).alias("xs"))  # revisions of one day of a series
+    versions = days.withColumn("seen", F.explode(F.array_distinct(F.transform("xs", lambda x: _collapsed(x["valid_from"], start(F.col("block"), 1), _DAY)))))
+    there = F.filter("xs", lambda x: (x["valid_from"] <= F.col("seen")) & (x["valid_to"].isNull() | (x["valid_to"] > F.col("seen"))))
+    at = lambda x: F.when(x["sign"].isNotNull(), x["timestamp"])
+    level = versions.select(*by, "block", "seen", _in_order(F.transform(there, lambda x: _stretch(x["sign"], at(x), x["sign"], at(x), x["timestamp"]))).alias("stretch"))
+    level = written(level, "days")
+    lo, hi = level.agg(F.min("block"), F.max("block")).first()
+    levels, n, depth = [level.withColumn("level", F.lit(0))], 1 << FANOUT_BITS, 0
+    while lo is not None and (hi >> FANOUT_BITS * depth) - (lo >> FANOUT_BITS * depth) >= n:
+        depth += 1
+        days_in = n**depth
+        up, child = F.shiftright("block", FANOUT_BITS), F.col("block").bitwiseAND(n - 1)
+        seen = _collapsed(F.col("seen"), start(up, days_in), days_in * _DAY)
+        newest = [F.max_by("stretch", F.when(child == k, F.col("seen"))).alias(f"c{k}") for k in range(n)]
+        known = [F.max(F.when(child == k, True)).alias(f"k{k}") for k in range(n)]
+        wide = level.groupBy(*by, up.alias("up"), seen.alias("at")).agg(*newest, *known)
+        w = Window.partitionBy(*by, "up").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # changes after the block's end
+        parts = F.array(*[F.last(F.when(F.col(f"k{k}"), F.col(f"c{k}")), True).over(w) for k in range(n)])
+        level = written(wide.select(*by, F.col("up").alias("block"), F.col("at").alias("seen"), parts.alias("parts")).select(*by, "block", "seen", _in_order(F.col("parts")).alias("stretch")), "blocks")
+        levels.append(level.withColumn("level", F.lit(depth)))
+    every = levels[0]
+    for more in levels[1:]:
+        every = every.unionByName(more)
+    w = Window.partitionBy(*by, "level", "block").orderBy("seen")
+    table = every.select(*by, "level", "block", F.col("seen").alias("valid_from"), F.lead("seen").over(w).alias("valid_to"), "stretch")
+    return table, depth, (lo or 0) >> FANOUT_BITS * depth
+
+
+def _numbered(level: int, block: Column) -> Column:
+    return F.struct(F.lit(level).alias("level"), block.alias("block"))
+
+
+def state_seed(requests: DataFrame, obs: DataFrame, deadband: float, by: Sequence[str] = ("series",), intervals: DataFrame | None = None) -> DataFrame:
     """For each request (request_id, series, before, knowledge): sign, since when, and last observation, as known then.
 
-    Days that no later revision has touched are taken from ``settled_prefixes``; only those after them are read step by step,
-    joined on series and day.  No request meets the whole history of its series, unless all of it was revised after its time.
+    Whole days before both times come from ``day_summaries``, seven blocks of each level at most, whatever was corrected, and when.  The
+    days of the two times themselves are read step by step, and steps that were known before their day began.
+    ``intervals`` are the validity intervals of ``obs``, if they are there already.
     """
-    days = written(settled_prefixes(obs, deadband, by), "prefixes")
-    near = written(requests.select("request_id", *by, "before", "knowledge").withColumn("d", F.date_trunc("DAY", "before")), "requests")
-
-    def latest(at_day: Column, at_request: str, name: str) -> DataFrame:
-        """The last day whose ``at_day`` is not after the request's column."""
-        nobody = F.lit(None).cast(near.schema["request_id"].dataType)
-        marks = days.select(*by, at_day.alias("at"), F.lit(0).alias("kind"), F.col("day").alias("c"), nobody.alias("request_id"))
-        asks = near.select(*by, F.col(at_request).alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("timestamp").alias("c"), "request_id")
-        w = Window.partitionBy(*by).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return marks.unionByName(asks).withColumn(name, F.max("c").over(w)).where("kind = 1").select("request_id", name)
-
-    near = near.join(latest(F.col("settled"), "knowledge", "c1"), "request_id").join(latest(F.date_add("day", 1).cast("timestamp"), "d", "c2"), "request_id")
-    first = days.groupBy(*by).agg(F.min("day").alias("first_day"))
-    near = near.withColumn("c", F.when(F.col("c1").isNotNull() & F.col("c2").isNotNull(), F.least("c1", "c2")))
-    near = near.join(days.select(*by, F.col("day").alias("c"), "p_sign", "p_since", "p_last"), [*by, "c"], "left").join(first, list(by), "left")
-    near = written(near, "seeds")
-    begin = F.coalesce(F.date_add("c", 1).cast("timestamp"), F.col("first_day"))
-    open_days = near.where(begin <= F.col("d")).withColumn("day", F.explode(F.sequence(begin, F.col("d"), F.expr("interval 1 day"))))
-    rows = obs.select(*by, "timestamp", *RANK, F.col("system_imbalance_mw").alias("v")).withColumn("day", F.date_trunc("DAY", "timestamp"))
-    seen = open_days.join(rows, [*by, "day"]).where((F.col("timestamp") <= F.col("before")) & (F.col("ingested_at") <= F.col("knowledge")))
-    steps = seen.groupBy("request_id", "timestamp").agg(F.max_by("v", F.struct(*RANK)).alias("v"), F.first("p_sign").alias("p_sign"))
+    value = "system_imbalance_mw"
+    iv = intervals if intervals is not None else written(validity_intervals(obs, [*by, "timestamp"], (value,)), "intervals")
+    iv = iv.select(*by, "timestamp", "valid_from", "valid_to", F.col(value).alias("v"))
+    blocks, top, least = day_summaries(iv.withColumnRenamed("v", value), deadband, by)
+    day = lambda c: F.floor(F.unix_seconds(c) / _DAY)
+    near = written(requests.select("request_id", *by, "before", "knowledge", day("before").alias("d"), day("knowledge").alias("k")).withColumn("n", F.least("d", "k")), "requests")
+    some = lambda a, b: F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
+    wanted = []
+    for depth in range(top + 1):
+        here = F.shiftright("n", FANOUT_BITS * depth)
+        first = F.lit(least).cast("bigint") if depth == top else F.shiftleft(F.shiftright("n", FANOUT_BITS * (depth + 1)), FANOUT_BITS)
+        wanted.append((depth, some(first, here)))
+    asked = near.select("request_id", *by, "knowledge", F.explode(F.concat(*[F.transform(blocks_of, partial(_numbered, depth)) for depth, blocks_of in wanted])).alias("w")).select("request_id", *by, "knowledge", "w.*")
+    met = pit_join(asked, blocks, [*by, "level", "block"]).where("stretch is not null")
+    begin = F.col("block") * F.pow(F.lit(float(1 << FANOUT_BITS)), F.col("level"))
+    whole = met.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct(begin.alias("begin"), "stretch"))).alias("xs")).select("request_id", _in_order(F.transform("xs", lambda x: x["stretch"])).alias("p"))
+    near = written(near.join(whole, "request_id", "left").select("request_id", *by, "before", "knowledge", "d", "k", F.col("p.sign").alias("p_sign"), F.col("p.since").alias("p_since"), F.col("p.last").alias("p_last")), "seeds")
+    valid = (F.col("timestamp") <= F.col("before")) & (F.col("valid_from") <= F.col("knowledge")) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("knowledge")))
+    open_days = near.withColumn("day", F.explode(F.array_distinct(F.array(F.least("d", "k"), "d"))))
+    columns = ["request_id", "timestamp", "v", "p_sign"]
+    steps = open_days.join(iv.withColumn("day", day("timestamp")), [*by, "day"]).where(valid).select(*columns)
+    early = iv.where(F.unix_seconds("valid_from") < day("timestamp") * _DAY)
+    between = (day("timestamp") > F.col("k")) & (day("timestamp") < F.col("d"))
+    steps = steps.unionByName(near.where("k + 1 < d").join(early, list(by)).where(valid & between).select(*columns))
     sign = F.when(F.col("v") > deadband, 1).when(F.col("v") < -deadband, -1)
-    w = Window.partitionBy("request_id").orderBy("timestamp")
-    signs = steps.where(sign.isNotNull()).withColumn("sign", sign).withColumn("was", F.coalesce(F.lag("sign").over(w), F.col("p_sign"), F.lit(0)))
-    states = signs.groupBy("request_id").agg(F.max_by("sign", "timestamp").alias("sign"), F.max(F.when(F.col("sign") != F.col("was"), F.col("timestamp"))).alias("since"))
-    last = steps.groupBy("request_id").agg(F.max("timestamp").alias("last"))
-    found = near.select("request_id", "p_sign", "p_since", "p_last").join(states, "request_id", "left").join(last, "request_id", "left")
+    w = Window.partitionBy("request_id").orderBy("timestamp")  # two days of steps
+    signs = steps.withColumn("sign", sign).withColumn("state", F.coalesce(F.last("sign", True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)), "p_sign"))
+    signs = signs.withColumn("was", F.coalesce(F.lag("state").over(w), F.col("p_sign"), F.lit(0)))
+    states = signs.groupBy("request_id").agg(F.max_by("state", "timestamp").alias("sign"), F.max(F.when(F.col("state") != F.col("was"), F.col("timestamp"))).alias("since"), F.max("timestamp").alias("last"))
+    found = near.select("request_id", "p_sign", "p_since", "p_last").join(states, "request_id", "left")
     found = found.select("request_id", F.coalesce("sign", "p_sign").alias("sign"), F.coalesce("since", "p_since").alias("state_since"), F.coalesce("last", "p_last").alias("last_observed_at"))
     return requests.join(found, "request_id", "left")
 

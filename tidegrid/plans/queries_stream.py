@@ -29,13 +29,41 @@ def _(spark, sf):
     return _run(J.deduplicated(_stream(twice, "polls")), "dedup").select("event_id")
 
 
-@query("st3_stateful_hysteresis", f"""{canonical_sql()}, s AS (SELECT series, t, v, last_value(CASE WHEN v > 10 THEN 1 WHEN v < -10 THEN -1 END IGNORE NULLS) OVER (PARTITION BY series ORDER BY t) AS sign FROM can) SELECT series, epoch_ms(t) AS t_ms, round(v, 4) + 0.0 AS v, CAST(sign AS INTEGER) AS sign FROM s""")
-def _(spark, sf):
-    from ..operators.pit import canonical_latest
+def in_batches(df, name, count):
+    """A file stream of ``count`` micro-batches, by the column ``batch``: four files each, written one batch after another."""
+    spark = df.sparkSession
+    path, own = shared_path(spark, name), df.drop("batch")
+    for i in range(count):
+        df.where(F.col("batch") == i).drop("batch").repartition(4).write.mode("append").parquet(path)
+    return spark.readStream.schema(own.schema).option("maxFilesPerTrigger", 4).parquet(path)
 
-    c = canonical_latest(observations(spark, sf)).select("series", "timestamp", "system_imbalance_mw")
-    out = _run(J.stateful_states(_stream(c, "canonical"), DEADBAND), "states")
-    return out.select("series", ms("timestamp", "t_ms"), r4("system_imbalance_mw", "v"), F.col("state_sign").alias("sign"))
+
+#: Rows of the last twelve hours of a batch that come with the next one, and rows of the first batch that come with the third.
+_THIRDS = f"""b AS (SELECT *, 3 * (epoch_ms(t) - lo) // (hi - lo + 1) AS third, lo + (hi - lo + 1) * (3 * (epoch_ms(t) - lo) // (hi - lo + 1) + 1) // 3 AS ends, hi FROM obs, (SELECT epoch_ms(min(t)) AS lo, epoch_ms(max(t)) AS hi FROM obs)),
+ told AS (SELECT *, third = 0 AND CAST(event_id AS BIGINT) % 41 = 0 AND epoch_ms(t) < ends - 3 * 86400000 AS behind FROM b)"""
+
+
+@query(
+    "st3_stateful_hysteresis",
+    f"""WITH {OBS}, {_THIRDS}, can AS (SELECT series, t, arg_max(v, rv) AS v, any_value(hi) AS hi FROM told WHERE NOT behind GROUP BY 1, 2),
+    s AS (SELECT *, last_value(CASE WHEN v > 10 THEN 1 WHEN v < -10 THEN -1 END IGNORE NULLS) OVER (PARTITION BY series ORDER BY t) AS sign FROM can),
+    c AS (SELECT *, CASE WHEN sign IS DISTINCT FROM lag(sign) OVER (PARTITION BY series ORDER BY t) THEN t END AS ch FROM s)
+    SELECT series, epoch_ms(t) AS t_ms, round(v, 4) + 0.0 AS v, CAST(sign AS INTEGER) AS sign, epoch_ms(last_value(ch IGNORE NULLS) OVER (PARTITION BY series ORDER BY t)) AS since_ms, false AS late FROM c QUALIFY epoch_ms(t) <= hi - 86400000
+    UNION ALL SELECT series, epoch_ms(t), round(v, 4) + 0.0, NULL, NULL, true FROM told WHERE behind""",
+)
+def _(spark, sf):
+    """All revisions in three batches: some a batch late, inside the delay, and stepped in order; some two batches late, and marked."""
+    o = observations(spark, sf).select("series", "timestamp", "system_imbalance_mw", "row_version", "event_id")
+    t = F.unix_millis("timestamp")
+    lo, hi = o.agg(F.min(t), F.max(t)).first()
+    third = F.floor(3 * (t - lo) / (hi - lo + 1)).cast("int")
+    ends = lo + F.floor((hi - lo + 1) * (third + 1) / 3)
+    i = F.col("event_id").cast("bigint")
+    behind, held = (third == 0) & (i % 41 == 0) & (t < ends - 3 * 86_400_000), (third < 2) & (i % 3 == 0) & (t >= ends - 43_200_000)
+    batch = F.when(behind, 2).when(held, third + 1).otherwise(third)
+    stream = in_batches(o.withColumn("batch", batch).drop("event_id"), "revisions", 3)
+    out = _run(J.stateful_states(stream, DEADBAND, "24 hours", "row_version"), "states")
+    return out.select("series", ms("timestamp", "t_ms"), r4("system_imbalance_mw", "v"), F.col("state_sign").alias("sign"), ms("state_since", "since_ms"), "late")
 
 
 @query(

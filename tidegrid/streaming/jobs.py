@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions.scalars import shift
 from ..functions.scratch import workers_find_package
@@ -57,40 +56,92 @@ def start_sink(envelopes: DataFrame, root: str, checkpoint: str):
     return deduplicated(envelopes).writeStream.foreachBatch(sink_batch(root)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-_STATE = "sign int, since timestamp, last timestamp"
-_OUT = "series string, timestamp timestamp, system_imbalance_mw double, state_sign int, state_since timestamp, last_observed_at timestamp"
-
-
-def _advance(deadband: float):
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        sign, since, last = state.get if state.exists else (None, None, None)
-        pdf = pd.concat(list(frames)).sort_values("timestamp", kind="stable")
-        t, v = pdf["timestamp"].reset_index(drop=True), pdf["system_imbalance_mw"].reset_index(drop=True)
-        # what each row says by itself, filled forward from what was carried over
-        own = pd.Series(np.select([v > deadband, v < -deadband], [1.0, -1.0], np.nan)).ffill()
-        signs = own if sign is None else own.fillna(float(sign))
-        before = signs.shift(1)
-        before.iloc[:1] = np.nan if sign is None else float(sign)
-        begun = t.where(signs.notna() & (signs != before)).ffill()
-        begun = begun if since is None else begun.fillna(pd.Timestamp(since))
-        at = lambda x: None if pd.isna(x) else pd.Timestamp(x).to_pydatetime()
-        state.update((None if pd.isna(signs.iloc[-1]) else int(signs.iloc[-1]), at(begun.iloc[-1]), at(t.iloc[-1])))
-        yield pd.DataFrame({"series": key[0], "timestamp": t, "system_imbalance_mw": v, "state_sign": signs.astype("Int32"), "state_since": begun, "last_observed_at": t})
+_OUT = "series string, timestamp timestamp, system_imbalance_mw double, state_sign int, state_since timestamp, last_observed_at timestamp, late boolean"
+_HELD = "at bigint, value double, rank string"
+_STATE = "sign int, since bigint, last bigint"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-    return run
 
+class OrderedStates(StatefulProcessor):
+    """Confirmed state of a series whose rows come late: rows wait until the watermark has passed them and are stepped in order.
 
-def stateful_states(stream: DataFrame, deadband: float) -> DataFrame:
-    """Confirmed state of each series, carried from batch to batch; rows of a batch are put in time order.
+    A map by time holds the rows that wait, so that of several revisions of a step the one of highest rank is stepped; a value holds the
+    sign, since when, and the last step.  A timer at a step's time fires once the watermark is beyond it.  Rows at or
+    before the last step can't be stepped any more: they come out at once, marked late, without a state.
+    """
 
-    State is one row for each series.  Corrections of earlier steps don't change it; they go to ``changed_steps``.
+    def __init__(self, deadband: float):
+        self.deadband = deadband
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.held = handle.getMapState("held", "at bigint", _HELD)
+        self.state = handle.getValueState("state", _STATE)
+
+    def _now(self) -> tuple:
+        return self.state.get() if self.state.exists() else (None, None, None)
+
+    @staticmethod
+    def _frame(key: tuple, rows: list[tuple]) -> pd.DataFrame:
+        at = lambda us: None if us is None else pd.Timestamp(us, unit="us")
+        cols = list(zip(*rows, strict=True)) or [[]] * 6
+        return pd.DataFrame({
+            "series": [key[0]] * len(rows), "timestamp": pd.Series([at(x) for x in cols[0]], dtype="datetime64[us]"), "system_imbalance_mw": pd.Series(cols[1], dtype="float64"), "state_sign": pd.Series(cols[2], dtype="Int32"),
+            "state_since": pd.Series([at(x) for x in cols[3]], dtype="datetime64[us]"), "last_observed_at": pd.Series([at(x) for x in cols[4]], dtype="datetime64[us]"), "late": pd.Series(cols[5], dtype="bool"),
+        })
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        last = self._now()[2]
+        late = []
+        for pdf in rows:
+            micros = pdf["timestamp"].astype("datetime64[us]").astype("int64")
+            for at, value, rank in zip(micros.tolist(), pdf["system_imbalance_mw"].tolist(), pdf["rank"].tolist(), strict=True):
+                if last is not None and at <= last:
+                    late.append((at, value, None, None, None, True))
+                    continue
+                mine = (at,)
+                if not self.held.containsKey(mine):
+                    self.handle.registerTimer(-(-at // 1000))
+                elif self.held.getValue(mine)[2] >= rank:
+                    continue
+                self.held.updateValue(mine, (at, value, rank))
+        if late:
+            yield self._frame(key, late)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        ready = sorted(v for _, v in self.held.iterator() if v[0] <= passed)
+        sign, since, last = self._now()
+        out = []
+        for at, value, _ in ready:
+            own = 1 if value > self.deadband else -1 if value < -self.deadband else sign
+            if own != sign:
+                sign, since = own, at
+            last = at
+            out.append((at, value, sign, since, last, False))
+            self.held.removeKey((at,))
+        if out:
+            self.state.update((sign, since, last))
+            yield self._frame(key, out)
+
+    def close(self) -> None:
+        pass
+
+
+def stateful_states(stream: DataFrame, deadband: float, delay: str = "0 seconds", rank: str | None = None) -> DataFrame:
+    """Confirmed state of each series in order of time, carried from batch to batch; rows up to ``delay`` behind the newest may come in any order.
+
+    State of a series is its rows within the delay and one row more.  A row comes out when the watermark has passed it; of rows of one
+    step, that of the highest ``rank`` (a long) counts.  Rows behind what was stepped come out with ``late`` set and no state, for
+    ``changed_steps``: they ask for snapshots of their own and change no state that was given out.
     """
-    workers_find_package(stream.sparkSession)
-    keyed = stream.select("series", "timestamp", "system_imbalance_mw")
-    return keyed.groupBy("series").applyInPandasWithState(_advance(deadband), _OUT, _STATE, "append", GroupStateTimeout.NoTimeout)
+    spark = stream.sparkSession
+    workers_find_package(spark)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)  # what transformWithState needs
+    order = F.format_string("%020d", F.col(rank)) if rank else F.lit("")
+    # the watermark stands on a copy that goes no further: rows behind it are marked, not dropped
+    keyed = stream.withColumn("__clock", F.col("timestamp")).withWatermark("__clock", delay).select("series", "timestamp", "system_imbalance_mw", order.alias("rank"))
+    return keyed.groupBy("series").transformWithStateInPandas(OrderedStates(deadband), _OUT, "Append", "EventTime")
 
 
 def outcome_stream(predictions: DataFrame, realised: DataFrame, delay: str = "2 hours", span: str = "interval 2 hours", by: tuple[str, ...] = ("series",)) -> DataFrame:
