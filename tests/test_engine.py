@@ -67,7 +67,7 @@ def test_two_level_scan_equals_one_window(spark):
     d = G.dense_grid(obs(spark, minutes(values)), ["series"])
     pick = ["timestamp", "state_sign", "state_since", "state_duration", "age"]
     one = W.states(d, ["series"], "system_imbalance_mw", 10.0).select(*pick)
-    two = W.two_level_states(d, ["series"], "system_imbalance_mw", 10.0, chunk="HOUR").select(*pick)
+    two = W.two_level_states(d, ["series"], "system_imbalance_mw", 10.0, chunk_seconds=3600).select(*pick)
     assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
 
 

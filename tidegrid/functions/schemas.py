@@ -75,15 +75,7 @@ class Registry:
     zone: str = "Europe/Brussels"
     static: tuple[str, ...] = contract.names("static")
 
-    @property
-    def local(self) -> tuple[str, ...]:
-        longest = max(self.median)
-        return (
-            "system_imbalance_mw", "ace_mw", "imbalance_price_eur_mwh", "marginal_incremental_price_eur_mwh", "marginal_decremental_price_eur_mwh", "quality_validated",
-            "delta_1_mw", "delta_2_mw", "acceleration_mw", *(f"ewm_{n}_mw" for n in self.ewm), *(f"rolling_median_{n}_mw" for n in self.median),
-            *(f"robust_scale_{n}_mw" for n in self.scale), *(f"slope_{n}_mw_per_minute" for n in self.slope), f"rolling_min_{longest}_mw", f"rolling_max_{longest}_mw",
-            "boundary_distance_mw", "confirmed_state_sign", "state_duration_minutes", "imbalance_age_minutes",
-        )
+    local: tuple[str, ...] = contract.names("local")
 
     @property
     def history_steps(self) -> int:

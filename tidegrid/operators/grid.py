@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import minute_range, shift
+from .scan import before_each, latest
 
 
 def dense_grid(df: DataFrame, by: Sequence[str] = ("series",), step_seconds: int = 60) -> DataFrame:
@@ -17,6 +18,24 @@ def dense_grid(df: DataFrame, by: Sequence[str] = ("series",), step_seconds: int
     return grid.join(df, [*by, "timestamp"], "left")
 
 
+def chunked_grid(df: DataFrame, chunk_steps: int, halo_steps: int, by: Sequence[str] = ("series",), step_seconds: int = 60) -> DataFrame:
+    """``dense_grid`` by chunks: each chunk's steps and the ``halo_steps`` before it, with ``chunk`` and whether a row is of the ``halo``.
+
+    A series' steps are laid out chunk by chunk, not in one row, and windows over (by, chunk) of at most halo_steps + 1 rows see all that
+    they would see over the series.
+    """
+    size = chunk_steps * step_seconds
+    ends = df.groupBy(*by).agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
+    number = lambda c: F.floor(F.unix_seconds(c) / size)
+    chunks = ends.select(*by, "lo", "hi", F.explode(F.sequence(number("lo"), number("hi"))).alias("chunk")).repartition(*by, "chunk")
+    start = F.timestamp_seconds(F.col("chunk") * size)
+    # steps count from the series' first one
+    first = F.when(F.col("lo") >= start, F.col("lo")).otherwise(shift(F.col("lo"), F.ceil((F.unix_seconds(start) - F.unix_seconds("lo")) / step_seconds) * step_seconds))
+    begin, stop = F.greatest(F.col("lo"), shift(first, -halo_steps * step_seconds)), F.least(F.col("hi"), shift(start, size - 1))
+    steps = chunks.withColumn("first", first).where(first <= stop).select(*by, "chunk", "first", F.explode(minute_range(begin, stop, step_seconds)).alias("timestamp"))
+    return steps.select(*by, "chunk", "timestamp", (F.col("timestamp") < F.col("first")).alias("halo")).join(df, [*by, "timestamp"], "left")
+
+
 def missing_steps(df: DataFrame, start, end, by: Sequence[str] = ("series",), step_seconds: int = 60) -> DataFrame:
     """Expected steps of [start, end] that a series lacks."""
     lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
@@ -67,9 +86,17 @@ def right_closed_bins(df: DataFrame, bin_steps: int = 15, by: Sequence[str] = ("
     return out.select(*by, shift(F.col("w.start"), size - step_seconds).alias("bin_end"), "mean", "min", "max", "std", "observed")
 
 
-def last_as_of(obs: DataFrame, ends: DataFrame, by: Sequence[str] = ("series",), end: str = "bin_end") -> DataFrame:
-    """Add ``last``, the time of the last observation at or before each end; null before the first."""
+def last_as_of(obs: DataFrame, ends: DataFrame, by: Sequence[str] = ("series",), end: str = "bin_end", bucket_seconds: int = 86400) -> DataFrame:
+    """Add ``last``, the time of the last observation at or before each end; null before the first.
+
+    Observations and ends are sorted inside buckets of time; what a bucket begins with is carried over from the buckets' own last
+    observations, a row for each, so that a long series is many tasks.
+    """
+    bucket = F.floor(F.unix_seconds(end) / bucket_seconds)
     seen = obs.select(*by, F.col("timestamp").alias(end), F.col("timestamp").alias("__seen"), F.lit(False).alias("__asks")).distinct()
     asks = ends.select(*by, end, F.lit(None).cast("timestamp").alias("__seen"), F.lit(True).alias("__asks"))
-    upto = Window.partitionBy(*by).orderBy(end).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return seen.unionByName(asks).withColumn("last", F.last("__seen", True).over(upto)).where("__asks").drop("__seen", "__asks")
+    both = seen.unionByName(asks).withColumn("__bucket", bucket)
+    carried = before_each(both.groupBy(*by, "__bucket").agg(F.max("__seen").alias("e")), by, "__bucket", "e", latest)
+    upto = Window.partitionBy(*by, "__bucket").orderBy(end).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = both.withColumn("last", F.last("__seen", True).over(upto)).where("__asks")
+    return inside.join(carried, [*by, "__bucket"], "left").withColumn("last", F.coalesce("last", "seed")).drop("__seen", "__asks", "__bucket", "seed")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scratch import written
+from . import stretches
 
 RANK = ("row_version", "ingested_at", "event_id")
 
@@ -67,24 +68,6 @@ def canonical_outcomes(df: DataFrame) -> DataFrame:
 #: Blocks of days, each of so many of the level below.
 FANOUT_BITS = 3
 _DAY = 86400
-_STRETCH = "struct<first:int,first_at:timestamp,sign:int,since:timestamp,last:timestamp>"
-
-
-def _stretch(first, first_at, sign, since, last) -> Column:
-    return F.struct(first.alias("first"), first_at.alias("first_at"), sign.alias("sign"), since.alias("since"), last.alias("last")).cast(_STRETCH)
-
-
-def _then(a: Column, b: Column) -> Column:
-    """Two stretches of a series one after the other: first sign, last one and since when, last observation.  Null is no stretch."""
-    goes_on = F.coalesce((b["since"] == b["first_at"]) & (b["first"] == a["sign"]), F.lit(False))
-    since = F.when(b["sign"].isNull() | goes_on, a["since"]).otherwise(b["since"])
-    return _stretch(F.coalesce(a["first"], b["first"]), F.coalesce(a["first_at"], b["first_at"]), F.coalesce(b["sign"], a["sign"]), since, F.coalesce(b["last"], a["last"]))
-
-
-def _in_order(stretches: Column) -> Column:
-    return F.aggregate(stretches, F.lit(None).cast(_STRETCH), _then)
-
-
 def _collapsed(at: Column, start: Column, seconds: int) -> Column:
     """What becomes known inside a span counts from its end on: whoever asks in between reads the span step by step."""
     end = F.timestamp_seconds(F.unix_seconds(start) + seconds)
@@ -108,7 +91,7 @@ def day_summaries(intervals: DataFrame, deadband: float, by: Sequence[str] = ("s
     versions = days.withColumn("seen", F.explode(F.array_distinct(F.transform("xs", lambda x: _collapsed(x["valid_from"], start(F.col("block"), 1), _DAY)))))
     there = F.filter("xs", lambda x: (x["valid_from"] <= F.col("seen")) & (x["valid_to"].isNull() | (x["valid_to"] > F.col("seen"))))
     at = lambda x: F.when(x["sign"].isNotNull(), x["timestamp"])
-    level = versions.select(*by, "block", "seen", _in_order(F.transform(there, lambda x: _stretch(x["sign"], at(x), x["sign"], at(x), x["timestamp"]))).alias("stretch"))
+    level = versions.select(*by, "block", "seen", stretches.in_order(F.transform(there, lambda x: stretches.stretch(x["sign"], at(x), x["sign"], at(x), x["timestamp"]))).alias("stretch"))
     level = written(level, "days")
     lo, hi = level.agg(F.min("block"), F.max("block")).first()
     levels, n, depth = [level.withColumn("level", F.lit(0))], 1 << FANOUT_BITS, 0
@@ -122,7 +105,7 @@ def day_summaries(intervals: DataFrame, deadband: float, by: Sequence[str] = ("s
         wide = level.groupBy(*by, up.alias("up"), seen.alias("at")).agg(*newest, *known)
         w = Window.partitionBy(*by, "up").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # changes after the block's end
         parts = F.array(*[F.last(F.when(F.col(f"k{k}"), F.col(f"c{k}")), True).over(w) for k in range(n)])
-        level = written(wide.select(*by, F.col("up").alias("block"), F.col("at").alias("seen"), parts.alias("parts")).select(*by, "block", "seen", _in_order(F.col("parts")).alias("stretch")), "blocks")
+        level = written(wide.select(*by, F.col("up").alias("block"), F.col("at").alias("seen"), parts.alias("parts")).select(*by, "block", "seen", stretches.in_order(F.col("parts")).alias("stretch")), "blocks")
         levels.append(level.withColumn("level", F.lit(depth)))
     every = levels[0]
     for more in levels[1:]:
@@ -158,7 +141,7 @@ def state_seed(requests: DataFrame, obs: DataFrame, deadband: float, by: Sequenc
     asked = near.select("request_id", *by, "knowledge", F.explode(F.concat(*[F.transform(blocks_of, partial(_numbered, depth)) for depth, blocks_of in wanted])).alias("w")).select("request_id", *by, "knowledge", "w.*")
     met = pit_join(asked, blocks, [*by, "level", "block"]).where("stretch is not null")
     begin = F.col("block") * F.pow(F.lit(float(1 << FANOUT_BITS)), F.col("level"))
-    whole = met.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct(begin.alias("begin"), "stretch"))).alias("xs")).select("request_id", _in_order(F.transform("xs", lambda x: x["stretch"])).alias("p"))
+    whole = met.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct(begin.alias("begin"), "stretch"))).alias("xs")).select("request_id", stretches.in_order(F.transform("xs", lambda x: x["stretch"])).alias("p"))
     near = written(near.join(whole, "request_id", "left").select("request_id", *by, "before", "knowledge", "d", "k", F.col("p.sign").alias("p_sign"), F.col("p.since").alias("p_since"), F.col("p.last").alias("p_last")), "seeds")
     valid = (F.col("timestamp") <= F.col("before")) & (F.col("valid_from") <= F.col("knowledge")) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("knowledge")))
     open_days = near.withColumn("day", F.explode(F.array_distinct(F.array(F.least("d", "k"), "d"))))

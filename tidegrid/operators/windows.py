@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.schemas import Registry
 from ..functions.scalars import steps_between
+from . import stretches
+from .scan import before_each
 
 
 def sign_of(value: Column, deadband: float) -> Column:
@@ -45,27 +47,25 @@ def states(df: DataFrame, part: Sequence[str], value: str, deadband: float, step
     return out.withColumn("age", steps_between(F.col("last_observed_at"), F.col("timestamp"), step_seconds)).drop("__raw", "__changed")
 
 
-def two_level_states(df: DataFrame, by: Sequence[str], value: str, deadband: float, step_seconds: int = 60, chunk: str = "DAY") -> DataFrame:
-    """``states`` for long series: each chunk is summarised, the summaries are scanned, and chunks start from their seeds.
+def chunk_seeds(inside: DataFrame, by: Sequence[str], chunk: str, value: str) -> DataFrame:
+    """(by, chunk, seed_sign, seed_since, seed_last): what holds before each chunk, from rows with the ``states`` of their chunk alone."""
+    known = F.when(F.col("state_sign").isNotNull(), F.col("timestamp"))
+    own = inside.groupBy(*by, chunk).agg(
+        F.min_by("state_sign", known).alias("first"), F.min(known).alias("first_at"), F.max_by("state_sign", known).alias("sign"), F.max_by("state_since", known).alias("since"),
+        F.max(F.when(F.col(value).isNotNull(), F.col("timestamp"))).alias("last"),
+    )
+    summary = own.select(*by, chunk, stretches.stretch(*[F.col(c) for c in ("first", "first_at", "sign", "since", "last")]).alias("e"))
+    found = before_each(summary, by, chunk, "e", stretches.then)
+    return found.select(*by, chunk, F.col("seed.sign").alias("seed_sign"), F.col("seed.since").alias("seed_since"), F.col("seed.last").alias("seed_last"))
+
 
-    No task sees a whole series, only its chunks' summaries.
+def two_level_states(df: DataFrame, by: Sequence[str], value: str, deadband: float, step_seconds: int = 60, chunk_seconds: int = 86400) -> DataFrame:
+    """``states`` for long series: each chunk is summarised, the summaries are scanned by blocks, and chunks start from their seeds.
+
+    No task sees a whole series, nor all its chunks.
     """
-    cut = df.withColumn("__chunk", F.date_trunc(chunk, "timestamp"))
-    inside = states(cut, [*by, "__chunk"], value, deadband, step_seconds)
-    first = F.min_by(F.struct("state_sign", "state_since"), F.when(F.col("state_sign").isNotNull(), F.col("timestamp"))).alias("first")
-    summary = inside.groupBy(*by, "__chunk").agg(
-        first, F.max_by("state_sign", F.when(F.col("state_sign").isNotNull(), F.col("timestamp"))).alias("end_sign"),
-        F.max_by("state_since", F.when(F.col("state_sign").isNotNull(), F.col("timestamp"))).alias("end_since"), F.max(F.when(F.col(value).isNotNull(), F.col("timestamp"))).alias("end_last"),
-    )
-    w = Window.partitionBy(*by).orderBy("__chunk")
-    s = summary.withColumn("before_sign", F.last("end_sign", True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    # the chunk's first sign may continue the one before, and then began there
-    fresh = F.when(F.col("first.state_sign").isNotNull() & ~F.col("first.state_sign").eqNullSafe(F.col("before_sign")), F.col("first.state_since"))
-    inner = F.when(F.col("end_since") > F.col("first.state_since"), F.col("end_since"))
-    s = s.withColumn("since", F.last(F.coalesce(inner, fresh), True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    seeds = s.select(
-        *by, "__chunk", F.col("before_sign").cast("int").alias("seed_sign"), F.lag("since").over(w).alias("seed_since"), F.last("end_last", True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("seed_last")
-    )
+    cut = df.withColumn("__chunk", F.floor(F.unix_seconds("timestamp") / chunk_seconds))
+    seeds = chunk_seeds(states(cut, [*by, "__chunk"], value, deadband, step_seconds), by, "__chunk", value)
     return states(cut.join(seeds, [*by, "__chunk"], "left"), [*by, "__chunk"], value, deadband, step_seconds, seeded=True).drop("__chunk", "seed_sign", "seed_since", "seed_last")
 
 

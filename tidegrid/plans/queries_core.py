@@ -62,10 +62,10 @@ def _(spark, sf):
     return P.window_known(observations(spark, sf), "2024-01-18", 40, KNOWN, STEP).select("series", ms("timestamp", "t_ms"), r4(V, "v"))
 
 
-def _requests(spark, sf):
-    """Two requests for each series and day, with different knowledge."""
+def _requests(spark, sf, lags=(0, 86400)):
+    """Requests for each series and day, with different knowledge."""
     days = observations(spark, sf).select("series", F.date_trunc("DAY", "timestamp").alias("before")).distinct()
-    lag = F.explode(F.array(F.lit(0), F.lit(86400)))
+    lag = F.explode(F.array(*map(F.lit, lags)))
     return days.select("series", "before", lag.alias("lag")).select(F.concat_ws("|", "series", F.date_format("before", "yyyyMMdd"), F.col("lag").cast("string")).alias("request_id"), "series", "before", S.shift(F.col("before"), F.col("lag")).alias("knowledge"))
 
 
@@ -85,6 +85,31 @@ def state_seed(spark, sf):
     return s.select("request_id", "series", "sign", ms("state_since", "since_ms"), ms("last_observed_at", "last_ms"))
 
 
+_CORRECTED = f"""{OBS}, obs2 AS (SELECT series, t, v, ingested_at, event_id, rv FROM obs UNION ALL SELECT series, t, -v, ingested_at + INTERVAL 40 DAY, event_id || 'c', rv + CAST(3456000000 AS BIGINT) * 1048576 FROM obs WHERE date_trunc('day', t) = TIMESTAMP '2024-01-01')"""
+
+
+def corrected(spark, sf):
+    """Observations, and a correction of each of the first day's forty days later."""
+    o = observations(spark, sf)
+    late = o.where(F.date_trunc("DAY", "timestamp") == F.lit("2024-01-01").cast("timestamp"))
+    changes = {V: -F.col(V), "ingested_at": F.timestamp_millis(F.unix_millis("ingested_at") + 3_456_000_000), "event_id": F.concat("event_id", F.lit("c")), "row_version": F.col("row_version") + 3_456_000_000 * 1048576}
+    return o.unionByName(late.withColumns(changes))
+
+
+@query(
+    "agg5_corrected_seed",
+    f"""WITH {_CORRECTED}, {_REQ.replace("(VALUES (0), (86400))", "(VALUES (0), (86400), (4320000))").replace("FROM obs)", "FROM obs2)")},
+    latest AS (SELECT request_id, t, arg_max(v, {{'a': rv, 'b': ingested_at, 'c': event_id}}) AS v FROM req JOIN obs2 USING (series) WHERE t <= before AND ingested_at <= knowledge GROUP BY 1, 2),
+    sg AS (SELECT *, lag(s, 1, 0) OVER (PARTITION BY request_id ORDER BY t) AS was FROM (SELECT request_id, t, CASE WHEN v > 10 THEN 1 WHEN v < -10 THEN -1 END AS s FROM latest) WHERE s IS NOT NULL),
+    st AS (SELECT request_id, arg_max(s, t) AS sign, max(CASE WHEN s <> was THEN t END) AS since FROM sg GROUP BY 1), la AS (SELECT request_id, max(t) AS last FROM latest GROUP BY 1)
+    SELECT request_id, series, CAST(sign AS INTEGER) AS sign, epoch_ms(since) AS since_ms, epoch_ms(last) AS last_ms FROM req LEFT JOIN st USING (request_id) LEFT JOIN la USING (request_id)""",
+)
+def _(spark, sf):
+    """Seeds when the first day is corrected last of all: days after it are read no more than before."""
+    s = P.state_seed(_requests(spark, sf, (0, 86400, 4_320_000)), corrected(spark, sf), DEADBAND)
+    return s.select("request_id", "series", "sign", ms("state_since", "since_ms"), ms("last_observed_at", "last_ms"))
+
+
 _IV = """run AS (SELECT series, t, ingested_at, max({'a': rv, 'b': ingested_at, 'c': event_id, 'v': v}) OVER (PARTITION BY series, t ORDER BY ingested_at RANGE UNBOUNDED PRECEDING) AS best FROM obs),
  one AS (SELECT series, t, ingested_at, any_value(best) AS best FROM run GROUP BY 1, 2, 3), ch AS (SELECT *, lag(best) OVER (PARTITION BY series, t ORDER BY ingested_at) AS was FROM one),
  iv AS (SELECT series, t, ingested_at AS valid_from, lead(ingested_at) OVER (PARTITION BY series, t ORDER BY ingested_at) AS valid_to, best.c AS event_id, best.v AS v FROM ch WHERE was IS NULL OR was <> best)"""
@@ -301,14 +326,29 @@ def _(spark, sf):
     return observations(spark, sf).select("event_id", S.validated(F.col("quality_status")).alias("ok"), I.canonical_json("series", "quality_status").alias("body"))
 
 
+_FULL = {
+    "system_imbalance_mw": ("v", "round(v, 4) + 0.0"), "ace_mw": ("ace", "round(ace, 4) + 0.0"), "imbalance_price_eur_mwh": ("price", "round(price, 4) + 0.0"), "marginal_incremental_price_eur_mwh": ("inc_price", "CAST(NULL AS DOUBLE)"),
+    "marginal_decremental_price_eur_mwh": ("dec_price", "round(dec_price, 4) + 0.0"), "quality_validated": ("validated", "CASE WHEN v IS NOT NULL THEN CASE WHEN lower(quality) = 'validated' THEN 1.0 ELSE 0.0 END END"),
+    "delta_1_mw": ("d1", "round(v - a, 4) + 0.0"), "delta_2_mw": ("d2", "round(v - b, 4) + 0.0"), "acceleration_mw": ("acc", "round((v - a) - (a - b), 4) + 0.0"),
+    **{f"ewm_{n}_mw": (f"e{n}", _ewm_sql(n)) for n in (5, 15, 60)}, **{f"rolling_median_{n}_mw": (f"m{n}", _median_sql(n)) for n in (5, 15)}, **{f"robust_scale_{n}_mw": (f"r{n}", _mad(n)) for n in (15, 60)},
+    **{f"slope_{n}_mw_per_minute": (f"s{n}", f"round({_full(f'regr_slope(v, i) {_over(n)}', n)} + 1e-9, 4) + 0.0") for n in (5, 15)},
+    "rolling_min_15_mw": ("lo", f"round({_full('min(v) ' + _over(15), 15)}, 4) + 0.0"), "rolling_max_15_mw": ("hi", f"round({_full('max(v) ' + _over(15), 15)}, 4) + 0.0"), "boundary_distance_mw": ("boundary", "round(abs(abs(v) - 10), 4)"),
+    "confirmed_state_sign": ("sign", "CAST(sign AS DOUBLE)"), "state_duration_minutes": ("duration", f"(epoch_ms(t) - epoch_ms(since)) / {STEP}000.0"), "imbalance_age_minutes": ("age", f"(epoch_ms(t) - epoch_ms(seen)) / {STEP}000.0"),
+}
+_NUDGED = ("robust_scale_15_mw", "robust_scale_60_mw", "slope_5_mw_per_minute", "slope_15_mw_per_minute")
+
+
 @query(
     "fea1_minute_features",
-    f"""{grid_sql(KNOWN)}, s1 AS (SELECT *, last_value(CASE WHEN v > 10 THEN 1 WHEN v < -10 THEN -1 END IGNORE NULLS) OVER w AS sign FROM grid WINDOW w AS (PARTITION BY series ORDER BY t))
-    SELECT series, epoch_ms(t) AS t_ms, round(v, 4) + 0.0 AS v, round(ace, 4) AS ace, CASE WHEN v IS NOT NULL THEN CASE WHEN lower(quality) = 'validated' THEN 1.0 ELSE 0.0 END END AS validated, {_ewm_sql(5)} AS ewm_5, {_median_sql(15)} AS median_15, CAST(sign AS DOUBLE) AS sign FROM s1""",
+    f"""{grid_sql(KNOWN)}, s1 AS (SELECT *, epoch_ms(t) / {STEP}000.0 AS i, lag(v, 1) OVER w AS a, lag(v, 2) OVER w AS b, last_value(CASE WHEN v > 10 THEN 1 WHEN v < -10 THEN -1 END IGNORE NULLS) OVER w AS sign, last_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER w AS seen,
+    {_mad_sql(15)}, {_mad_sql(60)} FROM grid WINDOW w AS (PARTITION BY series ORDER BY t)), s2 AS (SELECT *, CASE WHEN sign IS NOT NULL AND sign IS DISTINCT FROM lag(sign) OVER (PARTITION BY series ORDER BY t) THEN t END AS ch FROM s1),
+    s3 AS (SELECT *, last_value(ch IGNORE NULLS) OVER (PARTITION BY series ORDER BY t) AS since FROM s2)
+    SELECT series, epoch_ms(t) AS t_ms, {", ".join(f"{sql} AS {short}" for short, sql in _FULL.values())} FROM s3""",
 )
 def _(spark, sf):
-    f = N.minute_features(observations(spark, sf), KNOWN, REGISTRY)
-    return f.select("series", ms("timestamp", "t_ms"), r4(V, "v"), r4("ace_mw", "ace"), F.col("quality_validated").alias("validated"), r4("ewm_5_mw", "ewm_5"), r4("rolling_median_15_mw", "median_15"), F.col("confirmed_state_sign").alias("sign"))
+    """All local features, over chunks of ten days with the sixty steps before each."""
+    f = N.minute_features(observations(spark, sf), KNOWN, REGISTRY, chunk_steps=120)
+    return f.select("series", ms("timestamp", "t_ms"), *[r4(F.col(n) + 1e-9 if n in _NUDGED else n, short) for n, (short, _) in _FULL.items()])
 
 
 def snapshot_requests(spark, sf):

@@ -11,17 +11,25 @@ from ..functions import contract
 from ..functions.schemas import Registry
 from ..functions.scratch import written
 from ..functions.scalars import calendar, floor_steps, history_start, holidays, minute_range, shift, state_name, steps_between, with_holiday
-from ..operators.grid import dense_grid
+from ..operators.grid import chunked_grid
 from ..operators.pit import RANK, canonical_latest, pit_join, state_seed, validity_intervals
-from ..operators.windows import local_features
+from ..operators.windows import chunk_seeds, local_features, states
 
 RAW = ("system_imbalance_mw", "ace_mw", "imbalance_price_eur_mwh", "marginal_incremental_price_eur_mwh", "marginal_decremental_price_eur_mwh", "quality_status")
 
 
-def minute_features(obs: DataFrame, knowledge, reg: Registry, by: Sequence[str] = ("series",)) -> DataFrame:
-    """Local features of every step for one knowledge time, each computed once whatever the number of cutoffs."""
-    known = canonical_latest(obs.select(*by, "timestamp", *RANK, *RAW), [*by, "timestamp"], knowledge)
-    return local_features(dense_grid(known.select(*by, "timestamp", *RAW), by, reg.step_seconds), by, reg)
+def minute_features(obs: DataFrame, knowledge, reg: Registry, by: Sequence[str] = ("series",), chunk_steps: int = 1440) -> DataFrame:
+    """Local features of every step for one knowledge time, each computed once whatever the number of cutoffs.
+
+    Each chunk has the steps before it that the longest window reaches, and starts from what held before the chunk; no window is over a series.
+    """
+    known = canonical_latest(obs.select(*by, "timestamp", *RANK, *RAW), [*by, "timestamp"], knowledge).select(*by, "timestamp", *RAW)
+    halo = max(*reg.ewm, *reg.median, *reg.scale, *reg.slope, 3)
+    grid = chunked_grid(known, chunk_steps, halo, by, reg.step_seconds)
+    part = [*by, "chunk"]
+    alone = states(grid.where("not halo").select(*part, "timestamp", RAW[0]), part, RAW[0], reg.deadband, reg.step_seconds)
+    seeded = grid.join(chunk_seeds(alone, by, "chunk", RAW[0]), part, "left")
+    return local_features(seeded, part, reg, seeded=True).where("not halo").drop("halo", "chunk", "seed_sign", "seed_since", "seed_last")
 
 
 def _vector(names: Sequence[str], present: dict[str, Column]) -> tuple[Column, Column]:
