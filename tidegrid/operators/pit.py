@@ -74,32 +74,39 @@ def _collapsed(at: Column, start: Column, seconds: int) -> Column:
     return F.when((at > start) & (at < end), end).otherwise(at)
 
 
-def day_summaries(intervals: DataFrame, deadband: float, by: Sequence[str] = ("series",), value: str = "system_imbalance_mw") -> tuple[DataFrame, int, int]:
-    """The table, its highest level, and the first block of that.
+def _start(block: Column, days: int) -> Column:
+    return F.timestamp_seconds(block * (days * _DAY))
 
-    (by, level, block, valid_from, valid_to, stretch): what each day, and each block of 8, 64, ... days, held, by when it was known.
 
-    A day has a version at its end and one for each later change (and for what was known before it began); a block of days has a
-    version at its end and one for each change of its days after that.  So a correction adds a row to each level, and touches no
-    day but its own.  Days and blocks are counted from 1970.
+def day_level(intervals: DataFrame, deadband: float, by: Sequence[str] = ("series",), value: str = "system_imbalance_mw") -> DataFrame:
+    """(by, block, seen, stretch): what each day held, from when on; days are counted from 1970.
+
+    A day has a version at its end, one for each later change, and one for each change before it began.
     """
     sign = F.when(F.col(value) > deadband, 1).when(F.col(value) < -deadband, -1)
     day = F.floor(F.unix_seconds("timestamp") / _DAY)
-    start = lambda block, days: F.timestamp_seconds(block * (days * _DAY))
     steps = intervals.select(*by, day.alias("block"), F.struct("timestamp", sign.alias("sign"), "valid_from", "valid_to").alias("x"))
     days = steps.groupBy(*by, "block").agg(F.array_sort(F.collect_list("x")).alias("xs"))  # revisions of one day of a series
-    versions = days.withColumn("seen", F.explode(F.array_distinct(F.transform("xs", lambda x: _collapsed(x["valid_from"], start(F.col("block"), 1), _DAY)))))
+    versions = days.withColumn("seen", F.explode(F.array_distinct(F.transform("xs", lambda x: _collapsed(x["valid_from"], _start(F.col("block"), 1), _DAY)))))
     there = F.filter("xs", lambda x: (x["valid_from"] <= F.col("seen")) & (x["valid_to"].isNull() | (x["valid_to"] > F.col("seen"))))
     at = lambda x: F.when(x["sign"].isNotNull(), x["timestamp"])
-    level = versions.select(*by, "block", "seen", stretches.in_order(F.transform(there, lambda x: stretches.stretch(x["sign"], at(x), x["sign"], at(x), x["timestamp"]))).alias("stretch"))
-    level = written(level, "days")
+    return versions.select(*by, "block", "seen", stretches.in_order(F.transform(there, lambda x: stretches.stretch(x["sign"], at(x), x["sign"], at(x), x["timestamp"]))).alias("stretch"))
+
+
+def day_summaries(days: DataFrame, by: Sequence[str] = ("series",)) -> tuple[DataFrame, int, int]:
+    """From a stored ``day_level``: (by, level, block, valid_from, valid_to, stretch), its highest level, and the first block of that.
+
+    Above the days stand blocks of 8, 64, ... days.  A block has a version at its end and one for each change of its days after that: a
+    correction adds a row to each level, and touches no day but its own.
+    """
+    level = days
     lo, hi = level.agg(F.min("block"), F.max("block")).first()
     levels, n, depth = [level.withColumn("level", F.lit(0))], 1 << FANOUT_BITS, 0
     while lo is not None and (hi >> FANOUT_BITS * depth) - (lo >> FANOUT_BITS * depth) >= n:
         depth += 1
         days_in = n**depth
         up, child = F.shiftright("block", FANOUT_BITS), F.col("block").bitwiseAND(n - 1)
-        seen = _collapsed(F.col("seen"), start(up, days_in), days_in * _DAY)
+        seen = _collapsed(F.col("seen"), _start(up, days_in), days_in * _DAY)
         newest = [F.max_by("stretch", F.when(child == k, F.col("seen"))).alias(f"c{k}") for k in range(n)]
         known = [F.max(F.when(child == k, True)).alias(f"k{k}") for k in range(n)]
         wide = level.groupBy(*by, up.alias("up"), seen.alias("at")).agg(*newest, *known)
@@ -119,17 +126,18 @@ def _numbered(level: int, block: Column) -> Column:
     return F.struct(F.lit(level).alias("level"), block.alias("block"))
 
 
-def state_seed(requests: DataFrame, obs: DataFrame, deadband: float, by: Sequence[str] = ("series",), intervals: DataFrame | None = None) -> DataFrame:
+def state_seed(requests: DataFrame, obs: DataFrame, deadband: float, by: Sequence[str] = ("series",), intervals: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
     """For each request (request_id, series, before, knowledge): sign, since when, and last observation, as known then.
 
     Whole days before both times come from ``day_summaries``, seven blocks of each level at most, whatever was corrected, and when.  The
     days of the two times themselves are read step by step, and steps that were known before their day began.
-    ``intervals`` are the validity intervals of ``obs``, if they are there already.
+    ``intervals`` are the validity intervals of ``obs``, if they are there already; ``days`` a stored ``day_level`` of the whole
+    history: then ``obs`` needs to hold the days of the two times alone, and nothing known before its day.
     """
     value = "system_imbalance_mw"
     iv = intervals if intervals is not None else written(validity_intervals(obs, [*by, "timestamp"], (value,)), "intervals")
     iv = iv.select(*by, "timestamp", "valid_from", "valid_to", F.col(value).alias("v"))
-    blocks, top, least = day_summaries(iv.withColumnRenamed("v", value), deadband, by)
+    blocks, top, least = day_summaries(days if days is not None else written(day_level(iv.withColumnRenamed("v", value), deadband, by), "days"), by)
     day = lambda c: F.floor(F.unix_seconds(c) / _DAY)
     near = written(requests.select("request_id", *by, "before", "knowledge", day("before").alias("d"), day("knowledge").alias("k")).withColumn("n", F.least("d", "k")), "requests")
     some = lambda a, b: F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))

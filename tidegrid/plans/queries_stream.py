@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scratch import shared_path
 from ..streaming import jobs as J
-from .base import DEADBAND, OBS, PRED, STEP, canonical_sql, ms, observations, predictions, query, r4, realised
+from ..streaming.incremental import incremental_snapshots
+from .base import DEADBAND, OBS, PRED, REGISTRY, STEP, canonical_sql, ms, observations, predictions, query, r4, realised
 
 
 def _stream(df, name, files=4):
@@ -88,3 +89,34 @@ def _(spark, sf):
     return out.select("series", ms("bin_end", "bin_end_ms"), r4("mean", "mean"), "observed")
 
 
+
+
+_SIZE, _EVERY = REGISTRY.bin_steps * STEP, 12
+_DELIVERED = f"""{OBS}, every AS (SELECT series, t, v, ingested_at, event_id, rv FROM obs UNION ALL SELECT series, t, -v, ingested_at + INTERVAL 14 DAY, event_id || 'c', rv + CAST(1209600000 AS BIGINT) * 1048576 FROM obs WHERE CAST(event_id AS BIGINT) % 97 = 0),
+ e AS (SELECT *, least(2, 3 * (epoch_ms(ingested_at) - lo) // (hi - lo + 1)) AS batch FROM every, (SELECT epoch_ms(min(ingested_at)) AS lo, epoch_ms(max(ingested_at)) AS hi FROM obs))"""
+
+
+@query(
+    "st5_incremental_snapshots",
+    f"""WITH {_DELIVERED}, ch AS (SELECT DISTINCT series, t, ingested_at, batch FROM e),
+    near AS (SELECT series, t, ingested_at, batch, unnest(generate_series(((epoch_ms(t) // 1000 + {_EVERY * STEP} - 1) // {_EVERY * STEP}) * {_EVERY * STEP}, epoch_ms(t) // 1000 + {_SIZE * (REGISTRY.bins + 1)}, {_EVERY * STEP})) AS c FROM ch),
+    req AS (SELECT series, make_timestamp(c * 1000000) AS cutoff, batch, max(ingested_at) AS k FROM near WHERE (c // {_SIZE}) * {_SIZE} - {(REGISTRY.bins * REGISTRY.bin_steps - 1) * STEP} <= epoch_ms(t) // 1000 GROUP BY 1, 2, 3),
+    ask AS (SELECT * FROM req WHERE EXISTS (SELECT 1 FROM e WHERE e.series = req.series AND e.t = req.cutoff AND e.batch <= req.batch)),
+    seen AS (SELECT a.series, a.cutoff, a.batch, o.t, arg_max(o.v, o.rv) AS v FROM ask a JOIN e o ON o.series = a.series AND o.batch <= a.batch AND o.ingested_at <= a.k AND o.t <= a.cutoff AND o.t > a.cutoff - INTERVAL {REGISTRY.local_steps * STEP} SECOND GROUP BY 1, 2, 3, 4)
+    SELECT a.series, epoch_ms(a.cutoff) AS cutoff_ms, epoch_ms(a.k) AS knowledge_ms, CAST(a.batch AS INTEGER) AS batch, count(s.t) AS observed, round(coalesce(sum(s.v), 0), 2) + 0.0 AS total, round(max(CASE WHEN s.t = a.cutoff THEN s.v END), 4) + 0.0 AS latest
+    FROM ask a LEFT JOIN seen s ON s.series = a.series AND s.cutoff = a.cutoff AND s.batch = a.batch GROUP BY 1, 2, 3, 4""",
+)
+def _(spark, sf):
+    """Observations in three batches by their time of ingestion, with corrections two weeks late: each batch makes the snapshots it reaches."""
+    o = observations(spark, sf)
+    shift_ms = 14 * 86_400_000
+    late = o.where(F.col("event_id").cast("bigint") % 97 == 0)
+    changes = {"system_imbalance_mw": -F.col("system_imbalance_mw"), "ingested_at": F.timestamp_millis(F.unix_millis("ingested_at") + shift_ms), "event_id": F.concat("event_id", F.lit("c")), "row_version": F.col("row_version") + shift_ms * 1048576}
+    k = F.unix_millis("ingested_at")
+    lo, hi = o.agg(F.min(k), F.max(k)).first()
+    batch = F.least(F.lit(2), F.floor(3 * (k - lo) / (hi - lo + 1)).cast("int"))
+    stream = in_batches(o.unionByName(late.withColumns(changes)).withColumn("batch", batch), "observed", 3)
+    s = incremental_snapshots(stream, shared_path(spark, "snapshots"), shared_path(spark, "snapshots-checkpoint"), REGISTRY, _EVERY)
+    width = len(REGISTRY.local)
+    total = F.aggregate(F.filter("local_values", lambda x, i: i % width == 0), F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return s.select("series", ms("cutoff", "cutoff_ms"), ms("knowledge", "knowledge_ms"), F.col("batch").cast("int").alias("batch"), F.col("observed").cast("bigint").alias("observed"), (F.round(total, 2) + 0.0).alias("total"), r4("latest", "latest"))

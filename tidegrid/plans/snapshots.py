@@ -76,10 +76,10 @@ def _assemble(history: DataFrame, requests: DataFrame, reg: Registry, by: Sequen
     return out.withColumns({"model_eligible": eligible, "target_time": shift(F.col("cutoff"), reg.step_seconds), "created_at": F.col("knowledge"), "feature_schema_hash": F.lit(reg.fingerprint())}).drop("is_holiday")
 
 
-def _seeds(obs: DataFrame, requests: DataFrame, reg: Registry, by: Sequence[str], intervals: DataFrame | None = None) -> DataFrame:
+def _seeds(obs: DataFrame, requests: DataFrame, reg: Registry, by: Sequence[str], intervals: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
     start = history_start(F.col("cutoff"), reg.bins, reg.bin_steps, reg.step_seconds)
     asked = requests.select("request_id", *by, shift(start, -1).alias("before"), "knowledge")
-    return state_seed(asked, obs, reg.deadband, by, intervals).select("request_id", F.col("sign").alias("seed_sign"), F.col("state_since").alias("seed_since"), F.col("last_observed_at").alias("seed_last"))
+    return state_seed(asked, obs, reg.deadband, by, intervals, days).select("request_id", F.col("sign").alias("seed_sign"), F.col("state_since").alias("seed_since"), F.col("last_observed_at").alias("seed_last"))
 
 
 def _steps(requests: DataFrame, reg: Registry, by: Sequence[str]) -> DataFrame:
@@ -96,8 +96,11 @@ def snapshots(obs: DataFrame, requests: DataFrame, reg: Registry, by: Sequence[s
     return _assemble(history, requests, reg, by)
 
 
-def snapshots_pit(obs: DataFrame, requests: DataFrame, reg: Registry, by: Sequence[str] = ("series",)) -> DataFrame:
-    """Replay form for many (cutoff, knowledge): revisions become validity intervals once, and each step takes the one valid at its K."""
+def snapshots_pit(obs: DataFrame, requests: DataFrame, reg: Registry, by: Sequence[str] = ("series",), days: DataFrame | None = None) -> DataFrame:
+    """Replay form for many (cutoff, knowledge): revisions become validity intervals once, and each step takes the one valid at its K.
+
+    With a stored ``day_level`` of the whole history, ``obs`` needs no more than the steps that the requests look at (see ``state_seed``).
+    """
     intervals = written(validity_intervals(obs, [*by, "timestamp"], RAW), "intervals")
     history = pit_join(_steps(requests, reg, by), intervals, [*by, "timestamp"]).drop("valid_from", "valid_to", "event_id", "row_version")
-    return _assemble(history.join(_seeds(obs, requests, reg, by, intervals), "request_id"), requests, reg, by)
+    return _assemble(history.join(_seeds(obs, requests, reg, by, intervals, days), "request_id"), requests, reg, by)
