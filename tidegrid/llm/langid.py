@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType
 
 from . import textops as X
-from .common import with_kernel, with_row_id, workers_find_package
+from .common import with_kernel, workers_find_package
 
 #: Bounds of the labelled sample: so many rows of a language and so many characters of each.  All languages together have
 #: SAMPLE characters at most: with many of them, each has an equal share, and none is left out.
@@ -233,23 +233,24 @@ def fit(docs: DataFrame) -> list[Reference]:
     """Labelled text of each language from rows with text and lang that are not held out.
 
     Of each language, two times ROWS rows at most come to the driver, ROW_CHARS characters of each: those with the smallest
-    hash of doc_id, text and the row's number in this scan, so that rows without doc_id and repeated ones are drawn as any
-    others.  The first half is learned from, with the second the language's own bits a byte are measured.  SAMPLE bounds
+    hash of doc_id and text, rows that are equal in both counted once, so that the sample follows from the rows alone, however they
+    lie in files and partitions.  The first half is learned from, with the second the language's own bits a byte are measured.  SAMPLE bounds
     the characters of all languages; their number doesn't grow with the documents, and neither do the automata.
     """
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id"), text.alias("text"), F.col("lang").cast("string").alias("lang")).where("lang is not null and text is not null").where(~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.withColumn("order", F.xxhash64("doc_id", "text"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("order").alias("n")).collect()}
     if not counts:
         return []
     share = max(1, SAMPLE // len(counts))
     chars = min(ROW_CHARS, share)
     wanted = max(1, min(ROWS, share // chars))
     # a fraction that leaves about four times as many rows as are wanted, then the smallest hashes of those
-    order = F.xxhash64("doc_id", F.substring("text", 1, 64), "number")
-    part = F.element_at(F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, 8.0 * wanted / n + 1e-9))]), F.col("lang"))
-    picked = with_row_id(rows, "number").withColumn("order", order).withColumn("share", part).where((F.col("share") >= 1) | ((F.shiftrightunsigned("order", 11) / F.lit(float(1 << 53))) < F.col("share")))
-    picked = picked.select("lang", F.struct("order", F.expr(f"substring(text, cast(floor(length(text) * pmod(order, 1000) / 1250) as int) + 1, {chars})").alias("part")).alias("x"))
+    part = F.element_at(F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, 8.0 * wanted / max(1, n) + 1e-9))]), F.col("lang"))
+    picked = rows.withColumn("share", part).where((F.col("share") >= 1) | ((F.shiftrightunsigned("order", 11) / F.lit(float(1 << 53))) < F.col("share")))
+    picked = picked.groupBy("lang", "order").agg(F.min(F.expr(f"substring(text, cast(floor(length(text) * pmod(order, 1000) / 1250) as int) + 1, {chars})")).alias("part"))
+    picked = picked.select("lang", F.struct("order", "part").alias("x"))
     chosen = picked.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list("x")), 1, 2 * wanted).alias("xs")).orderBy("lang").collect()
     learned, others = {}, {}
     for r in chosen:
