@@ -149,6 +149,16 @@ def test_preferences(spark):
 
 
 # 4
+def test_language_sample_follows_from_the_rows_alone(spark, tmp_path):
+    rows = [(i, prose(i, 30, ("the", "ing", "er") if i % 2 else ("ñu", "ció", "que")), ("aa", "bb")[i % 2 == 0]) for i in range(700)] + [(7, prose(7, 30, ("the", "ing", "er")), "aa")] * 500 + [(None, None, "aa")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    for name, n in (("a", 1), ("b", 13)):
+        df.repartition(n, "text").write.parquet(f"file:{tmp_path}/{name}")
+    fitted = [langid.fit(spark.read.parquet(f"file:{tmp_path}/{name}")) for name in "ab"]
+    fitted.append(langid.fit(spark.read.parquet(f"file:{tmp_path}/a").coalesce(1).orderBy(F.desc("doc_id"))))
+    assert [[(r.lang, r.text, r.rate) for r in f] for f in fitted] == [[(r.lang, r.text, r.rate) for r in fitted[0]]] * 3 and len(fitted[0]) == 2
+
+
 def test_language_id(spark, none):
     tongues = {"aa": ("the", "ing", "er", "an"), "bb": ("ñu", "ció", "que", "os"), "cc": ("sch", "ung", "ße", "ein")}
     rows = [(i, prose(i, 40, tongues[lang]), lang) for i, lang in enumerate(sorted(tongues) * 60)]
@@ -433,27 +443,50 @@ def brute_repeats(rows):
     seen: set = set()
     for rank, text in rows:
         t = text or ""
-        units, last, prev, capital = [], None, None, False
-        for i, m in enumerate(SPACED.finditer(t)):
-            w = m.group()
-            upper = "A" <= w[0] <= "Z" or "À" <= w[0] <= "Þ"
-            hard = prev is None or "\n" in t[prev.end() : m.start()]
-            if hard or ((prev.group()[-1] in ".!?" or (upper and not capital)) and i - last >= linededup.MIN_UNIT):
-                units.append([])
-                last = i
-            units[-1].append(m)
-            prev, capital = m, upper
+        lines: list[list] = []
+        for m in SPACED.finditer(t):
+            if not lines or "\n" in t[lines[-1][-1].end() : m.start()]:
+                lines.append([])
+            lines[-1].append(m)
+        units, whole, several = [], [], []
+        for line in lines:
+            parts, last, capital = [[line[0]]], 0, False
+            capital = "A" <= line[0].group()[0] <= "Z" or "À" <= line[0].group()[0] <= "Þ"
+            for i, (before, m) in enumerate(zip(line, line[1:], strict=False), 1):
+                upper = "A" <= m.group()[0] <= "Z" or "À" <= m.group()[0] <= "Þ"
+                if (before.group()[-1] in ".!?" or (upper and not capital)) and i - last >= linededup.MIN_UNIT:
+                    parts.append([])
+                    last = i
+                parts[-1].append(m)
+                capital = upper
+            if 1 < len(parts) and len(line) < linededup.MIN_RUN:
+                several.append((len(units), len(units) + len(parts), line))
+            units += parts
+            whole += [len(parts) == 1] * len(parts)
         flags = []
         for u in units:
             k = " ".join(m.group() for m in u).translate(LOW)
             flags.append(k in seen)
             seen.add(k)
+        for a, b, line in several:
+            k = " ".join(m.group() for m in line).translate(LOW)
+            if k in seen:
+                flags[a:b] = whole[a:b] = [True] * (b - a)
+            seen.add(k)
+        i = 0
+        while i < len(units):
+            j = i
+            while j < len(units) and flags[j]:
+                j += 1
+            if sum(map(len, units[i:j])) < linededup.MIN_RUN:
+                flags[i:j] = [bool(x) for x in whole[i:j]]
+            i = max(j, i + 1)
         spans, i = [], 0
         while i < len(units):
             j = i
             while j < len(units) and flags[j]:
                 j += 1
-            if j > i and sum(map(len, units[i:j])) >= linededup.MIN_RUN:
+            if j > i:
                 spans.append((units[i][0].start(), units[j][0].start() if j < len(units) else len(t)))
             i = max(j, i + 1)
         kept, at = "", 0
@@ -471,11 +504,23 @@ def test_line_dedup(docs, none):
     assert linededup.remove_repeats(none).count() == 0
 
 
-def test_repeated_short_lines_go_whatever_stands_beside_them(spark):
-    lines = ["four words are enough", "this line of nine words is in both documents"]
-    df = spark.createDataFrame([(i, "\n".join([prose(300 + 2 * i, 15).replace("\n", ""), lines[0], prose(301 + 2 * i, 15).replace("\n", ""), lines[1]])) for i in range(3)], "doc_id bigint, text string")
-    kept = {r["doc_id"]: r["kept_text"] for r in linededup.remove_repeats(df).collect()}
-    assert [[line in kept[i].split("\n") for line in lines] for i in range(3)] == [[True, True], [False, False], [False, False]]
+@pytest.mark.parametrize("from_words", [False, True])
+def test_repeated_lines_go_whatever_their_length_and_what_stands_beside_them(spark, from_words):
+    lines = ["share", "share this", "four words are enough", "this line of nine words is in both documents"]
+    own = lambda i, k: prose(300 + 4 * i + k, 15).replace("\n", "")
+    df = spark.createDataFrame([(i, "\n".join(x for k, line in enumerate(lines) for x in (own(i, k), line))) for i in range(3)], "doc_id bigint, text string")
+    kept = {r["doc_id"]: r["kept_text"] for r in linededup.remove_repeats(df, from_words).collect()}
+    assert [[line in kept[i].split("\n") for line in lines] for i in range(3)] == [[True] * 4, [False] * 4, [False] * 4]
+    assert all(own(i, k) in kept[i] for i in range(3) for k in range(4))
+
+
+def test_short_wordings_inside_lines_stay(spark):
+    """Parts of long lines that come again by chance are no passages."""
+    phrase = "once upon a time there was"
+    rows = [(i, prose(800 + i, 30).replace("\n", "").replace(".", "") + f". {phrase.capitalize()}. " + prose(900 + i, 30).replace("\n", "")) for i in range(4)]
+    for from_words in (False, True):
+        got = linededup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), from_words).collect()
+        assert all(r["kept_text"] == dict(rows)[r["doc_id"]] and not r["removed"] for r in got)
 
 
 @pytest.mark.parametrize("syllables", [("the", "on", "er", "in"), ("αν", "το", "κα", "ρι"), ("ста", "но", "ва", "ли")])
@@ -739,7 +784,7 @@ def test_pipeline_is_its_stages_one_after_another(spark, tmp_path):
     tongues = {"aa": ("the", "ing", "er", "an"), "bb": ("ñu", "ció", "que", "os")}
     texts = [(i, prose(7000 + i, 90, tongues["aa" if i % 2 else "bb"]), "aa" if i % 2 else "bb") for i in range(60)]
     texts += [(100, texts[3][1] + " more", "aa"), (101, texts[4][1], "bb"), (101, texts[4][1], "bb"), (None, texts[5][1], "aa"), (102, None, "aa"), (103, "", None), (104, "123 !!", None), (105, prose(42, 200, ("дж", "щэ", "ёх")), None)]
-    texts += [(106, prose(8000, 20, tongues["aa"]) + " " + " ".join(prose(1, 120).split(" ")[10:40]), "aa"), (107, prose(8001, 40, tongues["aa"]) + "\n" + texts[7][1].replace("\n", " "), "aa"), (108, None, None)]
+    texts += [(106, prose(8000, 20, tongues["aa"]) + " " + " ".join(prose(1, 120).split(" ")[10:40]), "aa"), (107, prose(8001, 40, tongues["aa"]) + "\n" + texts[7][1], "aa"), (108, None, None)]
     docs = [(d, t, lang, "s", None if t is None else len(t), "clash") for d, t, lang in texts]
     kind = "doc_id bigint, text string, lang string, source string, n_chars bigint, uid string"
     spark.createDataFrame(docs, kind).repartition(3).write.parquet(f"file:{tmp_path}/documents.parquet")

@@ -1,16 +1,20 @@
-"""Removal of repeated lines and sentences by hashed units.
+"""Removal of repeated lines and passages by hashed units.
 
-A unit is a line, or a part of one that ends after ``.``, ``!`` or ``?`` or begins with a capital after a lower-case word, so
-that a passage set into another's line is found; within a line a unit has four words at least.  With ``from_words`` the
-cuts follow from the words beside them alone, so that equal passages have equal units in any host and script.  Units are normalised (A-Z in
-lower case, white space as one blank), their digests grouped over all documents, and all but the earliest by (doc_id,
-row, place) are repeats.  All repeats are taken out but runs of fewer than MIN_RUN words, which no full unit can be; spans keep the original offsets.
+A unit is a line, or a part of one that ends after ``.``, ``!`` or ``?`` or begins with a capital after a lower-case word, so that a
+passage set into another's line is found; within a line a unit has four words at least.  With ``from_words`` the cuts follow
+from the words beside them alone, so that equal passages have equal units in any host and script.  A line of several units
+and fewer than MIN_RUN words is a unit besides.  Units are normalised (A-Z in lower case, white space as one blank), their digests
+grouped over all documents, and all but the earliest by (doc_id, row, place) are repeats.  Every repeated line is taken out,
+whatever its length; repeated parts of lines are taken out where they and the repeats beside them make a run of MIN_RUN
+words, since shorter wordings come again by chance, and the more so the more text there is.  A passage that stands in other lines elsewhere is found by lines' parts alone.  Spans
+keep the original offsets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +26,8 @@ from . import textops as X
 from .common import ROW, intermediate, numbered, require_integer, returned, stored, with_kernel, with_numbers, workers_find_package
 
 U64 = np.uint64
-MIN_UNIT, MIN_RUN = 4, 4
+#: Words of a part of a line, and of repeated units together of which parts of lines are taken out.
+MIN_UNIT, MIN_RUN = 4, 20
 #: Words on either side below whose hashes one must lie to begin a unit ``from_words``.
 BESIDE = 3
 #: Bytes of text whose units are looked through for repeats before they are sent.
@@ -49,12 +54,34 @@ def _least_cuts(data: np.ndarray, w: X.Words, line: np.ndarray, soft: np.ndarray
     return cut | least
 
 
-def units(data: np.ndarray, off: np.ndarray, from_words: bool = False) -> tuple[X.Words, np.ndarray, np.ndarray]:
-    """Words, the first word of each unit, and n + 1 unit indexes at which the texts begin."""
+class Units(NamedTuple):
+    words: X.Words
+    begin: np.ndarray  #: first word of each unit
+    cut: np.ndarray  #: n + 1 unit indexes at which the texts begin
+    whole: np.ndarray  #: whether a unit is a whole line
+    lines: np.ndarray  #: first unit of each line of several units and fewer than MIN_RUN words
+    ends: np.ndarray  #: the unit after its last
+    line_cut: np.ndarray  #: n + 1 indexes of such lines at which the texts begin
+
+
+def _found(w: X.Words, line: np.ndarray, begin: np.ndarray) -> Units:
+    n = len(w.start)
+    stop = np.append(begin[1:], n)
+    starts = line[begin]
+    first = np.flatnonzero(starts)
+    after = np.append(first[1:], len(begin))
+    several = (after - first > 1) & (np.append(begin, n)[after] - begin[first] < MIN_RUN)
+    first, after = first[several], after[several]
+    return Units(w, begin, np.searchsorted(begin, w.first), starts & np.append(line, True)[stop], first, after, np.searchsorted(begin[first], w.first))
+
+
+def units(data: np.ndarray, off: np.ndarray, from_words: bool = False) -> Units:
+    """The units of each text, and its lines that are units besides."""
     w = X.words(data, off, X.table("spaced"))
     n = len(w.start)
     if not n:
-        return w, np.zeros(0, np.int64), np.zeros(len(off), np.int64)
+        none = np.zeros(0, np.int64)
+        return Units(w, none, np.zeros(len(off), np.int64), np.zeros(0, bool), none, none, np.zeros(len(off), np.int64))
     first = np.zeros(n, bool)
     first[w.first[:-1][w.counts > 0]] = True
     breaks = np.concatenate([[0], np.cumsum(data == 10)])
@@ -67,8 +94,7 @@ def units(data: np.ndarray, off: np.ndarray, from_words: bool = False) -> tuple[
     soft = np.zeros(n, bool)
     soft[1:] = ends[:-1] | (capital[1:] & ~capital[:-1])
     if from_words:
-        begin = np.flatnonzero(_least_cuts(data, w, line, soft))
-        return w, begin, np.searchsorted(begin, w.first)
+        return _found(w, line, np.flatnonzero(_least_cuts(data, w, line, soft)))
     # within a line, a cut counts only MIN_UNIT words or more after the one before
     cut = line.copy()
     last = -1
@@ -76,14 +102,12 @@ def units(data: np.ndarray, off: np.ndarray, from_words: bool = False) -> tuple[
         if hard or i - last >= MIN_UNIT:
             cut[i] = True
             last = i
-    begin = np.flatnonzero(cut)
-    return w, begin, np.searchsorted(begin, w.first)
+    return _found(w, line, np.flatnonzero(cut))
 
 
-def _digests(data: np.ndarray, w: X.Words, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    low = X.lowered(data)
-    h = X.span_hash(X.prefix_codes(low), w.start, w.end)
-    end, n = np.append(begin[1:], len(h)), len(h)
+def _digests(data: np.ndarray, w: X.Words, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    h = X.span_hash(X.prefix_codes(X.lowered(data)), w.start, w.end)
+    n = len(h)
     out = []
     for salt in (0, 0x5851F42D4C957F2D):
         c = np.zeros(n + 1, U64)
@@ -96,12 +120,16 @@ def _rows(from_words: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
     """A row for each unit; of equal ones in a block, only the earliest carries its digest, the others are known repeats."""
     for batch in batches:
         for part, raw, off in X.blocks(batch, "text", _BLOCK):
-            w, begin, cut = units(raw, off, from_words)
-            if not len(begin):
+            u = units(raw, off, from_words)
+            if not len(u.begin):
                 continue
-            a, b = _digests(raw, w, begin)
-            doc = np.repeat(np.arange(len(off) - 1), np.diff(cut))
-            pos = np.arange(len(begin)) - cut[doc]
+            edge = np.append(u.begin, len(u.words.start))
+            a, b = _digests(raw, u.words, np.append(u.begin, u.begin[u.lines]), np.append(edge[1:], edge[u.ends]))
+            texts = np.arange(len(off) - 1)
+            doc, own = np.repeat(texts, np.diff(u.cut)), np.repeat(texts, np.diff(u.line_cut))
+            # a text's lines count on after its units
+            pos = np.append(np.arange(len(doc)) - u.cut[doc], np.arange(len(own)) - u.line_cut[own] + np.diff(u.cut)[own])
+            doc = np.append(doc, own)
             ids = part.column("doc_id")
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             rank = np.lexsort((np.arange(len(ids)), ids.fill_null(0).to_numpy(zero_copy_only=False), ~known))
@@ -121,26 +149,39 @@ def _rows(from_words: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
 _CUT = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
 
 
+def _runs(flagged: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First unit and end of each run of equal flags in one text."""
+    new = np.ones(len(flagged), bool)
+    new[1:] = (flagged[1:] != flagged[:-1]) | (doc[1:] != doc[:-1])
+    at = np.flatnonzero(new)
+    return at, np.append(at, len(flagged))[1:]
+
+
 def _remove(from_words: bool, column: str, repeats_column: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, raw, off in X.blocks(batch, column):
-            w, begin, cut = units(raw, off, from_words)
+            u = units(raw, off, from_words)
+            w, begin, cut = u.words, u.begin, u.cut
             stop = np.append(begin[1:], len(w.start))
             size = stop - begin
             repeats = part.column(repeats_column)
-            flagged = np.zeros(len(begin) + 1, bool)
+            flagged, lined = np.zeros(len(begin), bool), np.zeros(len(begin) + 1, np.int64)
             for i, r in enumerate(repeats):
                 if r.is_valid:
-                    flagged[cut[i] + np.array(r.values.to_numpy(zero_copy_only=False), np.int64)] = True
-            flagged = flagged[:-1]
+                    at = np.array(r.values.to_numpy(zero_copy_only=False), np.int64)
+                    many = cut[i + 1] - cut[i]
+                    flagged[cut[i] + at[at < many]] = True
+                    again = u.line_cut[i] + at[at >= many] - many
+                    np.add.at(lined, u.lines[again], 1)
+                    np.add.at(lined, u.ends[again], -1)
+            lined = np.cumsum(lined[:-1]) > 0
+            flagged |= lined
             doc = np.repeat(np.arange(len(off) - 1), np.diff(cut))
-            # runs of consecutive repeats of one text, and their words
-            new = np.ones(len(begin), bool)
-            new[1:] = (flagged[1:] != flagged[:-1]) | (doc[1:] != doc[:-1])
-            at = np.flatnonzero(new)
-            many = np.add.reduceat(size, at) if len(at) else size
-            ends = np.append(at, len(begin))[1:]
-            runs = [(int(a), int(b)) for a, b, n in zip(at, ends, many, strict=True) if flagged[a] and n >= MIN_RUN]
+            # of runs of consecutive repeats of one text, long ones go whole, of others the lines
+            at, ends = _runs(flagged, doc)
+            if len(at):
+                flagged &= u.whole | lined | np.repeat(np.add.reduceat(size, at) >= MIN_RUN, ends - at)
+            runs = [(int(a), int(b)) for a, b in zip(*_runs(flagged, doc), strict=True) if flagged[a]]
             chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
             spans: list[list] = [[] for _ in range(len(off) - 1)]
             gone, words = np.zeros(len(off) - 1, np.int64), np.zeros(len(off) - 1, np.int64)
