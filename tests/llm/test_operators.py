@@ -197,8 +197,8 @@ def test_warc(spark):
     big = "<p>" + "é" * 200 + "</p>"
     pages = [(3, "http://a/\r\nX: y", big), (1, None, big), (2, "http://b", "small"), (4, "http://c", "small"), (5, "u", None), (6, "u", ""), (7, "u", prose(3, 4000)), (1, None, big), (None, "n", big), (8, "u", "z" * 300_000)]
     df = spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("digest", F.lit("clash"))
-    folder, manifest = warc.write_warc(df, shard_bytes=4000, roll_bytes=600)
-    got = warc.read_warc(folder, manifest).collect()
+    folder = warc.write_warc(df, shard_bytes=4000, roll_bytes=600)
+    got = warc.read_warc(spark, folder).collect()
     want = []
     for p, _, h in pages:
         data = (h or "").encode()
@@ -207,16 +207,42 @@ def test_warc(spark):
         want.append((None if p is None else str(p), len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", str(first) if again else None))
     same([(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got], want)
     assert len({r["warc_file"] for r in got}) > 2
-    other, again = warc.write_warc(df.repartition(7), shard_bytes=4000, roll_bytes=600)
-    files = lambda m: sorted((r["file"], r["sha256"], r["records"]) for r in m.collect())
-    assert other != folder and files(again) == files(manifest)  # byte for byte, however the rows are dealt
-    # a stray file of another run isn't in the manifest, and a task that is tried again replaces its own files
-    again, n = warc.write_warc(df, folder, shard_bytes=4000, roll_bytes=600), len(got)
-    (pathlib.Path(folder.removeprefix("file:")) / "stray.warc.gz").write_bytes(b"no gzip")
-    assert files(again[1]) == files(manifest) and warc.read_warc(*again).count() == n
-    assert not any(p.name.startswith("_") for p in pathlib.Path(folder.removeprefix("file:")).iterdir())
-    empty = warc.write_warc(df.limit(0))
-    assert warc.read_warc(*empty).count() == 0
+    other = warc.write_warc(df.repartition(7), shard_bytes=4000, roll_bytes=600)
+    files = lambda f: sorted((r["file"], r["sha256"], r["records"]) for r in warc.read_manifest(spark, f).collect())
+    assert other != folder and files(other) == files(folder)  # byte for byte, however the rows are dealt
+    # a stray file of another run isn't in the manifest; files that are there whole stay, broken ones are replaced
+    n, top = len(got), pathlib.Path(folder.removeprefix("file:"))
+    (top / "stray.warc.gz").write_bytes(b"no gzip")
+    whole, broken = sorted(top.glob("pages-*.warc.gz"))[:2]
+    before = whole.stat().st_ino
+    broken.write_bytes(b"x" * broken.stat().st_size)
+    assert files(warc.write_warc(df, folder, shard_bytes=4000, roll_bytes=600)) == files(other) and warc.read_warc(spark, folder).count() == n
+    assert whole.stat().st_ino == before and not any(p.name.startswith("_") for p in top.iterdir())
+    # the folder is all that a reader needs
+    top.rename(top.parent / "moved")
+    assert warc.read_warc(spark, f"file:{top.parent}/moved").count() == n
+    assert warc.read_warc(spark, warc.write_warc(df.limit(0))).count() == 0
+
+
+def test_shards_of_an_archive_are_ranges_whatever_the_ids(spark):
+    """One outlying id doesn't turn ranges into a heap; a page_id that is too large for a shard is cut by digests."""
+    rows = [(i, "u", prose(i, 60)) for i in range(400)] + [(10**15, "u", "far")] + [(17, "u", prose(2000 + i, 60)) for i in range(60)] + [(None, "u", prose(3000 + i, 60)) for i in range(40)]
+    folder = warc.write_warc(spark.createDataFrame(rows, "page_id bigint, url string, html string"), shard_bytes=12_000, roll_bytes=2_000)
+    ends = {}
+    for r in warc.read_manifest(spark, folder).collect():
+        known = lambda p: 1 << 62 if p is None else int(p)
+        lo, hi = ends.get(r["shard"], (1 << 63, -1))
+        ends[r["shard"]] = (min(lo, known(r["first_page"])), max(hi, known(r["last_page"])))
+    order = [ends[k] for k in sorted(ends)]
+    assert len(order) > 15 and all(a[1] <= b[0] for a, b in zip(order, order[1:], strict=False))
+    assert warc.read_warc(spark, folder).count() == len(rows)
+
+
+def test_files_roll_with_the_defaults(spark):
+    r = random.Random(8)
+    rows = [(i, "u", "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789<>/ ", k=600_000))) for i in range(45)]
+    manifest = warc.read_manifest(spark, warc.write_warc(spark.createDataFrame(rows, "page_id bigint, url string, html string"))).collect()
+    assert len({m["shard"] for m in manifest}) == 1 and len(manifest) >= 2 and all(m["bytes"] >= 8 << 20 for m in manifest if m["part"] == 0)
 
 
 # 6

@@ -90,7 +90,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = read_warc(*write_warc(_table(spark, sf_dir, "pages")))
+    records = read_warc(spark, write_warc(_table(spark, sf_dir, "pages")))
     return records.select(F.col("page_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
 
 

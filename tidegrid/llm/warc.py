@@ -1,9 +1,10 @@
 """WARC archives: a deterministic sharded writer and a reader.
 
 Records are dealt to shards by ranges of page_id, sorted in each shard, and written to files that roll over at a
-compressed size.  Which range goes where follows from an exact histogram of payload bytes, not from a sample, so the
-same pages give the same files, byte for byte, whatever the cluster.  A task writes under a temporary name and renames; what a
-lost task has left is replaced by the same bytes.  A file counts only once the manifest, written last, names it.
+compressed size.  Which range goes where follows from exact histograms of payload bytes, refined where a range is heavy, and not
+from a sample, so the same pages give the same files, byte for byte, whatever the cluster.  A task writes under a temporary name and
+renames; a file that a lost task has left whole is kept.  The manifest is written last, into the archive, under a
+temporary name too: a reader needs the folder only, and a file counts only if the manifest names it.
 """
 
 from __future__ import annotations
@@ -16,17 +17,19 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_number, remove, scratch, stored, workers_find_package
+from .common import by_number, remove, scratch, workers_find_package
 
-#: Ranges of page_id in the histogram that the driver cuts into shards: its size doesn't grow with the pages.
-BUCKETS = 4096
+#: Ranges of page_id in the first histogram, ranges that each heavy one is cut into again, and the most tasks that write.
+BUCKETS, FINER, TASKS = 4096, 256, 1 << 16
+_NULL = (1 << 63) - 1
 MIN_REVISIT = 100
 _DATE = "2000-01-01T00:00:00Z"
 #: Where files are until they are whole; it goes once the manifest is written.
 _TEMPORARY = "_temporary"
+_LIST = "manifest"
 
 
 def _filesystem(uri: str) -> tuple[fs.FileSystem, str]:
@@ -63,6 +66,11 @@ def _gzip(data: bytes, level: int) -> bytes:
     return z.compress(data) + z.flush()
 
 
+def _same(disk: fs.FileSystem, path: str, digest: str) -> bool:
+    with disk.open_input_stream(path, compression=None) as f:
+        return hashlib.sha256(f.read()).hexdigest() == digest
+
+
 _MANIFEST = "file string, shard bigint, part int, records bigint, bytes bigint, sha256 string, first_page string, last_page string"
 
 
@@ -82,11 +90,14 @@ def _writer(folder: str, roll: int, level: int):
             temporary = f"{top}/{_TEMPORARY}/{name}.{uuid.uuid4().hex}"
             with disk.open_output_stream(temporary, compression=None) as f:
                 f.write(data)
-            # a task that was tried before may have left the file: not all file systems rename onto it
-            if disk.get_file_info(f"{top}/{name}").type != fs.FileType.NotFound:
-                disk.delete_file(f"{top}/{name}")
-            disk.move(temporary, f"{top}/{name}")
-            rows.append((name, shard, part, n, len(data), hashlib.sha256(data).hexdigest(), first, last))
+            digest, there = hashlib.sha256(data).hexdigest(), disk.get_file_info(f"{top}/{name}")
+            if there.type != fs.FileType.NotFound and there.size == len(data) and _same(disk, f"{top}/{name}", digest):
+                disk.delete_file(temporary)  # a task that was tried before has left it whole
+            else:
+                if there.type != fs.FileType.NotFound:  # not all file systems rename onto a file
+                    disk.delete_file(f"{top}/{name}")
+                disk.move(temporary, f"{top}/{name}")
+            rows.append((name, shard, part, n, len(data), digest, first, last))
             body, n, size, part = [], 0, 0, part + 1
 
         for batch in batches:
@@ -113,13 +124,63 @@ def _writer(folder: str, roll: int, level: int):
     return run
 
 
-def write_warc(pages: DataFrame, folder: str | None = None, *, shard_bytes: int = 16 << 20, roll_bytes: int = 32 << 20, level: int = 4, min_revisit: int = MIN_REVISIT) -> tuple[str, DataFrame]:
-    """Write a record per row of ``pages`` (page_id, url, html) and return the folder and its manifest.
+def _shards(lengths: DataFrame, shard_bytes: int) -> tuple[DataFrame, int, int, int]:
+    """(bucket, base, cuts): the shards before each bucket of page_ids, and the (page_id, digest) at which others begin in it.
+
+    Also the least page_id, the buckets' width and the number of shards.  Rows of a bucket that is over ``shard_bytes`` are counted again
+    by finer ranges, down to a single page_id, which is cut by digests; each count brings BUCKETS rows, or FINER for each heavy range.
+    """
+    spark = lengths.sparkSession
+    lo, hi = (x or 0 for x in lengths.agg(F.min("page_id"), F.max("page_id")).first())
+    # powers of two, so that finer ranges lie in coarser ones
+    width = wide = 1 << max(0, -(-(hi - lo + 1) // BUCKETS) - 1).bit_length()
+    start = lambda w: F.lit(lo) + F.expr(f"(page_id - ({lo})) div {w}") * F.lit(w)
+
+    def counted(rows: DataFrame, width: int) -> dict[int, int]:
+        found = rows.groupBy(start(width).alias("start")).agg(F.sum(F.col("n") + 512).alias("n")).collect()
+        return {_NULL if r["start"] is None else r["start"]: r["n"] for r in found}
+
+    sizes = counted(lengths, width)
+    heavy = [s for s, n in sizes.items() if n > shard_bytes and s != _NULL]
+    while heavy and width > 1:
+        inside = F.broadcast(spark.createDataFrame([(s,) for s in heavy], "start bigint"))
+        rows = lengths.withColumn("start", start(width)).join(inside, "start", "left_semi").drop("start")
+        width = max(1, width // FINER)
+        more = counted(rows, width)
+        sizes = {s: n for s, n in sizes.items() if s not in set(heavy)} | more
+        heavy = [s for s, n in more.items() if n > shard_bytes]
+    cuts: list[tuple[int, int]] = []
+    filled = 0
+    for begin in sorted(sizes):
+        n = sizes[begin]
+        if filled and filled + n > shard_bytes:
+            cuts.append((begin, 0))
+            filled = 0
+        parts = -(-n // shard_bytes)
+        cuts += [(begin, j * 65536 // parts) for j in range(1, parts)]
+        filled = shard_bytes if parts > 1 else filled + n
+    table: dict[int, tuple[int, list]] = {}
+    base, k = 0, 0
+    for b in range(BUCKETS + 1):
+        end = _NULL if b == BUCKETS - 1 else lo + (b + 1) * wide
+        own = []
+        while k < len(cuts) and (cuts[k][0] < end or b == BUCKETS):
+            own.append(cuts[k])
+            k += 1
+        table[b] = (base, own)
+        base += len(own)
+    return spark.createDataFrame([(b, n, own) for b, (n, own) in table.items()], "bucket int, base int, cuts array<struct<page:bigint,d:int>>"), lo, wide, len(cuts) + 1
+
+
+def write_warc(pages: DataFrame, folder: str | None = None, *, shard_bytes: int = 32 << 20, roll_bytes: int = 8 << 20, level: int = 4, min_revisit: int = MIN_REVISIT) -> str:
+    """Write a record per row of ``pages`` (page_id, url, html) and return the folder, which holds the files and their manifest.
 
     Of rows with equal payloads of at least ``min_revisit`` bytes, those with the smallest page_id are responses and the
-    others revisit it.  Each shard is a task of its own.  A null html is an empty payload, a null url gives no target URI, a null page_id sorts last and
-    gives no page id; repeated rows are written as often as they come; other columns are not read.  No pages give no
-    files.  ``shard_bytes`` is the payload dealt to a task, ``roll_bytes`` the compressed size at which a file ends.
+    others revisit it.  ``shard_bytes`` is the payload of a shard, and so of a range of page_ids; ``roll_bytes`` the compressed
+    size at which a file of it ends.  A task writes one shard, or several if there are over TASKS.  A null html is an empty
+    payload, a null url gives no target URI, a null page_id sorts last and gives no page id; a page_id whose rows are too large for a
+    shard is cut by digests; repeated rows are written as often as they come; other columns are not read.  No pages
+    give no files, but a manifest.
     """
     spark = pages.sparkSession
     workers_find_package(spark)
@@ -127,37 +188,32 @@ def write_warc(pages: DataFrame, folder: str | None = None, *, shard_bytes: int
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), F.sha2(html, 256).alias("digest"))
     lengths = rows.select("page_id", "digest", F.octet_length("html").cast("bigint").alias("n"))
-    lo, hi = lengths.agg(F.min("page_id"), F.max("page_id")).first()
-    width = max(1, -(-((hi or 0) - (lo or 0) + 1) // BUCKETS))
-    bucket = F.coalesce(F.floor((F.col("page_id") - F.lit(lo or 0)) / F.lit(width)), F.lit(BUCKETS)).cast("int")
-    heavy = {r["b"]: r["n"] for r in lengths.groupBy(bucket.alias("b")).agg(F.sum(F.col("n") + 512).alias("n")).collect()}  # BUCKETS + 1 rows at most
-    start, parts, at, filled = [0] * (BUCKETS + 1), [1] * (BUCKETS + 1), 0, 0
-    for b in range(BUCKETS + 1):
-        n = heavy.get(b, 0)
-        if filled and filled + n > shard_bytes:
-            at, filled = at + 1, 0
-        start[b], parts[b] = at, max(1, -(-n // shard_bytes))
-        if parts[b] > 1:
-            at, filled = at + parts[b], 0
-        else:
-            filled += n
-    of = lambda values: F.element_at(F.array(*map(F.lit, values)), bucket + 1)
-    if len(set(start)) == 1 and max(parts) == 1:
-        shard = F.lit(0).cast("bigint")
-    else:
-        shard = (of(start) + F.pmod(F.xxhash64("page_id", "digest"), of(parts))).cast("bigint")
+    table, lo, width, shards = _shards(lengths.select("page_id", "n"), shard_bytes)
     first = lengths.where(F.col("n") >= min_revisit).groupBy("digest").agg(F.min("page_id").alias("to"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("digest", "to")
     again = lengths.where(F.col("n") >= min_revisit).join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("to"))).select("page_id", "digest", "to").distinct()
     null = lambda kind: F.lit(None).cast(kind)
-    cols = lambda df, *more: df.select(shard.alias("shard"), F.col("page_id"), *more)
-    both = cols(again, null("string").alias("url"), F.col("digest"), F.lit(0).alias("kind"), F.col("to").cast("string").alias("refers"), null("string").alias("html")).unionByName(
-        cols(rows, F.col("url"), F.col("digest"), F.lit(1).alias("kind"), null("string").alias("refers"), F.col("html"))
+    both = again.select("page_id", null("string").alias("url"), "digest", F.lit(0).alias("kind"), F.col("to").cast("string").alias("refers"), null("string").alias("html")).unionByName(
+        rows.select("page_id", "url", "digest", F.lit(1).alias("kind"), null("string").alias("refers"), "html")
     )
-    dealt = both.repartitionById(max(1, at + 1), F.col("shard").cast("int")).sortWithinPartitions("shard", F.asc_nulls_last("page_id"), "digest", "kind", "url")
+    bucket = F.coalesce(F.expr(f"(page_id - ({lo})) div {width}"), F.lit(BUCKETS)).cast("int")
+    here = F.struct(F.coalesce("page_id", F.lit(_NULL)).alias("page"), F.conv(F.substring("digest", 1, 4), 16, 10).cast("int").alias("d"))
+    shard = (F.col("base") + F.size(F.filter("cuts", lambda c: c <= here))).cast("bigint")
+    placed = both.withColumn("bucket", bucket).join(F.broadcast(table), "bucket").withColumn("shard", shard)  # BUCKETS rows
+    each = -(-shards // TASKS)
+    dealt = placed.repartitionById(-(-shards // each), F.floor(F.col("shard") / each).cast("int")).sortWithinPartitions("shard", F.asc_nulls_last("page_id"), "digest", "kind", "url")
     sent = dealt.select("shard", F.col("page_id").cast("string").alias("page_id"), "url", "digest", "kind", "refers", "html")
-    manifest = stored(sent.mapInArrow(_writer(folder, roll_bytes, level), _MANIFEST), "warc-manifest")
+    sent.mapInArrow(_writer(folder, roll_bytes, level), _MANIFEST).write.mode("overwrite").parquet(f"{folder}/{_TEMPORARY}/{_LIST}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    disk = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    disk.delete(path(f"{folder}/{_LIST}"), True)
+    if not disk.rename(path(f"{folder}/{_TEMPORARY}/{_LIST}"), path(f"{folder}/{_LIST}")):
+        raise OSError(f"the manifest of {folder} can't be put in its place")
     remove(spark, f"{folder}/{_TEMPORARY}")
-    return folder, manifest
+    return folder
+
+
+def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(_MANIFEST).parquet(f"{folder}/{_LIST}")
 
 
 def _headers(block: bytes) -> dict[str, str]:
@@ -203,13 +259,13 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(list(zip(*rows, strict=True)) or [[]] * 8, types, strict=True)], names=names)
 
 
-def read_warc(folder: str, manifest: DataFrame) -> DataFrame:
-    """Records of the files that the manifest names: page_id, target_uri, payload_bytes, payload_digest, record_type, refers_to, file and offset.
+def read_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of the files that the folder's manifest names: page_id, target_uri, payload_bytes, payload_digest, record_type, refers_to, file and offset.
 
     Digests are computed anew from the payloads of responses; those of revisits are in their headers.
     """
-    spark = manifest.sparkSession
     workers_find_package(spark)
+    manifest = read_manifest(spark, folder)
     if manifest.isEmpty():
         return spark.createDataFrame([], _RECORD)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("file"), "path", "content")
