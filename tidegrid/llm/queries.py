@@ -268,6 +268,23 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FRO
 """
 
 
+def lm_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op9 that SQL can express."""
+    return op9_lm_score(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", (F.round("base_score", 3) + 0.0).alias("base_score"))
+
+
+LM_BASE_SQL = f"""
+WITH RECURSIVE keys AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS s FROM documents WHERE doc_id IS NOT NULL), {_CRC.format("keys")},
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(crc % 5 = 1, false) AS held_out, list_append({_SPACED.format(_LOWER.format("coalesce(text, '')"))}, '') AS w FROM documents LEFT JOIN crc ON s = CAST(doc_id AS VARCHAR)),
+t AS (SELECT r, unnest(w) AS tok FROM d),
+c AS (SELECT tok, count(*) AS c FROM t JOIN d USING (r) WHERE NOT held_out GROUP BY tok),
+n AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v FROM c)
+SELECT any_value(doc_id) AS doc_id, any_value(held_out) AS held_out, count(*) AS n_tokens, count(c) AS n_known, CAST(any_value(n.n) AS BIGINT) AS train_tokens,
+       round(sum(log10((coalesce(c, 0) + 0.5::DOUBLE) / (n.n + 0.5::DOUBLE * (n.v + 1)))), 3) + 0.0 AS base_score
+FROM t JOIN d USING (r) LEFT JOIN c USING (tok), n GROUP BY r
+"""
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sentencepiece": op2_sentencepiece,
@@ -282,7 +299,8 @@ QUERIES = {
     "op11_conversation_repair": op11_conversation_repair,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_sharding": op13_sharding,
+    "lm_base": lm_base,
     "quality_base": quality_base,
     "sharding_laws": sharding_laws,
 }
-ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL, "op6_ngram_jaccard": OP6_SQL, "op10_suffix_dedup": OP10_SQL, "op11_conversation_repair": OP11_SQL, "op12_importance_resampling": OP12_SQL, "quality_base": QUALITY_BASE_SQL, "sharding_laws": SHARDING_LAWS_SQL}
+ORACLES = {"op1_decontamination": OP1_SQL, "op3_chat_preferences": OP3_SQL, "op5_warc": OP5_SQL, "op6_ngram_jaccard": OP6_SQL, "op10_suffix_dedup": OP10_SQL, "op11_conversation_repair": OP11_SQL, "op12_importance_resampling": OP12_SQL, "lm_base": LM_BASE_SQL, "quality_base": QUALITY_BASE_SQL, "sharding_laws": SHARDING_LAWS_SQL}
