@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from tidegrid.functions.schemas import TABLES, Registry
 from tidegrid.operators import evaluate as E
 from tidegrid.operators import forecast as M
 from tidegrid.operators import grid as G
+from tidegrid.operators import isotonic as Y
 from tidegrid.operators import labels as L
 from tidegrid.operators import pit as P
 from tidegrid.operators import ranks as R
@@ -227,10 +229,41 @@ def test_baselines(spark):
 
 def test_isotonic(spark):
     df = spark.createDataFrame([(0.1, 0), (0.2, 1), (0.2, 0), (0.7, 1), (0.9, 1)], "raw double, flip_target int")
-    xs, ys, threshold = M.fit_isotonic(df)
-    got = [r["calibrated"] for r in M.calibrated(df, xs, ys).orderBy("raw").collect()]
+    model, threshold = Y.isotonic_fit(df)
+    got = [r["calibrated"] for r in Y.calibrate(df, model).orderBy("raw").collect()]
     assert got == sorted(got) and got[1] == got[2] == 0.5 and threshold == 0.5
-    assert M.fit_isotonic(df.where("flip_target = 1")) == ([0.0, 1.0], [1.0, 1.0], 0.5)
+    flat, threshold = Y.isotonic_fit(df.where("flip_target = 1"))
+    assert [tuple(r)[:3] for r in flat.collect()] == [(0.0, 1.0, 1.0)] and threshold == 0.5
+    assert [tuple(r)[:3] for r in Y.isotonic_fit(df.where("false"))[0].collect()] == [(0.0, 1.0, 0.0)]
+
+
+def test_isotonic_in_stretches_is_the_plain_fit(spark):
+    import random
+
+    r = random.Random(9)
+    rows = [(p := round(r.random(), 4), int(r.random() < p * p)) for _ in range(6000)] + [(0.5, i % 3 == 0 and 1 or 0) for i in range(3000)]
+    blocks: list[list[float]] = []
+    for p in sorted({p for p, _ in rows}):
+        own = [t for q, t in rows if q == p] if p == 0.5 else None
+        blocks.append([p, p, len(own), sum(own)] if own else [p, p, 0, 0])
+    index = {b[0]: b for b in blocks}
+    for p, t in rows:
+        if p != 0.5:
+            index[p][2] += 1
+            index[p][3] += t
+    stack: list[list[float]] = []
+    for b in blocks:
+        stack.append(list(b))
+        while len(stack) > 1 and stack[-2][3] * stack[-1][2] >= stack[-1][3] * stack[-2][2]:
+            last = stack.pop()
+            stack[-1] = [stack[-1][0], last[1], stack[-1][2] + last[2], stack[-1][3] + last[3]]
+    df = spark.createDataFrame(rows, "raw double, flip_target int")
+    model, _ = Y.isotonic_fit(df, stretch=100)
+    assert sorted((x["lo"], x["hi"], round(x["y"], 9)) for x in model.collect()) == [(b[0], b[1], round(b[3] / b[2], 9)) for b in stack]
+    asks = spark.createDataFrame([(x,) for x in (-0.5, 0.0, 0.5, 1.0, 2.0, None, *[i / 997 for i in range(997)])], "raw double")
+    xs, ys = [x for b in stack for x in (b[0], b[1])], [b[3] / b[2] for b in stack for _ in (0, 1)]
+    for x in Y.calibrate(asks, model).collect():
+        assert (x["raw"] is None and x["calibrated"] is None) or abs(x["calibrated"] - np.interp(x["raw"], xs, ys)) < 1e-9
 
 
 def test_mixture_scores(spark):
@@ -343,7 +376,8 @@ def test_retention_and_typed_tables(spark, tmp_path):
     t = K.read_typed(spark, "imbalance_observations", root)
     assert t.count() == 6 and K.compact(t, "imbalance_observations").count() == 3 and "month" in t.columns
     assert P.time_range(t, T0, T0 + timedelta(days=1)).count() == 2
-    assert spark.read.parquet(K.compact_table(spark, "imbalance_observations", root)).count() == 3
+    assert K.compact_table(spark, "imbalance_observations", root) == ["2026-01"] and K.read_typed(spark, "imbalance_observations", root).count() == 3
+    assert K.compact_table(spark, "imbalance_observations", root) == []
     assert set(TABLES) >= {"raw_events", "predictions", "model_versions"}
 
 

@@ -11,6 +11,8 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from tidegrid.operators import routing as T
+from tidegrid.sources import sinks as K
 from tidegrid.sources.records import read_envelopes
 from tidegrid.streaming import jobs as J
 
@@ -44,14 +46,28 @@ def test_sink_stream_routes_and_survives_replay(spark, tmp_path):
     root = f"file:{tmp_path}/out"
     stream = read_envelopes(spark, f"file:{tmp_path}/in", streaming=True)
     J.start_sink(stream, root, f"file:{tmp_path}/checkpoint").awaitTermination()
-    typed = lambda: spark.read.parquet(f"{root}/*/imbalance_observations")
-    assert sorted(r["event_id"] for r in typed().collect()) == [f"e{i}" for i in range(6)]
-    assert spark.read.parquet(f"{root}/*/raw_events").count() == 6 and spark.read.parquet(f"{root}/*/triggers").count() == 6
-    dead = {r["original_event"]["event_id"]: r["reason"] for r in spark.read.parquet(f"{root}/*/dead_letters").collect()}
+    rows = lambda name: K.read_committed(spark, name, root)
+    assert sorted(r["event_id"] for r in rows("imbalance_observations").collect()) == [f"e{i}" for i in range(6)]
+    assert rows("raw_events").count() == 6 and rows("triggers").count() == 6
+    dead = {r["original_event"]["event_id"]: r["reason"] for r in rows("dead_letters").collect()}
     assert dead == {"e10": "unsupported_event_type", "e11": "unsupported_schema_version", "e12": "invalid_payload", "e13": "invalid_payload"}
+    assert [tuple(r) for r in J.stored_counters(spark, root).collect()] == [("elia", "ods161", 6, 4)]
     batch = read_envelopes(spark, f"file:{tmp_path}/in").dropDuplicates(["event_id"])
     J.sink_batch(root)(batch, 0)  # the same batch again
-    assert typed().count() == 6
+    assert rows("imbalance_observations").count() == 6
+
+
+def test_batches_that_broke_off_are_not_read_and_are_written_anew(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(envelope(i) for i in range(5)))
+    root, batch = f"file:{tmp_path}/out", read_envelopes(spark, f"file:{tmp_path}/in")
+    half = T.typed_rows(T.route(batch), "elia.imbalance.observed").limit(2)
+    K.write_typed(half, "imbalance_observations", root, batch=0)
+    assert K.read_committed(spark, "imbalance_observations", root).count() == 0
+    J.sink_batch(root)(batch, 1)
+    assert K.read_committed(spark, "imbalance_observations", root).count() == 5
+    J.sink_batch(root)(batch, 0)
+    assert K.read_committed(spark, "imbalance_observations", root).count() == 10 and len(K.committed(spark, root)) == 2
 
 
 def test_late_revisions_ask_for_their_own_snapshot(spark):

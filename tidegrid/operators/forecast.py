@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.scalars import advance_sign, flip, isotonic, predicted_state, state_name, state_sign
 from ..functions.scratch import workers_find_package
 from .pit import canonical_latest, realised_join
-from .ranks import f1_threshold
 
 DRIFT = 15
 
@@ -70,21 +69,8 @@ def fit_trees(train: DataFrame, features: list[str], target: str = "target_next"
     return lambda df: flips(point.transform(assemble.transform(df.fillna(0.0, features)))).drop("__x")
 
 
-def fit_isotonic(df: DataFrame, probability: str = "raw", target: str = "flip_target") -> tuple[list[float], list[float], float]:
-    """Thresholds, values and the F1 decision threshold of an isotonic calibration; one class only gives a flat one."""
-    from pyspark.ml.regression import IsotonicRegression
-
-    n, positives = df.agg(F.count(F.lit(1)), F.sum(target)).first()
-    if not n:
-        return [0.0, 1.0], [0.0, 0.0], 0.5
-    if positives in (0, n):
-        return [0.0, 1.0], [float(positives > 0)] * 2, 0.5
-    model = IsotonicRegression(featuresCol="__p", labelCol=target, predictionCol="__y").fit(df.select(F.col(probability).cast("double").alias("__p"), F.col(target).cast("double").alias(target)))
-    xs, ys = [float(x) for x in model.boundaries], [float(y) for y in model.predictions]
-    return xs, ys, float(f1_threshold(calibrated(df, xs, ys, probability), target, "calibrated").first()["threshold"])
-
-
 def calibrated(df: DataFrame, xs: list[float], ys: list[float], probability: str = "raw") -> DataFrame:
+    """Calibration by the thresholds of a stored bundle; a fitted table is applied by ``isotonic.calibrate``."""
     array = lambda v: F.array(*[F.lit(float(x)) for x in v])
     return df.withColumn("calibrated", isotonic(F.col(probability).cast("double"), array(xs), array(ys)))
 

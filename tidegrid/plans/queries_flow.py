@@ -15,6 +15,7 @@ from ..operators import pit as P
 from ..operators import routing as T
 from ..operators import splits as X
 from ..sources import records as C
+from ..sources import sinks as K
 from ..streaming import jobs as J
 from . import snapshots as N
 from .base import CAN, DEADBAND, KNOWN, OBS, PRED, REGISTRY, STEP, events, ms, observations, predictions, query, r4
@@ -28,16 +29,38 @@ _SOURCE_ID = """sha256('["elia","ods161","' || CAST(event_id AS VARCHAR) || '","
 
 @query("st2_sink_stream", " UNION ALL ".join(f"SELECT '{kind}' AS kind, {_SOURCE_ID} AS event_id, CAST(NULL AS VARCHAR) AS reason FROM events WHERE {_REASON} IS NULL" for kind in ("raw", "typed")) + f" UNION ALL SELECT 'dead' AS kind, {_SOURCE_ID}, {_REASON} FROM events WHERE {_REASON} IS NOT NULL")
 def _(spark, sf):
-    """All envelopes through the sink stream, then one batch delivered a second time: nothing is stored twice."""
-    inbox, root = shared_path(spark, "inbox"), shared_path(spark, "sink")
+    """All envelopes through the sink stream in two batches; then one is delivered a second time, and another breaks off: neither is read."""
+    root = _sunk(spark, sf)
+    inbox = shared_path(spark, "again")
     envelopes(spark, sf).write.json(inbox)
-    J.start_sink(C.read_envelopes(spark, inbox, streaming=True), root, shared_path(spark, "sink-checkpoint")).awaitTermination()
     J.sink_batch(root)(C.read_envelopes(spark, inbox), 0)
-    rows = lambda kind, name: spark.read.parquet(f"{root}/*/{name}").select(F.lit(kind).alias("kind"), "event_id", F.lit(None).cast("string").alias("reason"))
-    dead = spark.read.parquet(f"{root}/*/dead_letters").select(F.lit("dead").alias("kind"), F.col("original_event.event_id").alias("event_id"), "reason")
+    good = T.route(envelopes(spark, sf))
+    K.write_typed(T.typed_rows(good, "elia.imbalance.observed"), "imbalance_observations", root, batch=7)
+    rows = lambda kind, name: K.read_committed(spark, name, root).select(F.lit(kind).alias("kind"), "event_id", F.lit(None).cast("string").alias("reason"))
+    dead = K.read_committed(spark, "dead_letters", root).select(F.lit("dead").alias("kind"), F.col("original_event.event_id").alias("event_id"), "reason")
     return rows("raw", "raw_events").unionByName(rows("typed", "imbalance_observations")).unionByName(dead)
 
 
+def _sunk(spark, sf):
+    """The root of a sink that has stored all envelopes in two batches."""
+    inbox, root = shared_path(spark, "inbox"), shared_path(spark, "sink")
+    e = envelopes(spark, sf)
+    half = F.col("correlation_id").cast("bigint") % 2 == 0
+    e.where(half).coalesce(1).write.json(inbox)
+    e.where(~half).coalesce(1).write.mode("append").json(inbox)
+    J.start_sink(C.read_envelopes(spark, inbox, streaming=True, files=1), root, shared_path(spark, "sink-checkpoint")).awaitTermination()
+    return root
+
+
+@query("evt11_stored_counters", f"WITH r AS (SELECT event_type AS dataset, {_REASON} AS reason FROM events) SELECT 'elia' AS source, dataset, count(*) - count(reason) AS published, count(reason) AS errors FROM r GROUP BY 2")
+def _(spark, sf):
+    """What the sink's own batches counted, after two batches and a replay of each."""
+    root = _sunk(spark, sf)
+    for batch in (0, 1):
+        J.sink_batch(root)(envelopes(spark, sf), batch)
+    return J.stored_counters(spark, root)
+
+
 @query("st5_late_corrections", f"WITH {OBS} SELECT DISTINCT series, epoch_ms(t) AS cutoff_ms, epoch_ms(ingested_at) AS knowledge_ms FROM obs")
 def _(spark, sf):
     """A snapshot request for each revision of a step, late ones with their own knowledge time."""

@@ -141,11 +141,19 @@ def _(spark, sf):
     return d.select(F.col("original_event.correlation_id").alias("id"), "reason", "delivery_count")
 
 
-@query("snk6_compaction", "SELECT epoch_us(ts) // 1000 AS t_ms, count(*) AS n FROM (SELECT DISTINCT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-11') GROUP BY 1")
+@query("snk6_compaction", "SELECT epoch_us(ts) // 1000 AS t_ms, count(*) AS n, '2023-12,2024-01' AS changed, '' AS changed_again FROM (SELECT DISTINCT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-11') GROUP BY 1")
 def _(spark, sf):
+    """A table with each row twice and a month that has expired, compacted in place, and then once more."""
+    root, now = shared_path(spark, "raw"), datetime(2024, 4, 10)
     raw = K.raw_rows(envelopes(spark, sf))
-    kept = K.compact(raw.unionByName(raw), "raw_events", datetime(2024, 4, 10), 90)
-    return kept.groupBy(ms("event_time", "t_ms")).agg(F.count(F.lit(1)).alias("n"))
+    early = raw.withColumn("event_time", F.timestamp_micros(F.unix_micros("event_time") - 31 * 86_400_000_000))
+    K.write_typed(raw.unionByName(raw).unionByName(early), "raw_events", root)
+    changed = [",".join(K.compact_table(spark, "raw_events", root, now, 90)) for _ in range(2)]
+    return K.read_typed(spark, "raw_events", root).groupBy(ms("event_time", "t_ms")).agg(F.count(F.lit(1)).alias("n")).select("t_ms", "n", F.lit(changed[0]).alias("changed"), F.lit(changed[1]).alias("changed_again"))
+
+
+def _by_hour(time, name):
+    return F.transform(time, lambda t: F.try_element_at(F.col(name), t))
 
 
 @query(
@@ -158,11 +166,12 @@ def _(spark, sf):
 def _(spark, sf):
     e = events(spark, sf)
     w = e.groupBy((F.col("user_id") % 5).cast("string").alias("location"), F.date_trunc("HOUR", "ts").alias("h")).agg(F.max("value").alias("wind_speed_100m"), F.max(F.when(F.col("event_id") % 4 != 0, F.col("value"))).alias("wind_direction_100m"))
-    day = w.groupBy("location", "h").agg(F.array(F.date_format("h", "yyyy-MM-dd'T'HH:mm")).alias("time"), F.array(F.first("wind_speed_100m")).alias("wind_speed_100m"), F.array(F.first("wind_direction_100m")).alias("wind_direction_100m"))
-    hourly = day.select("location", F.struct("time", "wind_speed_100m", "wind_direction_100m").alias("hourly"))
     names = ("wind_speed_100m", "wind_direction_100m")
-    zipped = hourly.select("location", F.explode(F.arrays_zip(F.col("hourly.time").alias("time"), *[F.col(f"hourly.{v}").alias(v) for v in names])).alias("h"))
-    long = zipped.select("location", F.to_timestamp("h.time").alias("valid_time"), F.explode(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(f"h.{v}").alias("value")) for v in names])).alias("p")).select("location", "valid_time", "p.*")
+    hours = w.select(F.date_format("h", "yyyy-MM-dd'T'HH:mm").alias("h")).distinct().agg(F.array_sort(F.collect_set("h"))).first()[0]  # as many as a forecast has
+    own = w.groupBy("location").agg(*[F.map_from_entries(F.collect_list(F.struct(F.date_format("h", "yyyy-MM-dd'T'HH:mm"), v))).alias(v) for v in names])
+    time = F.array(*map(F.lit, hours))
+    hourly = own.select("location", F.lit(0).cast("bigint").alias("utc_offset_seconds"), F.struct(time.alias("time"), *[_by_hour(time, v).alias(v) for v in names]).alias("hourly"))
+    long = C.explode_weather(hourly, names)
     a = C.aggregate_weather(long)
     return a.select(ms("valid_time", "t_ms"), "variable", r4("mean", "mean"), r4("minimum", "lo"), r4("maximum", "hi"), F.size(F.filter(F.map_values("point_mask"), lambda x: x)).cast("bigint").alias("points"))
 

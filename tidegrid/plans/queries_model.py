@@ -14,6 +14,7 @@ from ..operators import pit as P
 from ..operators import ranks as R
 from ..operators import serving as V
 from ..operators import splits as X
+from ..operators.isotonic import calibrate, isotonic_fit
 from ..operators.windows import sign_of
 from .base import DEADBAND, PRED, SCORED, STEP, canonical_sql, events, ms, observations, predictions, query, r4, realised, scored, table
 
@@ -237,8 +238,8 @@ def _(spark, sf):
 
 @query("agg16_volatility", f"WITH {_HIST} SELECT user_id, round(list_aggregate(a, 'stddev_pop') + 1e-9, 4) AS volatility FROM h")
 def _(spark, sf):
-    long = _histories(spark, sf).select("user_id", F.explode(M.observed_values("v", "m")).alias("x"))
-    return long.groupBy("user_id").agg(F.stddev_pop("x").alias("s")).select("user_id", r4(F.col("s") + 1e-9, "volatility"))
+    h = _histories(spark, sf).where(F.size(F.filter("m", lambda x: x == 1)) > 0)
+    return h.select("user_id", r4(E.volatility(F.col("v"), F.col("m"), 1) + 1e-9, "volatility"))
 
 
 @query("win17_cumulative_precision", f"WITH {SCORED} SELECT row_id, round(sum(t) OVER w / CAST(row_number() OVER w AS DOUBLE), 4) AS precision FROM scored WHERE model = 'classical' AND k = 1 WINDOW w AS (ORDER BY p DESC, row_id)")
@@ -269,11 +270,19 @@ def _(spark, sf):
     return M.calibrated(e, [0.1, 0.3, 0.9], [0.05, 0.4, 0.9]).select("event_id", r4(F.col("calibrated") + 1e-9, "y"))
 
 
-@query("ml8_isotonic_fit")
+@query(
+    "ml8_isotonic_fit",
+    f"""WITH {SCORED}, d AS (SELECT p, count(*) AS n, sum(t) AS s FROM scored WHERE k = 1 AND model = 'candidate' GROUP BY 1), c AS (SELECT p, row_number() OVER w AS i, sum(n) OVER w AS cn, sum(s) OVER w AS cs FROM d WINDOW w AS (ORDER BY p)),
+    m AS (SELECT j.i AS j, k.i AS i, k.p, min((k.cs - coalesce(b.cs, 0)) / CAST(k.cn - coalesce(b.cn, 0) AS DOUBLE)) OVER (PARTITION BY j.i ORDER BY k.i DESC) AS least FROM c j LEFT JOIN c b ON b.i = j.i - 1 JOIN c k ON k.i >= j.i),
+    y AS (SELECT p, max(least) AS y FROM m GROUP BY p), v AS (SELECT y, sum(n) AS n, sum(s) AS s FROM d JOIN y USING (p) GROUP BY y), w AS (SELECT y, sum(n) OVER o AS called, sum(s) OVER o AS hits, sum(s) OVER () AS total FROM v WINDOW o AS (ORDER BY y DESC)),
+    b AS (SELECT y FROM w ORDER BY 2 * hits / (called + total) DESC, y LIMIT 1)
+    SELECT row_id, round(y.y, 4) + 0.0 AS calibrated, round(b.y, 4) AS threshold FROM scored JOIN y USING (p), b WHERE k = 1 AND model = 'candidate'""",
+)
 def _(spark, sf):
+    """The plain definition in SQL: the largest over beginnings of the least mean over ends.  Stretches of 256 blocks, so that several merge."""
     s = scored(spark, sf).where("flip_mask = 1 and model = 'candidate'").withColumn("raw", F.col("flip_probability"))
-    xs, ys, threshold = M.fit_isotonic(s)
-    return M.calibrated(s, xs, ys).select("row_id", r4("calibrated", "calibrated"), F.lit(round(threshold, 4)).alias("threshold"))
+    model, threshold = isotonic_fit(s, stretch=256)
+    return calibrate(s, model).select("row_id", r4("calibrated", "calibrated"), F.lit(round(threshold, 4)).alias("threshold"))
 
 
 @query("ml7_boosted_trees")

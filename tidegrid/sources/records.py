@@ -133,9 +133,10 @@ def read_record_pages(spark: SparkSession, path: str, fields: dict[str, str]) ->
     return pages.select(F.explode("results").alias("r")).select("r.*")
 
 
-def read_envelopes(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Event envelopes from JSON lines; the payload stays text."""
+def read_envelopes(spark: SparkSession, path: str, streaming: bool = False, files: int | None = None) -> DataFrame:
+    """Event envelopes from JSON lines; the payload stays text.  ``files`` bounds those of a micro-batch."""
     reader = spark.readStream if streaming else spark.read
+    reader = reader.option("maxFilesPerTrigger", files) if streaming and files else reader
     return reader.schema(ENVELOPE).json(path)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,13 +16,16 @@ from ..functions.identity import event_id, row_version
 from ..functions.schemas import TABLES
 
 
-def write_typed(df: DataFrame, table: str, root: str, mode: str = "append") -> str:
-    """Append rows in the table's schema, missing columns as null, by month of its time, sorted so that files can be skipped."""
+def write_typed(df: DataFrame, table: str, root: str, mode: str = "append", batch: int | None = None) -> str:
+    """Append rows in the table's schema, missing columns as null, by month of its time, sorted so that files can be skipped.
+
+    With ``batch``, they go into that batch's own folder of the table (see ``commit_batch``).
+    """
     schema, time, keys = TABLES[table]
-    have = set(df.columns)
+    path, have = f"{root}/{table}" if batch is None else batch_path(root, table, batch), set(df.columns)
     rows = df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema], F.date_format(time, "yyyy-MM").alias("month"))
-    rows.repartition("month", F.date_trunc("DAY", F.col(time))).sortWithinPartitions(*keys).write.mode(mode).partitionBy("month").parquet(f"{root}/{table}")
-    return f"{root}/{table}"
+    rows.repartition("month", F.date_trunc("DAY", F.col(time))).sortWithinPartitions(*keys).write.mode(mode).partitionBy("month").parquet(path)
+    return path
 
 
 def read_typed(spark: SparkSession, table: str, root: str) -> DataFrame:
@@ -28,6 +33,56 @@ def read_typed(spark: SparkSession, table: str, root: str) -> DataFrame:
     return spark.read.schema(StructType([*schema.fields, StructField("month", StringType())])).parquet(f"{root}/{table}")
 
 
+def _paths(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+_COMMITS = "commits"
+
+
+def _name(batch_id: int) -> str:
+    return f"batch={batch_id:010d}"
+
+
+def batch_path(root: str, table: str, batch_id: int) -> str:
+    return f"{root}/{table}/{_name(batch_id)}"
+
+
+def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
+    marker, disk = _paths(spark, f"{root}/{_COMMITS}/{_name(batch_id)}.json")
+    return disk.exists(marker)
+
+
+def committed(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """The batches that were stored whole, each with its tables: a small file for each."""
+    where, disk = _paths(spark, f"{root}/{_COMMITS}")
+    if not disk.exists(where):
+        return {}
+    return {r["batch"]: list(r["tables"]) for r in spark.read.schema("batch string, tables array<string>").json(f"{root}/{_COMMITS}").collect()}
+
+
+def commit_batch(spark: SparkSession, root: str, batch_id: int, tables: Sequence[str]) -> None:
+    """Say that a batch is whole: the marker is written under another name and renamed."""
+    name = _name(batch_id)
+    marker, disk = _paths(spark, f"{root}/{_COMMITS}/{name}.json")
+    temporary, _ = _paths(spark, f"{root}/{_COMMITS}/_{name}.{uuid.uuid4().hex}")
+    out = disk.create(temporary, True)
+    out.writeBytes(json.dumps({"batch": name, "tables": sorted(tables)}))
+    out.close()
+    if not disk.rename(temporary, marker) and not disk.exists(marker):
+        raise OSError(f"{name} can't be committed")
+
+
+def read_committed(spark: SparkSession, table: str, root: str) -> DataFrame:
+    """A table's rows of all committed batches; what an unfinished batch has written isn't read."""
+    paths = [f"{root}/{table}/{batch}" for batch, tables in sorted(committed(spark, root).items()) if table in tables]
+    schema = StructType([*TABLES[table][0].fields, StructField("month", StringType())]) if table in TABLES else None
+    if not paths:
+        return spark.createDataFrame([], schema or StructType())
+    return (spark.read.schema(schema) if schema else spark.read).option("basePath", f"{root}/{table}").parquet(*paths)
+
+
 def raw_rows(envelopes: DataFrame) -> DataFrame:
     """The audit row of each envelope: its payload and its whole text as canonical JSON, and a row version."""
     fields = sorted(c for c in envelopes.columns if c != "payload")
@@ -63,11 +118,6 @@ def dataset_metadata(df: DataFrame, hash_col: str = "feature_schema_hash", time:
     return df.agg(F.count(F.lit(1)).alias("examples"), F.min(time).alias("first_cutoff"), F.max(time).alias("last_cutoff"), F.count_distinct(hash_col).alias("schemas"), F.min(hash_col).alias("feature_schema_hash"))
 
 
-def _paths(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def export_dataset(df: DataFrame, path: str, force: bool = False, shards: int | None = None) -> dict:
     """Write examples by ranges of cutoff under a temporary name, check, rename, and leave metadata.json beside the shards.
 
@@ -88,9 +138,14 @@ def export_dataset(df: DataFrame, path: str, force: bool = False, shards: int |
     out = {"examples": meta["examples"], "first_cutoff": str(meta["first_cutoff"]), "last_cutoff": str(meta["last_cutoff"]), "feature_schema_hash": meta["feature_schema_hash"], "shards": files}
     out["digest"] = hashlib.sha256(json.dumps(out, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
     spark.createDataFrame([(json.dumps(out, sort_keys=True),)], "value string").coalesce(1).write.text(f"{staged.toString()}/_metadata")
-    if disk.exists(final):
-        disk.delete(final, True)
-    disk.rename(staged, final)
+    before, _ = _paths(spark, path.rstrip("/") + ".before")
+    if disk.exists(final):  # the old dataset stays until the new one is in its place
+        disk.delete(before, True)
+        disk.rename(final, before)
+    if not disk.rename(staged, final):
+        disk.rename(before, final)
+        raise OSError(f"{path} can't be put in its place")
+    disk.delete(before, True)
     return out
 
 
@@ -115,8 +170,23 @@ def compact(df: DataFrame, table: str, now: datetime | None = None, retention_da
     return df.dropDuplicates([k for k in keys if k in df.columns])
 
 
-def compact_table(spark: SparkSession, table: str, root: str, now: datetime | None = None) -> str:
-    """Rewrite a table's months compacted, into a new folder beside it."""
-    out = f"{root}/{table}.compacted"
-    compact(read_typed(spark, table, root), table, now).write.mode("overwrite").partitionBy("month").parquet(out)
-    return out
+def compact_table(spark: SparkSession, table: str, root: str, now: datetime | None = None, retention_days: int = 90) -> list[str]:
+    """Compact a table in place, and return the months that changed.
+
+    Only months with duplicate revisions or expired rows are read whole and replaced, by a dynamic overwrite of their partitions; months
+    of which nothing is left are deleted.  So a second compaction rewrites nothing.
+    """
+    _, time, keys = TABLES[table]
+    rows = read_typed(spark, table, root)
+    old = (F.col(time) < F.lit(now - timedelta(days=retention_days))) if table == "raw_events" and now is not None else F.lit(False)
+    groups = rows.groupBy("month", *keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.coalesce(old, F.lit(False))).alias("old"))
+    months = groups.groupBy("month").agg(F.max((F.col("n") > 1) | F.col("old")).alias("changed"), F.min("old").alias("gone")).where("changed").collect()  # a row for each month
+    kept = [r["month"] for r in months if not r["gone"]]
+    if kept:
+        new = compact(rows.where(F.col("month").isin(kept)), table, now, retention_days).repartition("month", F.date_trunc("DAY", F.col(time))).sortWithinPartitions(*keys)
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(f"{root}/{table}")
+    for r in months:
+        if r["gone"]:
+            path, disk = _paths(spark, f"{root}/{table}/month={r['month']}")
+            disk.delete(path, True)
+    return sorted(r["month"] for r in months)

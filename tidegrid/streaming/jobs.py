@@ -11,8 +11,8 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions.scalars import shift
 from ..functions.scratch import workers_find_package
-from ..operators.routing import EVENT_TABLES, route, stored_triggers, typed_rows
-from ..sources.sinks import dead_letters, raw_rows, write_typed
+from ..operators.routing import EVENT_TABLES, ingest_counters, route, stored_triggers, typed_rows
+from ..sources.sinks import batch_path, commit_batch, dead_letters, is_committed, raw_rows, read_committed, write_typed
 
 DEDUP_WINDOW = "2 hours"
 
@@ -30,28 +30,39 @@ def polled(spark: SparkSession, path: str, schema, lookback: str = "1 hour", glo
 
 
 def sink_batch(root: str) -> Callable[[DataFrame, int], None]:
-    """A micro-batch of envelopes: audit rows, typed rows, dead letters and stored triggers, under folders named by batch id.
+    """A micro-batch of envelopes: audit rows, typed rows, dead letters, stored triggers and counters, in a folder of its own that is committed last.
 
-    A replayed batch overwrites its own folders, so at-least-once delivery leaves no duplicates.
+    Readers see committed batches only.  A batch that is delivered again after its commit is left as it is; one that broke off
+    overwrites its own folder, so at-least-once delivery leaves no duplicates and no halves.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if is_committed(spark, root, batch_id):
+            return
+        own = lambda df, name: df.write.mode("overwrite").parquet(batch_path(root, name, batch_id))
         routed = route(batch).persist()
         try:
-            at = f"{root}/batch={batch_id:010d}"
             good = routed.where("reason is null").select(*batch.columns)
+            own(ingest_counters(routed), "counters")
             kinds = [r["event_type"] for r in routed.where("reason is null").select("event_type").distinct().collect()]  # seven types at most
-            write_typed(raw_rows(good), "raw_events", at, mode="overwrite")
+            write_typed(raw_rows(good), "raw_events", root, "overwrite", batch_id)
             for kind in kinds:
-                write_typed(typed_rows(routed, kind), EVENT_TABLES[kind], at, mode="overwrite")
-            dead_letters(routed.where("reason is not null").select(*batch.columns, "reason")).write.mode("overwrite").parquet(f"{at}/dead_letters")
-            stored_triggers(good.where("event_type = 'elia.imbalance.observed'")).write.mode("overwrite").parquet(f"{at}/triggers")
+                write_typed(typed_rows(routed, kind), EVENT_TABLES[kind], root, "overwrite", batch_id)
+            own(dead_letters(routed.where("reason is not null").select(*batch.columns, "reason")), "dead_letters")
+            own(stored_triggers(good.where("event_type = 'elia.imbalance.observed'")), "triggers")
+            commit_batch(spark, root, batch_id, ["raw_events", "dead_letters", "triggers", "counters", *(EVENT_TABLES[k] for k in kinds)])
         finally:
             routed.unpersist()
 
     return run
 
 
+def stored_counters(spark: SparkSession, root: str) -> DataFrame:
+    """Published and rejected envelopes of each source and dataset, from what the committed batches counted when they stored them."""
+    return read_committed(spark, "counters", root).groupBy("source", "dataset").agg(F.sum("published").alias("published"), F.sum("errors").alias("errors"))
+
+
 def start_sink(envelopes: DataFrame, root: str, checkpoint: str):
     return deduplicated(envelopes).writeStream.foreachBatch(sink_batch(root)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
