@@ -359,15 +359,58 @@ def snapshot_requests(spark, sf):
 
 def _flat(df):
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return df.select("series", ms("cutoff", "cutoff_ms"), "model_eligible", "current_state", *[F.size(f"{g}_values").alias(f"{g}_size") for g in ("local", "context", "static")], *[r4(total(f"{g}_{k}"), f"{g}_{k}_sum") for g in ("local", "context") for k in ("values", "masks")], r4("latest", "latest"))
-
-
-@query("fea2_snapshots_online")
+    r2 = lambda c, name: (F.round(c, 2) + 0.0).alias(name)
+    sizes = [F.size(f"{g}_values").alias(f"{g}_size") for g in ("local", "context", "static")]
+    last = [r2(F.when(F.get("local_masks", at) == 1, F.get("local_values", at)).cast("double"), f"last_{short}") for i, short in enumerate(_LAST) for at in [F.size("local_values") - len(REGISTRY.local) + i]]
+    bins = [r2(F.when(F.get("context_masks", at) == 1, F.get("context_values", at)).cast("double"), f"bin_{short}") for i, short in enumerate(_BINS) for at in [F.size("context_values") - 19 + i]]
+    return df.select("series", ms("cutoff", "cutoff_ms"), "model_eligible", "current_state", *sizes, *[r2(total(f"{g}_{k}"), f"{g}_{k}_sum") for g in ("local", "context") for k in ("values", "masks")], r4("latest", "latest"), *last, *bins)
+
+
+_LAST = [short for short, _ in _FULL.values()]
+_BINS = ("mean", "min", "max", "std", "age")
+
+
+def _part(sql):
+    """The features' SQL with windows over a request's history."""
+    return sql.replace("PARTITION BY series", "PARTITION BY id")
+
+
+def _snapshot_sql():
+    full = {short: _part(sql) for short, sql in _FULL.values()}
+    f32 = lambda x: f"CAST(CAST(coalesce({x}, 0) AS FLOAT) AS DOUBLE)"
+    plain = {n: x.removeprefix("round(").removesuffix(", 4) + 0.0").removesuffix(", 4)").removesuffix(" + 1e-9") if x.startswith("round(") else x for n, x in full.items()}
+    r = REGISTRY
+    start = f"(epoch_ms(cutoff) // {r.bin_steps * STEP * 1000}) * {r.bin_steps * STEP} - {(r.bins * r.bin_steps - 1) * STEP}"
+    w = "PARTITION BY id ORDER BY t"
+    return f"""WITH {OBS}, d AS (SELECT DISTINCT series, t FROM obs), n AS (SELECT series, t, lead(t) OVER (PARTITION BY series ORDER BY t) AS nx, min(t) OVER (PARTITION BY series) AS o FROM d),
+ req AS (SELECT row_number() OVER () AS id, series, t AS cutoff, t + INTERVAL 5400 SECOND AS k FROM n WHERE epoch_ms(nx) - epoch_ms(t) = {STEP}000 AND ((epoch_ms(t) - epoch_ms(o)) // {STEP}000) % 6 = 0),
+ ask AS (SELECT *, make_timestamp(({start}) * 1000000) AS begin FROM req),
+ known AS (SELECT a.id, o.t, any_value(a.begin) AS begin, arg_max({{'v': v, 'quality': quality, 'ace': ace, 'price': price, 'dec_price': dec_price}}, {{'a': rv, 'b': ingested_at, 'c': event_id}}) AS r FROM ask a JOIN obs o ON o.series = a.series AND o.t <= a.cutoff AND o.ingested_at <= a.k GROUP BY 1, 2),
+ sg AS (SELECT *, lag(s, 1, 0) OVER (PARTITION BY id ORDER BY t) AS was FROM (SELECT id, t, CASE WHEN r.v > 10 THEN 1 WHEN r.v < -10 THEN -1 END AS s FROM known WHERE t < begin) WHERE s IS NOT NULL),
+ st AS (SELECT id, arg_max(s, t) AS seed_sign, max(CASE WHEN s <> was THEN t END) AS seed_since FROM sg GROUP BY 1), la AS (SELECT id, max(t) AS seed_last FROM known WHERE t < begin GROUP BY 1),
+ grid AS (SELECT g.id, g.cutoff, g.t, r.v, r.quality, r.ace, r.price, r.dec_price, seed_sign, seed_since, seed_last FROM (SELECT id, cutoff, unnest(generate_series(begin, cutoff, INTERVAL {STEP} SECOND)) AS t FROM ask) g LEFT JOIN known USING (id, t) LEFT JOIN st USING (id) LEFT JOIN la USING (id)),
+ s1 AS (SELECT *, epoch_ms(t) / {STEP}000.0 AS i, lag(v, 1) OVER w AS a, lag(v, 2) OVER w AS b, coalesce(last_value(CASE WHEN v > 10 THEN 1 WHEN v < -10 THEN -1 END IGNORE NULLS) OVER w, seed_sign) AS sign, coalesce(last_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER w, seed_last) AS seen,
+  {_part(_mad_sql(15))}, {_part(_mad_sql(60))} FROM grid WINDOW w AS ({w})),
+ s2 AS (SELECT *, CASE WHEN sign IS NOT NULL AND sign IS DISTINCT FROM coalesce(lag(sign) OVER ({w}), seed_sign) THEN t END AS ch FROM s1), s3 AS (SELECT *, coalesce(last_value(ch IGNORE NULLS) OVER ({w}), seed_since) AS since FROM s2),
+ f AS (SELECT id, cutoff, t, v AS own, sign AS state, {", ".join(f"{x} AS {n}_" for n, x in plain.items())} FROM s3),
+ loc AS (SELECT id, CAST(count(*) AS INTEGER) * {len(r.local)} AS local_size, round(sum({" + ".join(f32(n + "_") for n in plain)}), 2) + 0.0 AS local_values_sum, CAST(sum({" + ".join(f"CAST({n}_ IS NOT NULL AS INTEGER)" for n in plain)}) AS DOUBLE) AS local_masks_sum, count(own) AS observed,
+  {", ".join(f"round(CAST(CAST(max(CASE WHEN t = cutoff THEN {n}_ END) AS FLOAT) AS DOUBLE), 2) + 0.0 AS last_{n}" for n in plain)}, max(CASE WHEN t = cutoff THEN state END) AS state, round(max(CASE WHEN t = cutoff THEN own END), 4) + 0.0 AS latest, max(CASE WHEN t = cutoff THEN age_ END) AS age FROM f WHERE t > cutoff - INTERVAL {r.local_steps * STEP} SECOND GROUP BY 1),
+ bins AS (SELECT id, (epoch_ms(cutoff) // {r.bin_steps * STEP * 1000} * {r.bin_steps * STEP * 1000} - epoch_ms(t)) // {r.bin_steps * STEP * 1000} AS bin, avg(own) AS mean, min(own) AS min, max(own) AS max, stddev_pop(own) AS std, arg_max({{'age': age_}}, t).age AS age FROM f WHERE epoch_ms(t) <= epoch_ms(cutoff) // {r.bin_steps * STEP * 1000} * {r.bin_steps * STEP * 1000} GROUP BY 1, 2),
+ con AS (SELECT id, CAST(count(*) * 19 AS INTEGER) AS context_size, round(sum({" + ".join(f32(n) for n in _BINS)}), 2) + 0.0 AS context_values_sum, CAST(sum({" + ".join(f"CAST({n} IS NOT NULL AS INTEGER)" for n in _BINS)}) AS DOUBLE) AS context_masks_sum,
+  {", ".join(f"round(CAST(CAST(max(CASE WHEN bin = 0 THEN {n} END) AS FLOAT) AS DOUBLE), 2) + 0.0 AS bin_{n}" for n in _BINS)} FROM bins GROUP BY 1)
+ SELECT q.series, epoch_ms(q.cutoff) AS cutoff_ms, observed >= {r.min_observed} AND state IS NOT NULL AND coalesce(age <= {r.max_age}, false) AS model_eligible, CASE state WHEN 1 THEN 'positive' WHEN -1 THEN 'negative' END AS current_state, local_size, context_size, 13 AS static_size,
+  local_values_sum, local_masks_sum, context_values_sum, context_masks_sum, latest, {", ".join(f"last_{n}" for n in plain)}, {", ".join(f"bin_{n}" for n in _BINS)} FROM req q JOIN loc USING (id) JOIN con USING (id)"""
+
+
+_SNAPSHOTS = _snapshot_sql()
+
+
+@query("fea2_snapshots_online", _SNAPSHOTS)
 def _(spark, sf):
     return _flat(N.snapshots(observations(spark, sf), snapshot_requests(spark, sf), REGISTRY))
 
 
-@query("fea3_snapshots_replay")
+@query("fea3_snapshots_replay", _SNAPSHOTS)
 def _(spark, sf):
     return _flat(N.snapshots_pit(observations(spark, sf), snapshot_requests(spark, sf), REGISTRY))
 
