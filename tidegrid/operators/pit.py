@@ -187,6 +187,18 @@ def pit_join(wanted: DataFrame, intervals: DataFrame, keys: Sequence[str] = ("se
     return wanted.join(i, on, "left").drop(*[f"__{k}" for k in keys])
 
 
+def store_intervals(intervals: DataFrame, table: str, path: str, buckets: int, keys: Sequence[str] = ("series", "timestamp")) -> DataFrame:
+    """Keep validity intervals as a table bucketed and sorted by their keys, at ``path``, and read it.
+
+    ``pit_join`` on these keys then takes the history as it lies: only what is wanted is shuffled, into as many parts.  ``buckets`` follows
+    from the size: some 128 MB each.
+    """
+    spark = intervals.sparkSession
+    rows = intervals.repartition(buckets, *keys)  # one file a bucket
+    rows.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys, "valid_from").saveAsTable(table)
+    return spark.table(table)
+
+
 def realised_join(predictions: DataFrame, realised: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Realisations with the predictions of their time that were made before they were available."""
     on = [predictions["target_time"] == realised["timestamp"], predictions["generated_at"] <= realised["available_at"], *(predictions[c] == realised[c] for c in by)]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import identity as I
 from ..functions import scalars as S
+from ..functions.scratch import shared_path
 from ..operators import grid as G
 from ..operators import pit as P
 from ..operators import windows as W
@@ -121,15 +124,25 @@ def _(spark, sf):
     return i.select("series", ms("timestamp", "t_ms"), ms("valid_from", "from_ms"), ms("valid_to", "to_ms"), "event_id", r4(V, "v"))
 
 
-@query(
-    "jn9_pit_join",
-    f"""WITH {OBS}, {_REQ}, want AS (SELECT request_id, series, knowledge, unnest(generate_series(before - INTERVAL {11 * STEP} SECOND, before, INTERVAL {STEP} SECOND)) AS t FROM req)
-    SELECT w.request_id, epoch_ms(w.t) AS t_ms, round(arg_max(o.v, {{'a': rv, 'b': ingested_at, 'c': event_id}}), 4) + 0.0 AS v FROM want w LEFT JOIN obs o ON o.series = w.series AND o.t = w.t AND o.ingested_at <= w.knowledge GROUP BY 1, 2""",
-)
-def _(spark, sf):
+_PIT = f"""WITH {OBS}, {_REQ}, want AS (SELECT request_id, series, knowledge, unnest(generate_series(before - INTERVAL {11 * STEP} SECOND, before, INTERVAL {STEP} SECOND)) AS t FROM req)
+    SELECT w.request_id, epoch_ms(w.t) AS t_ms, round(arg_max(o.v, {{'a': rv, 'b': ingested_at, 'c': event_id}}), 4) + 0.0 AS v FROM want w LEFT JOIN obs o ON o.series = w.series AND o.t = w.t AND o.ingested_at <= w.knowledge GROUP BY 1, 2"""
+
+
+def _wanted(spark, sf):
     want = _requests(spark, sf).withColumn("timestamp", F.explode(S.minute_range(S.shift(F.col("before"), -11 * STEP), F.col("before"), STEP)))
-    j = P.pit_join(want.select("request_id", "series", "knowledge", "timestamp"), P.validity_intervals(observations(spark, sf)))
-    return j.select("request_id", ms("timestamp", "t_ms"), r4(V, "v"))
+    return want.select("request_id", "series", "knowledge", "timestamp")
+
+
+@query("jn9_pit_join", _PIT)
+def _(spark, sf):
+    return P.pit_join(_wanted(spark, sf), P.validity_intervals(observations(spark, sf))).select("request_id", ms("timestamp", "t_ms"), r4(V, "v"))
+
+
+@query("jn9_bucketed_history", _PIT)
+def _(spark, sf):
+    """The same join, with a history that is bucketed by its keys and not shuffled."""
+    history = P.store_intervals(P.validity_intervals(observations(spark, sf)), f"intervals_{uuid.uuid4().hex}", shared_path(spark, "intervals"), 8)
+    return P.pit_join(_wanted(spark, sf), history.hint("merge")).select("request_id", ms("timestamp", "t_ms"), r4(V, "v"))
 
 
 def dense(spark, sf, known=None):
