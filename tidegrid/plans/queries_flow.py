@@ -19,7 +19,9 @@ from ..sources import sinks as K
 from ..streaming import jobs as J
 from . import snapshots as N
 from .base import CAN, DEADBAND, KNOWN, OBS, PRED, REGISTRY, STEP, events, ms, observations, predictions, query, r4
-from .exports import export_from_csv
+from ..operators.grid import select_cutoffs
+from .comparison import compared, scored_models, simple_forecasts, split_examples
+from .exports import examples_from_tables, export_from_csv
 from .queries_core import snapshot_requests
 from .queries_io import _REASON, _logged, _text, envelopes
 from .queries_model import _EVAL, _GAP, _INIT, _OUT, outcomes
@@ -164,6 +166,41 @@ def _(spark, sf):
     return d.select(ms("cutoff", "cutoff_ms"), three("latest"), three("target_next"))
 
 
+def _examples(spark, sf):
+    cutoffs = select_cutoffs(observations(spark, sf), 4, 3, by=["series"], step_seconds=STEP)
+    return split_examples(examples_from_tables(observations(spark, sf), cutoffs, REGISTRY, ["series"], knowledge_lag=5400, check=False), _GAP, _EVAL, _INIT)
+
+
+_TEST = f"""WITH {OBS}, d AS (SELECT DISTINCT series, t FROM obs), n AS (SELECT series, t, row_number() OVER (PARTITION BY series ORDER BY t) AS n, lead(t) OVER (PARTITION BY series ORDER BY t) AS nx, min(t) OVER (PARTITION BY series) AS o FROM d),
+ run AS (SELECT *, row_number() OVER (PARTITION BY series, epoch_ms(t) - n * {STEP}000 ORDER BY t) AS len FROM n), req AS (SELECT series, t AS cutoff, t + INTERVAL 5400 SECOND AS k FROM run WHERE len >= 4 AND epoch_ms(nx) - epoch_ms(t) = {STEP}000 AND ((epoch_ms(t) - epoch_ms(o)) // {STEP}000) % 3 = 0),
+ u AS (SELECT DISTINCT cutoff FROM req), e AS (SELECT max(cutoff) + min(step) AS e FROM (SELECT cutoff, lead(cutoff) OVER (ORDER BY cutoff) - cutoff AS step FROM u)),
+ test AS (SELECT req.* FROM req, e WHERE cutoff >= e - INTERVAL 3 DAY AND cutoff < e), lab AS (SELECT series, t, arg_max(v, {{'a': rv, 'b': ingested_at, 'c': event_id}}) AS v FROM obs GROUP BY 1, 2),
+ h AS (SELECT x.series, x.cutoff, o.t, CAST(CAST(arg_max(o.v, {{'a': rv, 'b': ingested_at, 'c': event_id}}) AS FLOAT) AS DOUBLE) AS v FROM test x JOIN obs o ON o.series = x.series AND o.t <= x.cutoff AND o.t > x.cutoff - INTERVAL {REGISTRY.local_steps * STEP} SECOND AND o.ingested_at <= x.k GROUP BY 1, 2, 3),
+ r AS (SELECT *, row_number() OVER (PARTITION BY series, cutoff ORDER BY t DESC) AS back FROM h), p AS (SELECT series, cutoff, t, v, row_number() OVER (PARTITION BY series, cutoff ORDER BY t) - 1 AS i FROM r WHERE back <= 15),
+ f AS (SELECT series, cutoff, arg_max(v, t) AS persistence, CASE WHEN count(*) < 2 THEN arg_max(v, t) ELSE least(max(v), greatest(min(v), regr_intercept(v, i) + regr_slope(v, i) * count(*))) END AS drift, median(v) AS med FROM p GROUP BY 1, 2),
+ s AS (SELECT x.series, x.cutoff, l.v AS actual, unnest([{{'m': 'persistence', 'y': coalesce(persistence, 0)}}, {{'m': 'clipped_linear_drift', 'y': coalesce(drift, 0)}}, {{'m': 'rolling_median', 'y': coalesce(med, 0)}}]) AS f FROM test x JOIN lab l ON l.series = x.series AND l.t = x.cutoff + INTERVAL {STEP} SECOND LEFT JOIN f ON f.series = x.series AND f.cutoff = x.cutoff)"""
+
+
+@query("ml17_baselines", f"{_TEST} SELECT f.m AS model, count(*) AS rows, round(avg(abs(f.y - actual)), 3) AS mae, round(sqrt(avg((f.y - actual) ** 2)), 3) AS rmse FROM s GROUP BY 1")
+def _(spark, sf):
+    """The three baselines that are no model, on the test section of the latest purged split."""
+    test = simple_forecasts(_examples(spark, sf).where("split = 'test'"), REGISTRY)
+    names = ("persistence", "clipped_linear_drift", "rolling_median")
+    long = test.select("target_next", F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(n).alias("y")) for n in names])).alias("f")).select("target_next", "f.*")
+    err = F.col("y") - F.col("target_next")
+    return long.groupBy("model").agg(F.count(F.lit(1)).alias("rows"), F.round(F.avg(F.abs(err)), 3).alias("mae"), F.round(F.sqrt(F.avg(err * err)), 3).alias("rmse"))
+
+
+@query("ml17_comparison")
+def _(spark, sf):
+    """Candidate and four baselines, fitted on their sections and scored together; the decision stands beside each."""
+    scored, threshold = scored_models(_examples(spark, sf), REGISTRY)
+    reports, cohorts = compared(scored, threshold)
+    reports = written(reports, "reports")
+    decision = E.promotion_decision(reports, cohorts).select("promote", F.array_join("reasons", ",").alias("reasons"))
+    return reports.select("model", "rows", *[r4(c, c) for c in ("mae", "rmse", "brier", "pr_auc", "interval_coverage")]).crossJoin(F.broadcast(decision))  # one row
+
+
 @query("ml13_output_sanity", "SELECT event_id AS row_id, event_id % 8 = 0 OR (event_id % 8 = 6 AND user_id % 2 = 0) AS sane FROM events")
 def _(spark, sf):
     """Forecasts made from the events, seven of eight with a fault: each kind of unsound output is told."""
