@@ -474,19 +474,17 @@ def brute_repeats(rows):
             if not lines or "\n" in t[lines[-1][-1].end() : m.start()]:
                 lines.append([])
             lines[-1].append(m)
-        units, whole, several = [], [], []
+        units, whole = [], []
         for line in lines:
             parts, last, capital = [[line[0]]], 0, False
             capital = "A" <= line[0].group()[0] <= "Z" or "À" <= line[0].group()[0] <= "Þ"
             for i, (before, m) in enumerate(zip(line, line[1:], strict=False), 1):
                 upper = "A" <= m.group()[0] <= "Z" or "À" <= m.group()[0] <= "Þ"
-                if (before.group()[-1] in ".!?" or (upper and not capital)) and i - last >= linededup.MIN_UNIT:
+                if len(line) >= linededup.MIN_RUN and (before.group()[-1] in ".!?" or (upper and not capital)) and i - last >= linededup.MIN_UNIT:
                     parts.append([])
                     last = i
                 parts[-1].append(m)
                 capital = upper
-            if 1 < len(parts) and len(line) < linededup.MIN_RUN:
-                several.append((len(units), len(units) + len(parts), line))
             units += parts
             whole += [len(parts) == 1] * len(parts)
         flags = []
@@ -494,11 +492,6 @@ def brute_repeats(rows):
             k = " ".join(m.group() for m in u).translate(LOW)
             flags.append(k in seen)
             seen.add(k)
-        for a, b, line in several:
-            k = " ".join(m.group() for m in line).translate(LOW)
-            if k in seen:
-                flags[a:b] = whole[a:b] = [True] * (b - a)
-            seen.add(k)
         i = 0
         while i < len(units):
             j = i

@@ -1,13 +1,12 @@
 """Removal of repeated lines and passages by hashed units.
 
-A unit is a line, or a part of one that ends after ``.``, ``!`` or ``?`` or begins with a capital after a lower-case word, so that a
-passage set into another's line is found; within a line a unit has four words at least.  With ``from_words`` the cuts follow
-from the words beside them alone, so that equal passages have equal units in any host and script.  A line of several units
-and fewer than MIN_RUN words is a unit besides.  Units are normalised (A-Z in lower case, white space as one blank), their digests
-grouped over all documents, and all but the earliest by (doc_id, row, place) are repeats.  Every repeated line is taken out,
-whatever its length; repeated parts of lines are taken out where they and the repeats beside them make a run of MIN_RUN
-words, since shorter wordings come again by chance, and the more so the more text there is.  A passage that stands in other lines elsewhere is found by lines' parts alone.  Spans
-keep the original offsets.
+A unit is a line, or in a line of MIN_RUN words or more a part that ends after ``.``, ``!`` or ``?`` or begins with a capital after a
+lower-case word, so that a passage set into another's line is found; such a part has four words at least.  With ``from_words`` long
+lines are also cut where the words beside say so, and nothing else, so that equal passages have equal units in any host and
+script.  Units are normalised (A-Z in lower case, white space as one blank), their digests grouped over all documents, and all but
+the earliest by (doc_id, row, place) are repeats.  Every repeated line is taken out, whatever its length; repeated parts of lines are
+taken out where they and the repeats beside them make a run of MIN_RUN words, since shorter wordings come again by chance,
+and the more so the more text there is.  A passage that was broken into other lines has other units.  Spans keep the original offsets.
 """
 
 from __future__ import annotations
@@ -34,8 +33,8 @@ BESIDE = 3
 _BLOCK = 2 << 20
 
 
-def _least_cuts(data: np.ndarray, w: X.Words, line: np.ndarray, soft: np.ndarray) -> np.ndarray:
-    """Lines, sentences that begin MIN_UNIT words or more after any other, and in them each word of least hash among its neighbours."""
+def _least_cuts(data: np.ndarray, w: X.Words, line: np.ndarray, soft: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """Lines, sentences that begin MIN_UNIT words or more after any other, and in ``long`` lines each word of least hash among its neighbours."""
     n = len(line)
     at = np.append(np.flatnonzero(line | soft), n)
     far = np.diff(at, prepend=-n)[:-1] >= MIN_UNIT
@@ -44,7 +43,7 @@ def _least_cuts(data: np.ndarray, w: X.Words, line: np.ndarray, soft: np.ndarray
     begin = np.flatnonzero(cut)
     part = np.cumsum(cut) - 1
     place = np.arange(n)
-    inside = (place - begin[part] >= MIN_UNIT) & (np.append(begin[1:], n)[part] - place >= MIN_UNIT)
+    inside = long & (place - begin[part] >= MIN_UNIT) & (np.append(begin[1:], n)[part] - place >= MIN_UNIT)
     h = X.span_hash(X.prefix_codes(X.lowered(data)), w.start, w.end)
     h[:-1] = X.mix(h[:-1] * U64(3) + h[1:])
     least = inside.copy()
@@ -59,29 +58,19 @@ class Units(NamedTuple):
     begin: np.ndarray  #: first word of each unit
     cut: np.ndarray  #: n + 1 unit indexes at which the texts begin
     whole: np.ndarray  #: whether a unit is a whole line
-    lines: np.ndarray  #: first unit of each line of several units and fewer than MIN_RUN words
-    ends: np.ndarray  #: the unit after its last
-    line_cut: np.ndarray  #: n + 1 indexes of such lines at which the texts begin
 
 
 def _found(w: X.Words, line: np.ndarray, begin: np.ndarray) -> Units:
-    n = len(w.start)
-    stop = np.append(begin[1:], n)
-    starts = line[begin]
-    first = np.flatnonzero(starts)
-    after = np.append(first[1:], len(begin))
-    several = (after - first > 1) & (np.append(begin, n)[after] - begin[first] < MIN_RUN)
-    first, after = first[several], after[several]
-    return Units(w, begin, np.searchsorted(begin, w.first), starts & np.append(line, True)[stop], first, after, np.searchsorted(begin[first], w.first))
+    return Units(w, begin, np.searchsorted(begin, w.first), line[begin] & np.append(line, True)[np.append(begin[1:], len(w.start))])
 
 
 def units(data: np.ndarray, off: np.ndarray, from_words: bool = False) -> Units:
-    """The units of each text, and its lines that are units besides."""
+    """The units of each text."""
     w = X.words(data, off, X.table("spaced"))
     n = len(w.start)
     if not n:
         none = np.zeros(0, np.int64)
-        return Units(w, none, np.zeros(len(off), np.int64), np.zeros(0, bool), none, none, np.zeros(len(off), np.int64))
+        return Units(w, none, np.zeros(len(off), np.int64), np.zeros(0, bool))
     first = np.zeros(n, bool)
     first[w.first[:-1][w.counts > 0]] = True
     breaks = np.concatenate([[0], np.cumsum(data == 10)])
@@ -93,8 +82,11 @@ def units(data: np.ndarray, off: np.ndarray, from_words: bool = False) -> Units:
     ends = np.isin(tail, np.frombuffer(b".!?", np.uint8))
     soft = np.zeros(n, bool)
     soft[1:] = ends[:-1] | (capital[1:] & ~capital[:-1])
+    number = np.cumsum(line) - 1
+    long = np.bincount(number)[number] >= MIN_RUN
+    soft &= long
     if from_words:
-        return _found(w, line, np.flatnonzero(_least_cuts(data, w, line, soft)))
+        return _found(w, line, np.flatnonzero(_least_cuts(data, w, line, soft, long)))
     # within a line, a cut counts only MIN_UNIT words or more after the one before
     cut = line.copy()
     last = -1
@@ -105,9 +97,9 @@ def units(data: np.ndarray, off: np.ndarray, from_words: bool = False) -> Units:
     return _found(w, line, np.flatnonzero(cut))
 
 
-def _digests(data: np.ndarray, w: X.Words, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _digests(data: np.ndarray, w: X.Words, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h = X.span_hash(X.prefix_codes(X.lowered(data)), w.start, w.end)
-    n = len(h)
+    end, n = np.append(begin[1:], len(h)), len(h)
     out = []
     for salt in (0, 0x5851F42D4C957F2D):
         c = np.zeros(n + 1, U64)
@@ -123,13 +115,9 @@ def _rows(from_words: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
             u = units(raw, off, from_words)
             if not len(u.begin):
                 continue
-            edge = np.append(u.begin, len(u.words.start))
-            a, b = _digests(raw, u.words, np.append(u.begin, u.begin[u.lines]), np.append(edge[1:], edge[u.ends]))
-            texts = np.arange(len(off) - 1)
-            doc, own = np.repeat(texts, np.diff(u.cut)), np.repeat(texts, np.diff(u.line_cut))
-            # a text's lines count on after its units
-            pos = np.append(np.arange(len(doc)) - u.cut[doc], np.arange(len(own)) - u.line_cut[own] + np.diff(u.cut)[own])
-            doc = np.append(doc, own)
+            a, b = _digests(raw, u.words, u.begin)
+            doc = np.repeat(np.arange(len(off) - 1), np.diff(u.cut))
+            pos = np.arange(len(doc)) - u.cut[doc]
             ids = part.column("doc_id")
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             rank = np.lexsort((np.arange(len(ids)), ids.fill_null(0).to_numpy(zero_copy_only=False), ~known))
@@ -165,22 +153,15 @@ def _remove(from_words: bool, column: str, repeats_column: str, batches: Iterato
             stop = np.append(begin[1:], len(w.start))
             size = stop - begin
             repeats = part.column(repeats_column)
-            flagged, lined = np.zeros(len(begin), bool), np.zeros(len(begin) + 1, np.int64)
+            flagged = np.zeros(len(begin), bool)
             for i, r in enumerate(repeats):
                 if r.is_valid:
-                    at = np.array(r.values.to_numpy(zero_copy_only=False), np.int64)
-                    many = cut[i + 1] - cut[i]
-                    flagged[cut[i] + at[at < many]] = True
-                    again = u.line_cut[i] + at[at >= many] - many
-                    np.add.at(lined, u.lines[again], 1)
-                    np.add.at(lined, u.ends[again], -1)
-            lined = np.cumsum(lined[:-1]) > 0
-            flagged |= lined
+                    flagged[cut[i] + np.array(r.values.to_numpy(zero_copy_only=False), np.int64)] = True
             doc = np.repeat(np.arange(len(off) - 1), np.diff(cut))
             # of runs of consecutive repeats of one text, long ones go whole, of others the lines
             at, ends = _runs(flagged, doc)
             if len(at):
-                flagged &= u.whole | lined | np.repeat(np.add.reduceat(size, at) >= MIN_RUN, ends - at)
+                flagged &= u.whole | np.repeat(np.add.reduceat(size, at) >= MIN_RUN, ends - at)
             runs = [(int(a), int(b)) for a, b in zip(*_runs(flagged, doc), strict=True) if flagged[a]]
             chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
             spans: list[list] = [[] for _ in range(len(off) - 1)]
