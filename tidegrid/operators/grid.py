@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import minute_range, shift
+from .ranks import running
 from .scan import before_each, latest
 
 
@@ -70,12 +71,11 @@ def select_cutoffs(df: DataFrame, history: int, stride: int, start=None, end=Non
 
 
 def evenly_spaced(df: DataFrame, count: int, order: str = "cutoff", by: Sequence[str] = ("series",)) -> DataFrame:
-    """At most ``count`` rows of each series, at places round(i * last / (count - 1)), half to even; one row is the last."""
-    w = Window.partitionBy(*by)
-    ranked = df.withColumn("__i", F.row_number().over(w.orderBy(order)) - 1).withColumn("__last", F.count(F.lit(1)).over(w) - 1)
-    places = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.bround(i * F.col("__last") / F.lit(max(1, count - 1))).cast("bigint"))
-    keep = (F.col("__last") < count) | (F.array_contains(places, F.col("__i").cast("bigint")) if count > 1 else F.col("__i") == F.col("__last"))
-    return ranked.where(keep).drop("__i", "__last")
+    """At most ``count`` rows of each series, at places round(i * last / (count - 1)), half to even; one row is the last.  Ranks are found by ranges."""
+    ranked = running(df, F.col(order), [], {}, by)
+    i, last = F.col("rank") - 1, F.col("total") - 1
+    places = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: F.bround(k * last / F.lit(max(1, count - 1))).cast("bigint"))
+    return ranked.where((last < count) | (F.array_contains(places, i.cast("bigint")) if count > 1 else i == last)).drop("rank", "total")
 
 
 def right_closed_bins(df: DataFrame, bin_steps: int = 15, by: Sequence[str] = ("series",), step_seconds: int = 60, value: str = "system_imbalance_mw") -> DataFrame:

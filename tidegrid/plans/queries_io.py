@@ -197,7 +197,27 @@ def _(spark, sf):
     return K.dataset_manifest(spark, path).select("rows", F.length("sha256").alias("digest_length"))
 
 
-@query("fea5_examples_from_tables")
+@query("snk3_export_totals", f"WITH {OBS}, c AS (SELECT DISTINCT series, t FROM obs) SELECT count(*) AS examples, count(*) AS manifest_rows, true AS digests, epoch_ms(min(t)) AS first_ms, epoch_ms(max(t)) AS last_ms FROM c")
+def _(spark, sf):
+    """What SQL can say of an export: the rows of its shards, read back and by its manifest."""
+    c = canonical_latest(observations(spark, sf)).select(F.col("timestamp").alias("cutoff"), "series", F.lit(Registry(step_seconds=STEP).fingerprint()).alias("feature_schema_hash"))
+    path = shared_path(spark, "export")
+    K.export_dataset(c, path, shards=4)
+    K.verify_dataset(spark, path)
+    listed = K.dataset_manifest(spark, path).agg(F.sum("rows").alias("manifest_rows"), F.bool_and(F.length("sha256") == 64).alias("digests"))
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("examples"), F.min("cutoff").alias("a"), F.max("cutoff").alias("b")).crossJoin(listed).select("examples", "manifest_rows", "digests", ms("a", "first_ms"), ms("b", "last_ms"))  # one row each
+
+
+_LABELLED = f"""WITH {OBS}, d AS (SELECT DISTINCT series, t FROM obs), n AS (SELECT series, t, row_number() OVER (PARTITION BY series ORDER BY t) AS n, lead(t) OVER (PARTITION BY series ORDER BY t) AS nx, min(t) OVER (PARTITION BY series) AS o FROM d),
+ run AS (SELECT *, row_number() OVER (PARTITION BY series, epoch_ms(t) - n * {STEP}000 ORDER BY t) AS len FROM n), req AS (SELECT series, t AS cutoff, t + INTERVAL 5400 SECOND AS k FROM run WHERE len >= 4 AND epoch_ms(nx) - epoch_ms(t) = {STEP}000 AND ((epoch_ms(t) - epoch_ms(o)) // {STEP}000) % 12 = 0),
+ lab AS (SELECT series, t, arg_max(v, {{'a': rv, 'b': ingested_at, 'c': event_id}}) AS v FROM obs GROUP BY 1, 2),
+ known AS (SELECT q.series, q.cutoff, o.t, arg_max(o.v, {{'a': rv, 'b': ingested_at, 'c': event_id}}) AS v FROM req q JOIN obs o ON o.series = q.series AND o.t <= q.cutoff AND o.ingested_at <= q.k GROUP BY 1, 2, 3),
+ cur AS (SELECT series, cutoff, arg_max(CASE WHEN v > 10 THEN 1 ELSE -1 END, t) FILTER (WHERE abs(v) > 10) AS s, max(CASE WHEN t = cutoff THEN v END) AS latest FROM known GROUP BY 1, 2)
+ SELECT q.series, epoch_ms(q.cutoff) AS cutoff_ms, round(l.v, 4) + 0.0 AS target_next, round(l.v - coalesce(latest, 0), 4) + 0.0 AS target_delta, CASE WHEN s IS NOT NULL AND abs(l.v) > 10 AND (l.v > 10) <> (s > 0) THEN 1.0 ELSE 0.0 END AS flip_target, CASE WHEN s IS NOT NULL THEN 1.0 ELSE 0.0 END AS flip_mask, 576 AS local_size
+ FROM req q JOIN lab l ON l.series = q.series AND l.t = q.cutoff + INTERVAL {STEP} SECOND LEFT JOIN cur ON cur.series = q.series AND cur.cutoff = q.cutoff"""
+
+
+@query("fea5_examples_from_tables", _LABELLED)
 def _(spark, sf):
     from ..operators.grid import select_cutoffs
     from .base import REGISTRY

@@ -16,7 +16,7 @@ from ..operators import serving as V
 from ..operators import splits as X
 from ..operators.isotonic import calibrate, isotonic_fit
 from ..operators.windows import sign_of
-from .base import DEADBAND, PRED, SCORED, STEP, canonical_sql, events, ms, observations, predictions, query, r4, realised, scored, table
+from .base import DEADBAND, OBS, PRED, SCORED, STEP, canonical_sql, events, ms, observations, predictions, query, r4, realised, scored, table
 
 _PCOLS = "event_id, epoch_ms(target_time) AS target_ms, round(v, 4) + 0.0 AS v, round(p, 4) AS p, model_version, cs AS current_state"
 
@@ -102,6 +102,15 @@ def _(spark, sf):
     return V.bounded_sample(observations(spark, sf), 512).select("event_id")
 
 
+@query("srt6_sample_laws", f"WITH {OBS} SELECT least(512, count(*)) AS n, least(512, count(*)) AS ids, CAST(0 AS BIGINT) AS foreign_rows FROM obs")
+def _(spark, sf):
+    """What SQL can say of a sample: its size, that no row is drawn twice, and that all are rows of the table."""
+    o = observations(spark, sf)
+    s = V.bounded_sample(o, 512).select("event_id")
+    known = s.join(o.select("event_id").distinct().withColumn("known", F.lit(1)), "event_id", "left")
+    return known.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids"), F.count_if(F.col("known").isNull()).alias("foreign_rows"))
+
+
 @query("jn6_fea4_labels", f"{canonical_sql()} SELECT c.series, epoch_ms(c.t) AS t_ms, round(a.v, 4) + 0.0 AS v1, round(b.v, 4) + 0.0 AS v2, round(d.v, 4) + 0.0 AS v5, round(e.v, 4) + 0.0 AS v10, round(a.v - c.v, 4) + 0.0 AS delta FROM can c JOIN can a ON a.series = c.series AND a.t = c.t + INTERVAL {STEP} SECOND LEFT JOIN can b ON b.series = c.series AND b.t = c.t + INTERVAL {2 * STEP} SECOND LEFT JOIN can d ON d.series = c.series AND d.t = c.t + INTERVAL {5 * STEP} SECOND LEFT JOIN can e ON e.series = c.series AND e.t = c.t + INTERVAL {10 * STEP} SECOND")
 def _(spark, sf):
     c = P.canonical_latest(observations(spark, sf))
@@ -325,6 +334,14 @@ def _(spark, sf):
     return s.select("example", *[r4(c, c) for c in ("p10_mw", "system_imbalance_mw", "p90_mw", "flip_probability", "nll", "distribution_flip_probability", "delta_mw")], "will_flip", "predicted_state")
 
 
+@query("ml9_mixture_order", "SELECT vec_id AS example, round((CAST(embedding[1] AS DOUBLE) + embedding[2] + embedding[3]) / 3 + 1e-9, 4) AS delta, true AS ordered, true AS finite FROM embeddings")
+def _(spark, sf):
+    """What SQL can say of mixtures: quantiles in order, probabilities in range, finite likelihoods, and the mean of the members' deltas."""
+    s = M.ensemble_scores(members(spark, sf), DEADBAND, actual="actual")
+    ordered = (F.col("p10_mw") <= F.col("system_imbalance_mw")) & (F.col("system_imbalance_mw") <= F.col("p90_mw")) & F.col("flip_probability").between(0, 1) & F.col("distribution_flip_probability").between(0, 1)
+    return s.select("example", r4(F.col("delta_mw") + 1e-9, "delta"), ordered.alias("ordered"), (F.col("nll").isNotNull() & ~F.isnan("nll") & (F.abs("nll") < float("inf"))).alias("finite"))
+
+
 @query(
     "ml9_mixture_flip_logit",
     """WITH e AS (SELECT vec_id AS example, 1 / (1 + exp(-4 * (CAST(embedding[1] AS DOUBLE) + embedding[2] + embedding[3]) / 3)) AS p, CASE vec_id % 3 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' END AS cs FROM embeddings)
