@@ -63,6 +63,7 @@ def fit_trees(train: DataFrame, features: list[str], target: str = "target_next"
     flag = lambda df: df.withColumns({f"__no_{i}": F.col(f).isNull().cast("double") for i, f in enumerate(masked)}).fillna(0.0, features)
     assemble = VectorAssembler(inputCols=[*features, *(f"__no_{i}" for i in range(len(masked)))], outputCol="__x", handleInvalid="keep")
     rows = written(assemble.transform(flag(train)).select("__x", target, flip_target, "flip_mask"), "tree-rows")  # read again in each round
+    rows = rows.coalesce(max(1, rows.count() // 20_000)).persist()  # a round is a few jobs: small tables are few tasks
     own = {"featuresCol": "__x", "maxIter": rounds, "maxDepth": 4, "stepSize": step, "seed": seed}
     point = GBTRegressor(labelCol=target, predictionCol="tree_value", **own).fit(rows)
     known = rows.where("flip_mask = 1")
@@ -73,6 +74,7 @@ def fit_trees(train: DataFrame, features: list[str], target: str = "target_next"
     else:
         rate = float(positives or 0) / n if n else 0.0
         flips = lambda df: df.withColumn("tree_flip", F.lit(rate))
+    rows.unpersist()
     return lambda df: flips(point.transform(assemble.transform(flag(df)))).drop("__x", *(f"__no_{i}" for i in range(len(masked))))
 
 
