@@ -10,12 +10,20 @@ from ..streaming.incremental import incremental_snapshots
 from .base import DEADBAND, OBS, PRED, REGISTRY, STEP, canonical_sql, ms, observations, predictions, query, r4, realised
 
 
-def _stream(df, name, files=4):
-    """A file stream over rows that Spark derives from the tables, in order of their time."""
+def in_batches(df, name, count):
+    """A file stream of ``count`` micro-batches, by the column ``batch``: four files each, written one batch after another."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.coalesce(1).write.option("maxRecordsPerFile", 100_000).parquet(path) if files == 1 else df.write.parquet(path)
-    return spark.readStream.schema(df.schema).parquet(path)
+    path, own = shared_path(spark, name), df.drop("batch")
+    for i in range(count):
+        df.where(F.col("batch") == i).drop("batch").repartition(4).write.mode("append").parquet(path)
+    return spark.readStream.schema(own.schema).option("maxFilesPerTrigger", 4).parquet(path)
+
+
+def thirds(df, time, ends=None):
+    """Add ``batch``: 0 to 2 by time, between the ends of the table or those given."""
+    t = F.unix_millis(time)
+    lo, hi = ends or df.agg(F.min(t), F.max(t)).first()
+    return df.withColumn("batch", F.greatest(F.lit(0), F.least(F.lit(2), F.floor(3 * (t - lo) / (hi - lo + 1)).cast("int"))))
 
 
 def _run(stream, name):
@@ -25,18 +33,10 @@ def _run(stream, name):
 
 @query("st1_st6_dedup", f"WITH {OBS} SELECT event_id FROM obs")
 def _(spark, sf):
-    o = observations(spark, sf).select("event_id", "ingested_at", "series")
-    twice = o.unionByName(o)
-    return _run(J.deduplicated(_stream(twice, "polls")), "dedup").select("event_id")
-
-
-def in_batches(df, name, count):
-    """A file stream of ``count`` micro-batches, by the column ``batch``: four files each, written one batch after another."""
-    spark = df.sparkSession
-    path, own = shared_path(spark, name), df.drop("batch")
-    for i in range(count):
-        df.where(F.col("batch") == i).drop("batch").repartition(4).write.mode("append").parquet(path)
-    return spark.readStream.schema(own.schema).option("maxFilesPerTrigger", 4).parquet(path)
+    """Each row twice, the second time a batch later."""
+    o = thirds(observations(spark, sf).select("event_id", "ingested_at", "series"), "ingested_at")
+    twice = o.unionByName(o.withColumn("batch", F.col("batch") + 1))
+    return _run(J.deduplicated(in_batches(twice, "polls", 4)), "dedup").select("event_id")
 
 
 #: Rows of the last twelve hours of a batch that come with the next one, and rows of the first batch that come with the third.
@@ -74,8 +74,11 @@ def _(spark, sf):
 def _(spark, sf):
     from ..operators.pit import canonical_predictions
 
-    p = _stream(canonical_predictions(predictions(spark, sf)).select("event_id", "series", "target_time", "generated_at"), "predictions")
-    r = _stream(realised(spark, sf).select("series", "timestamp", "realized_event_id", "available_at"), "realised")
+    """Both streams in three batches; predictions of a batch's last step meet their value in the next one."""
+    real = realised(spark, sf).select("series", "timestamp", "realized_event_id", "available_at")
+    ends = tuple(real.agg(F.min(F.unix_millis("timestamp")), F.max(F.unix_millis("timestamp"))).first())
+    p = in_batches(thirds(canonical_predictions(predictions(spark, sf)).select("event_id", "series", "target_time", "generated_at"), "target_time", ends), "predictions", 3)
+    r = in_batches(thirds(real, "timestamp", ends), "realised", 3)
     return _run(J.outcome_stream(p, r), "outcomes").select("event_id", "realized_event_id")
 
 
@@ -85,7 +88,7 @@ def _(spark, sf):
     from ..operators.pit import canonical_latest
 
     c = canonical_latest(observations(spark, sf)).select("series", "timestamp", "system_imbalance_mw")
-    out = _run(J.live_bins(_stream(c, "steps"), 12, STEP), "bins")
+    out = _run(J.live_bins(in_batches(thirds(c, "timestamp"), "steps", 3), 12, STEP), "bins")
     return out.select("series", ms("bin_end", "bin_end_ms"), r4("mean", "mean"), "observed")
 
 
