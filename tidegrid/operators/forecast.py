@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import advance_sign, flip, isotonic, predicted_state, state_name, state_sign
-from ..functions.scratch import workers_find_package, written
+from ..functions.scratch import workers_find_package
+from . import boosting
 from .pit import canonical_latest, realised_join
 
 DRIFT = 15
@@ -48,34 +49,13 @@ def rolling_median(history: Column) -> Column:
     return F.coalesce((F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2, F.lit(0.0))
 
 
-def fit_trees(train: DataFrame, features: list[str], target: str = "target_next", flip_target: str = "flip_target", seed: int = 17, rounds: int = 100, step: float = 0.05):
+def fit_trees(train: DataFrame, features: list[str], target: str = "target_next", flip_target: str = "flip_target", rounds: int = 100, step: float = 0.05):
     """Boosted-tree baseline: a function that adds tree_value and tree_flip.  One class only gives its rate, none gives 0.
 
-    A masked value counts as 0 and sets a feature of its own, so that a tree can send masked rows either way.
+    Null features are masked, and each cut has a side for them.
     """
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.ml.regression import GBTRegressor
-
-    nulls = train.agg(*[F.max(F.col(f).isNull()).alias(f"n{i}") for i, f in enumerate(features)]).first()
-    masked = [f for i, f in enumerate(features) if nulls[i]]
-    flag = lambda df: df.withColumns({f"__no_{i}": F.col(f).isNull().cast("double") for i, f in enumerate(masked)}).fillna(0.0, features)
-    assemble = VectorAssembler(inputCols=[*features, *(f"__no_{i}" for i in range(len(masked)))], outputCol="__x", handleInvalid="keep")
-    rows = written(assemble.transform(flag(train)).select("__x", target, flip_target, "flip_mask"), "tree-rows")  # read again in each round
-    rows = rows.coalesce(max(1, rows.count() // 20_000)).persist()  # a round is a few jobs: small tables are few tasks
-    own = {"featuresCol": "__x", "maxIter": rounds, "maxDepth": 4, "stepSize": step, "seed": seed}
-    point = GBTRegressor(labelCol=target, predictionCol="tree_value", **own).fit(rows)
-    known = rows.where("flip_mask = 1")
-    n, positives = known.agg(F.count(F.lit(1)), F.sum(flip_target)).first()
-    if n and 0 < positives < n:
-        classes = GBTClassifier(labelCol=flip_target, predictionCol="__c", **own).fit(known)
-        flips = lambda df: classes.transform(df).withColumn("tree_flip", F.get(vector_to_array("probability"), F.lit(1))).drop("probability", "rawPrediction", "__c")
-    else:
-        rate = float(positives or 0) / n if n else 0.0
-        flips = lambda df: df.withColumn("tree_flip", F.lit(rate))
-    rows.unpersist()
-    return lambda df: flips(point.transform(assemble.transform(flag(df)))).drop("__x", *(f"__no_{i}" for i in range(len(masked))))
+    model = boosting.fit(train, features, [(target, False, None), (flip_target, True, "flip_mask")], rounds, step)
+    return lambda df: model.apply(df, ["tree_value", "tree_flip"])
 
 
 def calibrated(df: DataFrame, xs: list[float], ys: list[float], probability: str = "raw") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,12 +74,20 @@ def apply_preprocessing(examples: DataFrame, fitted: tuple[str, DataFrame], valu
     return apply_scaler(channels(examples, values, masks, width, keep), fitted[1])
 
 
-def summary_features(examples: DataFrame, values: str, masks: str, width: int, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """One row of channel summaries for each example, and the names of their columns."""
-    s = channel_summary(channels(examples, values, masks, width, keys), keys)
-    parts = ("last", "mean", "std", "change", "coverage")
-    wide = s.groupBy(*keys).agg(*[F.max(F.when(F.col("channel") == c, F.col(p))).alias(f"x{c}_{p}") for c in range(width) for p in parts])
-    return wide, [f"x{c}_{p}" for c in range(width) for p in parts]
+def summary_features(examples: DataFrame, values: str, masks: str, width: int, keys: Sequence[str], more: Sequence[tuple[str, str, int]] = (), masked: bool = False) -> tuple[DataFrame, list[str]]:
+    """One row of channel summaries for each example, and the names of their columns.
+
+    The channels of ``more`` arrays (values, masks, width) follow, all summarised in one grouping.  With ``masked``, a channel
+    without observed values has null for zero but in its coverage.
+    """
+    parts, first, long = ("last", "mean", "std", "change", "coverage"), 0, []
+    for values, masks, width in [(values, masks, width), *more]:
+        long.append(channels(examples, values, masks, width, keys).withColumn("channel", (F.col("channel") + first).cast("int")))
+        first += width
+    s = channel_summary(reduce(DataFrame.unionAll, long), keys)
+    seen = lambda p: F.col(p) if p == "coverage" or not masked else F.when(F.col("coverage") > 0, F.col(p))
+    wide = s.groupBy(*keys).agg(*[F.max(F.when(F.col("channel") == c, seen(p))).alias(f"x{c}_{p}") for c in range(first) for p in parts])
+    return wide, [f"x{c}_{p}" for c in range(first) for p in parts]
 
 
 def apply_scaler(long: DataFrame, stats: DataFrame, group: Sequence[str] = ("channel",)) -> DataFrame:

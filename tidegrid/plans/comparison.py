@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.contract import names
 from ..functions.schemas import Registry
 from ..functions.scratch import written
 from ..operators import evaluate as E
@@ -46,19 +47,20 @@ def _rows(df: DataFrame, model: str, value: str, keys: Sequence[str], band: floa
 def scored_models(examples: DataFrame, reg: Registry, keys: Sequence[str] = ("request_id",), rounds: int = 100) -> tuple[DataFrame, float]:
     """Scored rows of the test section for the candidate and the four baselines, and the candidate's threshold.
 
-    Trees are fitted on the training section's channel summaries.  The candidate is a linear model over all baselines, fitted on the
-    validation section; its flips are the trees' calibrated on the calibration section, and its band is the residuals' 80 % there.
+    Trees are fitted on the training section's summaries of all local, context and static channels.  The candidate is a linear model
+    over all baselines, fitted on the validation section; its flips are the trees' calibrated on the calibration section, and its band is the residuals' 80 % there.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
     width = len(reg.local)
-    wide, names = summary_features(examples, *_CHANNEL, width, list(keys))
+    rest = [(f"{group}_values", f"{group}_masks", len(names(group))) for group in ("context", "static")]
+    wide, features = summary_features(examples, *_CHANNEL, width, list(keys), rest, masked=True)
     v, m = (F.col(c) for c in _CHANNEL)
     x = simple_forecasts(examples, reg).withColumns({"quality_code": E.source_quality(v, m, width), "volatility": E.volatility(v, m, width)})
-    x = written(x.drop("local_values", "local_masks").join(wide, list(keys)), "summaries")
-    trees = M.fit_trees(x.where("split = 'train'"), names, rounds=rounds)
-    x = written(trees(x).withColumn("classical", F.col("tree_value")).drop(*names), "forecasts")
+    x = written(x.drop(*_CHANNEL, *(c for v, m, _ in rest for c in (v, m))).join(wide, list(keys)), "summaries")
+    trees = M.fit_trees(x.where("split = 'train'"), features, rounds=rounds)
+    x = written(trees(x).withColumn("classical", F.col("tree_value")).drop(*features), "forecasts")
     assemble = VectorAssembler(inputCols=list(BASELINES), outputCol="__x")
     linear = LinearRegression(featuresCol="__x", labelCol="target_next", predictionCol="candidate", regParam=1.0).fit(assemble.transform(x.where("split = 'validation'")))
     x = linear.transform(assemble.transform(x)).drop("__x").withColumn("raw", F.col("tree_flip"))

@@ -314,7 +314,7 @@ def vector_examples(spark, sf):
 @query("ml7_agg10_boosted_trees")
 def _(spark, sf):
     e = vector_examples(spark, sf)
-    wide, names = L.summary_features(e, "v", "m", 8, ["vec_id"])
+    wide, names = L.summary_features(e, "v", "m", 8, ["vec_id"], masked=True)
     x = wide.join(e.select("vec_id", "target_next", "flip_target", "flip_mask"), "vec_id")
     return M.fit_trees(x, names)(x).select("vec_id", "target_next", r4("tree_value", "value"), r4("tree_flip", "flip"))
 
