@@ -94,6 +94,29 @@ def test_seeds_with_corrections_at_any_time(spark):
         assert got[name] == (sign, since, last), name
 
 
+def test_days_with_many_late_changes(spark):
+    draw = random.Random(11)
+    rows = [row("s", m, draw.uniform(-40, 40)) for m in range(300)]
+    rows += [row("s", draw.randrange(300), draw.uniform(-40, 40), delay=86_400 * draw.randrange(1, 30) + i, version=2 + i, name="late") for i in range(400)]
+    rows += [row("s", m, draw.uniform(-40, 40), delay=-90_000, version=1, name="early") for m in range(0, 300, 50)]
+    iv = P.validity_intervals(spark.createDataFrame(rows, OBS))
+    days = P.day_level(iv, 10.0)
+    assert "collect_list" not in days._jdf.queryExecution().optimizedPlan().toString()  # no list of a day's changes for each of them
+    got = {(x["block"], x["seen"]): x["stretch"] for x in days.collect()}
+    day = (T0 - datetime(1970, 1, 1)).days
+    start, end = T0, T0 + timedelta(days=1)
+    held = [(x["timestamp"], x["system_imbalance_mw"], x["valid_from"], x["valid_to"]) for x in iv.collect()]
+    assert set(got) == {(day, end if start < f < end else f) for _, _, f, _ in held} and len(got) > 300
+    for (_, seen), x in got.items():
+        first = first_at = sign = since = last = None
+        for t, v in sorted((t, v) for t, v, a, b in held if a <= seen and (b is None or b > seen)):
+            own, last = 1 if v > 10 else -1 if v < -10 else None, t
+            if own is not None:
+                first, first_at = (own, t) if first is None else (first, first_at)
+                sign, since = (own, t) if own != sign else (sign, since)
+        assert tuple(x) == (first, first_at, sign, since, last), seen
+
+
 def put(spark, path, i, rows, kind):
     spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(f"{path}/batch-{i}")
 
