@@ -278,6 +278,16 @@ def test_mixture_scores(spark):
     assert all(math.isclose(a, 0.5 * math.erfc(-b / math.sqrt(2)), rel_tol=1e-11) for a, b in zip(z, [-8.0, -3.0, -1.0, 0.0, 0.5, 2.9, 3.1, 6.0], strict=True))
 
 
+def test_tails_of_mixtures_are_probabilities(spark):
+    draw = __import__("random").Random(3)
+    rows = [(i, k, [draw.uniform(-3, 3) for _ in range(3)], [side * draw.uniform(200, 300) for _ in range(3)], [0.0] * 3, 0.0, 0.0, state) for i in range(200) for k in range(3) for side, state in ([(-1, "negative"), (1, "positive")][i % 2],)]
+    df = spark.createDataFrame(rows, "example int, member int, logits array<double>, means array<double>, log_scales array<double>, flip_logit double, delta double, current_state string")
+    p = [x["distribution_flip_probability"] for x in M.ensemble_scores(df, 10.0).collect()]
+    assert len(p) == 200 and all(0 <= x < 1e-300 for x in p)  # far on the side of the state: tiny, and never below 0
+    far = df.withColumn("current_state", F.when(F.col("current_state") == "negative", "positive").otherwise("negative"))
+    assert all(1 - 1e-12 < x["distribution_flip_probability"] <= 1 for x in M.ensemble_scores(far, 10.0).collect())
+
+
 def test_fallback_forecasts(spark):
     snaps = spark.createDataFrame([(1, True, 5.0, "positive"), (2, False, -30.0, "positive"), (3, False, None, None), (4, True, 1.0, None)], "example int, eligible boolean, latest double, current_state string")
     score = spark.createDataFrame([(1, 3.0, 1.0, 5.0, 0.2, False, "positive", "positive", 0.1), (4, 3.0, 9.0, 5.0, 0.2, False, None, None, 0.1)], "example int, system_imbalance_mw double, p10_mw double, p90_mw double, flip_probability double, will_flip boolean, current_state string, predicted_state string, delta_mw double")

@@ -109,7 +109,9 @@ def _mixtures(deadband: float):
             parts = np.log(w) - 0.5 * ((y[:, None] - m) / s) ** 2 - np.log(s) - 0.5 * np.log(2 * np.pi)
             top = parts.max(axis=1)
             out["nll"] = -(top + np.log(np.exp(parts - top[:, None]).sum(axis=1)))
-        out["below"], out["above"] = cdf(np.full(len(w), -deadband)), 1 - cdf(np.full(len(w), deadband))
+        # each tail as a sum of its own: the weights add up to 1 but for rounding, so a complement may fall below 0, and a sum rise above 1
+        out["below"] = np.minimum((w * _normal_cdf((-deadband - m) / s)).sum(axis=1), 1.0)
+        out["above"] = np.minimum((w * _normal_cdf((m - deadband) / s)).sum(axis=1), 1.0)
         return pd.DataFrame(out)
 
     return F.pandas_udf(run, _MIXTURE)
