@@ -136,6 +136,52 @@ def test_late_rows_are_stepped_in_order_and_those_behind_are_marked(spark, tmp_p
     assert got == [(at(3), True, -30.0, None, None), (at(5), False, -50.0, -1, at(5)), (at(10), False, 60.0, 1, at(10)), (at(11), False, 0.0, 1, at(10)), (at(60), False, -30.0, -1, at(60)), (at(61), False, 5.0, -1, at(60))]
 
 
+def test_state_is_asked_once_for_a_step_of_a_batch():
+    import pandas as pd
+
+    class Held(dict):
+        asked = 0
+
+        def containsKey(self, key):
+            self.asked += 1
+            return key in self
+
+        def getValue(self, key):
+            self.asked += 1
+            return self[key]
+
+        def updateValue(self, key, value):
+            self.asked += 1
+            self[key] = value
+
+    class Value:
+        def __init__(self):
+            self.now = (1, 0, 599_999_999)
+
+        exists, get = lambda self: True, lambda self: self.now
+
+    class Handle:
+        def __init__(self):
+            self.map, self.timers = Held(), []
+
+        getMapState, getValueState = lambda self, *a: self.map, lambda self, *a: Value()
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    states, handle = J.OrderedStates(10.0), Handle()
+    states.init(handle)
+    draw = random.Random(5)
+    rows = [(draw.randrange(20), draw.uniform(-40, 40), n) for n in draw.sample(range(5000), 3000)]
+    frame = lambda xs: pd.DataFrame({"timestamp": pd.to_datetime([m * 60_000_000 for m, _, _ in xs], unit="us"), "system_imbalance_mw": [v for _, v, _ in xs], "rank": [n for _, _, n in xs]})
+    late = pd.concat(list(states.handleInputRows(("s",), iter([frame(rows[k : k + 700]) for k in range(0, 3000, 700)]), None)))
+    assert sorted(late["system_imbalance_mw"]) == sorted(v for m, v, _ in rows if m < 10) and late["late"].all()
+    assert handle.map == {(m * 60_000_000,): (m * 60_000_000, v, n) for m, v, n in sorted(rows, key=lambda x: x[2]) if m >= 10}
+    assert sorted(handle.timers) == [m * 60_000 for m in range(10, 20)] and handle.map.asked <= 20
+    assert not list(states.handleInputRows(("s",), iter([frame([(12, 1.0, -1), (13, 2.0, 9000)])]), None))
+    assert handle.map[(780_000_000,)] == (780_000_000, 2.0, 9000) and handle.map[(720_000_000,)][2] > 0
+
+
 def test_batches_add_snapshots_and_change_none(spark, tmp_path):
     rows = [row("s", m, 20.0 if m < 30 else -20.0) for m in range(60)]
     late = [row("s", 50, 5.0, delay=7200, version=2)]

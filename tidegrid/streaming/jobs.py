@@ -68,7 +68,7 @@ def start_sink(envelopes: DataFrame, root: str, checkpoint: str):
 
 
 _OUT = "series string, timestamp timestamp, system_imbalance_mw double, state_sign int, state_since timestamp, last_observed_at timestamp, late boolean"
-_HELD = "at bigint, value double, rank string"
+_HELD = "at bigint, value double, rank bigint"
 _STATE = "sign int, since bigint, last bigint"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -76,8 +76,9 @@ _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvid
 class OrderedStates(StatefulProcessor):
     """Confirmed state of a series whose rows come late: rows wait until the watermark has passed them and are stepped in order.
 
-    A map by time holds the rows that wait, so that of several revisions of a step the one of highest rank is stepped; a value holds the
-    sign, since when, and the last step.  A timer at a step's time fires once the watermark is beyond it.  Rows at or
+    A map by time holds the rows that wait, so that of several revisions of a step the one of highest rank is stepped; those of one
+    micro-batch are compared first, so that state is asked once for a step and not for each revision.  A value holds the sign, since
+    when, and the last step.  A timer at a step's time fires once the watermark is beyond it.  Rows at or
     before the last step can't be stepped any more: they come out at once, marked late, without a state.
     """
 
@@ -103,21 +104,23 @@ class OrderedStates(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         last = self._now()[2]
-        late = []
+        best = None  # of each step, the first row of highest rank
         for pdf in rows:
-            micros = pdf["timestamp"].astype("datetime64[us]").astype("int64")
-            for at, value, rank in zip(micros.tolist(), pdf["system_imbalance_mw"].tolist(), pdf["rank"].tolist(), strict=True):
-                if last is not None and at <= last:
-                    late.append((at, value, None, None, None, True))
-                    continue
-                mine = (at,)
-                if not self.held.containsKey(mine):
-                    self.handle.registerTimer(-(-at // 1000))
-                elif self.held.getValue(mine)[2] >= rank:
-                    continue
-                self.held.updateValue(mine, (at, value, rank))
-        if late:
-            yield self._frame(key, late)
+            own = pd.DataFrame({"at": pdf["timestamp"].astype("datetime64[us]").astype("int64"), "value": pdf["system_imbalance_mw"], "rank": pdf["rank"]})
+            if last is not None:
+                behind = own["at"] <= last
+                if behind.any():
+                    yield self._frame(key, [(at, value, None, None, None, True) for at, value in own.loc[behind, ["at", "value"]].itertuples(index=False, name=None)])
+                own = own[~behind]
+            both = own if best is None else pd.concat([best, own])
+            best = both.sort_values("rank", ascending=False, kind="stable").drop_duplicates("at")
+        for at, value, rank in () if best is None else zip(best["at"].tolist(), best["value"].tolist(), best["rank"].tolist(), strict=True):
+            mine = (at,)
+            if not self.held.containsKey(mine):
+                self.handle.registerTimer(-(-at // 1000))
+            elif self.held.getValue(mine)[2] >= rank:
+                continue
+            self.held.updateValue(mine, (at, value, rank))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = expiredTimerInfo.getExpiryTimeInMs() * 1000
@@ -149,7 +152,7 @@ def stateful_states(stream: DataFrame, deadband: float, delay: str = "0 seconds"
     spark = stream.sparkSession
     workers_find_package(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)  # what transformWithState needs
-    order = F.format_string("%020d", F.col(rank)) if rank else F.lit("")
+    order = F.coalesce(F.col(rank).cast("bigint"), F.lit(-(1 << 63))) if rank else F.lit(0).cast("bigint")
     # the watermark stands on a copy that goes no further: rows behind it are marked, not dropped
     keyed = stream.withColumn("__clock", F.col("timestamp")).withWatermark("__clock", delay).select("series", "timestamp", "system_imbalance_mw", order.alias("rank"))
     return keyed.groupBy("series").transformWithStateInPandas(OrderedStates(deadband), _OUT, "Append", "EventTime")
