@@ -278,6 +278,24 @@ def test_mixture_scores(spark):
     assert all(math.isclose(a, 0.5 * math.erfc(-b / math.sqrt(2)), rel_tol=1e-11) for a, b in zip(z, [-8.0, -3.0, -1.0, 0.0, 0.5, 2.9, 3.1, 6.0], strict=True))
 
 
+def test_record_pages_as_lines_of_few_files(spark, tmp_path):
+    import json
+
+    record = lambda i: {"datetime": f"2026-01-01T00:{i:02d}:00+00:00", "resolutioncode": "PT15M", "measured": f"{i}"}
+    pages = [{"total_count": 30, "results": [record(10 * k + i) for i in range(10)]} for k in range(3)]
+    (tmp_path / "p.json").write_text("\n".join(map(json.dumps, pages)))
+    r = C.normalize_load(C.read_record_pages(spark, f"file:{tmp_path}/p.json", C.LOAD_FIELDS, lines=True)).collect()
+    assert sorted(x["measured_mw"] for x in r) == list(range(30)) and not any(x["reason"] for x in r)
+    (tmp_path / "q.json").write_text("\n".join(map(json.dumps, [*pages, {"total_count": -1, "results": []}])))
+    with pytest.raises(ValueError):
+        C.read_record_pages(spark, f"file:{tmp_path}/q.json", C.LOAD_FIELDS, lines=True)
+    from tidegrid.plans.queries_io import _pages
+
+    many = spark.range(5000).select(F.col("id").alias("k"), *[F.col("id").cast("string").alias(f) for f in C.LOAD_FIELDS])
+    got = _pages(many, C.LOAD_FIELDS, spark, "pages")
+    assert got.count() == 5000 and len(got.inputFiles()) <= 8  # fifty pages
+
+
 def test_tails_of_mixtures_are_probabilities(spark):
     draw = __import__("random").Random(3)
     rows = [(i, k, [draw.uniform(-3, 3) for _ in range(3)], [side * draw.uniform(200, 300) for _ in range(3)], [0.0] * 3, 0.0, 0.0, state) for i in range(200) for k in range(3) for side, state in ([(-1, "negative"), (1, "positive")][i % 2],)]
