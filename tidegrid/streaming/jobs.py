@@ -46,7 +46,7 @@ def sink_batch(root: str) -> Callable[[DataFrame, int], None]:
             good = routed.where("reason is null").select(*batch.columns)
             own(ingest_counters(routed), "counters")
             kinds = [r["event_type"] for r in routed.where("reason is null").select("event_type").distinct().collect()]  # seven types at most
-            write_typed(raw_rows(good), "raw_events", root, "overwrite", batch_id)
+            write_typed(good, "raw_events", root, "overwrite", batch_id, raw_rows)
             for kind in kinds:
                 write_typed(typed_rows(routed, kind), EVENT_TABLES[kind], root, "overwrite", batch_id)
             own(dead_letters(routed.where("reason is not null").select(*batch.columns, "reason")), "dead_letters")
