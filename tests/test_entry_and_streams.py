@@ -75,3 +75,34 @@ def test_late_revisions_ask_for_their_own_snapshot(spark):
     df = spark.createDataFrame([("s", t, t), ("s", t, t + timedelta(hours=1)), ("s", t, t)], "series string, timestamp timestamp, ingested_at timestamp")
     asks = J.changed_steps(df)
     assert asks.count() == 2 and asks.select("request_id").distinct().count() == 2 and asks.where(F.col("knowledge") > F.col("cutoff")).count() == 1
+
+
+def test_halves_of_the_inbox_are_written_by_many_tasks(spark, tmp_path):
+    from tidegrid.plans.queries_flow import _sunk
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.glob("inbox-*"))
+    e = spark.range(400).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 60).alias("ts"), F.col("id").alias("user_id"), F.lit("view").alias("event_type"), (F.col("id") % 90).cast("double").alias("value"))
+    e.coalesce(1).write.parquet(f"file:{tmp_path}/events.parquet")
+    root = _sunk(spark, f"file:{tmp_path}")
+    (inbox,) = set(shared.glob("inbox-*")) - before
+    assert len(list(inbox.glob("*.json"))) == 2 * spark.sparkContext.defaultParallelism
+    assert sum("raw_events" in tables and "imbalance_observations" in tables for tables in K.committed(spark, root).values()) == 2  # what more there is has no rows
+    counts = J.stored_counters(spark, root).first()
+    bad = sum(i % 17 == 0 or i % 13 == 0 or i % 19 == 0 for i in range(400))
+    assert (counts["published"], counts["errors"]) == (400 - bad, bad)
+
+
+def test_audit_rows_are_made_where_they_are_written(spark, tmp_path):
+    from tidegrid.sources.sinks import raw_rows
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(envelope(500 * i) for i in range(8)))
+    batch, root = read_envelopes(spark, f"file:{tmp_path}/in"), f"file:{tmp_path}/out"
+    K.write_typed(batch.unionByName(batch), "raw_events", root, derive=raw_rows)
+    own = sorted(map(tuple, raw_rows(batch).collect()))
+    stored = K.read_typed(spark, "raw_events", root).drop("month")
+    assert sorted(map(tuple, stored.collect())) == sorted(2 * own)
+    assert K.compact_table(spark, "raw_events", root) == ["2026-01"] and K.compact_table(spark, "raw_events", root) == []
+    assert sorted(map(tuple, K.read_typed(spark, "raw_events", root).drop("month").collect())) == own
+    assert all(".zstd." in f for f in stored.inputFiles())
