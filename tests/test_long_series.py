@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -200,6 +201,56 @@ def test_batches_add_snapshots_and_change_none(spark, tmp_path):
     assert whole == second
 
 
+def _revised(seed):
+    """Some steps of four days with up to thirty revisions each, known before, inside and after their day, in no order of rank."""
+    r = random.Random(seed)
+    minutes = sorted({*r.sample(range(4 * 1440), 60), *range(2900, 2960)})
+    return [row("s", m, r.uniform(-40, 40), delay=r.choice((r.randrange(-2 * 86400, 0), r.randrange(3600), r.randrange(3600), r.randrange(3 * 86400))), version=v) for m in minutes for v in r.sample(range(100), r.randrange(1, 30))]
+
+
+def test_revisions_that_no_request_finds_are_left_out(spark):
+    rows = _revised(11)
+    obs = spark.createDataFrame(rows, OBS)
+    r, at = random.Random(12), lambda m: T0 + timedelta(minutes=m)
+    asks = [(str(i), "s", at(c), at(c + r.choice((-2000, -30, 1, 2, 700, 4000)))) for i, c in enumerate([*r.sample(range(2900, 2960), 20), *r.sample(range(4 * 1440), 20)])]
+    requests = spark.createDataFrame(asks, "request_id string, series string, cutoff timestamp, knowledge timestamp")
+    pick = ["request_id", "local_values", "local_masks", "context_values", "context_masks", "current_state", "age", "latest", "observed"]
+    online, replay = (sorted(map(tuple, f(obs, requests, REG).select(*pick).collect())) for f in (N.snapshots, N.snapshots_pit))
+    assert online == replay and len(online) == 40
+    # each step at each of the times, whatever else there is of it
+    times = sorted({k for *_, k in asks})
+    steps = obs.select("series", "timestamp").distinct()
+    wanted = steps.crossJoin(spark.createDataFrame([(k,) for k in times], "knowledge timestamp"))
+    reads = wanted.select("series", "knowledge", F.floor(F.unix_seconds("timestamp") / 86400).alias("day"))
+    few, every = (P.validity_intervals(x) for x in (P.revisions_read(obs, reads), obs))
+    found = [sorted(map(tuple, P.pit_join(wanted, x).select("timestamp", "knowledge", "event_id", "valid_from", V).collect()), key=str) for x in (few, every)]
+    assert found[0] == found[1]
+    one = P.revisions_read(obs, reads.where(F.col("knowledge") == times[len(times) // 2]))
+    assert one.count() == obs.where(F.col("ingested_at") <= F.lit(times[len(times) // 2])).select("timestamp").distinct().count() < len(rows) / 5
+    days = [sorted(map(str, P.day_level(P.validity_intervals(x), 10.0).collect())) for x in (P.day_revisions(obs), obs)]
+    assert days[0] == days[1] and P.day_revisions(obs).count() < 0.7 * len(rows)
+
+
+def test_a_batch_of_many_revisions_is_reduced_and_written_by_many_tasks(spark, tmp_path):
+    shared, size = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before, was = set(shared.glob("intervals-*")), spark.conf.get(size)
+    spark.conf.set(size, "4k")
+    try:
+        rows = [row("s", m, (m * v) % 80 - 40.0, delay=v, version=v) for m in range(60) for v in range(1, 51)]
+        snapshot_batch(f"file:{tmp_path}", REG, every=5)(spark.createDataFrame(rows, OBS).repartition(4), 0)
+    finally:
+        spark.conf.set(size, was)
+    assert len(list(tmp_path.glob("history/batch=0/month=2026-01/part-*"))) > 1
+    made = spark.read.parquet(f"file:{tmp_path}/snapshots/batch=0")
+    (intervals,) = set(shared.glob("intervals-*")) - before
+    assert spark.read.parquet(f"file:{intervals}").count() <= 60 * 12 < len(rows) / 4
+    pick = ["cutoff", "knowledge", "local_values", "context_values", "current_state", "latest", "observed"]
+    asks = made.select("request_id", "series", "cutoff", "knowledge")
+    whole = N.snapshots(spark.createDataFrame(rows, OBS), asks, REG)
+    got, want = (sorted(map(tuple, x.select(*pick).collect())) for x in (made, whole))
+    assert got == want and len(got) == 12
+
+
 def test_a_bucketed_history_is_not_shuffled(spark, tmp_path):
     obs = spark.createDataFrame([row("s", m, float(m)) for m in range(50)], OBS)
     history = P.store_intervals(P.validity_intervals(obs), "intervals_of_a_test", f"file:{tmp_path}/intervals", 4)

@@ -10,13 +10,13 @@ from ..streaming.incremental import incremental_snapshots
 from .base import DEADBAND, OBS, PRED, REGISTRY, STEP, canonical_sql, ms, observations, predictions, query, r4, realised
 
 
-def in_batches(df, name, count):
-    """A file stream of ``count`` micro-batches, by the column ``batch``: four files each, written one batch after another."""
+def in_batches(df, name, count, files=4):
+    """A file stream of ``count`` micro-batches, by the column ``batch``: so many files each, written one batch after another."""
     spark = df.sparkSession
     path, own = shared_path(spark, name), df.drop("batch")
     for i in range(count):
-        df.where(F.col("batch") == i).drop("batch").repartition(4).write.mode("append").parquet(path)
-    return spark.readStream.schema(own.schema).option("maxFilesPerTrigger", 4).parquet(path)
+        df.where(F.col("batch") == i).drop("batch").repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(own.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def thirds(df, time, ends=None):
@@ -118,7 +118,9 @@ def _(spark, sf):
     k = F.unix_millis("ingested_at")
     lo, hi = o.agg(F.min(k), F.max(k)).first()
     batch = F.least(F.lit(2), F.floor(3 * (k - lo) / (hi - lo + 1)).cast("int"))
-    stream = in_batches(o.unionByName(late.withColumns(changes)).withColumn("batch", batch), "observed", 3)
+    least = o.groupBy(batch.alias("batch")).count().agg(F.min("count")).first()[0] or 0
+    files = max(4, min(spark.sparkContext.defaultParallelism, least // 10_000))  # large batches are written and read by all tasks
+    stream = in_batches(o.unionByName(late.withColumns(changes)).withColumn("batch", batch), "observed", 3, files)
     s = incremental_snapshots(stream, shared_path(spark, "snapshots"), shared_path(spark, "snapshots-checkpoint"), REGISTRY, _EVERY)
     width = len(REGISTRY.local)
     total = F.aggregate(F.filter("local_values", lambda x, i: i % width == 0), F.lit(0.0), lambda a, x: a + x.cast("double"))

@@ -11,7 +11,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from ..functions.scalars import floor_steps, history_start, minute_range, shift
 from ..functions.schemas import Registry
 from ..functions.scratch import written
-from ..operators.pit import RANK, day_level, validity_intervals
+from ..operators.pit import RANK, day_level, day_revisions, validity_intervals
 from ..plans.snapshots import RAW, snapshots_pit
 
 _MONTH = "yyyy-MM"
@@ -29,7 +29,8 @@ def reached_cutoffs(changed: DataFrame, there: DataFrame, reg: Registry, every:
     grid, size = every * reg.step_seconds, reg.bin_steps * reg.step_seconds
     span = reg.bins * size + size
     first = shift(floor_steps(shift(F.col("timestamp"), grid - 1), grid), 0)
-    near = changed.select(*by, "timestamp", "ingested_at", F.explode(F.filter(minute_range(first, shift(F.col("timestamp"), span + grid), grid), lambda c: history_start(c, reg.bins, reg.bin_steps, reg.step_seconds) <= F.col("timestamp"))).alias("cutoff"))
+    latest = changed.groupBy(*by, "timestamp").agg(F.max("ingested_at").alias("ingested_at"))  # a row for each step, however often it changed
+    near = latest.select(*by, "timestamp", "ingested_at", F.explode(F.filter(minute_range(first, shift(F.col("timestamp"), span + grid), grid), lambda c: history_start(c, reg.bins, reg.bin_steps, reg.step_seconds) <= F.col("timestamp"))).alias("cutoff"))
     asked = near.groupBy(*by, "cutoff").agg(F.max("ingested_at").alias("knowledge"))
     seen = there.select(*by, F.col("timestamp").alias("cutoff")).distinct()
     ids = F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in by], F.unix_millis("cutoff").cast("string"), F.unix_micros("knowledge").cast("string")), 256)
@@ -40,7 +41,8 @@ def snapshot_batch(root: str, reg: Registry, every: int = 1, by: Sequence[str] =
     """A micro-batch of observations: history, summaries of the days it changed, and snapshots, each under its batch id.
 
     The summaries are made from the changed days alone, and snapshots read the months that their histories lie in; all else of the past is in
-    the summaries.  A batch that is run again overwrites its own folders from what there was before it.
+    the summaries.  Of many revisions of a step only those go through a shuffle that a summary or a snapshot can find; a month's rows are
+    written by as many tasks as their size asks for.  A batch that is run again overwrites its own folders from what there was before it.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -48,22 +50,23 @@ def snapshot_batch(root: str, reg: Registry, every: int = 1, by: Sequence[str] =
         own = batch.select(*by, "timestamp", *RANK, *RAW)
         kinds = own.schema
         month = lambda c: F.date_format(c, _MONTH)
-        own.withColumn("month", month("timestamp")).repartition("month").write.mode("overwrite").partitionBy("month").parquet(f"{root}/history/batch={batch_id}")
+        own.withColumn("month", month("timestamp")).hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(f"{root}/history/batch={batch_id}")
         history = _batches(spark, f"{root}/history", kinds, batch_id, month=True)
         mine = spark.read.schema(kinds).parquet(f"{root}/history/batch={batch_id}")
         in_months = lambda days: history.where(F.col("month").isin([r[0] for r in days.select(month("day")).distinct().collect()]))  # noqa: E731  months are few
 
-        changed_days = mine.select(*by, F.date_trunc("DAY", "timestamp").alias("day")).distinct()
+        changed = written(mine.groupBy(*by, "timestamp").agg(F.max("ingested_at").alias("ingested_at")), "changed")
+        changed_days = written(changed.select(*by, F.date_trunc("DAY", "timestamp").alias("day")).distinct(), "changed-days")
         touched = in_months(changed_days).withColumn("day", F.date_trunc("DAY", "timestamp")).join(changed_days, [*by, "day"], "left_semi")
-        day_level(validity_intervals(touched, [*by, "timestamp"], RAW), reg.deadband, by).write.mode("overwrite").parquet(f"{root}/days/batch={batch_id}")
+        day_level(validity_intervals(day_revisions(touched, by), [*by, "timestamp"]), reg.deadband, by).write.mode("overwrite").parquet(f"{root}/days/batch={batch_id}")
         kept = spark.read.parquet(f"{root}/days/batch={batch_id}").schema
         days = _batches(spark, f"{root}/days", kept, batch_id)
         newest = days.groupBy(*by, "block").agg(F.max("batch").alias("batch"))
         days = written(days.join(newest, [*by, "block", "batch"], "left_semi").drop("batch"), "days-now")
 
         reach = reg.bins * reg.bin_steps * reg.step_seconds + reg.bin_steps * reg.step_seconds
-        ahead = mine.select(F.explode(F.array(F.col("timestamp"), shift(F.col("timestamp"), reach))).alias("day"))
-        asked = written(reached_cutoffs(mine.select(*by, "timestamp", "ingested_at").distinct(), in_months(ahead), reg, every, by), "asked")
+        ahead = changed.select(F.explode(F.array(F.col("timestamp"), shift(F.col("timestamp"), reach))).alias("day"))
+        asked = written(reached_cutoffs(changed, in_months(ahead), reg, every, by), "asked")
         start = history_start(F.col("cutoff"), reg.bins, reg.bin_steps, reg.step_seconds)
         needed = asked.select(F.explode(F.array(F.col("cutoff"), start, shift(start, -1), F.least(F.col("knowledge"), shift(start, -1)))).alias("day"))
         made = snapshots_pit(in_months(needed).drop("batch", "month"), asked, reg, by, days)
