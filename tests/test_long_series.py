@@ -14,6 +14,8 @@ from tidegrid.operators import pit as P
 from tidegrid.operators import scan as Q
 from tidegrid.operators import windows as W
 from tidegrid.plans import snapshots as N
+from tidegrid.plans.exports import export_from_csv
+from tidegrid.sources import records as C
 from tidegrid.streaming import jobs as J
 from tidegrid.streaming.incremental import snapshot_batch
 
@@ -259,3 +261,43 @@ def test_a_bucketed_history_is_not_shuffled(spark, tmp_path):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and joined.where("system_imbalance_mw is not null").count() == 50
     spark.sql("DROP TABLE intervals_of_a_test")
+
+
+def test_runs_of_steps_over_many_chunks(spark):
+    r = random.Random(21)
+    seconds = {"a": sorted(r.sample(range(3000), 2950)), "b": [*range(0, 1600), *range(1601, 1603)], "c": [5], "d": [-7, -6, -5, 600, 601]}
+    at = {s: [60 * i + (20 if s == "a" and i % 611 == 0 else 0) for i in own] for s, own in seconds.items()}
+    rows = [(s, datetime(2026, 1, 5) + timedelta(seconds=x)) for s, own in at.items() for x in own]
+    df = spark.createDataFrame(rows + rows[:50], "series string, timestamp timestamp")
+    runs = G.run_lengths(df, ["series"], 60, chunk_steps=7)
+    got = {(x["series"], (x["timestamp"] - datetime(2026, 1, 5)).total_seconds()): (x["run_length"], x["has_next"]) for x in runs.collect()}
+    assert len(got) == len(rows)
+    for s, own in at.items():
+        n = 0
+        for i, x in enumerate(own):
+            n = n + 1 if i and x - own[i - 1] == 60 else 1
+            assert got[s, x] == (n, i + 1 < len(own) and own[i + 1] - x == 60), (s, x)
+    plan = runs._jdf.queryExecution().optimizedPlan().toString() + G.select_cutoffs(df, 3, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan  # nothing is left to do over a series
+
+
+def test_seeds_do_not_depend_on_the_spans_that_are_summarised(spark):
+    r = random.Random(22)
+    obs = spark.createDataFrame(_revised(23), OBS)
+    asks = [(str(i), "s", T0 + timedelta(minutes=r.randrange(4 * 1440)), T0 + timedelta(minutes=r.randrange(7 * 1440))) for i in range(60)]
+    requests = spark.createDataFrame(asks, "request_id string, series string, before timestamp, knowledge timestamp")
+    a, b = (sorted(map(tuple, P.state_seed(requests, obs, 10.0, span=span).collect())) for span in (86400, 3600))
+    assert a == b and len(a) == 60
+    assert P.summary_span(60) == 3600 and P.summary_span(7200) == 86400
+
+
+def test_minutes_of_any_year_are_exported_and_read_once(spark, tmp_path):
+    shared, first = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")), datetime(2300, 1, 1)
+    lines = [f"{(first + timedelta(minutes=i)).isoformat()}+00:00;PT1M;{first.isoformat()}+00:00;Validated;;{(i * 13) % 60 - 30};;;;;5" for i in range(150)]
+    (tmp_path / "far.csv").write_text("\n".join([";".join(C.CSV_COLUMNS), *lines]) + "\n")
+    before = set(shared.glob("minute-rows-*"))
+    out, small = f"file:{tmp_path}/dataset", Registry(local_steps=20, bin_steps=5, bins=4, min_observed=5)
+    assert export_from_csv(spark, f"file:{tmp_path}/far.csv", out, small, stride=10)["examples"] == 12
+    rows = spark.read.parquet(out).orderBy("cutoff").collect()
+    assert [x["target_next"] for x in rows] == [float(((i + 1) * 13) % 60 - 30) for i in range(30, 149, 10)] and all(x["latest"] == float((i * 13) % 60 - 30) for i, x in zip(range(30, 149, 10), rows, strict=True))
+    assert len(set(shared.glob("minute-rows-*")) - before) == 1
