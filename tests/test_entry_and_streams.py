@@ -106,3 +106,30 @@ def test_audit_rows_are_made_where_they_are_written(spark, tmp_path):
     assert K.compact_table(spark, "raw_events", root) == ["2026-01"] and K.compact_table(spark, "raw_events", root) == []
     assert sorted(map(tuple, K.read_typed(spark, "raw_events", root).drop("month").collect())) == own
     assert all(".zstd." in f for f in stored.inputFiles())
+
+
+def test_payloads_are_parsed_once_under_filters(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join([*(envelope(i) for i in range(5)), envelope(7, payload={"quality_status": "DataIssue"})]))
+    routed = T.route(read_envelopes(spark, f"file:{tmp_path}/in"))
+    rows = T.typed_rows(routed, "elia.imbalance.observed")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("from_json") + plan.count("JsonToStructs") <= len(T.EVENT_TABLES)
+    assert sorted(r["system_imbalance_mw"] for r in rows.collect()) == [0.0, 1.5, 3.0, 4.5, 6.0] and [r["event_id"] for r in routed.where("reason is not null").collect()] == ["e7"]
+
+
+def test_sink_query_keeps_one_packed_inbox_and_its_ids_on_disk(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.iterdir())
+    e = spark.range(300).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 60).alias("ts"), F.col("id").alias("user_id"), F.lit("view").alias("event_type"), (F.col("id") % 90).cast("double").alias("value"))
+    e.write.parquet(f"file:{tmp_path}/events.parquet")
+    rows = entry.queries()["st2_sink_stream"](spark, f"file:{tmp_path}").collect()
+    bad = sum(i % 17 == 0 or i % 13 == 0 or i % 19 == 0 for i in range(300))
+    assert sorted((k, sum(r["kind"] == k for r in rows), len({r["event_id"] for r in rows if r["kind"] == k})) for k in ("dead", "raw", "typed")) == [("dead", bad, bad), ("raw", 300 - bad, 300 - bad), ("typed", 300 - bad, 300 - bad)]
+    new = {p.name.rsplit("-", 1)[0]: p for p in set(shared.iterdir()) - before}
+    assert set(new) == {"inbox", "sink", "sink-checkpoint"}
+    parts = [p.name for p in new["inbox"].glob("part-*")]
+    assert len(parts) == 2 * spark.sparkContext.defaultParallelism and all(p.endswith(".json.gz") for p in parts)
+    assert all(".zstd." in p.name for p in new["sink"].rglob("part-*")) and list(new["sink-checkpoint"].rglob("*.sst"))

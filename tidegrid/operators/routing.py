@@ -69,11 +69,13 @@ def _problem(event_type: str, p: str) -> Column:
 
 
 def route(envelopes: DataFrame) -> DataFrame:
-    """Add ``reason``: null, unsupported_schema_version, unsupported_event_type or invalid_payload; and the parsed payload of its type."""
-    out = envelopes
+    """Add ``reason``: null, unsupported_schema_version, unsupported_event_type or invalid_payload; and the parsed payload of its type.
+
+    A payload is parsed once: it comes out of a generator, below which filters on the reason aren't pushed.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "true"}
-    for i, t in enumerate(EVENT_TABLES):
-        out = out.withColumn(f"p{i}", F.when(F.col("event_type") == t, F.from_json("payload", payload_schema(t), options)))
+    parsed = F.struct(*[F.when(F.col("event_type") == t, F.from_json("payload", payload_schema(t), options)).alias(f"p{i}") for i, t in enumerate(EVENT_TABLES)])
+    out = envelopes.withColumn("__parsed", F.explode(F.array(parsed))).select(*envelopes.columns, "__parsed.*")
     reason = F.when(F.coalesce(F.col("schema_version") != SUPPORTED_SCHEMA, F.lit(True)), "unsupported_schema_version").when(~F.coalesce(F.col("event_type").isin(*EVENT_TABLES), F.lit(False)), "unsupported_event_type")
     for i, t in enumerate(EVENT_TABLES):
         reason = reason.when((F.col("event_type") == t) & _problem(t, f"p{i}"), "invalid_payload")

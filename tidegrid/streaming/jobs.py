@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from ..functions.scalars import shift
 from ..functions.scratch import workers_find_package
 from ..operators.routing import EVENT_TABLES, ingest_counters, route, stored_triggers, typed_rows
-from ..sources.sinks import batch_path, commit_batch, dead_letters, is_committed, raw_rows, read_committed, write_typed
+from ..sources.sinks import CODEC, batch_path, commit_batch, dead_letters, is_committed, raw_rows, read_committed, write_typed
 
 DEDUP_WINDOW = "2 hours"
 
@@ -40,7 +40,7 @@ def sink_batch(root: str) -> Callable[[DataFrame, int], None]:
         spark = batch.sparkSession
         if is_committed(spark, root, batch_id):
             return
-        own = lambda df, name: df.write.mode("overwrite").parquet(batch_path(root, name, batch_id))
+        own = lambda df, name: df.write.mode("overwrite").option("compression", CODEC).parquet(batch_path(root, name, batch_id))
         routed = route(batch).persist()
         try:
             good = routed.where("reason is null").select(*batch.columns)
@@ -64,6 +64,10 @@ def stored_counters(spark: SparkSession, root: str) -> DataFrame:
 
 
 def start_sink(envelopes: DataFrame, root: str, checkpoint: str):
+    """The ids inside the dedup window are kept on disk by tasks, not in their heap; they aren't looked up a second time to be counted."""
+    conf = envelopes.sparkSession.conf
+    conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
+    conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
     return deduplicated(envelopes).writeStream.foreachBatch(sink_batch(root)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
